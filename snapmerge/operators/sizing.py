@@ -10,15 +10,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Upper bounds for a broadcast side (rows and estimated bytes).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def type_width(dtype: T.DataType) -> int:
+    """Estimated bytes of one value (strings and nested types are estimated)."""
+    if isinstance(dtype, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dtype, (T.ShortType,)):
+        return 2
+    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dtype, T.DecimalType):
+        return 8 if dtype.precision <= 18 else 16
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return 32
+    if isinstance(dtype, T.StructType):
+        return sum(type_width(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return 128
+    return 8
+
+
 def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema's default sizes."""
-    return max(8, sum(f.dataType.defaultSize() for f in df.schema.fields))
+    """Estimated bytes per row from the schema."""
+    return max(8, sum(type_width(f.dataType) for f in df.schema.fields))
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int | None:

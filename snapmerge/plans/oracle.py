@@ -75,7 +75,7 @@ def with_(*ctes: str) -> str:
 
 
 # ------------------------------------------------------------------ generic merge SQL
-def keep_last_cte(name: str, src_sql: str, keys: list[str], order: str = "src desc, ord desc") -> str:
+def keep_last_cte(name: str, src_sql: str, keys: list[str], order: str = "src desc, _o desc") -> str:
     k = ", ".join(keys)
     return f"""{name} as (select * exclude (rn) from (
   select *, row_number() over (partition by {k} order by {order}) as rn from ({src_sql})) where rn = 1)"""
@@ -94,13 +94,12 @@ def equal_expr(cols: list[str], floats: set[str], a: str = "l", b: str = "p") ->
 def merge_ctes(prev: str, batch: str, keys: list[str], cols: list[str], ord_col: str | None = None,
                prefix: str = "m") -> list[str]:
     """CTEs ``{prefix}_last`` (keep-last rows + src/ord) and ``{prefix}_prev`` (last previous row)."""
-    collist = ", ".join(cols)
     o = ord_col if ord_col else "0"
-    u = (f"select {collist}, 0 as src, {o} as ord from {prev} "
-         f"union all by name select {collist}, 1 as src, {o} as ord from {batch}")
+    u = (f"select *, 0 as src, {o} as _o from {prev} "
+         f"union all by name select *, 1 as src, {o} as _o from {batch}")
     return [
         keep_last_cte(f"{prefix}_last", u, keys),
-        keep_last_cte(f"{prefix}_prev", f"select {collist}, 0 as src, {o} as ord, true as present from {prev}", keys),
+        keep_last_cte(f"{prefix}_prev", f"select *, 0 as src, {o} as _o, true as present from {prev}", keys),
     ]
 
 
@@ -200,7 +199,7 @@ reg("split_new_edited", with_(*_MERGE_BASE, *_accumulate_sql()) + "select * from
     classified_select(_K, CONTRACT_COLS, CONTRACT_FLOAT) + " where l.src = 1) where change_type in ('new', 'edited')")
 reg("upsert_in_place", with_(*_MERGE_BASE, *_accumulate_sql()) +
     classified_select(_K, CONTRACT_COLS, CONTRACT_FLOAT,
-                      extra=", coalesce(p.src, l.src) as seen_src, cast(coalesce(p.ord, l.ord) as bigint) as seen_ord"))
+                      extra=", coalesce(p.src, l.src) as seen_src, cast(coalesce(p._o, l._o) as bigint) as seen_ord"))
 reg("change_summary", with_(*_MERGE_BASE, *_accumulate_sql(), "c as (" +
     classified_select(_K, CONTRACT_COLS, CONTRACT_FLOAT) + ")") + """select
   count(*) filter (where change_type = 'new') as new_rows,
@@ -267,8 +266,224 @@ reg("dedup_full_row", with_(CONTRACTS) + "select distinct dealer_id, manager, st
 reg("accumulate_rolling_90d", with_(*_MERGE_BASE, *_accumulate_sql()) +
     f"select {_COLS} from m_last where report_date >= {d(A_MID)} - 90")
 reg("sort_by_date_stable", with_(*_MERGE_BASE, *_accumulate_sql()) + f"""select {_COLS},
-  row_number() over (order by report_date asc nulls last, src, ord, proposal_id) as row_number
+  row_number() over (order by report_date asc nulls last, src, _o, proposal_id) as row_number
 from m_last where report_date >= {d(A_MID)} - 90""")
 reg("sort_append_order", with_(*_MERGE_BASE, *_accumulate_sql()) + f"""select {", ".join("l." + c for c in CONTRACT_COLS)},
-  row_number() over (order by coalesce(p.src, l.src), coalesce(p.ord, l.ord), l.proposal_id) as row_number
+  row_number() over (order by coalesce(p.src, l.src), coalesce(p._o, l._o), l.proposal_id) as row_number
 from m_last l left join m_prev p on l.proposal_id is not distinct from p.proposal_id""")
+
+
+# ================================================================== other stand-ins
+def period_sql(col: str) -> str:
+    return f"cast(year({col}) * 100 + month({col}) as integer)"
+
+
+STORE_ACTIVITY = f"""store_activity as (
+  select o_custkey as store_id, c_name as store_name, {period_sql('o_orderdate')} as vintage,
+         max(cast(o_orderdate as date)) as last_contract_date,
+         cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(28,2)) as financed_value,
+         count(*) as financed_count
+  from orders join customer on o_custkey = c_custkey group by all)"""
+STORE_STORED = f"""sa_stored as (
+  select store_id, store_name, vintage, last_contract_date, financed_value,
+         case when store_id % 7 = 0 then financed_count + 1 else financed_count end as financed_count
+  from store_activity where vintage < {ym(A_MID)})"""
+SA_COLS = ["store_id", "store_name", "vintage", "last_contract_date", "financed_value", "financed_count"]
+SA_KEYS = ["store_id", "vintage"]
+
+TARGETS = f"""targets as (
+  select {period_sql('o_orderdate')} as period, n_name as branch,
+         cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(28,2)) as production,
+         cast(count(*) * 250000 as decimal(28,2)) as target
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by all)"""
+TARGETS_STORED = f"""t_stored as (
+  select period, branch,
+         case when period % 7 = 0 then cast(production - 100 as decimal(28,2)) else production end as production,
+         target
+  from targets where period < {ym(A_MID)})"""
+T_COLS = ["period", "branch", "production", "target"]
+T_KEYS = ["period", "branch"]
+T_DEC = {"production", "target"}
+
+PORTFOLIO = f"""portfolio as (
+  select distinct c_custkey as store_tax_id, n_name as branch, {period_sql('o_orderdate')} as period,
+         c_mktsegment as segment, c_acctbal as balance
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
+PORTFOLIO_EXTRACT = f"""p_extract as (
+  select period, store_tax_id, branch, balance, segment from portfolio
+  where period between {A_MID.year * 100 + 1} and {A_MID.year * 100 + 12})"""
+PORTFOLIO_STORED = f"""p_stored as (
+  select store_tax_id, branch, period, segment,
+         case when store_tax_id % 7 = 0 then balance + 1 else balance end as balance,
+         case when store_tax_id % 2 = 0 then 'Y' else 'N' end as legacy_flag
+  from portfolio where period < {ym(A_MID)})"""
+P_KEYS = ["store_tax_id", "branch", "period"]
+P_COLS = ["store_tax_id", "branch", "period", "segment", "balance", "legacy_flag"]
+
+COMMISSION = f"""commission as (
+  select l_orderkey as contract_code, {period_sql('l_shipdate')} as period, l_suppkey as master_tax_id,
+         cast(l_extendedprice as decimal(18,2)) as gross_amount, cast(l_tax * 100 as decimal(9,4)) as rate_pct,
+         cast(row_number() over (partition by l_orderkey order by l_linenumber, l_shipdate, l_partkey,
+                                 l_suppkey, l_extendedprice, l_quantity) as integer) as ord
+  from lineitem)"""
+# A_TURN is day 1 after a Saturday month end: the source window is the last 3 days (June and July).
+COMMISSION_EXTRACT = f"""cx as (
+  select * from commission where period between {ym(A_TURN - dt.timedelta(days=2))} and {ym(A_TURN)}
+  union all
+  select null, null, null, cast(sum(gross_amount) as decimal(18,2)), null, null from commission
+  where period between {ym(A_TURN - dt.timedelta(days=2))} and {ym(A_TURN)})"""
+COMMISSION_STORED = f"""cs_data as (
+  select contract_code, cast(period as varchar) as period, cast(master_tax_id as varchar) as master_tax_id,
+         case when contract_code % 7 = 0 then cast(gross_amount - 100 as decimal(18,2)) else gross_amount end
+           as gross_amount, rate_pct, ord
+  from commission where period < {ym(A_TURN)}),
+cs as (select * from cs_data
+  union all select null, null, null, cast(sum(gross_amount) as decimal(18,2)), null, null from cs_data)"""
+C_COLS = ["contract_code", "period", "master_tax_id", "gross_amount", "rate_pct", "ord"]
+C_KEYS = ["contract_code", "period"]
+C_DEC = {"gross_amount", "rate_pct"}
+C_BATCH = """cb as (select contract_code, cast(period as varchar) as period,
+  cast(master_tax_id as varchar) as master_tax_id, gross_amount, rate_pct, ord
+  from cx where contract_code is not null)"""
+
+HOLIDAYS = "(" + ", ".join(d(x) for x in TEST_HOLIDAYS) + ")"
+
+
+def business_sql(col: str) -> str:
+    return f"(isodow({col}) - 1 < 5 and {col} not in {HOLIDAYS})"
+
+
+# ================================================================== store activity
+reg("source_this_month", with_(STORE_ACTIVITY) + f"select * from store_activity where vintage = {ym(A_MID)}")
+reg("dedup_keep_last_composite", with_(STORE_ACTIVITY, STORE_STORED) + f"""select * exclude (rn, arrival) from (
+  select *, row_number() over (partition by store_id, vintage order by arrival desc) as rn from (
+    select *, 0 as arrival from sa_stored union all by name select *, 1 as arrival from store_activity))
+where rn = 1""")
+reg("store_activity_merge", with_(STORE_ACTIVITY, STORE_STORED,
+                                  *merge_ctes("sa_stored", "store_activity", SA_KEYS, SA_COLS, prefix="pv"),
+                                  "preview as (select " + ", ".join(SA_COLS) + " from pv_last)",
+                                  *merge_ctes("sa_stored", "preview", SA_KEYS, SA_COLS, prefix="o")) +
+    classified_select(SA_KEYS, SA_COLS, {"financed_value"}, prefix="o"))
+
+# ================================================================== targets
+reg("row_year", with_(TARGETS) + "select *, cast(substr(cast(period as varchar), 1, 4) as integer) as year from targets")
+reg("period_yyyymm", """select run_date, year(run_date)::int as ref_year, month(run_date)::int as ref_month,
+  cast(year(run_date) * 100 + month(run_date) as integer) as period
+from (select distinct cast(o_orderdate as date) as run_date from orders)""")
+reg("source_short_window", with_(TARGETS) + f"""select *, {d(A_MID)} as as_of from targets where period = {ym(A_MID)}
+union all select *, {d(A_TURN)} as as_of from targets where period between {ym(A_TURN - dt.timedelta(days=2))} and {ym(A_TURN)}
+union all select *, {d(A_TURN_BD)} as as_of from targets where period = {ym(A_TURN_BD)}""")
+reg("route_by_row_year", with_(TARGETS, TARGETS_STORED, *merge_ctes("t_stored", "targets", T_KEYS, T_COLS)) +
+    "select " + ", ".join(T_COLS) + ", cast(substr(cast(period as varchar), 1, 4) as integer) as year from m_last")
+reg("years_present", with_(TARGETS) + """select year, year = max(year) over () as is_latest from (
+  select distinct cast(substr(cast(period as varchar), 1, 4) as integer) as year from targets) where year is not null""")
+_T_YEAR = "cast(substr(cast(period as varchar), 1, 4) as integer)"
+_TARGETS_BY_YEAR = with_(
+    TARGETS, TARGETS_STORED,
+    *merge_ctes("t_stored", "targets", T_KEYS, T_COLS, prefix="pv"),
+    f"rows_y as (select {', '.join(T_COLS)}, {_T_YEAR} as year from pv_last)",
+    f"prev_y as (select *, {_T_YEAR} as year from t_stored where {_T_YEAR} in (select year from rows_y))",
+    *merge_ctes("prev_y", "rows_y", T_KEYS, T_COLS + ["year"], prefix="o"),
+) + classified_select(T_KEYS, T_COLS + ["year"], T_DEC, prefix="o")
+reg("targets_by_year", _TARGETS_BY_YEAR)
+reg("yearly_counts_rollup", f"""select year, count(*) filter (where change_type = 'new') as new_rows,
+  count(*) filter (where change_type = 'edited') as edited_rows, count(*) as total_rows,
+  year is null as is_all_years
+from ({_TARGETS_BY_YEAR}) group by rollup (year)""")
+
+# ================================================================== portfolio
+reg("filter_current_period", with_(PORTFOLIO) + f"select * from portfolio where period = {ym(A_MID)}")
+reg("source_this_year", with_(PORTFOLIO) +
+    f"select * from portfolio where period between {A_MID.year * 100 + 1} and {A_MID.year * 100 + 12}")
+reg("sort_by_period_stable", with_(PORTFOLIO, PORTFOLIO_EXTRACT, PORTFOLIO_STORED,
+                                   *merge_ctes("p_stored", "p_extract", P_KEYS, P_COLS)) +
+    "select " + ", ".join(P_COLS) + """, row_number() over (order by period asc nulls last, src, _o,
+  store_tax_id, branch) as row_number from m_last""")
+reg("reorder_current_then_legacy", with_(PORTFOLIO, PORTFOLIO_EXTRACT, PORTFOLIO_STORED,
+                                         *merge_ctes("p_stored", "p_extract", P_KEYS, P_COLS)) +
+    "select " + ", ".join(P_COLS) + " from m_last")
+_PY = "cast(substr(cast(period as varchar), 1, 4) as integer)"
+reg("portfolio_by_year", with_(
+    PORTFOLIO, PORTFOLIO_EXTRACT, PORTFOLIO_STORED,
+    f"rows_y as (select *, {_PY} as year from p_extract)",
+    f"prev_y as (select *, {_PY} as year from p_stored where {_PY} in (select year from rows_y))",
+    *merge_ctes("prev_y", "rows_y", P_KEYS, P_COLS + ["year"], prefix="o"),
+) + classified_select(P_KEYS, P_COLS + ["year"], {"balance"}, prefix="o"))
+reg("portfolio_preview", with_(
+    PORTFOLIO, PORTFOLIO_EXTRACT, PORTFOLIO_STORED,
+    f"cur as (select * from p_extract where period = {ym(A_MID)})",
+    f"pp as (select * from p_stored where period = {ym(A_MID)})",
+    *merge_ctes("pp", "cur", P_KEYS, P_COLS, prefix="o"),
+) + classified_select(P_KEYS, P_COLS, {"balance"}, prefix="o"))
+
+# ================================================================== commission
+reg("normalize_headers", with_(COMMISSION, COMMISSION_EXTRACT) + "select * from cx")
+reg("drop_footer_rows", with_(COMMISSION, COMMISSION_EXTRACT) + "select * from cx where contract_code is not null")
+reg("split_totals_row", with_(COMMISSION, COMMISSION_STORED) +
+    "select *, case when contract_code is null then 'totals' else 'data' end as part from cs")
+reg("harmonize_types", with_(COMMISSION, COMMISSION_EXTRACT, C_BATCH) + "select * from cb")
+reg("dedup_keep_last", with_(COMMISSION) + """select * exclude (rn) from (
+  select *, row_number() over (partition by contract_code order by ord desc) as rn from commission) where rn = 1""")
+reg("number_to_text_id", with_(COMMISSION) + """select contract_code, ord,
+  cast(cast(cast(master_tax_id * 1000000000000 + contract_code as double) as decimal(38,0)) as varchar) as tax_id_text,
+  case when gross_amount = floor(gross_amount) then cast(cast(floor(gross_amount) as decimal(38,0)) as varchar)
+       else trim(cast(gross_amount as varchar)) end as amount_text
+from commission""")
+reg("nan_to_null", with_(COMMISSION) + """select contract_code, ord,
+  case when isnan(r) then null else r end as rate, isnan(r) as rate_is_null from (
+  select contract_code, ord, case when contract_code % 9 = 0 then 'nan'::double
+         else cast(rate_pct as double) end as r from commission)""")
+reg("totals_row", with_(COMMISSION, COMMISSION_EXTRACT, C_BATCH.replace(
+    "cast(period as varchar) as period,\n  cast(master_tax_id as varchar) as master_tax_id", "period, master_tax_id")) +
+    """select null::bigint as contract_code, null::integer as period, null::bigint as master_tax_id,
+  coalesce(cast(sum(gross_amount) as decimal(28,2)), 0) as gross_amount,
+  cast(sum(rate_pct) as double) / count(rate_pct) as rate_pct, null::integer as ord, true as is_total from cb""")
+reg("totals_row_refresh", with_(COMMISSION, COMMISSION_STORED, "sd as (select * from cs where contract_code is not null)") +
+    """select contract_code, period, master_tax_id, cast(gross_amount as decimal(28,2)) as gross_amount,
+  cast(rate_pct as double) as rate_pct, ord, false as is_total from sd
+union all
+select null, null, null, coalesce(cast(sum(gross_amount) as decimal(28,2)), 0),
+  cast(sum(rate_pct) as double) / count(rate_pct), null, true from sd""")
+_C_PREVIEW = [COMMISSION, COMMISSION_EXTRACT, COMMISSION_STORED, C_BATCH,
+              *merge_ctes("cs_data", "cb", C_KEYS, C_COLS, ord_col="ord", prefix="pv")]
+reg("commission_preview", with_(*_C_PREVIEW) +
+    classified_select(C_KEYS, C_COLS, C_DEC, prefix="pv", exclude_compare=("ord",)))
+reg("commission_official", with_(
+    *_C_PREVIEW, "preview as (select " + ", ".join(C_COLS) + " from pv_last)",
+    "sd as (select * from cs where contract_code is not null)",
+    *merge_ctes("sd", "preview", C_KEYS, C_COLS, ord_col="ord", prefix="o"),
+    "cl as (" + classified_select(C_KEYS, C_COLS, C_DEC, prefix="o", exclude_compare=("ord",)) + ")") +
+    """select contract_code, period, master_tax_id, cast(gross_amount as decimal(28,2)) as gross_amount,
+  cast(rate_pct as double) as rate_pct, ord, change_type, false as is_total from cl
+union all
+select null, null, null, coalesce(cast(sum(gross_amount) as decimal(28,2)), 0),
+  cast(sum(rate_pct) as double) / count(rate_pct), null, null, true from cl""")
+reg("schema_drift_report", with_(COMMISSION, COMMISSION_EXTRACT) + """select * from (values
+  ('comissao_a_vista', 'corban_tax_id', 'missing_in_extract', 0::bigint),
+  ('comissao_a_vista', 'rate_pct', 'missing_in_extract', 0::bigint),
+  ('comissao_a_vista', 'rate_pct', 'missing_vs_table', 0::bigint),
+  ('comissao_a_vista', 'ord', 'missing_vs_table', 0::bigint)) t(dataset, column_name, issue, non_null_values)
+where false
+union all select 'comissao_a_vista', 'corban_tax_id', 'missing_in_extract', 0
+union all select 'comissao_a_vista', 'rate_pct', 'missing_in_extract', 0
+union all select 'comissao_a_vista', 'rate_pct', 'missing_vs_table', 0
+union all select 'comissao_a_vista', 'net_amount', 'extra_vs_table',
+  (select count(gross_amount) from cx where contract_code is not null)""")
+
+# ================================================================== calendar and events
+_RUN_DATES = "(select distinct cast(o_orderdate as date) as run_date from orders)"
+reg("business_days", f"select run_date, {business_sql('run_date')} as is_business_day from {_RUN_DATES}")
+
+
+def _turn_sql(days: str) -> str:
+    return f"""select run_date, pme as prev_month_end, pme_b as prev_month_end_is_business_day,
+  day(run_date) in (1, 2) and not pme_b as use_short_window from (
+  select run_date, pme, {business_sql('pme')} as pme_b from (
+    select run_date, date_trunc('month', run_date)::date - 1 as pme from {days}))"""
+
+
+reg("month_turn_rule", _turn_sql(_RUN_DATES))
+reg("month_turn_calendar", _turn_sql("""(select cast(unnest(generate_series(lo::timestamp, hi::timestamp,
+  interval 1 day)) as date) as run_date from (select min(cast(o_orderdate as date)) as lo,
+  max(cast(o_orderdate as date)) as hi from orders))"""))
+reg("filter_display_type", "select * from events where event_type = 'purchase'")

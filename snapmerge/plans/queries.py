@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import calendar as CAL
 from ..functions import periods as P
@@ -384,3 +385,238 @@ def contracts_annual(spark, sf):
     stored = SI.contracts_stored(spark, sf, A_MID)
     preview = G.contracts_preview(extract, stored, A_MID)
     return plain(G.contracts_annual(preview, stored, A_MID))
+
+
+# ================================================================== store activity (G-04)
+@query
+def source_this_month(spark, sf):
+    """F-12: vintage equals the run month."""
+    return SI.store_activity(spark, sf).where(P.period_is_current("vintage", A_MID))
+
+
+@query
+def store_activity_merge(spark, sf):
+    """G-04: extract → preview accumulate → official accumulate, classified."""
+    stored = SI.store_activity_stored(spark, sf, A_MID)
+    res = G.store_activity_flow(SI.store_activity(spark, sf), stored, stored, A_MID)
+    return plain(res.targets["official"])
+
+
+# ================================================================== targets (G-05)
+@query
+def row_year(spark, sf):
+    """P-10 / X-02: year of each row from the first four characters of its period."""
+    return R.with_row_year(SI.targets(spark, sf), "period")
+
+
+@query
+def period_yyyymm(spark, sf):
+    """P-09: reference (year, month) and yyyymm of every run date."""
+    d = SI.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("run_date")).distinct()
+    return d.select("run_date", F.year("run_date").alias("ref_year"), F.month("run_date").alias("ref_month"),
+                    P.period_of("run_date").alias("period"))
+
+
+@query
+def source_short_window(spark, sf):
+    """F-14: "this month", or "last 3 days" when the month-turn rule holds — at three run dates."""
+    t = SI.targets(spark, sf)
+    hol = set(SI.TEST_HOLIDAYS)
+    return _run_date_union({d: FL.source_window_period(t, "period", d, hol) for d in (A_MID, A_TURN, A_TURN_BD)})
+
+
+@query
+def route_by_row_year(spark, sf):
+    """S-07: accumulated targets with their routing year (partition column)."""
+    acc = M.accumulate(SI.targets_stored(spark, sf, A_MID), SI.targets(spark, sf), TARGETS.key)
+    return R.with_row_year(acc, "period")
+
+
+@query
+def years_present(spark, sf):
+    """A-07 / O-04: distinct years of the targets table and the latest one."""
+    return R.years_present(R.with_row_year(SI.targets(spark, sf), "period"))
+
+
+@query
+def targets_by_year(spark, sf):
+    """G-05: preview accumulate, then every year present merged into its official table."""
+    stored = SI.targets_stored(spark, sf, A_MID)
+    res = G.targets_flow(SI.targets(spark, sf), stored, stored, A_MID)
+    return plain(res.targets["official"])
+
+
+@query
+def yearly_counts_rollup(spark, sf):
+    """A-08: new / edited / total per routed year plus the all-years line."""
+    return R.yearly_counts(targets_by_year(spark, sf))
+
+
+# ================================================================== portfolio (G-06)
+@query
+def filter_current_period(spark, sf):
+    """F-05: integer period equals the run's yyyymm."""
+    return SI.portfolio(spark, sf).where(P.period_is_current("period", A_MID))
+
+
+@query
+def source_this_year(spark, sf):
+    """F-13: periods of the run year (yyyymm range)."""
+    return SI.portfolio(spark, sf).where(P.period_in_this_year("period", A_MID))
+
+
+@query
+def sort_by_period_stable(spark, sf):
+    """O-02: accumulated portfolio ordered by period, ties in arrival order — with positions."""
+    acc = M.accumulate(SI.portfolio_stored(spark, sf, A_MID), SI.portfolio_extract(spark, sf, A_MID),
+                       PORTFOLIO.key, with_order=True)
+    order = O.stable_sort_keys(["period"], M.LAST_SRC, M.LAST_ORD) + [F.col("store_tax_id").asc(),
+                                                                      F.col("branch").asc()]
+    return plain(O.with_position(acc, order))
+
+
+@query
+def reorder_current_then_legacy(spark, sf):
+    """P-05: accumulated portfolio with the extract's columns first, legacy ones last."""
+    extract = SI.portfolio_extract(spark, sf, A_MID)
+    acc = M.accumulate(SI.portfolio_stored(spark, sf, A_MID), extract, PORTFOLIO.key)
+    return S.reorder_current_then_legacy(acc, extract.columns)
+
+
+@query
+def portfolio_by_year(spark, sf):
+    """G-06: whole extract merged by year into the official tables, classified."""
+    stored = SI.portfolio_stored(spark, sf, A_MID)
+    res = G.portfolio_flow(SI.portfolio_extract(spark, sf, A_MID), stored, stored, A_MID)
+    return plain(res.targets["official"])
+
+
+@query
+def portfolio_preview(spark, sf):
+    """G-06 preview: current month only on both sides (F-05, F-08), keep-last, classified."""
+    stored = SI.portfolio_stored(spark, sf, A_MID)
+    res = G.portfolio_flow(SI.portfolio_extract(spark, sf, A_MID), stored, stored, A_MID)
+    return plain(res.targets["preview"])
+
+
+# ================================================================== commission (G-07, G-08)
+def _commission_batch(spark, sf):
+    return G.commission_batch(SI.commission_raw_headers(spark, sf, A_TURN))
+
+
+@query
+def normalize_headers(spark, sf):
+    """P-03: header whitespace/newlines stripped from the downloaded extract."""
+    return S.normalize_headers(SI.commission_raw_headers(spark, sf, A_TURN))
+
+
+@query
+def drop_footer_rows(spark, sf):
+    """F-06: the report's footer (null contract) removed from the extract."""
+    return FL.drop_footer_rows(SI.commission_extract(spark, sf, A_TURN), COMMISSION.footer_key)
+
+
+@query
+def split_totals_row(spark, sf):
+    """F-07: stored official table split into data rows and its totals row."""
+    data, totals = FL.split_totals(SI.commission_stored(spark, sf, A_TURN), COMMISSION.footer_key)
+    return data.withColumn("part", F.lit("data")).unionByName(totals.withColumn("part", F.lit("totals")))
+
+
+@query
+def harmonize_types(spark, sf):
+    """P-06/P-07: batch columns take the stored table's types (ids stored as text)."""
+    stored = SI.commission_stored(spark, sf, A_TURN)
+    return S.harmonize_types(_commission_batch(spark, sf), stored.schema)
+
+
+@query
+def number_to_text_id(spark, sf):
+    """P-07 / X-04: 14-digit numeric ids and amounts as text without ``.0`` or exponent."""
+    c = SI.commission(spark, sf)
+    as_double = (F.col("master_tax_id") * 1000000000000 + F.col("contract_code")).cast("double")
+    amount_t = c.schema["gross_amount"].dataType
+    return c.select("contract_code", "ord",
+                    X.number_to_text(as_double, DoubleType()).alias("tax_id_text"),
+                    X.number_to_text(F.col("gross_amount"), amount_t).alias("amount_text"))
+
+
+@query
+def nan_to_null(spark, sf):
+    """P-08 / X-05: NaN values become SQL null."""
+    c = SI.commission(spark, sf)
+    raw = F.when(F.col("contract_code") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("rate_pct").cast("double"))
+    t = c.select("contract_code", "ord", raw.alias("rate"))
+    clean = X.nan_to_null(F.col("rate"), DoubleType())
+    return t.select("contract_code", "ord", clean.alias("rate"), clean.isNull().alias("rate_is_null"))
+
+
+@query
+def totals_row(spark, sf):
+    """A-01..A-03: totals of the extract's data rows — sum of money, mean of percents."""
+    return TT.totals_row(_commission_batch(spark, sf))
+
+
+@query
+def totals_row_refresh(spark, sf):
+    """A-04: stored totals dropped, recomputed over the data rows, appended."""
+    return TT.refresh_totals(SI.commission_stored(spark, sf, A_TURN), COMMISSION.footer_key)
+
+
+def _commission_preview(spark, sf):
+    return G.commission_preview(_commission_batch(spark, sf),
+                                SI.commission_stored(spark, sf, A_TURN, with_totals=False))
+
+
+@query
+def commission_preview(spark, sf):
+    """G-07: headers cleaned, footer dropped, aligned, keep-last by key in report order, classified."""
+    return plain(_commission_preview(spark, sf))
+
+
+@query
+def commission_official(spark, sf):
+    """G-08: in-place update + append into the official table, totals recomputed and appended."""
+    off = G.commission_official(_commission_preview(spark, sf), SI.commission_stored(spark, sf, A_TURN))
+    return plain(off)
+
+
+@query
+def schema_drift_report(spark, sf):
+    """P-02: drifted extract vs the keep-list and vs the stored table, with value counts."""
+    batch = (_commission_batch(spark, sf).drop("rate_pct")
+             .withColumn("net_amount", (F.col("gross_amount") * 0.9).cast("decimal(18,2)")))
+    expected = ("contract_code", "period", "master_tax_id", "corban_tax_id", "gross_amount", "rate_pct")
+    stored = SI.commission_stored(spark, sf, A_TURN)
+    return S.schema_drift_report(spark, batch, COMMISSION.dataset_id, expected, stored.columns)
+
+
+# ================================================================== calendar (J-05, D-06, D-07)
+def _run_dates(spark, sf):
+    return SI.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("run_date")).distinct()
+
+
+@query
+def business_days(spark, sf):
+    """J-05: Mon–Fri and not a holiday, for every order date."""
+    return CAL.with_business_day(_run_dates(spark, sf), "run_date", SI.holiday_calendar(spark))
+
+
+@query
+def month_turn_rule(spark, sf):
+    """D-06: short source window on day 1/2 after a non-business month end — per order date."""
+    return CAL.with_month_turn_rule(_run_dates(spark, sf), "run_date", SI.holiday_calendar(spark))
+
+
+@query
+def month_turn_calendar(spark, sf):
+    """D-07: the rule for every calendar day spanned by the orders."""
+    days = CAL.run_dates_between(SI.table(spark, sf, "orders"), "o_orderdate")
+    return CAL.with_month_turn_rule(days, "run_date", SI.holiday_calendar(spark))
+
+
+# ================================================================== events
+@query
+def filter_display_type(spark, sf):
+    """F-15: equality on the display type (pushed to the scan)."""
+    return FL.filter_equals(SI.table(spark, sf, "events"), "event_type", "purchase")

@@ -179,10 +179,10 @@ def commission_extract(spark: SparkSession, sf_dir: str, as_of: dt.date) -> Data
     return rows.unionByName(footer)
 
 
-def commission_stored(spark: SparkSession, sf_dir: str, as_of: dt.date) -> DataFrame:
+def commission_stored(spark: SparkSession, sf_dir: str, as_of: dt.date, with_totals: bool = True) -> DataFrame:
     """The official commission table before the run: all months before the run
-    month, period and tax id stored as text, some amounts differing, and the
-    sheet's old totals row (null key)."""
+    month, period and tax id stored as text, some amounts differing, and (for
+    the official table) the sheet's old totals row (null key)."""
     c = commission(spark, sf_dir).where(F.col("period") < F.lit(P.yyyymm(as_of)))
     data = c.select(
         "contract_code",
@@ -191,6 +191,8 @@ def commission_stored(spark: SparkSession, sf_dir: str, as_of: dt.date) -> DataF
         F.when(F.col("contract_code") % 7 == 0, (F.col("gross_amount") - 100).cast("decimal(18,2)"))
         .otherwise(F.col("gross_amount")).alias("gross_amount"),
         "rate_pct", "ord")
+    if not with_totals:
+        return data
     stale_total = data.agg(F.sum("gross_amount").cast("decimal(18,2)").alias("gross_amount")).select(
         F.lit(None).cast("long").alias("contract_code"), F.lit(None).cast("string").alias("period"),
         F.lit(None).cast("string").alias("master_tax_id"), "gross_amount",
