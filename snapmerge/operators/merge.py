@@ -60,8 +60,12 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 
 def tag(df: DataFrame, src: int, ord_col: str | None = None) -> DataFrame:
-    """Add the source tag and the within-source order used by keep-last."""
-    ord_expr = qcol(ord_col).cast("long") if ord_col else F.lit(0).cast("long")
+    """Add the source tag and the within-source order used by keep-last.
+
+    A side that lacks the order column (e.g. a stored table written before the
+    column existed) gets order 0: the source tag alone decides between sides.
+    """
+    ord_expr = qcol(ord_col).cast("long") if ord_col and ord_col in df.columns else F.lit(0).cast("long")
     return df.withColumn(SRC, F.lit(src)).withColumn(ORD, ord_expr)
 
 

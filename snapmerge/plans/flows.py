@@ -175,7 +175,7 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
     """
     data = _data_only(preview)
     if stored_official is not None:
-        stored_data, _ = FL.split_totals(stored_official, spec.footer_key)
+        stored_data, _ = FL.split_totals(_data_only(stored_official), spec.footer_key)
         if TT.IS_TOTAL in stored_data.columns:
             stored_data = stored_data.drop(TT.IS_TOTAL)
         data = S.align_to_schema(S.harmonize_types(data, stored_data.schema), stored_data.schema)
