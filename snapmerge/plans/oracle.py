@@ -487,3 +487,13 @@ reg("month_turn_calendar", _turn_sql("""(select cast(unnest(generate_series(lo::
   interval 1 day)) as date) as run_date from (select min(cast(o_orderdate as date)) as lo,
   max(cast(o_orderdate as date)) as hi from orders))"""))
 reg("filter_display_type", "select * from events where event_type = 'purchase'")
+
+# ================================================================== sources and streaming
+reg("read_extract", "select *, 'orders.parquet' as extract_file, null::bigint as extract_epoch from orders")
+reg("read_previous_or_empty", "select * from customer")
+reg("stream_accumulate", f"""select * exclude (rn), 'new' as change_type from (
+  select *, row_number() over (partition by contract_code, period order by ord desc,
+    master_tax_id desc nulls last, gross_amount desc nulls last, rate_pct desc nulls last) as rn from (
+    select l_orderkey as contract_code, {period_sql('l_shipdate')} as period, l_suppkey as master_tax_id,
+           cast(l_extendedprice as decimal(18,2)) as gross_amount, cast(l_tax * 100 as decimal(9,4)) as rate_pct,
+           l_linenumber as ord from lineitem)) where rn = 1""")

@@ -25,6 +25,10 @@ from ..operators import order as O
 from ..operators import routing as R
 from ..operators import schema as S
 from ..operators import totals as TT
+from ..session import checkpoint_root
+from ..sources import extract as EX
+from ..sources.store import TableStore
+from ..streaming import stream as ST
 from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS
 from . import flows as G
 from . import standins as SI
@@ -620,3 +624,50 @@ def month_turn_calendar(spark, sf):
 def filter_display_type(spark, sf):
     """F-15: equality on the display type (pushed to the scan)."""
     return FL.filter_equals(SI.table(spark, sf, "events"), "event_type", "purchase")
+
+
+# ================================================================== sources and streaming (S-01, S-02, R-01)
+ORDERS_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                 "o_orderdate timestamp_ntz, o_orderpriority string")
+CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@query
+def read_extract(spark, sf):
+    """S-01: the orders file read through a declared schema, with its landing columns
+    (file name and run epoch; the file-position column is checked in the tests)."""
+    return EX.read_extract(spark, f"{sf.rstrip('/')}/orders.parquet", ORDERS_SCHEMA).drop(EX.ORD)
+
+
+@query
+def read_previous_or_empty(spark, sf):
+    """S-02: an existing stored snapshot is read as is; a missing one is an empty frame."""
+    base = sf.rstrip("/")
+    present = EX.read_or_empty(spark, f"{base}/customer.parquet", CUSTOMER_SCHEMA)
+    missing = EX.read_or_empty(spark, f"{base}/customer_preview_not_written_yet.parquet", CUSTOMER_SCHEMA)
+    return present.unionByName(missing)
+
+
+def _lineitem_as_commission(df):
+    return df.select(F.col("l_orderkey").alias("contract_code"), P.period_of("l_shipdate").alias("period"),
+                     F.col("l_suppkey").alias("master_tax_id"),
+                     F.col("l_extendedprice").cast("decimal(18,2)").alias("gross_amount"),
+                     (F.col("l_tax") * 100).cast("decimal(9,4)").alias("rate_pct"),
+                     F.col("l_linenumber").alias("ord"))
+
+
+@query
+def stream_accumulate(spark, sf):
+    """R-01: an availableNow file stream over the lineitem file, each micro-batch
+    accumulated keep-last by (contract, period) into a versioned table in the
+    cluster's checkpoint folder; returns the accumulated table."""
+    import uuid
+    base = sf.rstrip("/")
+    work = f"{checkpoint_root(spark)}/stream_accumulate/{uuid.uuid4().hex}"
+    store = TableStore(spark, f"{work}/store")
+    schema = spark.read.parquet(f"{base}/lineitem.parquet").schema
+    q = ST.stream_accumulate(spark, f"{base}/lineitem[.]parquet", schema, store, "commission_stream",
+                             list(COMMISSION.key), f"{work}/checkpoint", transform=_lineitem_as_commission,
+                             ord_col="ord")
+    q.awaitTermination()
+    return store.read("commission_stream")

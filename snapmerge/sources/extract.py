@@ -60,6 +60,19 @@ def read_extract(spark: SparkSession, path: str | list[str], schema: T.StructTyp
                      (F.coalesce(epoch, F.lit(0)) * F.lit(ORD_STRIDE)).alias(ORD))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
+    """S-02: a stored snapshot if it exists, else an empty frame with ``schema``."""
+    if path_exists(spark, path):
+        return spark.read.format(fmt).schema(schema).load(path)
+    return spark.createDataFrame([], schema)
+
+
 def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     """S-03: one row per landing file — path, dataset, run epoch and run timestamp.
 

@@ -48,19 +48,24 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
 
 
 def accumulate_batch(store: TableStore, table: str, key: list[str],
-                     transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: keep-last accumulate a micro-batch into ``table``."""
+                     transform: Callable[[DataFrame], DataFrame] | None = None,
+                     ord_col: str = X.ORD) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: keep-last accumulate a micro-batch into ``table``.
+
+    ``ord_col`` orders rows of one key inside the micro-batch (default: run
+    epoch, then file position).
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         version = f"b{batch_id}"
         if store.has_version(table, version):
             return  # replay of an already published micro-batch
         rows = transform(batch) if transform else batch
-        rows = rows.drop(X.FILE, X.EPOCH)
+        rows = rows.drop(*[c for c in (X.FILE, X.EPOCH, X.ORD) if c in rows.columns and c != ord_col])
         stored = store.read(table)
         if stored is not None:
             stored = stored.drop(*[c for c in (M.CHANGE,) if c in stored.columns])
-        merged = M.accumulate_and_classify(stored, rows, key, ord_col=X.ORD, prev_unique=stored is not None)
+        merged = M.accumulate_and_classify(stored, rows, key, ord_col=ord_col, prev_unique=stored is not None)
         store.overwrite(table, merged, version, key=key)
 
     return process
@@ -69,10 +74,13 @@ def accumulate_batch(store: TableStore, table: str, key: list[str],
 def stream_accumulate(spark: SparkSession, landing_dir: str, schema: T.StructType, store: TableStore,
                       table: str, key: list[str], checkpoint: str,
                       transform: Callable[[DataFrame], DataFrame] | None = None,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the availableNow stream; the caller ``awaitTermination()``s it."""
+                      max_files_per_trigger: int | None = None, ord_col: str = X.ORD) -> StreamingQuery:
+    """Start the availableNow stream; the caller ``awaitTermination()``s it.
+
+    ``landing_dir`` is a folder or a glob of files (e.g. ``.../commission_*.parquet``).
+    """
     src = landing_stream(spark, landing_dir, schema, max_files_per_trigger)
-    return (src.writeStream.foreachBatch(accumulate_batch(store, table, key, transform))
+    return (src.writeStream.foreachBatch(accumulate_batch(store, table, key, transform, ord_col))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
