@@ -186,10 +186,17 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
 
 
 def with_totals_and_order(merged: DataFrame) -> DataFrame:
-    """A-04 over the merged rows; bookkeeping columns are left out of the sums."""
+    """A-04 over the merged rows; bookkeeping columns are left out of the sums.
+
+    The totals branch filters on ``seen_src`` (derived from the previous-row
+    aggregate, never null for a merged row).  That keeps the totals branch's
+    plan below the shuffle identical to the rows branch, so Spark reuses the
+    merge's exchange instead of running the merge a second time.
+    """
     meta = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
     data_cols = [c for c in merged.columns if c not in meta]
-    tot = TT.totals_row(merged.select(*data_cols))
+    basis = merged.where(F.col(M.SEEN_SRC).isNotNull()) if M.SEEN_SRC in merged.columns else merged
+    tot = TT.totals_row(basis.select(*data_cols))
     types = dict(tot.dtypes)
     rows = merged.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in merged.columns]
                          ).withColumn(TT.IS_TOTAL, F.lit(False))

@@ -92,14 +92,19 @@ def equal_expr(cols: list[str], floats: set[str], a: str = "l", b: str = "p") ->
 
 
 def merge_ctes(prev: str, batch: str, keys: list[str], cols: list[str], ord_col: str | None = None,
-               prefix: str = "m") -> list[str]:
-    """CTEs ``{prefix}_last`` (keep-last rows + src/ord) and ``{prefix}_prev`` (last previous row)."""
+               prefix: str = "m", tiebreak: tuple[str, ...] = ()) -> list[str]:
+    """CTEs ``{prefix}_last`` (keep-last rows + src/ord) and ``{prefix}_prev`` (last previous row).
+
+    ``tiebreak``: value columns, in table order, that decide between rows with
+    equal (src, ord) — larger wins, null smallest.
+    """
     o = ord_col if ord_col else "0"
+    order = "src desc, _o desc" + "".join(f", {c} desc nulls last" for c in tiebreak)
     u = (f"select *, 0 as src, {o} as _o from {prev} "
          f"union all by name select *, 1 as src, {o} as _o from {batch}")
     return [
-        keep_last_cte(f"{prefix}_last", u, keys),
-        keep_last_cte(f"{prefix}_prev", f"select *, 0 as src, {o} as _o, true as present from {prev}", keys),
+        keep_last_cte(f"{prefix}_last", u, keys, order),
+        keep_last_cte(f"{prefix}_prev", f"select *, 0 as src, {o} as _o, true as present from {prev}", keys, order),
     ]
 
 
@@ -323,8 +328,7 @@ P_COLS = ["store_tax_id", "branch", "period", "segment", "balance", "legacy_flag
 COMMISSION = f"""commission as (
   select l_orderkey as contract_code, {period_sql('l_shipdate')} as period, l_suppkey as master_tax_id,
          cast(l_extendedprice as decimal(18,2)) as gross_amount, cast(l_tax * 100 as decimal(9,4)) as rate_pct,
-         cast(row_number() over (partition by l_orderkey order by l_linenumber, l_shipdate, l_partkey,
-                                 l_suppkey, l_extendedprice, l_quantity) as integer) as ord
+         l_linenumber as ord
   from lineitem)"""
 # A_TURN is day 1 after a Saturday month end: the source window is the last 3 days (June and July).
 COMMISSION_EXTRACT = f"""cx as (
@@ -423,7 +427,9 @@ reg("split_totals_row", with_(COMMISSION, COMMISSION_STORED) +
     "select *, case when contract_code is null then 'totals' else 'data' end as part from cs")
 reg("harmonize_types", with_(COMMISSION, COMMISSION_EXTRACT, C_BATCH) + "select * from cb")
 reg("dedup_keep_last", with_(COMMISSION) + """select * exclude (rn) from (
-  select *, row_number() over (partition by contract_code order by ord desc) as rn from commission) where rn = 1""")
+  select *, row_number() over (partition by contract_code order by ord desc, period desc nulls last,
+    master_tax_id desc nulls last, gross_amount desc nulls last, rate_pct desc nulls last) as rn
+  from commission) where rn = 1""")
 reg("number_to_text_id", with_(COMMISSION) + """select contract_code, ord,
   cast(cast(cast(master_tax_id * 1000000000000 + contract_code as double) as decimal(38,0)) as varchar) as tax_id_text,
   case when gross_amount = floor(gross_amount) then cast(cast(floor(gross_amount) as decimal(38,0)) as varchar)
@@ -444,14 +450,15 @@ reg("totals_row_refresh", with_(COMMISSION, COMMISSION_STORED, "sd as (select *
 union all
 select null, null, null, coalesce(cast(sum(gross_amount) as decimal(28,2)), 0),
   cast(sum(rate_pct) as double) / count(rate_pct), null, true from sd""")
+C_TIE = ("master_tax_id", "gross_amount", "rate_pct")
 _C_PREVIEW = [COMMISSION, COMMISSION_EXTRACT, COMMISSION_STORED, C_BATCH,
-              *merge_ctes("cs_data", "cb", C_KEYS, C_COLS, ord_col="ord", prefix="pv")]
+              *merge_ctes("cs_data", "cb", C_KEYS, C_COLS, ord_col="ord", prefix="pv", tiebreak=C_TIE)]
 reg("commission_preview", with_(*_C_PREVIEW) +
     classified_select(C_KEYS, C_COLS, C_DEC, prefix="pv", exclude_compare=("ord",)))
 reg("commission_official", with_(
     *_C_PREVIEW, "preview as (select " + ", ".join(C_COLS) + " from pv_last)",
     "sd as (select * from cs where contract_code is not null)",
-    *merge_ctes("sd", "preview", C_KEYS, C_COLS, ord_col="ord", prefix="o"),
+    *merge_ctes("sd", "preview", C_KEYS, C_COLS, ord_col="ord", prefix="o", tiebreak=C_TIE),
     "cl as (" + classified_select(C_KEYS, C_COLS, C_DEC, prefix="o", exclude_compare=("ord",)) + ")") +
     """select contract_code, period, master_tax_id, cast(gross_amount as decimal(28,2)) as gross_amount,
   cast(rate_pct as double) as rate_pct, ord, change_type, false as is_total from cl

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
@@ -154,17 +154,19 @@ def portfolio_stored(spark: SparkSession, sf_dir: str, as_of: dt.date) -> DataFr
 
 # ------------------------------------------------------------------ commission
 def commission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commission lines; ``ord`` is the line's position inside its contract in the report."""
+    """Commission lines; ``ord`` is the line's position inside its contract in the report.
+
+    Positions may repeat inside a contract; keep-last then breaks the tie on
+    the row content (deterministically).
+    """
     li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
-                                                 "l_extendedprice", "l_quantity")
     return li.select(
         F.col("l_orderkey").alias("contract_code"),
         P.period_of("l_shipdate").alias("period"),
         F.col("l_suppkey").alias("master_tax_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("gross_amount"),
         (F.col("l_tax") * 100).cast("decimal(9,4)").alias("rate_pct"),
-        F.row_number().over(w).alias("ord"),
+        F.col("l_linenumber").alias("ord"),
     )
 
 
