@@ -44,9 +44,7 @@ def _rows(pdf):
                   key=lambda r: tuple((x is None, x or "") for x in r))
 
 
-@pytest.mark.parametrize("key", ["contracts_quarter", "contracts_annual", "commission_official",
-                                 "targets_by_year", "portfolio_by_year", "store_activity_merge",
-                                 "month_turn_rule", "totals_row_refresh"])
+@pytest.mark.parametrize("key", sorted(E.queries()))
 def test_oracle_matches_on_sf0001(spark, duck, key):
     sdf = E.queries()[key](spark, SF_SMALL).toPandas()
     ddf = duck.sql(E.oracle_sql()[key]).to_arrow_table().to_pandas(date_as_object=True)
