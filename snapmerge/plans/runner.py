@@ -29,6 +29,7 @@ from ..operators.audit import audit_row
 from ..operators.routing import YEAR
 from ..operators.totals import IS_TOTAL
 from ..sources.store import TableStore
+from ..functions.periods import row_year
 from ..specs import get_spec
 from . import flows as G
 
@@ -79,14 +80,31 @@ def strip_bookkeeping(df: DataFrame | None, partition_col: str | None = None) ->
     return df.drop(*drop)
 
 
-def _stored(store: TableStore, dataset: str, name: str, as_of: dt.date) -> DataFrame | None:
+def _stored(store: TableStore, dataset: str, name: str, as_of: dt.date,
+            years: list[int] | None = None) -> DataFrame | None:
+    """Stored rows a flow can touch: only the run year (S-08) or only the years
+    present in the batch (S-07) are opened; other year folders are never read."""
     t = TARGETS[dataset][name]
-    df = store.read(t.table)
-    if df is not None and t.run_year_only:
-        df = df.where(F.col(YEAR) == F.lit(as_of.year))
+    if t.run_year_only:
+        years = [as_of.year]
+    df = store.read(t.table, partitions=[str(y) for y in years] if years is not None else None)
     return strip_bookkeeping(df, t.partition_col)
 
 
+def years_in(*frames: DataFrame | None, period_col: str) -> list[int]:
+    """Distinct routing years of some frames, collected to the driver.
+
+    The result is bounded by the calendar (a year is four digits, so at most
+    10^4 values) — never by the data volume.
+    """
+    years: set[int] = set()
+    for df in frames:
+        if df is not None and period_col in df.columns:
+            rows = df.select(row_year(period_col).alias("y")).where(F.col("y").isNotNull()).distinct().collect()
+            years.update(r.y for r in rows)
+    return sorted(years)
+
+
 def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date) -> G.FlowResult:
     """G-09: dispatch by dataset; unknown datasets are an error."""
     s = lambda name: _stored(store, dataset, name, as_of)
@@ -97,9 +115,14 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     if dataset == "dias_sem_producao":
         return G.store_activity_flow(extract, s("preview"), s("official"), as_of, prev_unique=True)
     if dataset == "meta_financiamento_seguro":
-        return G.targets_flow(extract, s("preview"), s("official"), as_of, prev_unique=True)
+        preview = s("preview")
+        years = years_in(preview, extract, period_col=spec_period(dataset))
+        official = _stored(store, dataset, "official", as_of, years)
+        return G.targets_flow(extract, preview, official, as_of, prev_unique=True)
     if dataset == "carteira_parceiros":
-        return G.portfolio_flow(extract, s("preview"), s("official"), as_of, prev_unique=True)
+        years = years_in(extract, period_col=spec_period(dataset))
+        official = _stored(store, dataset, "official", as_of, years)
+        return G.portfolio_flow(extract, s("preview"), official, as_of, prev_unique=True)
     if dataset == "comissao_a_vista":
         batch = G.commission_batch(extract)
         preview = G.commission_preview(batch, s("preview"))
@@ -108,6 +131,10 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     raise ValueError(f"dataset {dataset!r} has no flow")
 
 
+def spec_period(dataset: str) -> str:
+    return get_spec(dataset).period_col
+
+
 @dataclass
 class RunReport:
     dataset: str

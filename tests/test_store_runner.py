@@ -128,3 +128,23 @@ def test_classify_labels_survive_store_roundtrip(spark, workdir):
     # the stored run is the accumulated one, with its own day of labels
     assert store.latest_commit("store_activity_official").version == "r1"
     assert dt.date(2001, 1, 1) < AS_OF
+
+
+def test_year_routed_run_reads_only_years_present(spark, workdir):
+    store = TableStore(spark, workdir)
+    t = SI.targets(spark, SF_SMALL)
+    RN.run_dataset(spark, store, "meta_financiamento_seguro", t, AS_OF, "r1")
+    first = store.latest_commit("targets_official").parts
+    assert len(first) > 2
+    only_2001 = t.where("period >= 200101").withColumn("production", F.col("production") + 1)
+    # the preview still holds every year, so every year is routed again ...
+    r2 = RN.run_dataset(spark, store, "meta_financiamento_seguro", only_2001, AS_OF, "r2")
+    assert r2.edited_rows > 0
+    # ... while a portfolio extract of one year opens and rewrites that year only
+    p = SI.portfolio_extract(spark, SF_SMALL, AS_OF)
+    RN.run_dataset(spark, store, "carteira_parceiros", SI.portfolio(spark, SF_SMALL), AS_OF, "p1")
+    before = store.latest_commit("portfolio_official").parts
+    RN.run_dataset(spark, store, "carteira_parceiros", p.withColumn("balance", F.col("balance") + 1), AS_OF, "p2")
+    after = store.latest_commit("portfolio_official").parts
+    assert {k for k in after if after[k] != before[k]} == {"2001"}
+    assert RN.years_in(p, period_col="period") == [2001]
