@@ -5,8 +5,9 @@ Core plan — one shuffle on the key
 Previous rows are tagged ``src = 0`` and batch rows ``src = 1``; both are
 unioned by name and grouped by the key::
 
-    groupBy(key).agg(max(struct(src, ord, *cols))            -- newest row (keep-last)
+    groupBy(key).agg(max(when(src = 1, struct(src, ord, *cols)))   -- newest batch row
                      max(when(src = 0, struct(src, ord, *cols))))  -- newest previous row
+    keep-last = coalesce(newest batch row, newest previous row)
 
 ``max`` of a struct compares field by field, so ``(src, ord)`` decides which
 row is "last" and the remaining fields only break exact ties.  That makes the
@@ -46,6 +47,7 @@ SRC = "_sm_src"
 ORD = "_sm_ord"
 LAST = "_sm_last"
 PREV = "_sm_prev"
+_BATCH_LAST = "_sm_batch_last"
 CHANGE = "change_type"
 NEW, EDITED, UNCHANGED = "new", "edited", "unchanged"
 
@@ -84,17 +86,26 @@ def _packed(value_cols: Sequence[str]) -> Column:
 
 
 def _collapse(tagged: DataFrame, keys: list[str], with_prev: bool) -> DataFrame:
-    """Group a tagged union by key; keep the newest row (and newest previous row)."""
+    """Group a tagged union by key; keep the newest row (and newest previous row).
+
+    With ``with_prev`` the batch side and the previous side are aggregated into
+    separate buffers, and keep-last is ``coalesce(batch_last, prev_last)`` —
+    equal to ``max`` over both because every batch row outranks every previous
+    row (``src`` 1 > 0).  Each input row then feeds exactly one buffer, so a
+    stored row is shuffled once, not twice.
+    """
     cols = _data_columns(tagged)
     missing = [k for k in keys if k not in cols]
     if missing:
         raise ValueError(f"key columns not found: {missing}")
     vals = [c for c in cols if c not in keys]
     packed = _packed(vals)
-    aggs = [F.max(packed).alias(LAST)]
-    if with_prev:
-        aggs.append(F.max(F.when(F.col(SRC) == 0, packed)).alias(PREV))
-    return tagged.groupBy(*[qcol(k) for k in keys]).agg(*aggs)
+    key_cols = [qcol(k) for k in keys]
+    if not with_prev:
+        return tagged.groupBy(*key_cols).agg(F.max(packed).alias(LAST))
+    g = tagged.groupBy(*key_cols).agg(F.max(F.when(F.col(SRC) == 1, packed)).alias(_BATCH_LAST),
+                                      F.max(F.when(F.col(SRC) == 0, packed)).alias(PREV))
+    return g.select(*key_cols, F.coalesce(F.col(_BATCH_LAST), F.col(PREV)).alias(LAST), F.col(PREV))
 
 
 def _unpack(grouped: DataFrame, cols: Sequence[str], keys: list[str]) -> list[Column]:
