@@ -45,12 +45,12 @@ def contracts_batch(extract: DataFrame, as_of: dt.date, spec: DatasetSpec = CONT
 
 
 def contracts_preview(extract: DataFrame, stored_preview: DataFrame | None, as_of: dt.date,
-                      spec: DatasetSpec = CONTRACTS) -> DataFrame:
+                      spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-01: purge the stored preview to the month (F-08), merge the batch
     keep-last by key (U-05), classify against the purged preview (Q-13)."""
     batch = contracts_batch(extract, as_of, spec)
     prev = FL.purge_stale_preview(stored_preview, spec.date_col, as_of) if stored_preview is not None else None
-    return M.accumulate_and_classify(prev, batch, spec.key, with_order=True)
+    return M.accumulate_and_classify(prev, batch, spec.key, with_order=True, prev_unique=prev_unique)
 
 
 def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_of: dt.date,
@@ -77,7 +77,7 @@ def _data_only(df: DataFrame) -> DataFrame:
 
 def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_annual,
                    as_of: dt.date, prev_unique: bool = False) -> FlowResult:
-    preview = contracts_preview(extract, stored_preview, as_of)
+    preview = contracts_preview(extract, stored_preview, as_of, prev_unique=prev_unique)
     return FlowResult(extract, {
         "preview": preview,
         "quarter": contracts_quarter(preview, stored_quarter, as_of, prev_unique=prev_unique),
@@ -156,16 +156,17 @@ def commission_batch(raw_extract: DataFrame, spec: DatasetSpec = COMMISSION) ->
 
 
 def commission_preview(batch: DataFrame, stored_preview: DataFrame | None,
-                       spec: DatasetSpec = COMMISSION) -> DataFrame:
+                       spec: DatasetSpec = COMMISSION, prev_unique: bool = False) -> DataFrame:
     """G-07: align the batch to the stored preview (P-04), keep-last by key with
     the report position as order (W-02), classify (J-01)."""
     if stored_preview is not None:
         batch = S.align_to_schema(S.harmonize_types(batch, stored_preview.schema), stored_preview.schema)
-    return M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True)
+    return M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
+                                     prev_unique=prev_unique)
 
 
 def commission_official(preview: DataFrame, stored_official: DataFrame | None,
-                        spec: DatasetSpec = COMMISSION) -> DataFrame:
+                        spec: DatasetSpec = COMMISSION, prev_unique: bool = False) -> DataFrame:
     """G-08: drop the stored totals row (F-07), give the preview the stored
     types (P-06/P-07) and columns (P-04), update changed rows in place and
     append unseen keys (J-03), then append a recomputed totals row (A-04).
@@ -181,7 +182,8 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
         data = S.align_to_schema(S.harmonize_types(data, stored_data.schema), stored_data.schema)
     else:
         stored_data = None
-    merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, with_order=True)
+    merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, with_order=True,
+                                       prev_unique=prev_unique)
     return with_totals_and_order(merged)
 
 

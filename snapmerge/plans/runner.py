@@ -125,8 +125,9 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
         return G.portfolio_flow(extract, s("preview"), official, as_of, prev_unique=True)
     if dataset == "comissao_a_vista":
         batch = G.commission_batch(extract)
-        preview = G.commission_preview(batch, s("preview"))
-        official = G.commission_official(preview, strip_bookkeeping(store.read(TARGETS[dataset]["official"].table)))
+        preview = G.commission_preview(batch, s("preview"), prev_unique=True)
+        official = G.commission_official(preview, strip_bookkeeping(store.read(TARGETS[dataset]["official"].table)),
+                                         prev_unique=True)
         return G.FlowResult(batch, {"preview": preview, "official": official}, primary="official")
     raise ValueError(f"dataset {dataset!r} has no flow")
 
