@@ -56,6 +56,11 @@ NEW, EDITED, UNCHANGED = "new", "edited", "unchanged"
 LAST_SRC, LAST_ORD = "last_src", "last_ord"
 SEEN_SRC, SEEN_ORD = "seen_src", "seen_ord"
 
+# Persistent first-seen stamps (O-03 across runs): when present in the stored
+# table they are always taken from the previous row and never compared.
+STAMP_RUN, STAMP_ORD = "first_seen_run", "first_seen_ord"
+STAMPS = (STAMP_RUN, STAMP_ORD)
+
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -108,8 +113,17 @@ def _collapse(tagged: DataFrame, keys: list[str], with_prev: bool) -> DataFrame:
     return g.select(*key_cols, F.coalesce(F.col(_BATCH_LAST), F.col(PREV)).alias(LAST), F.col(PREV))
 
 
-def _unpack(grouped: DataFrame, cols: Sequence[str], keys: list[str]) -> list[Column]:
-    return [qcol(c) if c in keys else F.col(LAST).getField(c).alias(c) for c in cols]
+def _unpack(grouped: DataFrame, cols: Sequence[str], keys: list[str],
+            keep_from_prev: Sequence[str] = ()) -> list[Column]:
+    out = []
+    for c in cols:
+        if c in keys:
+            out.append(qcol(c))
+        elif c in keep_from_prev:
+            out.append(F.coalesce(F.col(PREV).getField(c), F.col(LAST).getField(c)).alias(c))
+        else:
+            out.append(F.col(LAST).getField(c).alias(c))
+    return out
 
 
 def _compare_fields(tagged: DataFrame, keys: list[str], exclude: Sequence[str]) -> list[tuple[str, T.DataType]]:
@@ -163,25 +177,31 @@ def accumulate(prev: DataFrame | None, batch: DataFrame, keys: str | Sequence[st
 def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str | Sequence[str],
                             ord_col: str | None = None, compare_exclude: Sequence[str] = (),
                             with_order: bool = False, classify: bool = True,
-                            prev_unique: bool = False, strategy: str = "auto") -> DataFrame:
+                            prev_unique: bool = False, strategy: str = "auto",
+                            keep_from_prev: Sequence[str] = ()) -> DataFrame:
     """U-04 (+ J-01, J-06, U-09): accumulated table with a fresh ``change_type``.
 
     ``strategy``: ``"shuffle"`` always uses the single-aggregate plan;
     ``"auto"`` switches to the touched-only plan when ``prev_unique`` is true
     and the batch's distinct keys are proven small enough to broadcast.
+    ``keep_from_prev``: columns that keep the previous row's value whenever the
+    key existed (e.g. columns the batch no longer carries, Q-06); they are not
+    compared.  The first-seen stamps (:data:`STAMPS`) always behave this way.
     """
     keys = _keys(keys)
-    exclude = list(compare_exclude) + ([ord_col] if ord_col else [])
     if prev is None:
         prev = batch.limit(0)
+    present = set(prev.columns) | set(batch.columns)
+    keep = list(keep_from_prev) + [s for s in STAMPS if s in present and s not in keep_from_prev]
+    exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + keep
     if prev_unique and strategy == "auto":
         batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
         if fits_broadcast(batch_keys):
-            return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify)
+            return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep)
     tagged = union_by_name(tag(prev, 0, ord_col), tag(batch, 1, ord_col))
     cols = _data_columns(tagged)
     g = _collapse(tagged, keys, with_prev=True)
-    out = _unpack(g, cols, keys)
+    out = _unpack(g, cols, keys, keep)
     if classify:
         out.append(_change_type(_compare_fields(tagged, keys, exclude)).alias(CHANGE))
     if with_order:
@@ -196,7 +216,7 @@ def _null_safe_on(left: DataFrame, right_prefix: str, keys: list[str]) -> Column
 
 def _touched_only(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str],
                   ord_col: str | None, exclude: list[str], with_order: bool,
-                  classify: bool) -> DataFrame:
+                  classify: bool, keep: Sequence[str] = ()) -> DataFrame:
     prefix = "_sm_bk_"
     bk = F.broadcast(batch_keys.select(*[qcol(k).alias(prefix + k) for k in keys]))
     on = _null_safe_on(prev, prefix, keys)
@@ -205,7 +225,7 @@ def _touched_only(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys
     tagged = union_by_name(tag(touched, 0, ord_col), tag(batch, 1, ord_col))
     cols = _data_columns(tagged)
     g = _collapse(tagged, keys, with_prev=True)
-    out = _unpack(g, cols, keys)
+    out = _unpack(g, cols, keys, keep)
     if classify:
         out.append(_change_type(_compare_fields(tagged, keys, exclude)).alias(CHANGE))
     if with_order:
@@ -218,7 +238,7 @@ def _touched_only(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys
     if classify:
         rest = rest.withColumn(CHANGE, F.lit(UNCHANGED))
     if with_order:
-        o = qcol(ord_col).cast("long") if ord_col else F.lit(0).cast("long")
+        o = qcol(ord_col).cast("long") if ord_col and ord_col in untouched.columns else F.lit(0).cast("long")
         rest = (rest.withColumn(LAST_SRC, F.lit(0)).withColumn(LAST_ORD, o)
                 .withColumn(SEEN_SRC, F.lit(0)).withColumn(SEEN_ORD, o))
     return merged.unionByName(rest.select(*merged.columns))

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import periods as P
 from ..operators import filters as FL
@@ -71,7 +72,10 @@ def contracts_annual(preview: DataFrame, stored_annual: DataFrame | None, as_of:
 
 
 def _data_only(df: DataFrame) -> DataFrame:
-    drop = [c for c in (M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD, "year") if c in df.columns]
+    """A flow output as the next target's input: labels, order columns, the
+    routing column and the previous target's first-seen stamps removed."""
+    drop = [c for c in (M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD, "year", *M.STAMPS)
+            if c in df.columns]
     return df.drop(*drop)
 
 
@@ -166,24 +170,33 @@ def commission_preview(batch: DataFrame, stored_preview: DataFrame | None,
 
 
 def commission_official(preview: DataFrame, stored_official: DataFrame | None,
-                        spec: DatasetSpec = COMMISSION, prev_unique: bool = False) -> DataFrame:
+                        spec: DatasetSpec = COMMISSION, prev_unique: bool = False,
+                        keep_absent: bool = False) -> DataFrame:
     """G-08: drop the stored totals row (F-07), give the preview the stored
     types (P-06/P-07) and columns (P-04), update changed rows in place and
     append unseen keys (J-03), then append a recomputed totals row (A-04).
 
     Rows carry ``seen_src/seen_ord`` — existing rows keep their place, new rows
     follow in report order (O-03); the totals row sorts last (``is_total``).
+    A column the preview no longer carries becomes null, as the reference's
+    re-alignment does (Q-06); ``keep_absent=True`` keeps the stored value instead.
     """
     data = _data_only(preview)
+    absent: list[str] = []
     if stored_official is not None:
-        stored_data, _ = FL.split_totals(_data_only(stored_official), spec.footer_key)
+        stored_data, _ = FL.split_totals(stored_official.drop(*[c for c in (M.CHANGE,) if c in stored_official.columns]),
+                                         spec.footer_key)
         if TT.IS_TOTAL in stored_data.columns:
             stored_data = stored_data.drop(TT.IS_TOTAL)
-        data = S.align_to_schema(S.harmonize_types(data, stored_data.schema), stored_data.schema)
+        if keep_absent:
+            absent = [c for c in stored_data.columns
+                      if c not in data.columns and c not in spec.key and c not in M.STAMPS]
+        target = T.StructType([f for f in stored_data.schema.fields if f.name not in M.STAMPS])
+        data = S.align_to_schema(S.harmonize_types(data, target), target)
     else:
         stored_data = None
     merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, with_order=True,
-                                       prev_unique=prev_unique)
+                                       prev_unique=prev_unique, keep_from_prev=absent)
     return with_totals_and_order(merged)
 
 
@@ -195,7 +208,7 @@ def with_totals_and_order(merged: DataFrame) -> DataFrame:
     plan below the shuffle identical to the rows branch, so Spark reuses the
     merge's exchange instead of running the merge a second time.
     """
-    meta = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
+    meta = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD, *M.STAMPS]
     data_cols = [c for c in merged.columns if c not in meta]
     basis = merged.where(F.col(M.SEEN_SRC).isNotNull()) if M.SEEN_SRC in merged.columns else merged
     tot = TT.totals_row(basis.select(*data_cols))

@@ -51,15 +51,15 @@ TARGETS: dict[str, dict[str, Target]] = {
         "preview": Target("contracts_preview", sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
         "quarter": Target("contracts_quarter", YEAR, run_year_only=True,
                           sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
-        "annual": Target("contracts_annual", YEAR, run_year_only=True, sort_within=[M.SEEN_SRC, M.SEEN_ORD]),
+        "annual": Target("contracts_annual", YEAR, run_year_only=True, sort_within=list(M.STAMPS)),
     },
     "dias_sem_producao": {
         "preview": Target("store_activity_preview"),
-        "official": Target("store_activity_official", sort_within=[M.SEEN_SRC, M.SEEN_ORD]),
+        "official": Target("store_activity_official", sort_within=list(M.STAMPS)),
     },
     "meta_financiamento_seguro": {
         "preview": Target("targets_preview"),
-        "official": Target("targets_official", YEAR, sort_within=[M.SEEN_SRC, M.SEEN_ORD]),
+        "official": Target("targets_official", YEAR, sort_within=list(M.STAMPS)),
     },
     "carteira_parceiros": {
         "preview": Target("portfolio_preview", sort_within=["period", M.LAST_SRC, M.LAST_ORD]),
@@ -67,7 +67,7 @@ TARGETS: dict[str, dict[str, Target]] = {
     },
     "comissao_a_vista": {
         "preview": Target("commission_preview"),
-        "official": Target("commission_official", sort_within=[IS_TOTAL, M.SEEN_SRC, M.SEEN_ORD]),
+        "official": Target("commission_official", sort_within=[IS_TOTAL, *M.STAMPS]),
     },
 }
 
@@ -132,6 +132,18 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     raise ValueError(f"dataset {dataset!r} has no flow")
 
 
+def with_first_seen(df: DataFrame, run_seq: int) -> DataFrame:
+    """O-03 across runs: a row keeps the (run, position) at which its key was
+    first stored; rows seen for the first time get this run's stamp and their
+    position in this run (existing rows first, then new ones in report order)."""
+    if M.SEEN_ORD not in df.columns:
+        return df
+    run = F.col(M.STAMP_RUN) if M.STAMP_RUN in df.columns else F.lit(None).cast("long")
+    pos = F.col(M.STAMP_ORD) if M.STAMP_ORD in df.columns else F.lit(None).cast("long")
+    return (df.withColumn(M.STAMP_RUN, F.coalesce(run, F.lit(run_seq).cast("long")))
+              .withColumn(M.STAMP_ORD, F.coalesce(pos, F.col(M.SEEN_ORD).cast("long"))))
+
+
 def spec_period(dataset: str) -> str:
     return get_spec(dataset).period_col
 
@@ -161,8 +173,10 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
         flow = build_flow(store, dataset, extract, as_of)
         rows_read = flow.extract.count()
         commits, metrics = {}, {}
+        run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
         for name, df in flow.targets.items():
             t = TARGETS[dataset][name]
+            df = with_first_seen(df, run_seq)
             obs = Observation(f"{dataset}_{name}_{run_id}")
             ct = F.col(M.CHANGE)
             observed = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),

@@ -148,3 +148,33 @@ def test_year_routed_run_reads_only_years_present(spark, workdir):
     after = store.latest_commit("portfolio_official").parts
     assert {k for k in after if after[k] != before[k]} == {"2001"}
     assert RN.years_in(p, period_col="period") == [2001]
+
+
+def test_append_order_persists_across_runs(spark, workdir):
+    store = TableStore(spark, workdir)
+    s1 = SI.store_activity(spark, SF_SMALL).where("vintage < 200001")
+    RN.run_dataset(spark, store, "dias_sem_producao", s1, AS_OF, "r1",
+                   run_ts=dt.datetime(2001, 7, 1, 6))
+    first = {(r.store_id, r.vintage): (r.first_seen_run, r.first_seen_ord)
+             for r in store.read("store_activity_official").collect()}
+    s2 = SI.store_activity(spark, SF_SMALL).withColumn("financed_count", F.col("financed_count") + 1)
+    RN.run_dataset(spark, store, "dias_sem_producao", s2, AS_OF, "r2", run_ts=dt.datetime(2001, 7, 2, 6))
+    after = store.read("store_activity_official").collect()
+    stamps = {(r.store_id, r.vintage): (r.first_seen_run, r.first_seen_ord) for r in after}
+    # existing rows keep their first stamp, new rows come after them
+    assert all(stamps[k] == v for k, v in first.items())
+    new_runs = {v[0] for k, v in stamps.items() if k not in first}
+    assert new_runs and min(new_runs) > max(v[0] for v in first.values())
+    assert {r.change_type for r in after if (r.store_id, r.vintage) in first} == {"edited"}
+
+
+def test_keep_absent_keeps_stored_value(spark):
+    from snapmerge.plans import flows as G
+    stored = spark.createDataFrame([(1, "200101", "a", 10.0, 1), (None, None, None, 10.0, None)],
+                                   "contract_code long, period string, note string, gross_amount double, ord int")
+    preview = spark.createDataFrame([(1, "200101", 11.0, 1)],
+                                    "contract_code long, period string, gross_amount double, ord int")
+    kept = G.commission_official(preview, stored, keep_absent=True).where("not is_total").first()
+    nulled = G.commission_official(preview, stored).where("not is_total").first()
+    assert kept["note"] == "a" and nulled["note"] is None
+    assert kept["change_type"] == "edited"
