@@ -41,7 +41,7 @@ def contracts_batch(extract: DataFrame, as_of: dt.date, spec: DatasetSpec = CONT
     """F-01 → P-01 → F-03: paid rows, configured columns, current month (+ carry-over)."""
     col, value = spec.status_filter
     paid = FL.filter_equals(extract, col, value)
-    kept = S.select_configured(paid, spec.keep_columns)
+    kept = S.select_configured(paid, _keep(spec))
     return kept.where(P.in_month_with_carryover(spec.date_col, as_of))
 
 
@@ -51,14 +51,14 @@ def contracts_preview(extract: DataFrame, stored_preview: DataFrame | None, as_o
     keep-last by key (U-05), classify against the purged preview (Q-13)."""
     batch = contracts_batch(extract, as_of, spec)
     prev = FL.purge_stale_preview(stored_preview, spec.date_col, as_of) if stored_preview is not None else None
-    return M.accumulate_and_classify(prev, batch, spec.key, with_order=True, prev_unique=prev_unique)
+    return M.accumulate_and_classify(prev, batch, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
 
 
 def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_of: dt.date,
                       spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-02: merge the preview into the rolling table (U-02), keep 90 days (F-04),
     classify against the stored table (J-01), route by run year (S-08)."""
-    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, with_order=True,
+    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
                                        prev_unique=prev_unique)
     return with_run_year(merged.where(P.within_rolling_days(spec.date_col, as_of)), as_of)
 
@@ -66,11 +66,17 @@ def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_o
 def contracts_annual(preview: DataFrame, stored_annual: DataFrame | None, as_of: dt.date,
                      spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-03: merge the preview into the permanent table — nothing ever leaves it."""
-    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, with_order=True,
+    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
                                        prev_unique=prev_unique)
     return with_run_year(merged, as_of)
 
 
+def _keep(spec: DatasetSpec) -> tuple[str, ...]:
+    """Configured columns plus the extract's order column, when the spec has one."""
+    keep = tuple(spec.keep_columns)
+    return keep + ((spec.ord_col,) if spec.ord_col and spec.ord_col not in keep else ())
+
+
 def _data_only(df: DataFrame) -> DataFrame:
     """A flow output as the next target's input: labels, order columns, the
     routing column and the previous target's first-seen stamps removed."""
@@ -80,12 +86,12 @@ def _data_only(df: DataFrame) -> DataFrame:
 
 
 def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_annual,
-                   as_of: dt.date, prev_unique: bool = False) -> FlowResult:
-    preview = contracts_preview(extract, stored_preview, as_of, prev_unique=prev_unique)
+                   as_of: dt.date, prev_unique: bool = False, spec: DatasetSpec = CONTRACTS) -> FlowResult:
+    preview = contracts_preview(extract, stored_preview, as_of, spec, prev_unique=prev_unique)
     return FlowResult(extract, {
         "preview": preview,
-        "quarter": contracts_quarter(preview, stored_quarter, as_of, prev_unique=prev_unique),
-        "annual": contracts_annual(preview, stored_annual, as_of, prev_unique=prev_unique),
+        "quarter": contracts_quarter(preview, stored_quarter, as_of, spec, prev_unique=prev_unique),
+        "annual": contracts_annual(preview, stored_annual, as_of, spec, prev_unique=prev_unique),
     }, primary="quarter")
 
 
@@ -93,10 +99,10 @@ def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_an
 def store_activity_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
                         spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False) -> FlowResult:
     """G-04: configured columns → accumulate the preview → accumulate the official table."""
-    batch = S.select_configured(extract, spec.keep_columns)
-    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, with_order=True,
+    batch = S.select_configured(extract, _keep(spec))
+    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
                                         prev_unique=prev_unique)
-    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, with_order=True,
+    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
                                          prev_unique=prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
 
@@ -106,8 +112,8 @@ def targets_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.
                  spec: DatasetSpec = TARGETS, prev_unique: bool = False) -> FlowResult:
     """G-05: accumulate the preview, then merge every year present in it into
     that year's official table (routing by the row's own year)."""
-    batch = S.select_configured(extract, spec.keep_columns)
-    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, with_order=True,
+    batch = S.select_configured(extract, _keep(spec))
+    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
                                         prev_unique=prev_unique)
     official = targets_official(preview, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
@@ -124,7 +130,7 @@ def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec
     if prev is not None:
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    return M.accumulate_and_classify(prev, rows, spec.key, with_order=True, prev_unique=prev_unique)
+    return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
 
 
 # ------------------------------------------------------------------ portfolio (G-06)
@@ -136,7 +142,7 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
     current = extract.where(P.period_is_current(spec.period_col, as_of))
     prev_preview = (FL.purge_stale_period(stored_preview, spec.period_col, as_of)
                     if stored_preview is not None else None)
-    preview = M.accumulate_and_classify(prev_preview, current, spec.key, with_order=True,
+    preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col, with_order=True,
                                         prev_unique=prev_unique)
     official = portfolio_official(extract, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
@@ -149,7 +155,7 @@ def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
     if prev is not None:
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    merged = M.accumulate_and_classify(prev, rows, spec.key, with_order=True, prev_unique=prev_unique)
+    merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
     return S.reorder_current_then_legacy(merged, extract.columns)
 
 

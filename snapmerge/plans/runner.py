@@ -19,18 +19,19 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.periods import row_year
 from ..operators import merge as M
 from ..operators.audit import audit_row
 from ..operators.routing import YEAR
 from ..operators.totals import IS_TOTAL
+from ..sources import extract as EX
 from ..sources.store import TableStore
-from ..functions.periods import row_year
-from ..specs import get_spec
+from ..specs import DatasetSpec, get_spec
 from . import flows as G
 
 BOOKKEEPING = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
@@ -105,29 +106,50 @@ def years_in(*frames: DataFrame | None, period_col: str) -> list[int]:
     return sorted(years)
 
 
+def prepare_extract(extract: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DatasetSpec]:
+    """Landing columns → the dataset's order column.
+
+    The file name and run epoch are dropped; the file-order column
+    (``extract_ord``) becomes the spec's order column, so keep-last inside a
+    batch follows the report's row order and the position is never compared
+    as data.
+    """
+    drop = [c for c in (EX.FILE, EX.EPOCH) if c in extract.columns]
+    extract = extract.drop(*drop)
+    if EX.ORD not in extract.columns:
+        return extract, spec
+    if spec.ord_col is None:
+        return extract, replace(spec, ord_col=EX.ORD)
+    if spec.ord_col not in extract.columns:
+        return extract.withColumnRenamed(EX.ORD, spec.ord_col), spec
+    return extract.drop(EX.ORD), spec
+
+
 def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date) -> G.FlowResult:
     """G-09: dispatch by dataset; unknown datasets are an error."""
     s = lambda name: _stored(store, dataset, name, as_of)
+    extract, spec = prepare_extract(extract, get_spec(dataset))
     # Tables written by this store hold one row per key, so the touched-only
     # merge plan is allowed when the batch's keys are proven small.
     if dataset == "numero_contratos":
-        return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True)
+        return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True,
+                                spec=spec)
     if dataset == "dias_sem_producao":
-        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, prev_unique=True)
+        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True)
     if dataset == "meta_financiamento_seguro":
         preview = s("preview")
         years = years_in(preview, extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
-        return G.targets_flow(extract, preview, official, as_of, prev_unique=True)
+        return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True)
     if dataset == "carteira_parceiros":
         years = years_in(extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
-        return G.portfolio_flow(extract, s("preview"), official, as_of, prev_unique=True)
+        return G.portfolio_flow(extract, s("preview"), official, as_of, spec=spec, prev_unique=True)
     if dataset == "comissao_a_vista":
-        batch = G.commission_batch(extract)
-        preview = G.commission_preview(batch, s("preview"), prev_unique=True)
+        batch = G.commission_batch(extract, spec)
+        preview = G.commission_preview(batch, s("preview"), spec, prev_unique=True)
         official = G.commission_official(preview, strip_bookkeeping(store.read(TARGETS[dataset]["official"].table)),
-                                         prev_unique=True)
+                                         spec, prev_unique=True)
         return G.FlowResult(batch, {"preview": preview, "official": official}, primary="official")
     raise ValueError(f"dataset {dataset!r} has no flow")
 

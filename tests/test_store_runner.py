@@ -178,3 +178,51 @@ def test_keep_absent_keeps_stored_value(spark):
     nulled = G.commission_official(preview, stored).where("not is_total").first()
     assert kept["note"] == "a" and nulled["note"] is None
     assert kept["change_type"] == "edited"
+
+
+def test_vacuum_keeps_versions_in_use(spark, workdir):
+    store = TableStore(spark, workdir)
+    df = spark.range(6).withColumn("year", (F.col("id") % 3 + 1999).cast("int"))
+    store.overwrite("t", df, "r1", partition_col="year")
+    for i in (2, 3, 4):
+        store.overwrite("t", spark.range(i).withColumn("year", F.lit(2001)), f"r{i}", partition_col="year")
+    store.write("t", spark.range(1).withColumn("year", F.lit(2001)), "r5", partition_col="year")  # unpublished
+    deleted = store.vacuum("t", keep_commits=1)
+    assert sorted(p.rsplit("/", 1)[1] for p in deleted) == ["v=r2", "v=r3"]   # r1 still holds 1999/2000
+    assert store.read("t").count() == 4 + 4
+    assert [p.rsplit("/", 1)[1] for p in store.vacuum("t", keep_commits=1, include_unpublished=True)] == ["v=r5"]
+
+
+def test_job_runs_latest_extract_per_dataset(spark, workdir):
+    from snapmerge.job import run_job, select_datasets
+    land = f"{workdir}/landing"
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    SI.store_activity(spark, SF_SMALL).coalesce(1).write.parquet(f"{land}/tmp")
+    part = [p.path for p in spark.read.format("binaryFile").load(f"{land}/tmp").select("path").collect()
+            if p.path.endswith(".parquet")][0]
+    fs_path(part).getFileSystem(conf).rename(fs_path(part), fs_path(f"{land}/dias_sem_producao_1000000001.parquet"))
+    datasets = select_datasets(None, "weekly")
+    reports = run_job(spark, land, f"{workdir}/store", AS_OF, datasets + ["comissao_a_vista"], "j1")
+    by = {r.dataset: r for r in reports}
+    assert by["dias_sem_producao"].published and by["dias_sem_producao"].new_rows > 0
+    assert by["comissao_a_vista"].note == "no extract for this run"
+
+
+def test_job_keep_last_follows_file_order_and_reruns_are_noops(spark, workdir):
+    from snapmerge.job import run_job
+    land = f"{workdir}/landing"
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = [("A", 200101, "x", 1.0), ("B", 200101, "y", 5.0), ("A", 200101, "x", 2.0)]  # A twice: last wins
+    spark.createDataFrame(rows, "branch string, period int, segment string, balance double") \
+        .withColumn("store_tax_id", F.lit(7).cast("long")).coalesce(1).write.parquet(f"{land}/tmp")
+    part = [p.path for p in spark.read.format("binaryFile").load(f"{land}/tmp").select("path").collect()
+            if p.path.endswith(".parquet")][0]
+    fs_path(part).getFileSystem(conf).rename(fs_path(part), fs_path(f"{land}/carteira_parceiros_1000000001.parquet"))
+    as_of = dt.date(2001, 1, 20)
+    r1 = run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j1")[0]
+    off = {r.branch: r.balance for r in TableStore(spark, f"{workdir}/store").read("portfolio_official").collect()}
+    assert off == {"A": 2.0, "B": 5.0} and r1.new_rows == 2
+    r2 = run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j2")[0]
+    assert r2.new_rows == 0 and r2.edited_rows == 0 and not r2.published
