@@ -128,6 +128,7 @@ def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec
     rows = with_row_year(_data_only(preview), spec.period_col)
     prev = with_row_year(stored_official, spec.period_col) if stored_official is not None else None
     if prev is not None:
+        # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
     return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
@@ -153,6 +154,7 @@ def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
     rows = with_row_year(extract, spec.period_col)
     prev = with_row_year(stored_official, spec.period_col) if stored_official is not None else None
     if prev is not None:
+        # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
     merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
