@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import qcol, quote, rows_equal
-from .sizing import fits_broadcast
+from .sizing import bounded_count, broadcast_row_limit
 
 SRC = "_sm_src"
 ORD = "_sm_ord"
@@ -182,8 +182,10 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     """U-04 (+ J-01, J-06, U-09): accumulated table with a fresh ``change_type``.
 
     ``strategy``: ``"shuffle"`` always uses the single-aggregate plan;
-    ``"auto"`` switches to the touched-only plan when ``prev_unique`` is true
-    and the batch's distinct keys are proven small enough to broadcast.
+    ``"auto"`` switches to the touched-only plan when ``prev_unique`` is true,
+    the batch's distinct keys are proven small enough to broadcast and the
+    stored table is proven several times larger than that key set;
+    ``"touched"`` forces it (still requires ``prev_unique``).
     ``keep_from_prev``: columns that keep the previous row's value whenever the
     key existed (e.g. columns the batch no longer carries, Q-06); they are not
     compared.  The first-seen stamps (:data:`STAMPS`) always behave this way.
@@ -194,9 +196,9 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     present = set(prev.columns) | set(batch.columns)
     keep = list(keep_from_prev) + [s for s in STAMPS if s in present and s not in keep_from_prev]
     exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + keep
-    if prev_unique and strategy == "auto":
+    if prev_unique and strategy in ("auto", "touched"):
         batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
-        if fits_broadcast(batch_keys):
+        if strategy == "touched" or _touched_only_pays(prev, batch_keys):
             return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep)
     tagged = union_by_name(tag(prev, 0, ord_col), tag(batch, 1, ord_col))
     cols = _data_columns(tagged)
@@ -209,6 +211,21 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     return g.select(*out)
 
 
+# The touched-only plan is used when the stored table holds at least this many
+# times more rows than the batch has distinct keys.
+TOUCHED_RATIO = 4
+
+
+def _touched_only_pays(prev: DataFrame, batch_keys: DataFrame) -> bool:
+    """Two bounded proofs: the batch's keys fit a broadcast, and the stored table
+    is more than ``TOUCHED_RATIO`` times larger (so most of it can skip the
+    shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows."""
+    n_keys = bounded_count(batch_keys, broadcast_row_limit(batch_keys))
+    if n_keys is None:
+        return False
+    return bounded_count(prev, TOUCHED_RATIO * max(n_keys, 1)) is None
+
+
 def _null_safe_on(left: DataFrame, right_prefix: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b,
                   [left[quote(k)].eqNullSafe(F.col(quote(right_prefix + k))) for k in keys])

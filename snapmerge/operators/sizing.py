@@ -47,11 +47,16 @@ def bounded_count(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def broadcast_row_limit(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
+    """Largest row count of ``df`` that stays within both broadcast bounds."""
+    return min(max_rows, max(1, max_bytes // row_width(df)))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """True when ``df`` is proven to be within both bounds."""
-    limit_rows = min(max_rows, max(1, max_bytes // row_width(df)))
-    return bounded_count(df, limit_rows) is not None
+    return bounded_count(df, broadcast_row_limit(df, max_rows, max_bytes)) is not None
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,

@@ -8,15 +8,20 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings the merge plans rely on.  They are applied with ``setIfMissing``
-# semantics: a cluster-provided value always wins.
+# Settings the merge plans rely on.  They are applied only where the cluster
+# (spark-submit, spark-defaults.conf) or the caller has not set a value.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~256 MB per post-shuffle partition and per scan split: merge partitions
+    # stay well inside executor memory at any input size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -24,15 +29,31 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "snapmerge",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library defaults."""
+    """Create (or reuse) a session with the library defaults.
+
+    ``extra`` and ``shuffle_partitions`` are explicit caller choices and always
+    apply; :data:`DEFAULT_CONF` only fills keys nobody has set.
+    """
+    explicit = dict(extra or {})
+    if shuffle_partitions:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        for k, v in DEFAULT_CONF.items():
+            if not k.startswith("spark.ui.") and active.conf.get(k, None) is None:
+                active.conf.set(k, v)
+        for k, v in explicit.items():
+            active.conf.set(k, v)
+        ensure_checkpoint_dir(active)
+        return active
+    cluster = SparkConf()  # picks up spark-submit / spark-defaults values
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    if master and not cluster.contains("spark.master"):
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in DEFAULT_CONF.items():
+        if not cluster.contains(k):
+            builder = builder.config(k, v)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)

@@ -57,5 +57,5 @@ def test_touched_only_plan_matches_model(spark, prev, batch):
     unique_prev = list({r[0]: r for r in prev}.values())
     p = spark.createDataFrame(unique_prev, SCHEMA)
     b = spark.createDataFrame(batch, SCHEMA)
-    got = M.accumulate_and_classify(p, b, "k", ord_col="o", prev_unique=True)
+    got = M.accumulate_and_classify(p, b, "k", ord_col="o", prev_unique=True, strategy="touched")
     assert observed(got) == model(unique_prev, batch)
