@@ -86,8 +86,12 @@ def _data_only(df: DataFrame) -> DataFrame:
 
 
 def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_annual,
-                   as_of: dt.date, prev_unique: bool = False, spec: DatasetSpec = CONTRACTS) -> FlowResult:
-    preview = contracts_preview(extract, stored_preview, as_of, spec, prev_unique=prev_unique)
+                   as_of: dt.date, prev_unique: bool = False, spec: DatasetSpec = CONTRACTS,
+                   preview: DataFrame | None = None) -> FlowResult:
+    """G-01..G-03.  ``preview``: an already materialised preview (the runner
+    passes its written version so the preview merge runs only once)."""
+    if preview is None:
+        preview = contracts_preview(extract, stored_preview, as_of, spec, prev_unique=prev_unique)
     return FlowResult(extract, {
         "preview": preview,
         "quarter": contracts_quarter(preview, stored_quarter, as_of, spec, prev_unique=prev_unique),
@@ -97,24 +101,28 @@ def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_an
 
 # ------------------------------------------------------------------ store activity (G-04)
 def store_activity_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
-                        spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False) -> FlowResult:
+                        spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False,
+                        preview: DataFrame | None = None) -> FlowResult:
     """G-04: configured columns → accumulate the preview → accumulate the official table."""
     batch = S.select_configured(extract, _keep(spec))
-    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
-                                        prev_unique=prev_unique)
-    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
-                                         prev_unique=prev_unique)
+    if preview is None:
+        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col,
+                                            with_order=True, prev_unique=prev_unique)
+    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col,
+                                         with_order=True, prev_unique=prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
 
 
 # ------------------------------------------------------------------ targets (G-05)
 def targets_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
-                 spec: DatasetSpec = TARGETS, prev_unique: bool = False) -> FlowResult:
+                 spec: DatasetSpec = TARGETS, prev_unique: bool = False,
+                 preview: DataFrame | None = None) -> FlowResult:
     """G-05: accumulate the preview, then merge every year present in it into
     that year's official table (routing by the row's own year)."""
     batch = S.select_configured(extract, _keep(spec))
-    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
-                                        prev_unique=prev_unique)
+    if preview is None:
+        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col,
+                                            with_order=True, prev_unique=prev_unique)
     official = targets_official(preview, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
 

@@ -125,29 +125,37 @@ def prepare_extract(extract: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, D
     return extract.drop(EX.ORD), spec
 
 
-def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date) -> G.FlowResult:
-    """G-09: dispatch by dataset; unknown datasets are an error."""
+def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date,
+               written_preview: DataFrame | None = None) -> G.FlowResult:
+    """G-09: dispatch by dataset; unknown datasets are an error.
+
+    ``written_preview``: this run's preview, already written — later targets are
+    then built on its files instead of re-running the preview merge.
+    """
     s = lambda name: _stored(store, dataset, name, as_of)
     extract, spec = prepare_extract(extract, get_spec(dataset))
     # Tables written by this store hold one row per key, so the touched-only
     # merge plan is allowed when the batch's keys are proven small.
     if dataset == "numero_contratos":
         return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True,
-                                spec=spec)
+                                spec=spec, preview=written_preview)
     if dataset == "dias_sem_producao":
-        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True)
+        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True,
+                                     preview=written_preview)
     if dataset == "meta_financiamento_seguro":
         preview = s("preview")
         years = years_in(preview, extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
-        return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True)
+        return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True,
+                              preview=written_preview)
     if dataset == "carteira_parceiros":
         years = years_in(extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
         return G.portfolio_flow(extract, s("preview"), official, as_of, spec=spec, prev_unique=True)
     if dataset == "comissao_a_vista":
         batch = G.commission_batch(extract, spec)
-        preview = G.commission_preview(batch, s("preview"), spec, prev_unique=True)
+        preview = (written_preview if written_preview is not None
+                   else G.commission_preview(batch, s("preview"), spec, prev_unique=True))
         official = G.commission_official(preview, strip_bookkeeping(store.read(TARGETS[dataset]["official"].table)),
                                          spec, prev_unique=True)
         return G.FlowResult(batch, {"preview": preview, "official": official}, primary="official")
@@ -194,22 +202,19 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
     try:
         flow = build_flow(store, dataset, extract, as_of)
         rows_read = flow.extract.count()
-        commits, metrics = {}, {}
         run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
+        commits, metrics = {}, {}
+        if "preview" in flow.targets and len(flow.targets) > 1:
+            # Cut the lineage: write the preview once, then build the other
+            # targets on the written (not yet published) files.
+            commits["preview"], metrics["preview"] = _write_target(
+                store, dataset, "preview", flow.targets["preview"], run_id, run_seq, spec)
+            written = store.read_commit(commits["preview"])
+            flow = build_flow(store, dataset, extract, as_of, written_preview=written)
         for name, df in flow.targets.items():
-            t = TARGETS[dataset][name]
-            df = with_first_seen(df, run_seq)
-            obs = Observation(f"{dataset}_{name}_{run_id}")
-            ct = F.col(M.CHANGE)
-            observed = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
-                                  F.count_if(ct == M.EDITED).alias("edited_rows"),
-                                  F.count_if(ct.isNotNull()).alias("total_rows"))
-            sort = [c for c in t.sort_within if c in df.columns]
-            out = observed.sortWithinPartitions(*sort) if sort else observed
-            out = out.drop(*[c for c in BOOKKEEPING[1:] if c in out.columns])
-            commits[name] = store.write(t.table, out, run_id, partition_col=t.partition_col,
-                                        key=list(spec.key))
-            metrics[name] = obs.get
+            if name in commits:
+                continue
+            commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec)
         primary = metrics[flow.primary]
         changed = any(m["new_rows"] or m["edited_rows"] for m in metrics.values())
         if changed:
@@ -229,6 +234,23 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
     return report
 
 
+def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run_id: str, run_seq: int,
+                  spec: DatasetSpec):
+    """One Spark job: stamp, observe the change counts, sort inside files, write a version."""
+    t = TARGETS[dataset][name]
+    df = with_first_seen(df, run_seq)
+    obs = Observation(f"{dataset}_{name}_{run_id}")
+    ct = F.col(M.CHANGE)
+    observed = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
+                          F.count_if(ct == M.EDITED).alias("edited_rows"),
+                          F.count_if(ct.isNotNull()).alias("total_rows"))
+    sort = [c for c in t.sort_within if c in df.columns]
+    out = observed.sortWithinPartitions(*sort) if sort else observed
+    out = out.drop(*[c for c in BOOKKEEPING[1:] if c in out.columns])
+    commit = store.write(t.table, out, run_id, partition_col=t.partition_col, key=list(spec.key))
+    return commit, obs.get
+
+
 def run(spark: SparkSession, store: TableStore, extracts: dict[str, DataFrame | None], as_of: dt.date,
         run_id: str, cadence: str | None = None) -> list[RunReport]:
     """G-10: run several datasets (optionally only one cadence); failures are isolated."""
