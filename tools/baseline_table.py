@@ -21,6 +21,8 @@ EXCHANGES = {
     "dedup_keep_last": "1 hash",
     "totals_row_refresh": "1 single (global aggregate after map-side partials)",
     "month_turn_calendar": "2 (date span aggregate, holiday de-dup)",
+    "sort_by_date_stable": "range sort + checkpoint + per-partition offsets (broadcast, one row per partition)",
+    "stream_accumulate": "availableNow file stream, one micro-batch merged into the store",
     "run_commission_store": "2 runs through the store (seed, update)",
     "run_contracts_store": "touched-only merge: broadcast keys, untouched history not shuffled",
 }
@@ -33,6 +35,8 @@ NOTES = """Reading the numbers:
   batch into the same stored history. The store path proves the batch's key set small and the stored table much
   larger, broadcasts the keys, and shuffles only touched rows. That ratio grows with the history, because the
   untouched history is never shuffled.
+* `stream_accumulate` shows 0 shuffle bytes only because its micro-batch jobs run on the stream's own thread,
+  which does not carry the bench's job group; they are not attributed, not absent.
 * Every merge is one hash exchange with a map-side partial aggregate. Each stored row is shuffled once: the
   batch and previous buffers are separate, and keep-last is their `coalesce`.
 """
