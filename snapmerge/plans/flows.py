@@ -51,23 +51,24 @@ def contracts_preview(extract: DataFrame, stored_preview: DataFrame | None, as_o
     keep-last by key (U-05), classify against the purged preview (Q-13)."""
     batch = contracts_batch(extract, as_of, spec)
     prev = FL.purge_stale_preview(stored_preview, spec.date_col, as_of) if stored_preview is not None else None
-    return M.accumulate_and_classify(prev, batch, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
+    return M.accumulate_and_classify(prev, batch, spec.key, ord_col=spec.ord_col, with_order=True,
+                                     prev_unique=prev_unique)
 
 
 def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_of: dt.date,
                       spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-02: merge the preview into the rolling table (U-02), keep 90 days (F-04),
     classify against the stored table (J-01), route by run year (S-08)."""
-    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
-                                       prev_unique=prev_unique)
+    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col,
+                                       with_order=True, prev_unique=prev_unique)
     return with_run_year(merged.where(P.within_rolling_days(spec.date_col, as_of)), as_of)
 
 
 def contracts_annual(preview: DataFrame, stored_annual: DataFrame | None, as_of: dt.date,
                      spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-03: merge the preview into the permanent table — nothing ever leaves it."""
-    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col, with_order=True,
-                                       prev_unique=prev_unique)
+    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col,
+                                       with_order=True, prev_unique=prev_unique)
     return with_run_year(merged, as_of)
 
 
@@ -139,7 +140,8 @@ def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec
         # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
+    return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True,
+                                     prev_unique=prev_unique)
 
 
 # ------------------------------------------------------------------ portfolio (G-06)
@@ -151,8 +153,8 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
     current = extract.where(P.period_is_current(spec.period_col, as_of))
     prev_preview = (FL.purge_stale_period(stored_preview, spec.period_col, as_of)
                     if stored_preview is not None else None)
-    preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col, with_order=True,
-                                        prev_unique=prev_unique)
+    preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col,
+                                        with_order=True, prev_unique=prev_unique)
     official = portfolio_official(extract, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
 
@@ -165,7 +167,8 @@ def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
         # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True, prev_unique=prev_unique)
+    merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True,
+                                       prev_unique=prev_unique)
     return S.reorder_current_then_legacy(merged, extract.columns)
 
 
@@ -200,8 +203,8 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
     data = _data_only(preview)
     absent: list[str] = []
     if stored_official is not None:
-        stored_data, _ = FL.split_totals(stored_official.drop(*[c for c in (M.CHANGE,) if c in stored_official.columns]),
-                                         spec.footer_key)
+        labels = [c for c in (M.CHANGE,) if c in stored_official.columns]
+        stored_data, _ = FL.split_totals(stored_official.drop(*labels), spec.footer_key)
         if TT.IS_TOTAL in stored_data.columns:
             stored_data = stored_data.drop(TT.IS_TOTAL)
         if keep_absent:
