@@ -46,33 +46,43 @@ class Target:
     sort_within: list[str] = field(default_factory=list)
 
 
-# Fixed layout: which stored table feeds / receives each flow output.
-TARGETS: dict[str, dict[str, Target]] = {
-    "numero_contratos": {
-        "preview": Target("contracts_preview", sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
-        "quarter": Target("contracts_quarter", YEAR, run_year_only=True,
-                          sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
-        "annual": Target("contracts_annual", YEAR, run_year_only=True, sort_within=list(M.STAMPS)),
+# Fixed layout per flow kind: which stored table (suffix after the dataset's
+# table prefix) feeds / receives each flow output.
+FLOW_TARGETS: dict[str, dict[str, Target]] = {
+    "month_preview_rolling": {
+        "preview": Target("preview", sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
+        "quarter": Target("quarter", YEAR, run_year_only=True, sort_within=["report_date", M.LAST_SRC, M.LAST_ORD]),
+        "annual": Target("annual", YEAR, run_year_only=True, sort_within=list(M.STAMPS)),
     },
-    "dias_sem_producao": {
-        "preview": Target("store_activity_preview"),
-        "official": Target("store_activity_official", sort_within=list(M.STAMPS)),
+    "accumulate": {
+        "preview": Target("preview"),
+        "official": Target("official", sort_within=list(M.STAMPS)),
     },
-    "meta_financiamento_seguro": {
-        "preview": Target("targets_preview"),
-        "official": Target("targets_official", YEAR, sort_within=list(M.STAMPS)),
+    "accumulate_by_row_year": {
+        "preview": Target("preview"),
+        "official": Target("official", YEAR, sort_within=list(M.STAMPS)),
     },
-    "carteira_parceiros": {
-        "preview": Target("portfolio_preview", sort_within=["period", M.LAST_SRC, M.LAST_ORD]),
-        "official": Target("portfolio_official", YEAR, sort_within=["period", M.LAST_SRC, M.LAST_ORD]),
+    "period_preview_by_year": {
+        "preview": Target("preview", sort_within=["period", M.LAST_SRC, M.LAST_ORD]),
+        "official": Target("official", YEAR, sort_within=["period", M.LAST_SRC, M.LAST_ORD]),
     },
-    "comissao_a_vista": {
-        "preview": Target("commission_preview"),
-        "official": Target("commission_official", sort_within=[IS_TOTAL, *M.STAMPS]),
+    "upsert_with_totals": {
+        "preview": Target("preview"),
+        "official": Target("official", sort_within=[IS_TOTAL, *M.STAMPS]),
     },
 }
 
 
+def targets_of(dataset: str) -> dict[str, Target]:
+    """Targets of a dataset, with table names ``{table_prefix}_{suffix}``."""
+    spec = get_spec(dataset)
+    try:
+        layout = FLOW_TARGETS[spec.flow]
+    except KeyError:
+        raise ValueError(f"dataset {dataset!r} has no known flow ({spec.flow!r})") from None
+    return {name: replace(t, table=f"{spec.table_prefix}_{t.table}") for name, t in layout.items()}
+
+
 def strip_bookkeeping(df: DataFrame | None, partition_col: str | None = None) -> DataFrame | None:
     """Stored rows as merge input: last run's labels and the routing column removed."""
     if df is None:
@@ -85,7 +95,7 @@ def _stored(store: TableStore, dataset: str, name: str, as_of: dt.date,
             years: list[int] | None = None) -> DataFrame | None:
     """Stored rows a flow can touch: only the run year (S-08) or only the years
     present in the batch (S-07) are opened; other year folders are never read."""
-    t = TARGETS[dataset][name]
+    t = targets_of(dataset)[name]
     if t.run_year_only:
         years = [as_of.year]
     df = store.read(t.table, partitions=[str(y) for y in years] if years is not None else None)
@@ -136,30 +146,31 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     extract, spec = prepare_extract(extract, get_spec(dataset))
     # Tables written by this store hold one row per key, so the touched-only
     # merge plan is allowed when the batch's keys are proven small.
-    if dataset == "numero_contratos":
+    flow = spec.flow
+    if flow == "month_preview_rolling":
         return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True,
                                 spec=spec, preview=written_preview)
-    if dataset == "dias_sem_producao":
+    if flow == "accumulate":
         return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True,
                                      preview=written_preview)
-    if dataset == "meta_financiamento_seguro":
+    if flow == "accumulate_by_row_year":
         preview = s("preview")
         years = years_in(preview, extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
         return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True,
                               preview=written_preview)
-    if dataset == "carteira_parceiros":
+    if flow == "period_preview_by_year":
         years = years_in(extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
         return G.portfolio_flow(extract, s("preview"), official, as_of, spec=spec, prev_unique=True)
-    if dataset == "comissao_a_vista":
+    if flow == "upsert_with_totals":
         batch = G.commission_batch(extract, spec)
         preview = (written_preview if written_preview is not None
                    else G.commission_preview(batch, s("preview"), spec, prev_unique=True))
-        official = G.commission_official(preview, strip_bookkeeping(store.read(TARGETS[dataset]["official"].table)),
+        official = G.commission_official(preview, strip_bookkeeping(store.read(targets_of(dataset)["official"].table)),
                                          spec, prev_unique=True)
         return G.FlowResult(batch, {"preview": preview, "official": official}, primary="official")
-    raise ValueError(f"dataset {dataset!r} has no flow")
+    raise ValueError(f"dataset {dataset!r} has no known flow ({flow!r})")
 
 
 def with_first_seen(df: DataFrame, run_seq: int) -> DataFrame:
@@ -219,7 +230,7 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
         changed = any(m["new_rows"] or m["edited_rows"] for m in metrics.values())
         if changed:
             for name, c in commits.items():
-                store.publish(TARGETS[dataset][name].table, c)
+                store.publish(targets_of(dataset)[name].table, c)
         note = "" if rows_read else "no data in period"
         if not changed and rows_read:
             note = "no new or edited rows; nothing published"
@@ -237,7 +248,7 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
 def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run_id: str, run_seq: int,
                   spec: DatasetSpec):
     """One Spark job: stamp, observe the change counts, sort inside files, write a version."""
-    t = TARGETS[dataset][name]
+    t = targets_of(dataset)[name]
     df = with_first_seen(df, run_seq)
     obs = Observation(f"{dataset}_{name}_{run_id}")
     ct = F.col(M.CHANGE)

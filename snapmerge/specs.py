@@ -1,8 +1,10 @@
 """Dataset specifications: one frozen record per consolidated report.
 
 A spec says which columns an extract keeps, how rows are filtered, which key
-merges them, and which retention / routing policy each target follows.
-Adding a dataset means adding a spec — no code changes elsewhere.
+merges them, which flow (retention / routing policy of its targets) it runs
+and under which table prefix its targets are stored.  Adding a dataset that
+follows one of the five flows means registering a spec — the runner dispatches
+on ``spec.flow`` (G-09) and names the tables from ``spec.table_prefix``.
 """
 
 from __future__ import annotations
@@ -25,9 +27,18 @@ class DatasetSpec:
     preview_policy: str = "forever"               # forever | month_carryover | current_period
     official_policy: str = "forever"              # forever | rolling_and_forever | upsert_with_totals
     routing: str | None = None                    # None | run_year | row_year
+    flow: str = "accumulate"                      # see FLOWS
+    table_prefix: str = ""                        # stored tables are f"{table_prefix}_{target}"
     display_names: dict[str, str] = field(default_factory=dict)
 
 
+# Flow kinds the runner knows (G-09): month preview + rolling and permanent
+# tables; two-level accumulate; accumulate routed by row year; month preview +
+# year-routed official; in-place upsert with a totals row.
+FLOWS = ("month_preview_rolling", "accumulate", "accumulate_by_row_year", "period_preview_by_year",
+         "upsert_with_totals")
+
+
 # The five datasets, their keys and column lists (snake_case
 # names; the report's display names are kept for output).
 CONTRACTS = DatasetSpec(
@@ -36,6 +47,7 @@ CONTRACTS = DatasetSpec(
                   "principal", "financed", "insurance", "branch"),
     status_filter=("status", "F"), date_col="report_date",
     preview_policy="month_carryover", official_policy="rolling_and_forever", routing="run_year",
+    flow="month_preview_rolling", table_prefix="contracts",
     display_names={"proposal_id": "ID Proposta", "report_date": "Dt Relatório", "dealer_id": "Lojista",
                    "manager": "GP", "status": "Status Proposta", "contract_code": "Cd Contrato",
                    "principal": "Vl Principal", "financed": "Vl Financiamento",
@@ -45,7 +57,7 @@ CONTRACTS = DatasetSpec(
 STORE_ACTIVITY = DatasetSpec(
     dataset_id="dias_sem_producao", name="Store activity", key=("store_id", "vintage"), cadence="weekly",
     keep_columns=("store_id", "store_name", "vintage", "last_contract_date", "financed_value", "financed_count"),
-    period_col="vintage",
+    period_col="vintage", flow="accumulate", table_prefix="store_activity",
     display_names={"store_id": "Cd Loja", "store_name": "Nm Loja", "vintage": "Safra Mes",
                    "last_contract_date": "Data Ultimo Contrato Date", "financed_value": "Valor Financiamento",
                    "financed_count": "Qtde. Financiamento"},
@@ -54,6 +66,7 @@ STORE_ACTIVITY = DatasetSpec(
 TARGETS = DatasetSpec(
     dataset_id="meta_financiamento_seguro", name="Targets", key=("period", "branch"), cadence="monthly",
     keep_columns=("period", "branch", "production", "target"), period_col="period", routing="row_year",
+    flow="accumulate_by_row_year", table_prefix="targets",
     display_names={"period": "Anomes Apuracao", "branch": "Filial", "production": "R$ Produção",
                    "target": "R$ Meta"},
 )
@@ -61,12 +74,14 @@ TARGETS = DatasetSpec(
 PORTFOLIO = DatasetSpec(
     dataset_id="carteira_parceiros", name="Portfolio", key=("store_tax_id", "branch", "period"),
     cadence="daily", period_col="period", preview_policy="current_period", routing="row_year",
+    flow="period_preview_by_year", table_prefix="portfolio",
     display_names={"store_tax_id": "Cnpj Da Loja", "branch": "Filial", "period": "Anomes"},
 )
 
 COMMISSION = DatasetSpec(
     dataset_id="comissao_a_vista", name="Commission", key=("contract_code", "period"), cadence="monthly",
     period_col="period", footer_key="contract_code", ord_col="ord", official_policy="upsert_with_totals",
+    flow="upsert_with_totals", table_prefix="commission",
     display_names={"contract_code": "Cd Contrato", "period": "Anomes Apuracao",
                    "master_tax_id": "Cnpj Master"},
 )
@@ -75,6 +90,16 @@ REGISTRY: dict[str, DatasetSpec] = {s.dataset_id: s for s in
                                     (CONTRACTS, STORE_ACTIVITY, TARGETS, PORTFOLIO, COMMISSION)}
 
 
+def register(spec: DatasetSpec) -> DatasetSpec:
+    """Add a dataset; its flow must be one of :data:`FLOWS`."""
+    if spec.flow not in FLOWS:
+        raise ValueError(f"unknown flow {spec.flow!r}; known: {FLOWS}")
+    if not spec.table_prefix:
+        raise ValueError("a table_prefix is required")
+    REGISTRY[spec.dataset_id] = spec
+    return spec
+
+
 def get_spec(dataset_id: str) -> DatasetSpec:
     """G-10 lookup; an unknown id is an error."""
     try:

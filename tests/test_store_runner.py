@@ -226,3 +226,20 @@ def test_job_keep_last_follows_file_order_and_reruns_are_noops(spark, workdir):
     assert off == {"A": 2.0, "B": 5.0} and r1.new_rows == 2
     r2 = run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j2")[0]
     assert r2.new_rows == 0 and r2.edited_rows == 0 and not r2.published
+
+
+def test_new_dataset_by_spec_only(spark, workdir):
+    from snapmerge.specs import REGISTRY, DatasetSpec, register
+    spec = register(DatasetSpec(dataset_id="supplier_balances", name="Supplier balances", key=("s_suppkey",),
+                                cadence="weekly", keep_columns=("s_suppkey", "s_name", "s_acctbal"),
+                                flow="accumulate", table_prefix="supplier_balances"))
+    try:
+        store = TableStore(spark, workdir)
+        sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+        r1 = RN.run_dataset(spark, store, spec.dataset_id, sup, AS_OF, "r1")
+        r2 = RN.run_dataset(spark, store, spec.dataset_id, sup.withColumn("s_acctbal", F.col("s_acctbal") + 1),
+                            AS_OF, "r2")
+        assert r1.new_rows == sup.count() and r2.edited_rows == sup.count()
+        assert store.read("supplier_balances_official").count() == sup.count()
+    finally:
+        REGISTRY.pop(spec.dataset_id, None)
