@@ -45,7 +45,8 @@ def run_audit(dataset: str, run_ts: dt.datetime, extract: DataFrame, final: Data
     """A-09 as a DataFrame: the audit row of one run."""
     counts = audit_counts(extract, final)
     return counts.select(
-        F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"), F.lit(dataset).alias("dataset"),
+        # from text: a naive datetime literal would pass through the client's time zone
+        F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_ts"), F.lit(dataset).alias("dataset"),
         "rows_read", "new_rows", "edited_rows", "total_rows",
         F.when(F.col("rows_read") == 0, F.lit(NO_DATA_NOTE)).otherwise(F.lit("")).alias("note"),
         (F.coalesce(F.col("rows_read"), F.lit(0)) == 0).alias("no_data"))
