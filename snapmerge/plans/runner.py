@@ -219,15 +219,15 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
             # Cut the lineage: write the preview once, then build the other
             # targets on the written (not yet published) files.
             commits["preview"], metrics["preview"] = _write_target(
-                store, dataset, "preview", flow.targets["preview"], run_id, run_seq, spec)
+                store, dataset, "preview", flow.targets["preview"], run_id, run_seq, spec, as_of)
             written = store.read_commit(commits["preview"])
             flow = build_flow(store, dataset, extract, as_of, written_preview=written)
         for name, df in flow.targets.items():
             if name in commits:
                 continue
-            commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec)
+            commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec, as_of)
         primary = metrics[flow.primary]
-        changed = any(m["new_rows"] or m["edited_rows"] for m in metrics.values())
+        changed = any(_target_changed(store, targets_of(dataset)[n], commits[n], metrics[n]) for n in commits)
         if changed:
             for name, c in commits.items():
                 store.publish(targets_of(dataset)[name].table, c)
@@ -246,7 +246,7 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: D
 
 
 def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run_id: str, run_seq: int,
-                  spec: DatasetSpec):
+                  spec: DatasetSpec, as_of: dt.date):
     """One Spark job: stamp, observe the change counts, sort inside files, write a version."""
     t = targets_of(dataset)[name]
     df = with_first_seen(df, run_seq)
@@ -254,12 +254,39 @@ def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run
     ct = F.col(M.CHANGE)
     observed = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
                           F.count_if(ct == M.EDITED).alias("edited_rows"),
-                          F.count_if(ct.isNotNull()).alias("total_rows"))
+                          F.count_if(ct.isNotNull()).alias("total_rows"),
+                          F.count(F.lit(1)).alias("rows_written"))
     sort = [c for c in t.sort_within if c in df.columns]
     out = observed.sortWithinPartitions(*sort) if sort else observed
     out = out.drop(*[c for c in BOOKKEEPING[1:] if c in out.columns])
-    commit = store.write(t.table, out, run_id, partition_col=t.partition_col, key=list(spec.key))
-    return commit, obs.get
+    # a run-year table is rebuilt whole for its year: an emptied year must not be carried over
+    replace = [str(as_of.year)] if t.run_year_only else None
+    commit = store.write(t.table, out, run_id, partition_col=t.partition_col, key=list(spec.key),
+                         replace_parts=replace)
+    metrics = obs.get
+    if t.partition_col:
+        prev = store.latest_commit(t.table)
+        counts = dict(prev.part_rows or {}) if prev is not None and prev.partition_col == t.partition_col else {}
+        counts = {k: v for k, v in counts.items() if k in commit.parts}
+        counts.update(store.count_parts(commit, store.rewritten_parts(commit)))
+        commit.part_rows = counts
+        commit.rows = sum(counts.values()) if set(counts) == set(commit.parts) else None
+    else:
+        commit.rows = metrics["rows_written"]
+    return commit, metrics
+
+
+def _target_changed(store: TableStore, t: Target, commit, m: dict) -> bool:
+    """S-11: a target changed when a row is new or edited, or when rows left it
+    (month purge of a preview, 90-day retention): a row count differs."""
+    if m["new_rows"] or m["edited_rows"]:
+        return True
+    prev = store.latest_commit(t.table)
+    if prev is None:
+        return m["rows_written"] > 0
+    if t.partition_col:
+        return (commit.part_rows or {}) != (prev.part_rows or {})
+    return commit.rows != prev.rows
 
 
 def run(spark: SparkSession, store: TableStore, extracts: dict[str, DataFrame | None], as_of: dt.date,

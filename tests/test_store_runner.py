@@ -243,3 +243,21 @@ def test_new_dataset_by_spec_only(spark, workdir):
         assert store.read("supplier_balances_official").count() == sup.count()
     finally:
         REGISTRY.pop(spec.dataset_id, None)
+
+
+def test_rows_leaving_a_table_are_published(spark, workdir):
+    store = TableStore(spark, workdir)
+    ext = SI.contracts_extract(spark, SF_SMALL, AS_OF)
+    RN.run_dataset(spark, store, "numero_contratos", ext, AS_OF, "r1")
+    before = store.read("contracts_quarter").count()
+    # the same extract 120 days later: nothing new or edited, but July leaves the month preview
+    # and ages out of the 90-day window
+    later = AS_OF + dt.timedelta(days=120)
+    r = RN.run_dataset(spark, store, "numero_contratos", ext, later, "r2")
+    assert r.new_rows == 0 and r.edited_rows == 0 and r.published
+    after = store.read("contracts_quarter")
+    assert after.count() < before
+    assert after.where(F.col("report_date") < F.lit(later - dt.timedelta(days=90))).count() == 0
+    n = after.count()
+    assert store.latest_commit("contracts_quarter").part_rows == ({"2001": n} if n else {})
+    assert store.read("contracts_preview").count() == 0
