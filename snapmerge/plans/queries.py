@@ -303,7 +303,7 @@ def align_to_existing_schema(spark, sf):
 
 @query
 def dedup_keep_last(spark, sf):
-    """W-01: one commission line per contract — the last one in report order."""
+    """W-01: one commission line per contract — the highest line position (ties broken by content)."""
     return M.keep_last(SI.commission(spark, sf), "contract_code", ord_col="ord")
 
 
@@ -361,7 +361,7 @@ def sort_append_order(spark, sf):
 
 @query
 def route_by_run_year(spark, sf):
-    """S-08: rolling-table rows partitioned by the run's year."""
+    """S-08: rolling-table rows with the run's year as their partition column."""
     return plain(contracts_quarter(spark, sf)).select("proposal_id", "report_date", "year")
 
 
