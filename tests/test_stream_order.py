@@ -1,5 +1,7 @@
 """Stream = batch and the distributed position operator."""
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def _land(spark, land, epoch, df):
     src.getFileSystem(conf).rename(src, fs_path(f"{land}/in/commission_{epoch}.parquet"))
 
 
-def test_stream_equals_batch(spark, workdir):
+@pytest.mark.parametrize("files_per_trigger", [1, None])
+def test_stream_equals_batch(spark, workdir, files_per_trigger):
     land = f"{workdir}/landing"
     c = SI.commission(spark, SF_SMALL).drop("ord")
     batches = [c.where(F.col("period") <= 199812),
@@ -35,7 +38,7 @@ def test_stream_equals_batch(spark, workdir):
     schema = c.schema
     store = TableStore(spark, f"{workdir}/store")
     q = stream_accumulate(spark, f"{land}/in", schema, store, "commission_stream", ["contract_code", "period"],
-                          f"{workdir}/ckpt", max_files_per_trigger=1)
+                          f"{workdir}/ckpt", max_files_per_trigger=files_per_trigger)
     q.awaitTermination()
     streamed = store.read("commission_stream").drop(M.CHANGE, X.ORD)
     # batch: all files at once, keep-last by run epoch then row position
@@ -46,7 +49,7 @@ def test_stream_equals_batch(spark, workdir):
     # replaying the stream (same checkpoint) changes nothing
     before = store.latest_commit("commission_stream").version
     q2 = stream_accumulate(spark, f"{land}/in", schema, store, "commission_stream", ["contract_code", "period"],
-                           f"{workdir}/ckpt", max_files_per_trigger=1)
+                           f"{workdir}/ckpt", max_files_per_trigger=files_per_trigger)
     q2.awaitTermination()
     assert store.latest_commit("commission_stream").version == before
 
