@@ -66,14 +66,20 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def tag(df: DataFrame, src: int, ord_col: str | None = None) -> DataFrame:
+def tag(df: DataFrame, src: int, ord_col: str | None = None, seq_col: str | None = None) -> DataFrame:
     """Add the source tag and the within-source order used by keep-last.
 
     A side that lacks the order column (e.g. a stored table written before the
     column existed) gets order 0: the source tag alone decides between sides.
     """
     ord_expr = qcol(ord_col).cast("long") if ord_col and ord_col in df.columns else F.lit(0).cast("long")
-    return df.withColumn(SRC, F.lit(src)).withColumn(ORD, ord_expr)
+    src_expr = F.lit(src)
+    if src > 0 and seq_col and seq_col in df.columns:
+        # several runs in one batch: the run sequence (e.g. the extract's epoch,
+        # always > 0) orders them; every batch row still outranks src = 0
+        src_expr = F.greatest(F.coalesce(qcol(seq_col).cast("long"), F.lit(1).cast("long")),
+                              F.lit(1).cast("long"))
+    return df.withColumn(SRC, src_expr).withColumn(ORD, ord_expr)
 
 
 def union_by_name(*dfs: DataFrame) -> DataFrame:
@@ -108,7 +114,7 @@ def _collapse(tagged: DataFrame, keys: list[str], with_prev: bool) -> DataFrame:
     key_cols = [qcol(k) for k in keys]
     if not with_prev:
         return tagged.groupBy(*key_cols).agg(F.max(packed).alias(LAST))
-    g = tagged.groupBy(*key_cols).agg(F.max(F.when(F.col(SRC) == 1, packed)).alias(_BATCH_LAST),
+    g = tagged.groupBy(*key_cols).agg(F.max(F.when(F.col(SRC) > 0, packed)).alias(_BATCH_LAST),
                                       F.max(F.when(F.col(SRC) == 0, packed)).alias(PREV))
     return g.select(*key_cols, F.coalesce(F.col(_BATCH_LAST), F.col(PREV)).alias(LAST), F.col(PREV))
 
@@ -144,7 +150,8 @@ def _order_columns() -> list[Column]:
 
 
 # --------------------------------------------------------------------------- public operators
-def keep_last(df: DataFrame, keys: str | Sequence[str], ord_col: str | None = None) -> DataFrame:
+def keep_last(df: DataFrame, keys: str | Sequence[str], ord_col: str | None = None,
+              seq_col: str | None = None) -> DataFrame:
     """W-01/W-02/W-04: one row per key — the one with the greatest ``ord_col``.
 
     Null keys form one group.  Without ``ord_col`` the tie-break is the row
@@ -152,7 +159,7 @@ def keep_last(df: DataFrame, keys: str | Sequence[str], ord_col: str | None = No
     :func:`snapmerge.sources.extract.read_extract`, which supplies the file order).
     """
     keys = _keys(keys)
-    tagged = tag(df, 1, ord_col)
+    tagged = tag(df, 1, ord_col, seq_col)
     cols = _data_columns(tagged)
     g = _collapse(tagged, keys, with_prev=False)
     return g.select(*_unpack(g, cols, keys))
@@ -164,21 +171,21 @@ def dedup_full_row(df: DataFrame) -> DataFrame:
 
 
 def accumulate(prev: DataFrame | None, batch: DataFrame, keys: str | Sequence[str],
-               ord_col: str | None = None, with_order: bool = False) -> DataFrame:
+               ord_col: str | None = None, with_order: bool = False, seq_col: str | None = None) -> DataFrame:
     """U-02: union + keep-last; no previous row is ever removed.
 
     An empty batch returns the previous rows (U-03); a missing previous table
     returns the de-duplicated batch (first run, S-09).
     """
     return accumulate_and_classify(prev, batch, keys, ord_col, with_order=with_order,
-                                   classify=False)
+                                   classify=False, seq_col=seq_col)
 
 
 def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str | Sequence[str],
                             ord_col: str | None = None, compare_exclude: Sequence[str] = (),
                             with_order: bool = False, classify: bool = True,
                             prev_unique: bool = False, strategy: str = "auto",
-                            keep_from_prev: Sequence[str] = ()) -> DataFrame:
+                            keep_from_prev: Sequence[str] = (), seq_col: str | None = None) -> DataFrame:
     """U-04 (+ J-01, J-06, U-09): accumulated table with a fresh ``change_type``.
 
     ``strategy``: ``"shuffle"`` always uses the single-aggregate plan;
@@ -189,18 +196,21 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     ``keep_from_prev``: columns that keep the previous row's value whenever the
     key existed (e.g. columns the batch no longer carries, Q-06); they are not
     compared.  The first-seen stamps (:data:`STAMPS`) always behave this way.
+    ``seq_col``: run sequence of batch rows when one batch holds several runs
+    (keep-last orders by run, then ``ord_col``); like ``ord_col`` it is not compared.
     """
     keys = _keys(keys)
     if prev is None:
         prev = batch.limit(0)
     present = set(prev.columns) | set(batch.columns)
     keep = list(keep_from_prev) + [s for s in STAMPS if s in present and s not in keep_from_prev]
-    exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + keep
+    exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + ([seq_col] if seq_col else []) + keep
     if prev_unique and strategy in ("auto", "touched"):
         batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
         if strategy == "touched" or _touched_only_pays(prev, batch_keys):
-            return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep)
-    tagged = union_by_name(tag(prev, 0, ord_col), tag(batch, 1, ord_col))
+            return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep,
+                                 seq_col)
+    tagged = union_by_name(tag(prev, 0, ord_col), tag(batch, 1, ord_col, seq_col))
     cols = _data_columns(tagged)
     g = _collapse(tagged, keys, with_prev=True)
     out = _unpack(g, cols, keys, keep)
@@ -233,13 +243,13 @@ def _null_safe_on(left: DataFrame, right_prefix: str, keys: list[str]) -> Column
 
 def _touched_only(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str],
                   ord_col: str | None, exclude: list[str], with_order: bool,
-                  classify: bool, keep: Sequence[str] = ()) -> DataFrame:
+                  classify: bool, keep: Sequence[str] = (), seq_col: str | None = None) -> DataFrame:
     prefix = "_sm_bk_"
     bk = F.broadcast(batch_keys.select(*[qcol(k).alias(prefix + k) for k in keys]))
     on = _null_safe_on(prev, prefix, keys)
     touched = prev.join(bk, on, "left_semi")
     untouched = prev.join(bk, on, "left_anti")
-    tagged = union_by_name(tag(touched, 0, ord_col), tag(batch, 1, ord_col))
+    tagged = union_by_name(tag(touched, 0, ord_col), tag(batch, 1, ord_col, seq_col))
     cols = _data_columns(tagged)
     g = _collapse(tagged, keys, with_prev=True)
     out = _unpack(g, cols, keys, keep)
@@ -277,7 +287,7 @@ def classify_changes(final: DataFrame, prev: DataFrame | None, keys: str | Seque
     tagged = union_by_name(tag(prev, 0, ord_col), tag(final, 1, ord_col))
     cols = [c for c in _data_columns(tagged) if c in final.columns]
     g = (_collapse(tagged, keys, with_prev=True)
-         .where(F.col(LAST).getField(SRC) == 1))
+         .where(F.col(LAST).getField(SRC) > 0))
     return g.select(*_unpack(g, cols, keys),
                     _change_type(_compare_fields(tagged, keys, exclude)).alias(CHANGE))
 

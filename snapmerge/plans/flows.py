@@ -51,7 +51,7 @@ def contracts_preview(extract: DataFrame, stored_preview: DataFrame | None, as_o
     keep-last by key (U-05), classify against the purged preview (Q-13)."""
     batch = contracts_batch(extract, as_of, spec)
     prev = FL.purge_stale_preview(stored_preview, spec.date_col, as_of) if stored_preview is not None else None
-    return M.accumulate_and_classify(prev, batch, spec.key, ord_col=spec.ord_col, with_order=True,
+    return M.accumulate_and_classify(prev, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                      prev_unique=prev_unique)
 
 
@@ -59,7 +59,7 @@ def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_o
                       spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-02: merge the preview into the rolling table (U-02), keep 90 days (F-04),
     classify against the stored table (J-01), route by run year (S-08)."""
-    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col,
+    merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                        with_order=True, prev_unique=prev_unique)
     return with_run_year(merged.where(P.within_rolling_days(spec.date_col, as_of)), as_of)
 
@@ -67,15 +67,16 @@ def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_o
 def contracts_annual(preview: DataFrame, stored_annual: DataFrame | None, as_of: dt.date,
                      spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-03: merge the preview into the permanent table — nothing ever leaves it."""
-    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col,
+    merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                        with_order=True, prev_unique=prev_unique)
     return with_run_year(merged, as_of)
 
 
 def _keep(spec: DatasetSpec) -> tuple[str, ...]:
-    """Configured columns plus the extract's order column, when the spec has one."""
+    """Configured columns plus the extract's order columns, when the spec has them."""
     keep = tuple(spec.keep_columns)
-    return keep + ((spec.ord_col,) if spec.ord_col and spec.ord_col not in keep else ())
+    extra = tuple(c for c in (spec.seq_col, spec.ord_col) if c and c not in keep)
+    return keep + extra
 
 
 def _data_only(df: DataFrame) -> DataFrame:
@@ -107,9 +108,9 @@ def store_activity_flow(extract: DataFrame, stored_preview, stored_official, as_
     """G-04: configured columns → accumulate the preview → accumulate the official table."""
     batch = S.select_configured(extract, _keep(spec))
     if preview is None:
-        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col,
+        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                             with_order=True, prev_unique=prev_unique)
-    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col,
+    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                          with_order=True, prev_unique=prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
 
@@ -122,7 +123,7 @@ def targets_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.
     that year's official table (routing by the row's own year)."""
     batch = S.select_configured(extract, _keep(spec))
     if preview is None:
-        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col,
+        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                             with_order=True, prev_unique=prev_unique)
     official = targets_official(preview, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
@@ -140,7 +141,7 @@ def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec
         # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True,
+    return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                      prev_unique=prev_unique)
 
 
@@ -153,7 +154,7 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
     current = extract.where(P.period_is_current(spec.period_col, as_of))
     prev_preview = (FL.purge_stale_period(stored_preview, spec.period_col, as_of)
                     if stored_preview is not None else None)
-    preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col,
+    preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                         with_order=True, prev_unique=prev_unique)
     official = portfolio_official(extract, stored_official, spec, prev_unique)
     return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
@@ -167,7 +168,7 @@ def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
         # distinct routing years: at most 10^4 four-digit values, whatever the data size
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
-    merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, with_order=True,
+    merged = M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                        prev_unique=prev_unique)
     return S.reorder_current_then_legacy(merged, extract.columns)
 
@@ -184,7 +185,7 @@ def commission_preview(batch: DataFrame, stored_preview: DataFrame | None,
     the report position as order (W-02), classify (J-01)."""
     if stored_preview is not None:
         batch = S.align_to_schema(S.harmonize_types(batch, stored_preview.schema), stored_preview.schema)
-    return M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, with_order=True,
+    return M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                      prev_unique=prev_unique)
 
 
@@ -214,7 +215,7 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
         data = S.align_to_schema(S.harmonize_types(data, target), target)
     else:
         stored_data = None
-    merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, with_order=True,
+    merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                        prev_unique=prev_unique, keep_from_prev=absent)
     return with_totals_and_order(merged)
 

@@ -117,15 +117,17 @@ def years_in(*frames: DataFrame | None, period_col: str) -> list[int]:
 
 
 def prepare_extract(extract: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DatasetSpec]:
-    """Landing columns → the dataset's order column.
+    """Landing columns → the dataset's order columns.
 
-    The file name and run epoch are dropped; the file-order column
-    (``extract_ord``) becomes the spec's order column, so keep-last inside a
-    batch follows the report's row order and the position is never compared
-    as data.
+    The entry name is dropped; the run epoch becomes the run sequence and the
+    position inside the extract (``extract_ord``) the spec's order column, so
+    keep-last follows run order, then the report's row order, and neither is
+    ever compared as data.
     """
-    drop = [c for c in (EX.FILE, EX.EPOCH) if c in extract.columns]
-    extract = extract.drop(*drop)
+    if EX.FILE in extract.columns:
+        extract = extract.drop(EX.FILE)
+    if EX.EPOCH in extract.columns and spec.seq_col is None:
+        spec = replace(spec, seq_col=EX.EPOCH)
     if EX.ORD not in extract.columns:
         return extract, spec
     if spec.ord_col is None:

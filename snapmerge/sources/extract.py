@@ -1,12 +1,19 @@
 """Report extracts on a landing folder (S-01, S-03, S-04, X-16).
 
-A landing file is named ``{dataset}_{epoch_seconds}.{parquet|csv}``, one per
-run.  Reading goes through an explicit schema (no per-file inference) and
-adds the two columns keep-last needs for a deterministic "last":
-
-* ``extract_epoch`` — the run stamp parsed from the file name;
-* ``extract_ord``   — ``epoch * 10^9 + row_index``: file order inside one file,
-  run order across files, independent of how Spark splits the files.
+A landing entry is named ``{dataset}_{epoch_seconds}.{parquet|csv}``, one per
+run; it may be a single file or a folder of part files written by Spark.
+Reading goes through an explicit schema (no per-file inference) and adds the
+columns keep-last needs for a deterministic "last":
+
+* ``extract_file``  — the landing entry's name;
+* ``extract_epoch`` — the run stamp parsed from that name (run order);
+* ``extract_ord``   — position inside the extract: ``part_number * 2^40 +
+  row_index``, i.e. file order across the part files of one extract,
+  independent of how Spark splits the files.
+
+Run order and position stay separate columns: keep-last uses the epoch as the
+run sequence and the position inside it (``seq_col`` / ``ord_col`` of
+:func:`snapmerge.operators.merge.accumulate_and_classify`).
 """
 
 from __future__ import annotations
@@ -15,9 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Landing file-name pattern and the order stride per run.
+# Landing entry pattern (anywhere in a path: the entry may be a
+# folder of part files), part-file number pattern, rows per part file slot.
 LANDING_PATTERN = r"^(.+)_(\d+)\.(parquet|csv)$"
-ORD_STRIDE = 1_000_000_000
+PATH_PATTERN = r"^(.*?/?([^/]+)_(\d+)\.(?:parquet|csv))(?:/.*)?$"
+PART_PATTERN = r"part-(\d+)"
+PART_STRIDE = 1 << 40
 
 EPOCH = "extract_epoch"
 ORD = "extract_ord"
@@ -29,35 +39,43 @@ def dataset_of(file_name: Column) -> Column:
 
 
 def epoch_of(file_name: Column) -> Column:
-    """X-16: epoch seconds from the landing file name (null when absent)."""
+    """X-16: epoch seconds from a landing entry name (null when absent)."""
     return F.regexp_extract(file_name, LANDING_PATTERN, 2).try_cast("long")
 
 
-def with_landing_columns(df: DataFrame) -> DataFrame:
-    """S-03: add file name, run epoch and the file-order position of every row."""
-    name = F.col("_metadata.file_name")
-    epoch = epoch_of(name)
-    ord_ = F.coalesce(epoch, F.lit(0)) * F.lit(ORD_STRIDE) + F.col("_metadata.row_index")
-    return df.select("*", name.alias(FILE), epoch.alias(EPOCH), ord_.alias(ORD))
+def _entry_path(path: Column) -> Column:
+    return F.regexp_extract(path, PATH_PATTERN, 1)
+
+
+def _entry_name(path: Column) -> Column:
+    return F.element_at(F.split(_entry_path(path), "/"), -1)
+
+
+def _part_number(file_name: Column) -> Column:
+    return F.coalesce(F.regexp_extract(file_name, PART_PATTERN, 1).try_cast("long"), F.lit(0).cast("long"))
+
+
+def with_landing_columns(df: DataFrame, row_index: bool = True) -> DataFrame:
+    """S-03: add the landing entry name, its run epoch and each row's position."""
+    path = F.col("_metadata.file_path")
+    entry = F.when(_entry_path(path) != "", _entry_name(path)).otherwise(F.col("_metadata.file_name"))
+    part = _part_number(F.col("_metadata.file_name"))
+    rows = F.col("_metadata.row_index") if row_index else F.lit(0).cast("long")
+    return df.select("*", entry.alias(FILE), epoch_of(entry).alias(EPOCH),
+                     (part * F.lit(PART_STRIDE) + rows).alias(ORD))
 
 
 def read_extract(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
                  fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """S-01: read one or more extracts with a declared schema, plus landing columns.
 
-    CSV has no ``row_index``; for CSV the order column falls back to the file's
-    epoch (rows of one file then tie-break on content).
+    CSV has no ``row_index``; for CSV the position is the part number only
+    (rows of one file then tie-break on content).
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
-    if fmt == "parquet":
-        return with_landing_columns(df)
-    name = F.col("_metadata.file_name")
-    epoch = epoch_of(name)
-    return df.select("*", name.alias(FILE), epoch.alias(EPOCH),
-                     (F.coalesce(epoch, F.lit(0)) * F.lit(ORD_STRIDE)).alias(ORD))
+    return with_landing_columns(reader.load(path), row_index=(fmt == "parquet"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -74,16 +92,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fm
 
 
 def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """S-03: one row per landing file — path, dataset, run epoch and run timestamp.
+    """S-03: one row per landing entry — path, dataset, run epoch, run timestamp,
+    bytes and number of part files.
 
     Uses the ``binaryFile`` source with only metadata columns selected, so no
-    file content is read; the listing itself is distributed by Spark.
+    file content is read; the listing itself is distributed by Spark.  Part
+    files of a Spark-written entry are grouped back into their entry.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(landing_dir).select("path", "modificationTime", "length"))
-    name = F.element_at(F.split("path", "/"), -1)
-    return (files.select("path", name.alias("file_name"), dataset_of(name).alias("dataset"),
-                         epoch_of(name).alias("epoch"), "length")
+             .option("pathGlobFilter", "*.{parquet,csv}")
+             .load(landing_dir).select("path", "length"))
+    entries = files.select(_entry_path(F.col("path")).alias("path"), _entry_name(F.col("path")).alias("file_name"),
+                           "length").where(F.col("path") != "")
+    per_entry = entries.groupBy("path", "file_name").agg(F.sum("length").alias("length"),
+                                                         F.count(F.lit(1)).alias("parts"))
+    return (per_entry.select("path", "file_name", dataset_of(F.col("file_name")).alias("dataset"),
+                             epoch_of(F.col("file_name")).alias("epoch"), "length", "parts")
             .where(F.col("epoch").isNotNull())
             .withColumn("run_ts", F.timestamp_seconds("epoch")))
 

@@ -24,6 +24,7 @@ class DatasetSpec:
     period_col: str | None = None
     footer_key: str | None = None                 # null here = report footer / totals row
     ord_col: str | None = None                    # position of a row inside its extract
+    seq_col: str | None = None                    # run sequence when a batch holds several extracts
     preview_policy: str = "forever"               # forever | month_carryover | current_period
     official_policy: str = "forever"              # forever | rolling_and_forever | upsert_with_totals
     routing: str | None = None                    # None | run_year | row_year

@@ -10,9 +10,9 @@ same merge used in batch mode, writing through the versioned store:
 * each micro-batch writes the version ``b{batch_id}``; when a batch is
   replayed after a failure between publish and checkpoint commit, the store
   already shows that version and the batch is skipped (idempotent);
-* keep-last order inside a micro-batch is ``extract_ord`` (run epoch from the
-  file name, then row position), so several files in one micro-batch give the
-  same result as one file per micro-batch.
+* keep-last order inside a micro-batch is the run epoch from the entry name
+  (``seq_col``), then the position inside the extract (``extract_ord``), so
+  several files in one micro-batch give the same result as one per micro-batch.
 
 Watermarks are deliberately not used: they follow the maximum event time, not
 the run date, and ``dropDuplicatesWithinWatermark`` keeps the *first* row,
@@ -40,11 +40,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(landing_dir)
-    name = F.col("_metadata.file_name")
-    epoch = X.epoch_of(name)
-    ord_ = F.coalesce(epoch, F.lit(0)) * F.lit(X.ORD_STRIDE) + F.col("_metadata.row_index")
-    return df.select("*", name.alias(X.FILE), epoch.alias(X.EPOCH), ord_.alias(X.ORD))
+    return X.with_landing_columns(reader.parquet(landing_dir))
 
 
 def accumulate_batch(store: TableStore, table: str, key: list[str],
@@ -61,11 +57,12 @@ def accumulate_batch(store: TableStore, table: str, key: list[str],
         if store.has_version(table, version):
             return  # replay of an already published micro-batch
         rows = transform(batch) if transform else batch
-        rows = rows.drop(*[c for c in (X.FILE, X.EPOCH, X.ORD) if c in rows.columns and c != ord_col])
+        rows = rows.drop(*[c for c in (X.FILE, X.ORD) if c in rows.columns and c != ord_col])
         stored = store.read(table)
         if stored is not None:
             stored = stored.drop(*[c for c in (M.CHANGE,) if c in stored.columns])
-        merged = M.accumulate_and_classify(stored, rows, key, ord_col=ord_col, prev_unique=stored is not None)
+        merged = M.accumulate_and_classify(stored, rows, key, ord_col=ord_col, seq_col=X.EPOCH,
+                                           prev_unique=stored is not None)
         store.overwrite(table, merged, version, key=key)
 
     return process

@@ -40,10 +40,11 @@ def test_stream_equals_batch(spark, workdir, files_per_trigger):
     q = stream_accumulate(spark, f"{land}/in", schema, store, "commission_stream", ["contract_code", "period"],
                           f"{workdir}/ckpt", max_files_per_trigger=files_per_trigger)
     q.awaitTermination()
-    streamed = store.read("commission_stream").drop(M.CHANGE, X.ORD)
-    # batch: all files at once, keep-last by run epoch then row position
+    streamed = store.read("commission_stream").drop(M.CHANGE, X.ORD, X.EPOCH)
+    # batch: all files at once, keep-last by run epoch then position inside the extract
     allx = X.read_extract(spark, f"{land}/in", schema)
-    batch = M.keep_last(allx.drop(X.FILE, X.EPOCH), ["contract_code", "period"], ord_col=X.ORD).drop(X.ORD)
+    batch = M.keep_last(allx.drop(X.FILE), ["contract_code", "period"], ord_col=X.ORD,
+                        seq_col=X.EPOCH).drop(X.ORD, X.EPOCH)
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(map(key, streamed.collect())) == sorted(map(key, batch.select(*streamed.columns).collect()))
     # replaying the stream (same checkpoint) changes nothing
@@ -59,3 +60,24 @@ def test_with_position_matches_row_number(spark):
     got = with_position(df, [F.col("g").asc(), F.col("id").asc()], "pos")
     want = df.withColumn("pos", F.row_number().over(Window.orderBy("g", "id")))
     assert sorted(got.select("id", "pos").collect()) == sorted(want.select("id", "pos").collect())
+
+
+def test_multi_part_landing_entry_keeps_file_order(spark, workdir):
+    # an extract written by Spark: a folder of part files named like a landing file
+    land = f"{workdir}/landing"
+    df = spark.range(0, 3000).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+    df.repartition(3).write.parquet(f"{land}/commission_1000000005.parquet")
+    ext = X.read_extract(spark, f"{land}/commission_1000000005.parquet")
+    rows = ext.select("k", "v", X.ORD, X.EPOCH, X.FILE, F.col("_metadata.file_name").alias("f")).collect()
+    assert {r[X.EPOCH] for r in rows} == {1000000005}
+    assert {r[X.FILE] for r in rows} == {"commission_1000000005.parquet"}
+    assert len({r[X.ORD] for r in rows}) == len(rows)                 # no position collides across parts
+    for r in rows:                                                   # position = (part number, row index)
+        assert r[X.ORD] >> 40 == int(r.f.split("-")[1])
+    want = {}
+    for r in sorted(rows, key=lambda r: r[X.ORD]):
+        want[r.k] = r.v                                              # last one in file order wins
+    got = {r.k: r.v for r in M.keep_last(ext.drop(X.FILE), "k", ord_col=X.ORD, seq_col=X.EPOCH).collect()}
+    assert got == want
+    files = X.landing_files(spark, land).collect()
+    assert len(files) == 1 and files[0].dataset == "commission" and files[0].parts == 3
