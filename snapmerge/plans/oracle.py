@@ -504,3 +504,23 @@ reg("stream_accumulate", f"""select * exclude (rn), 'new' as change_type from (
     select l_orderkey as contract_code, {period_sql('l_shipdate')} as period, l_suppkey as master_tax_id,
            cast(l_extendedprice as decimal(18,2)) as gross_amount, cast(l_tax * 100 as decimal(9,4)) as rate_pct,
            l_linenumber as ord from lineitem)) where rn = 1""")
+
+# ================================================================== landing folder
+def _epoch(x: dt.date) -> int:
+    return int(dt.datetime.combine(x, dt.time(6, 0), tzinfo=dt.timezone.utc).timestamp())
+
+
+_E_TURN, _E_MID = _epoch(A_TURN), _epoch(A_MID)
+reg("landing_run_id", with_(CONTRACTS, extract_cte(A_TURN, "x_turn"), extract_cte(A_MID, "x_mid"),
+                            STORE_ACTIVITY) + f"""
+select 'numero_contratos_{_E_TURN}.parquet' as file_name, 'numero_contratos' as dataset,
+       {_E_TURN}::bigint as epoch, (select count(*) from x_turn) as rows
+union all
+select 'numero_contratos_{_E_MID}.parquet', 'numero_contratos', {_E_MID}::bigint, (select count(*) from x_mid)
+union all
+select 'dias_sem_producao_{_E_MID}.parquet', 'dias_sem_producao', {_E_MID}::bigint,
+       (select count(*) from store_activity)""")
+reg("latest_extract_per_dataset", f"""select * from (values
+  ('numero_contratos', 'numero_contratos_{_E_MID}.parquet', {_E_MID}::bigint),
+  ('dias_sem_producao', 'dias_sem_producao_{_E_MID}.parquet', {_E_MID}::bigint),
+  ('comissao_a_vista', null::varchar, null::bigint)) t(dataset, file_name, epoch)""")

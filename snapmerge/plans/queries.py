@@ -671,3 +671,46 @@ def stream_accumulate(spark, sf):
                              ord_col="ord")
     q.awaitTermination()
     return store.read("commission_stream")
+
+
+# ================================================================== landing folder (S-03, S-04, X-16)
+def _epoch(d: dt.date) -> int:
+    return int(dt.datetime.combine(d, dt.time(6, 0), tzinfo=dt.timezone.utc).timestamp())
+
+
+def _write_landing(spark, sf) -> str:
+    """Land three extracts from the driver tables as ``{dataset}_{epoch}.parquet``
+    entries (Spark-written folders) in a fresh folder of the checkpoint root."""
+    import uuid
+    land = f"{checkpoint_root(spark)}/landing/{uuid.uuid4().hex}"
+    entries = [("numero_contratos", _epoch(A_TURN), SI.contracts_extract(spark, sf, A_TURN)),
+               ("numero_contratos", _epoch(A_MID), SI.contracts_extract(spark, sf, A_MID)),
+               ("dias_sem_producao", _epoch(A_MID), SI.store_activity(spark, sf))]
+    for dataset, epoch, df in entries:
+        df.write.parquet(f"{land}/{dataset}_{epoch}.parquet")
+    return land
+
+
+@query
+def landing_run_id(spark, sf):
+    """S-03 / X-16: every landing entry with its dataset, run epoch (from the name)
+    and the rows read from it."""
+    land = _write_landing(spark, sf)
+    files = EX.landing_files(spark, land).select("path", "file_name", "dataset", "epoch")
+    counts = [EX.read_extract(spark, r.path).groupBy(EX.FILE).agg(F.count(F.lit(1)).alias("rows"))
+              for r in files.select("path").collect()]   # one row per landing entry
+    rows = counts[0]
+    for c in counts[1:]:
+        rows = rows.unionByName(c)
+    return (files.join(rows, files.file_name == rows[EX.FILE])
+            .select("file_name", "dataset", "epoch", "rows"))
+
+
+@query
+def latest_extract_per_dataset(spark, sf):
+    """S-04: the newest landing entry per requested dataset (none for a dataset
+    without an entry)."""
+    land = _write_landing(spark, sf)
+    latest = EX.latest_extract_per_dataset(EX.landing_files(spark, land),
+                                           ["numero_contratos", "dias_sem_producao", "comissao_a_vista"])
+    return latest.select("dataset", F.element_at(F.split("path", "/"), -1).alias("file_name"), "epoch")
