@@ -25,8 +25,6 @@ from pyspark.sql import types as T
 # Landing entry pattern (anywhere in a path: the entry may be a
 # folder of part files), part-file number pattern, rows per part file slot.
 LANDING_PATTERN = r"^(.+)_(\d+)\.(parquet|csv)$"
-PATH_PATTERN = r"^(.*?/?([^/]+)_(\d+)\.(?:parquet|csv))(?:/.*)?$"
-PART_PATTERN = r"part-(\d+)"
 PART_STRIDE = 1 << 40
 
 EPOCH = "extract_epoch"
@@ -43,26 +41,44 @@ def epoch_of(file_name: Column) -> Column:
     return F.regexp_extract(file_name, LANDING_PATTERN, 2).try_cast("long")
 
 
-def _entry_path(path: Column) -> Column:
-    return F.regexp_extract(path, PATH_PATTERN, 1)
+def _landing_epoch(name: Column) -> Column:
+    """Epoch of a landing name ``{dataset}_{epoch}.{parquet|csv}``, else null.
 
-
-def _entry_name(path: Column) -> Column:
-    return F.element_at(F.split(_entry_path(path), "/"), -1)
+    String functions only (no regex): this runs once per row of every extract.
+    """
+    stem = F.substring_index(name, ".", 1)
+    epoch = F.substring_index(stem, "_", -1).try_cast("long")
+    is_landing = (name.endswith(".parquet") | name.endswith(".csv")) & F.instr(stem, "_").__gt__(0)
+    return F.when(is_landing, epoch)
 
 
 def _part_number(file_name: Column) -> Column:
-    return F.coalesce(F.regexp_extract(file_name, PART_PATTERN, 1).try_cast("long"), F.lit(0).cast("long"))
+    """``part-00003-…`` → 3 (Spark part files); 0 for any other file."""
+    num = F.substring_index(F.substring(file_name, 6, 64), "-", 1).try_cast("long")
+    return F.when(file_name.startswith("part-"), F.coalesce(num, F.lit(0).cast("long"))).otherwise(
+        F.lit(0).cast("long"))
 
 
 def with_landing_columns(df: DataFrame, row_index: bool = True) -> DataFrame:
-    """S-03: add the landing entry name, its run epoch and each row's position."""
-    path = F.col("_metadata.file_path")
-    entry = F.when(_entry_path(path) != "", _entry_name(path)).otherwise(F.col("_metadata.file_name"))
-    part = _part_number(F.col("_metadata.file_name"))
+    """S-03: add the landing entry name, its run epoch and each row's position.
+
+    The entry is the data file itself, or its folder when the folder carries the
+    landing name (a Spark-written entry).  Only cheap string functions run per
+    row; each is evaluated once (the parts are computed in their own projection).
+    """
+    name, parent = "_sm_file_name", "_sm_parent"
     rows = F.col("_metadata.row_index") if row_index else F.lit(0).cast("long")
-    return df.select("*", entry.alias(FILE), epoch_of(entry).alias(EPOCH),
-                     (part * F.lit(PART_STRIDE) + rows).alias(ORD))
+    path = F.col("_metadata.file_path")
+    step = df.select("*", F.col("_metadata.file_name").alias(name),
+                     F.substring_index(F.substring_index(path, "/", -2), "/", 1).alias(parent),
+                     rows.alias("_sm_row"))
+    own, up = _landing_epoch(F.col(name)), _landing_epoch(F.col(parent))
+    step = (step.withColumn("_sm_own", own).withColumn("_sm_up", up)
+            .withColumn(FILE, F.when(F.col("_sm_own").isNotNull(), F.col(name))
+                        .when(F.col("_sm_up").isNotNull(), F.col(parent)).otherwise(F.col(name)))
+            .withColumn(EPOCH, F.coalesce("_sm_own", "_sm_up")))
+    return (step.withColumn(ORD, _part_number(F.col(name)) * F.lit(PART_STRIDE) + F.col("_sm_row"))
+            .drop(name, parent, "_sm_row", "_sm_own", "_sm_up"))
 
 
 def read_extract(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
@@ -102,8 +118,14 @@ def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.{parquet,csv}")
              .load(landing_dir).select("path", "length"))
-    entries = files.select(_entry_path(F.col("path")).alias("path"), _entry_name(F.col("path")).alias("file_name"),
-                           "length").where(F.col("path") != "")
+    fname = F.substring_index(F.col("path"), "/", -1)
+    parent = F.substring_index(F.substring_index(F.col("path"), "/", -2), "/", 1)
+    own = _landing_epoch(fname).isNotNull()
+    up = _landing_epoch(parent).isNotNull()
+    folder = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)) - 1)")
+    entries = (files.select(F.when(own, F.col("path")).when(up, folder).alias("path"),
+                            F.when(own, fname).when(up, parent).alias("file_name"), "length")
+               .where(F.col("path").isNotNull()))
     per_entry = entries.groupBy("path", "file_name").agg(F.sum("length").alias("length"),
                                                          F.count(F.lit(1)).alias("parts"))
     return (per_entry.select("path", "file_name", dataset_of(F.col("file_name")).alias("dataset"),
