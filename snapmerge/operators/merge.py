@@ -29,6 +29,13 @@ by :mod:`snapmerge.sources.store` does) and the batch's distinct keys are
 two broadcast hash joins: untouched rows pass through unchanged without any
 shuffle, and only the touched rows plus the batch go through the aggregate.
 At 100 TB this keeps the shuffle proportional to the extract, not the history.
+
+Lookup plan — when the collapsed batch rows are proven small as well
+--------------------------------------------------------------------
+The batch is collapsed per key first (the only shuffle), its rows are
+broadcast, and each stored row looks its key up in a single scan; new keys are
+the collapsed batch minus the keys a key-only scan finds in the stored table.
+The history is then read once in full instead of twice.
 """
 
 from __future__ import annotations
@@ -192,7 +199,9 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     ``"auto"`` switches to the touched-only plan when ``prev_unique`` is true,
     the batch's distinct keys are proven small enough to broadcast and the
     stored table is proven several times larger than that key set;
-    ``"touched"`` forces it (still requires ``prev_unique``).
+    ``"touched"`` forces it (still requires ``prev_unique``); ``"auto"`` prefers
+    the lookup plan (:func:`_lookup`) when the collapsed batch rows fit the
+    broadcast bound too, and ``"lookup"`` forces that one.
     ``keep_from_prev``: columns that keep the previous row's value whenever the
     key existed (e.g. columns the batch no longer carries, Q-06); they are not
     compared.  The first-seen stamps (:data:`STAMPS`) always behave this way.
@@ -205,9 +214,12 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     present = set(prev.columns) | set(batch.columns)
     keep = list(keep_from_prev) + [s for s in STAMPS if s in present and s not in keep_from_prev]
     exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + ([seq_col] if seq_col else []) + keep
-    if prev_unique and strategy in ("auto", "touched"):
+    if prev_unique and strategy in ("auto", "touched", "lookup"):
         batch_keys = batch.select(*[qcol(k) for k in keys]).distinct()
-        if strategy == "touched" or _touched_only_pays(prev, batch_keys):
+        plan = strategy if strategy != "auto" else _stored_plan(prev, batch, batch_keys, keys, ord_col, seq_col)
+        if plan == "lookup":
+            return _lookup(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep, seq_col)
+        if plan == "touched":
             return _touched_only(prev, batch, batch_keys, keys, ord_col, exclude, with_order, classify, keep,
                                  seq_col)
     tagged = union_by_name(tag(prev, 0, ord_col), tag(batch, 1, ord_col, seq_col))
@@ -226,14 +238,43 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
 TOUCHED_RATIO = 4
 
 
-def _touched_only_pays(prev: DataFrame, batch_keys: DataFrame) -> bool:
-    """Two bounded proofs: the batch's keys fit a broadcast, and the stored table
+def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str],
+                 ord_col: str | None, seq_col: str | None) -> str:
+    """Pick the plan for a stored (unique-by-key) previous table.
+
+    Two bounded proofs: the batch's keys fit a broadcast, and the stored table
     is more than ``TOUCHED_RATIO`` times larger (so most of it can skip the
-    shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows."""
+    shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows.
+    The batch collapses to one row per key, so the key count also bounds the
+    collapsed batch: when those rows fit the byte bound too, ``"lookup"``
+    broadcasts them whole; otherwise ``"touched"`` broadcasts only the keys.
+    """
     n_keys = bounded_count(batch_keys, broadcast_row_limit(batch_keys))
-    if n_keys is None:
-        return False
-    return bounded_count(prev, TOUCHED_RATIO * max(n_keys, 1)) is None
+    if n_keys is None or bounded_count(prev, TOUCHED_RATIO * max(n_keys, 1)) is not None:
+        return "shuffle"
+    _, _, collapsed = _aligned_sides(prev, batch, keys, ord_col, seq_col)
+    return "lookup" if n_keys <= broadcast_row_limit(collapsed) else "touched"
+
+
+def _aligned_sides(prev: DataFrame, batch: DataFrame, keys: list[str], ord_col: str | None,
+                   seq_col: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both tagged sides projected to the union's columns and types, and the
+    batch collapsed to its newest row per key (``_BATCH_LAST``)."""
+    tp, tb = tag(prev, 0, ord_col), tag(batch, 1, ord_col, seq_col)
+    schema = union_by_name(tp, tb).schema
+    cols = [f.name for f in schema.fields]
+    missing = [k for k in keys if k not in cols]
+    if missing:
+        raise ValueError(f"key columns not found: {missing}")
+
+    def align(df: DataFrame) -> DataFrame:
+        return df.select(*[(qcol(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in schema.fields])
+
+    p, b = align(tp), align(tb)
+    vals = [c for c in _data_columns(p) if c not in keys]
+    collapsed = b.groupBy(*[qcol(k) for k in keys]).agg(F.max(_packed(vals)).alias(_BATCH_LAST))
+    return p, b, collapsed
 
 
 def _null_safe_on(left: DataFrame, right_prefix: str, keys: list[str]) -> Column:
@@ -271,6 +312,47 @@ def _touched_only(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys
     return merged.unionByName(rest.select(*merged.columns))
 
 
+def _lookup(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str],
+            ord_col: str | None, exclude: list[str], with_order: bool,
+            classify: bool, keep: Sequence[str] = (), seq_col: str | None = None) -> DataFrame:
+    """Stored table unique by key, collapsed batch proven small.
+
+    The batch alone is shuffled (to collapse it per key); its newest rows are
+    broadcast and every stored row looks its key up in one scan, so stored rows
+    are neither shuffled nor read in full twice.  New keys are the collapsed
+    batch minus the touched keys, found by a key-only scan of the stored table.
+    """
+    p, _, collapsed = _aligned_sides(prev, batch, keys, ord_col, seq_col)
+    cols = _data_columns(p)
+    vals = [c for c in cols if c not in keys]
+    prefix = "_sm_bk_"
+    looked_up = p.join(F.broadcast(collapsed.select(*[qcol(k).alias(prefix + k) for k in keys], _BATCH_LAST)),
+                       _null_safe_on(p, prefix, keys), "left_outer")
+    old_keys = looked_up.select(*[qcol(k) for k in keys],
+                                F.coalesce(F.col(_BATCH_LAST), _packed(vals)).alias(LAST),
+                                _packed(vals).alias(PREV))
+    bk = F.broadcast(batch_keys.select(*[qcol(k).alias(prefix + k) for k in keys]))
+    touched = p.select(*[qcol(k) for k in keys])
+    touched = touched.join(bk, _null_safe_on(touched, prefix, keys), "left_semi")
+    hit = "_sm_hit"
+    touched = F.broadcast(touched.select(*[qcol(k).alias(prefix + k) for k in keys], F.lit(True).alias(hit)))
+    prev_type = collapsed.schema[_BATCH_LAST].dataType
+    # an outer join + null test rather than an anti join: Catalyst would push an
+    # anti join below the batch aggregate and aggregate the batch a second time;
+    # this way both uses share one exchange of the batch (ReusedExchange)
+    new_keys = (collapsed.join(touched, _null_safe_on(collapsed, prefix, keys), "left_outer")
+                .where(F.col(hit).isNull())
+                .select(*[qcol(k) for k in keys], F.col(_BATCH_LAST).alias(LAST),
+                        F.lit(None).cast(prev_type).alias(PREV)))
+    g = old_keys.unionByName(new_keys)
+    out = _unpack(g, cols, keys, keep)
+    if classify:
+        out.append(_change_type(_compare_fields(p, keys, exclude)).alias(CHANGE))
+    if with_order:
+        out.extend(_order_columns())
+    return g.select(*out)
+
+
 def classify_changes(final: DataFrame, prev: DataFrame | None, keys: str | Sequence[str],
                      ord_col: str | None = None, compare_exclude: Sequence[str] = ()) -> DataFrame:
     """J-01: label each row of ``final`` against the previous snapshot.

@@ -130,6 +130,33 @@ def test_touched_only_plan_equals_shuffle_plan(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
+def test_lookup_plan_equals_shuffle_plan(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    (spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") % 9).cast("double").alias("x"),
+                                 F.lit("s").alias("only_stored"))
+     .write.parquet(path))
+    base = spark.read.parquet(path)
+    (spark.range(990, 1010).select(F.col("id").alias("k"), (F.col("id") % 4).cast("double").alias("x"),
+                                   F.col("id").alias("o"))
+     .unionByName(spark.createDataFrame([(None, 1.0, 3), (995, 7.0, 99)], "k long, x double, o long"))
+     .write.parquet(path + "_batch"))
+    batch = spark.read.parquet(path + "_batch")
+    for with_order in (False, True):
+        shuffle = M.accumulate_and_classify(base, batch, "k", ord_col="o", strategy="shuffle", with_order=with_order)
+        lookup = M.accumulate_and_classify(base, batch, "k", ord_col="o", prev_unique=True, with_order=with_order)
+        assert lookup.columns == shuffle.columns
+        assert rows(shuffle) == rows(lookup)
+    lookup.collect()
+    plan = lookup._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the batch is shuffled once for both uses, and the stored table is read
+    # once in full plus once for its key column only
+    assert "ReusedExchange" in plan
+    scans = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line]
+    assert sum("only_stored" in schema for schema in scans) == 1       # stored rows: one full read
+    assert sorted(scans).count("struct<k:bigint>") == 2                # stored keys, batch keys
+    assert len(scans) == 4                                             # + the batch rows
+
+
 def test_hot_key_is_collapsed_before_the_shuffle(spark):
     # a third of the rows share one key; the partial aggregate runs map-side
     hot = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),

@@ -59,3 +59,14 @@ def test_touched_only_plan_matches_model(spark, prev, batch):
     b = spark.createDataFrame(batch, SCHEMA)
     got = M.accumulate_and_classify(p, b, "k", ord_col="o", prev_unique=True, strategy="touched")
     assert observed(got) == model(unique_prev, batch)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(prev=rows_st, batch=rows_st)
+def test_lookup_plan_matches_model(spark, prev, batch):
+    # the lookup plan also requires a previous table with one row per key
+    unique_prev = list({r[0]: r for r in prev}.values())
+    p = spark.createDataFrame(unique_prev, SCHEMA)
+    b = spark.createDataFrame(batch, SCHEMA)
+    got = M.accumulate_and_classify(p, b, "k", ord_col="o", prev_unique=True, strategy="lookup")
+    assert observed(got) == model(unique_prev, batch)
