@@ -143,7 +143,8 @@ def test_lookup_plan_equals_shuffle_plan(spark, tmp_path):
     batch = spark.read.parquet(path + "_batch")
     for with_order in (False, True):
         shuffle = M.accumulate_and_classify(base, batch, "k", ord_col="o", strategy="shuffle", with_order=with_order)
-        lookup = M.accumulate_and_classify(base, batch, "k", ord_col="o", prev_unique=True, with_order=with_order)
+        lookup = M.accumulate_and_classify(base, batch, "k", ord_col="o", prev_unique=True, strategy="lookup",
+                                           with_order=with_order)
         assert lookup.columns == shuffle.columns
         assert rows(shuffle) == rows(lookup)
     lookup.collect()
@@ -157,6 +158,20 @@ def test_lookup_plan_equals_shuffle_plan(spark, tmp_path):
     assert len(scans) == 4                                             # + the batch rows
 
 
+def test_stored_plan_choice(spark, monkeypatch):
+    base = spark.range(0, 1000).select(F.col("id").alias("k"), F.col("id").cast("double").alias("x"))
+    small = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit(1.0).alias("x"))
+    big = spark.range(0, 900).select(F.col("id").alias("k"), F.lit(1.0).alias("x"))
+
+    def plan(batch):
+        return M._stored_plan(base, batch, batch.select("k").distinct(), ["k"], None, None)
+
+    assert plan(small) == "touched"            # history under LOOKUP_MIN_ROWS
+    monkeypatch.setattr(M, "LOOKUP_MIN_ROWS", 100)
+    assert plan(small) == "lookup"             # history proven large, batch rows fit
+    assert plan(big) == "shuffle"              # history not TOUCHED_RATIO x the batch keys
+
+
 def test_hot_key_is_collapsed_before_the_shuffle(spark):
     # a third of the rows share one key; the partial aggregate runs map-side
     hot = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
