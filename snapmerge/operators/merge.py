@@ -405,13 +405,22 @@ def classify_changes(final: DataFrame, prev: DataFrame | None, keys: str | Seque
                     _change_type(_compare_fields(tagged, keys, exclude)).alias(CHANGE))
 
 
-def count_new_keys(final: DataFrame, prev: DataFrame | None, keys: str | Sequence[str]) -> DataFrame:
+def count_new_keys(final: DataFrame, prev: DataFrame | None, keys: str | Sequence[str],
+                   max_broadcast_rows: int | None = None) -> DataFrame:
     """J-02 / U-07: number of distinct keys of ``final`` absent from ``prev``.
 
-    One aggregate over the tagged key union (partial aggregation before the
-    shuffle); no previous table → every distinct key is new (Q-16).
+    When ``final``'s distinct keys are proven small, they are broadcast and a
+    key-only scan of ``prev`` finds the ones already seen (broadcast semi join,
+    no shuffle of ``prev``); the rest are new.  Otherwise one aggregate over the
+    tagged key union (partial aggregation before the shuffle).  No previous
+    table → every distinct key is new (Q-16).  Null keys count as one key.
     """
     keys = _keys(keys)
+    distinct_keys = final.select(*[qcol(k) for k in keys]).distinct()
+    if prev is not None:
+        limit = broadcast_row_limit(distinct_keys) if max_broadcast_rows is None else max_broadcast_rows
+        if bounded_count(distinct_keys, limit) is not None:
+            return _count_unseen(distinct_keys, prev, keys)
     kf = final.select(*[qcol(k) for k in keys]).withColumn(SRC, F.lit(1))
     if prev is None:
         u = kf
@@ -422,6 +431,17 @@ def count_new_keys(final: DataFrame, prev: DataFrame | None, keys: str | Sequenc
     return per_key.agg(F.count_if(F.col("_in_final") & ~F.col("_in_prev")).alias("new_keys"))
 
 
+def _count_unseen(distinct_keys: DataFrame, prev: DataFrame, keys: list[str]) -> DataFrame:
+    prefix, hit = "_sm_bk_", "_sm_hit"
+    pk = prev.select(*[qcol(k) for k in keys])
+    bk = F.broadcast(distinct_keys.select(*[qcol(k).alias(prefix + k) for k in keys]))
+    seen = pk.join(bk, _null_safe_on(pk, prefix, keys), "left_semi").distinct()
+    seen = F.broadcast(seen.select(*[qcol(k).alias(prefix + k) for k in keys], F.lit(True).alias(hit)))
+    return (distinct_keys.join(seen, _null_safe_on(distinct_keys, prefix, keys), "left_outer")
+            .where(F.col(hit).isNull())
+            .agg(F.count(F.lit(1)).alias("new_keys")))
+
+
 def split_by_change(classified: DataFrame) -> dict[str, DataFrame]:
     """J-04: separate ``new`` / ``edited`` / ``unchanged`` outputs."""
     return {t: classified.where(F.col(CHANGE) == t) for t in (NEW, EDITED, UNCHANGED)}

@@ -94,11 +94,25 @@ def test_previous_with_duplicate_keys_is_read_last_wins(spark):
 def test_count_new_keys_and_summary(spark, prev):
     batch = spark.createDataFrame([(4, "d", 1.0, None), (4, "d2", 2.0, None), (1, "a", 10.0, None)], SCHEMA)
     assert M.count_new_keys(batch, prev, "k").first()["new_keys"] == 1
+    assert M.count_new_keys(batch, prev, "k", max_broadcast_rows=1).first()["new_keys"] == 1  # union plan
     assert M.count_new_keys(batch, None, "k").first()["new_keys"] == 2
     s = M.change_summary(M.accumulate_and_classify(prev, batch, "k")).first()
     assert s["new_rows"] + s["edited_rows"] + s["unchanged_rows"] == s["total_rows"] == 5
 
 
+def test_count_new_keys_plans_agree(spark):
+    prev = spark.createDataFrame([(None, 1), (1, 1), (1, 2), (2, None), (3, 3)], "a int, b int")
+    batch = spark.createDataFrame([(None, 1), (None, 1), (1, 2), (2, None), (2, 2), (None, None), (5, 5)],
+                                  "a int, b int")
+    want = len({tuple(r) for r in batch.collect()} - {tuple(r) for r in prev.collect()})   # 3
+    for limit in (None, 1):
+        got = M.count_new_keys(batch, prev, ["a", "b"], max_broadcast_rows=limit)
+        assert got.first()["new_keys"] == want
+        assert dict(got.dtypes) == {"new_keys": "bigint"}
+    plan = M.count_new_keys(batch, prev, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
 def test_properties_idempotence_monotone_one_row_per_key(spark):
     base = spark.range(0, 200).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("x"))
     batch = spark.range(150, 260).select(F.col("id").alias("k"), (F.col("id") % 5).cast("double").alias("x"))
