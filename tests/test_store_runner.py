@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapmerge.operators import merge as M
@@ -15,6 +16,14 @@ from conftest import SF_SMALL
 AS_OF = SI.A_MID
 
 
+@pytest.fixture(params=["auto", "lookup"])
+def merge_plan(request, monkeypatch):
+    """Run a store test as is, and again with the lookup plan allowed for any stored table size."""
+    if request.param == "lookup":
+        monkeypatch.setattr(M, "LOOKUP_MIN_ROWS", 0)
+    return request.param
+
+
 def test_read_or_empty_and_publish(spark, workdir):
     store = TableStore(spark, workdir)
     assert store.read("missing") is None
@@ -43,7 +52,7 @@ def _extract(spark, as_of):
     return SI.contracts_extract(spark, SF_SMALL, as_of)
 
 
-def test_contracts_run_sequence(spark, workdir):
+def test_contracts_run_sequence(spark, workdir, merge_plan):
     store = TableStore(spark, workdir)
     # run 1: empty store, everything new
     r1 = RN.run_dataset(spark, store, "numero_contratos", _extract(spark, AS_OF), AS_OF, "r1")
@@ -83,7 +92,7 @@ def test_failure_is_isolated(spark, workdir):
     assert store.read_log(RN.HISTORY_TABLE).count() == 3
 
 
-def test_commission_official_keeps_one_totals_row(spark, workdir):
+def test_commission_official_keeps_one_totals_row(spark, workdir, merge_plan):
     store = TableStore(spark, workdir)
     ext = SI.commission_raw_headers(spark, SF_SMALL, SI.A_TURN)
     RN.run_dataset(spark, store, "comissao_a_vista", ext, SI.A_TURN, "r1")
@@ -118,7 +127,7 @@ def test_landing_files_and_read_extract(spark, workdir):
     assert ext.count() == ext.select("extract_ord").distinct().count()
 
 
-def test_classify_labels_survive_store_roundtrip(spark, workdir):
+def test_classify_labels_survive_store_roundtrip(spark, workdir, merge_plan):
     store = TableStore(spark, workdir)
     RN.run_dataset(spark, store, "dias_sem_producao", SI.store_activity(spark, SF_SMALL), AS_OF, "r1")
     off = store.read("store_activity_official")
@@ -150,7 +159,7 @@ def test_year_routed_run_reads_only_years_present(spark, workdir):
     assert RN.years_in(p, period_col="period") == [2001]
 
 
-def test_append_order_persists_across_runs(spark, workdir):
+def test_append_order_persists_across_runs(spark, workdir, merge_plan):
     store = TableStore(spark, workdir)
     s1 = SI.store_activity(spark, SF_SMALL).where("vintage < 200001")
     RN.run_dataset(spark, store, "dias_sem_producao", s1, AS_OF, "r1",
@@ -209,7 +218,7 @@ def test_job_runs_latest_extract_per_dataset(spark, workdir):
     assert by["comissao_a_vista"].note == "no extract for this run"
 
 
-def test_job_keep_last_follows_file_order_and_reruns_are_noops(spark, workdir):
+def test_job_keep_last_follows_file_order_and_reruns_are_noops(spark, workdir, merge_plan):
     from snapmerge.job import run_job
     land = f"{workdir}/landing"
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -245,7 +254,7 @@ def test_new_dataset_by_spec_only(spark, workdir):
         REGISTRY.pop(spec.dataset_id, None)
 
 
-def test_rows_leaving_a_table_are_published(spark, workdir):
+def test_rows_leaving_a_table_are_published(spark, workdir, merge_plan):
     store = TableStore(spark, workdir)
     ext = SI.contracts_extract(spark, SF_SMALL, AS_OF)
     RN.run_dataset(spark, store, "numero_contratos", ext, AS_OF, "r1")
