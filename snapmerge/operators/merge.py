@@ -240,6 +240,14 @@ TOUCHED_RATIO = 4
 # stored table; below this many stored rows the extra stage costs more (on
 # local[8]: 1.5 s slower on a 49k-row history, even at 4.8M rows).
 LOOKUP_MIN_ROWS = 4_000_000
+# Session setting that overrides LOOKUP_MIN_ROWS (e.g. lower on object storage,
+# where the second full read of the history costs more than on local disk).
+LOOKUP_MIN_ROWS_CONF = "snapmerge.lookupMinRows"
+
+
+def _lookup_min_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(LOOKUP_MIN_ROWS_CONF, None)
+    return LOOKUP_MIN_ROWS if value in (None, "") else int(value)
 
 
 def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys: list[str],
@@ -251,14 +259,15 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows.
     The batch collapses to one row per key, so the key count also bounds the
     collapsed batch: when those rows fit the byte bound too and the stored
-    table is proven to hold over ``LOOKUP_MIN_ROWS`` rows, ``"lookup"``
+    table is proven to hold over ``LOOKUP_MIN_ROWS`` rows (or the session's
+    ``snapmerge.lookupMinRows``), ``"lookup"``
     broadcasts them whole; otherwise ``"touched"`` broadcasts only the keys.
     """
     n_keys = bounded_count(batch_keys, broadcast_row_limit(batch_keys))
     if n_keys is None:
         return "shuffle"
     ratio_rows = TOUCHED_RATIO * max(n_keys, 1)
-    n_prev = bounded_count(prev, max(ratio_rows, LOOKUP_MIN_ROWS))
+    n_prev = bounded_count(prev, max(ratio_rows, _lookup_min_rows(prev)))
     if n_prev is not None and n_prev <= ratio_rows:
         return "shuffle"
     if n_prev is None:

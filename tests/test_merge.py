@@ -181,6 +181,12 @@ def test_stored_plan_choice(spark, monkeypatch):
         return M._stored_plan(base, batch, batch.select("k").distinct(), ["k"], None, None)
 
     assert plan(small) == "touched"            # history under LOOKUP_MIN_ROWS
+    spark.conf.set(M.LOOKUP_MIN_ROWS_CONF, "100")
+    try:
+        assert plan(small) == "lookup"         # threshold from the session
+    finally:
+        spark.conf.unset(M.LOOKUP_MIN_ROWS_CONF)
+    assert plan(small) == "touched"
     monkeypatch.setattr(M, "LOOKUP_MIN_ROWS", 100)
     assert plan(small) == "lookup"             # history proven large, batch rows fit
     assert plan(big) == "shuffle"              # history not TOUCHED_RATIO x the batch keys
