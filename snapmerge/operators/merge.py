@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import qcol, quote, rows_equal, values_equal
-from .sizing import bounded_count, broadcast_row_limit
+from .sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_count, broadcast_row_limit
 
 SRC = "_sm_src"
 ORD = "_sm_ord"
@@ -258,10 +258,11 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     is more than ``TOUCHED_RATIO`` times larger (so most of it can skip the
     shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows.
     The batch collapses to one row per key, so the key count also bounds the
-    collapsed batch: when those rows fit the byte bound too and the stored
-    table is proven to hold over ``LOOKUP_MIN_ROWS`` rows (or the session's
-    ``snapmerge.lookupMinRows``), ``"lookup"``
-    broadcasts them whole; otherwise ``"touched"`` broadcasts only the keys.
+    collapsed batch.  When those rows are measured to fit the byte bound
+    (:func:`_collapsed_batch_fits`) and the stored table is proven to hold over
+    ``LOOKUP_MIN_ROWS`` rows (or the session's ``snapmerge.lookupMinRows``),
+    ``"lookup"`` broadcasts them whole; otherwise ``"touched"`` broadcasts
+    only the keys.
     """
     n_keys = bounded_count(batch_keys, broadcast_row_limit(batch_keys))
     if n_keys is None:
@@ -271,12 +272,36 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     if n_prev is not None and n_prev <= ratio_rows:
         return "shuffle"
     if n_prev is None:
-        _, _, collapsed = _aligned_sides(prev, batch, keys, ord_col, seq_col)
-        if n_keys <= broadcast_row_limit(collapsed):
+        _, b, _ = _aligned_sides(prev, batch, keys, ord_col, seq_col)
+        if _collapsed_batch_fits(b, n_keys):
             return "lookup"
     return "touched"
 
 
+def _collapsed_batch_fits(b: DataFrame, n_keys: int) -> bool:
+    """Bound the broadcast of the collapsed batch (``n_keys`` rows, each a subset
+    of the batch's rows) by measurement, not by a width estimate.
+
+    Each row holds the key fields and a struct of all fields; a field slot is
+    8 bytes plus up to 8 bytes of alignment for variable-length values, and
+    the variable-length bytes of all chosen rows are at most those of the whole
+    batch, summed in one aggregate pass.  The hashed relation is counted twice.
+    Nested columns have no such bound, so they never take this plan.
+    """
+    fields = b.schema.fields
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
+        return False
+    var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    slot_bytes = n_keys * 8 * (2 * len(fields) + 4 + len(var))
+    if 2 * slot_bytes > DEFAULT_MAX_BROADCAST_BYTES:
+        return False
+    if not var:
+        return True
+    var_bytes = reduce(lambda x, y: x + y, [F.coalesce(F.sum(F.octet_length(qcol(c))), F.lit(0)) for c in var])
+    total = b.agg(var_bytes.alias("var_bytes")).first()["var_bytes"]
+    return 2 * (slot_bytes + total) <= DEFAULT_MAX_BROADCAST_BYTES
+
+
 def _aligned_sides(prev: DataFrame, batch: DataFrame, keys: list[str], ord_col: str | None,
                    seq_col: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Both tagged sides projected to the union's columns and types, and the

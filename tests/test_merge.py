@@ -190,6 +190,16 @@ def test_stored_plan_choice(spark, monkeypatch):
     monkeypatch.setattr(M, "LOOKUP_MIN_ROWS", 100)
     assert plan(small) == "lookup"             # history proven large, batch rows fit
     assert plan(big) == "shuffle"              # history not TOUCHED_RATIO x the batch keys
+    long_text = small.withColumn("note", F.repeat(F.lit("x"), 4 * 1024 * 1024))
+    assert plan(long_text) == "touched"        # measured text bytes exceed the broadcast bound
+
+
+def test_collapsed_batch_bound_is_measured(spark):
+    b = spark.range(10).select(F.col("id").alias("k"), F.lit("abc").alias("s"))
+    assert M._collapsed_batch_fits(b, 10)
+    assert not M._collapsed_batch_fits(b.withColumn("s", F.repeat(F.lit("y"), 4 * 1024 * 1024)), 10)
+    assert not M._collapsed_batch_fits(b.withColumn("a", F.array(F.lit(1))), 10)     # nested: no bound
+    assert not M._collapsed_batch_fits(b, 2_000_000)                                 # slots alone too big
 
 
 def test_hot_key_is_collapsed_before_the_shuffle(spark):
