@@ -48,7 +48,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import qcol, quote, rows_equal, values_equal
-from .sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_count, broadcast_row_limit
+from .sizing import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, bounded_count,
+                     measured_bytes, proven_rows)
 
 SRC = "_sm_src"
 ORD = "_sm_ord"
@@ -264,7 +265,7 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     ``"lookup"`` broadcasts them whole; otherwise ``"touched"`` broadcasts
     only the keys.
     """
-    n_keys = bounded_count(batch_keys, broadcast_row_limit(batch_keys))
+    n_keys = proven_rows(batch_keys)
     if n_keys is None:
         return "shuffle"
     ratio_rows = TOUCHED_RATIO * max(n_keys, 1)
@@ -291,15 +292,13 @@ def _collapsed_batch_fits(b: DataFrame, n_keys: int) -> bool:
     fields = b.schema.fields
     if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
         return False
-    var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    slot_bytes = n_keys * 8 * (2 * len(fields) + 4 + len(var))
-    if 2 * slot_bytes > DEFAULT_MAX_BROADCAST_BYTES:
-        return False
-    if not var:
-        return True
-    var_bytes = reduce(lambda x, y: x + y, [F.coalesce(F.sum(F.octet_length(qcol(c))), F.lit(0)) for c in var])
-    total = b.agg(var_bytes.alias("var_bytes")).first()["var_bytes"]
-    return 2 * (slot_bytes + total) <= DEFAULT_MAX_BROADCAST_BYTES
+    n_var = sum(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in fields)
+    if 2 * n_keys * 8 * (2 * len(fields) + 4 + n_var) > DEFAULT_MAX_BROADCAST_BYTES:
+        return False       # slots alone are too big: skip the measuring pass
+    # a collapsed row = key slots + a struct of every field; measured_bytes
+    # covers one copy of every field and the batch's variable-length bytes
+    size = measured_bytes(b, n_keys)
+    return size is not None and 2 * (size + n_keys * 8 * (len(fields) + 2)) <= DEFAULT_MAX_BROADCAST_BYTES
 
 
 def _aligned_sides(prev: DataFrame, batch: DataFrame, keys: list[str], ord_col: str | None,
@@ -452,8 +451,8 @@ def count_new_keys(final: DataFrame, prev: DataFrame | None, keys: str | Sequenc
     keys = _keys(keys)
     distinct_keys = final.select(*[qcol(k) for k in keys]).distinct()
     if prev is not None:
-        limit = broadcast_row_limit(distinct_keys) if max_broadcast_rows is None else max_broadcast_rows
-        if bounded_count(distinct_keys, limit) is not None:
+        limit = DEFAULT_MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+        if proven_rows(distinct_keys, limit) is not None:
             return _count_unseen(distinct_keys, prev, keys)
     kf = final.select(*[qcol(k) for k in keys]).withColumn(SRC, F.lit(1))
     if prev is None:

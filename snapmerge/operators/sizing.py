@@ -3,11 +3,14 @@
 A side is broadcast only after Spark has *proven* it is small: ``limit(n + 1)``
 stops scanning as soon as one row more than the bound is seen, so the check
 costs at most ``n + 1`` rows of work even when the side turns out to be huge.
-Otherwise the caller's shuffle-based plan is used.
+Otherwise the caller's shuffle-based plan is used.  Byte sizes are measured
+(:func:`measured_bytes`), so long strings cannot slip past a width estimate.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,10 +56,39 @@ def broadcast_row_limit(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     return min(max_rows, max(1, max_bytes // row_width(df)))
 
 
+def measured_bytes(df: DataFrame, n_rows: int) -> int | None:
+    """Upper bound of ``df``'s size as ``n_rows`` binary rows: 8 bytes per field
+    slot and row header, up to 8 bytes of alignment per variable-length value,
+    plus the actual bytes of the string / binary columns, summed in one
+    aggregate pass.  ``None`` for nested columns, which have no such bound."""
+    fields = df.schema.fields
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in fields):
+        return None
+    var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    slots = n_rows * 8 * (len(fields) + 2 + len(var))
+    if not var or n_rows == 0:
+        return slots
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in var])
+    return slots + df.agg(total.alias("var_bytes")).first()["var_bytes"]
+
+
+def proven_rows(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int | None:
+    """Row count of ``df`` when it is proven within both bounds, else ``None``.
+
+    The row count is bounded first (``limit(n + 1)``); only then are the
+    variable-length bytes measured, over a side already known to be small."""
+    n = bounded_count(df, broadcast_row_limit(df, max_rows, max_bytes))
+    if n is None:
+        return None
+    size = measured_bytes(df, n)
+    return n if size is not None and size <= max_bytes else None
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """True when ``df`` is proven to be within both bounds."""
-    return bounded_count(df, broadcast_row_limit(df, max_rows, max_bytes)) is not None
+    return proven_rows(df, max_rows, max_bytes) is not None
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,

@@ -95,3 +95,14 @@ def test_tolerant_equality_is_null_safe(spark):
         X.values_equal(F.col("a"), F.col("b"), T.DoubleType()).alias("nn"),
         X.values_equal(F.col("c"), F.col("d"), T.DoubleType()).alias("close")).first()
     assert r.nn is True and r.close is True
+
+
+def test_broadcast_bound_measures_string_bytes(spark):
+    from snapmerge.operators import sizing as S
+    short = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    assert S.proven_rows(short) == 100
+    assert S.measured_bytes(short, 100) == 100 * 8 * 4 + sum(len(str(i)) for i in range(100))
+    long_keys = spark.range(20).select(F.concat(F.repeat(F.lit("k"), 4 * 1024 * 1024), F.col("id")).alias("k"))
+    assert S.bounded_count(long_keys, S.broadcast_row_limit(long_keys)) == 20   # the estimate alone would pass
+    assert S.proven_rows(long_keys) is None                                      # the measurement does not
+    assert S.proven_rows(spark.range(3).select(F.array("id").alias("a"))) is None
