@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmerge.llm import decontam, simhash
+import public_tokenizers
+
+from snapmerge.llm import decontam, line_rules, packing, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +28,30 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash)}
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word rules of every document, and whether it is kept after lines common to its source are removed."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                         "base_failed", "kept", "removed_words")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """Every document's token pieces and their places in sequences of at most 2048 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+    cut = cut.select("doc_id", "piece", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"))
+    return packing.pack(cut)
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 16 shards of nearly equal bytes."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return sharding.shard_documents(docs, keep_text=False).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op6_line_rules, op7_packing, op9_sharding)}
 
 OP1_SQL = r"""
 WITH words AS (
