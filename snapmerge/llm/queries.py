@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from snapmerge.llm import decontam, line_rules, packing, sharding, simhash
+from snapmerge.llm import decontam, html_text, line_rules, packing, repeats, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from three quarters of the labelled rows."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id"), 4, 2))
+    return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat elsewhere in strings of 400, and the digest of what is left."""
+    return repeats.digest(repeats.mark_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word rules of every document, and whether it is kept after lines common to its source are removed."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -43,6 +55,12 @@ def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = N
     return packing.pack(cut)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in 16 shards of nearly equal bytes."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -51,7 +69,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op6_line_rules, op7_packing, op9_sharding)}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_toxicity, op4_suffix_dedup, op6_line_rules,
+                                   op7_packing, op8_warc, op9_sharding, op10_html_text)}
 
 OP1_SQL = r"""
 WITH words AS (

@@ -57,13 +57,13 @@ def _histogram(keyed: DataFrame, probes: list[tuple]) -> dict[int, dict]:
 
 
 def _candidates(low: tuple, high: tuple) -> list[tuple]:
-    """Boundaries above ``low`` and up to ``high``, evenly spaced in the first part of the key that differs."""
+    """Both ends of the interval, and boundaries evenly spaced in the first part of the key that differs."""
+    steps: set[tuple] = {low, (*high[:2], high[2] + 1)}
     for level in range(3):
         if low[level] != high[level]:
             gap = high[level] - low[level]
-            steps = sorted({low[level] + max(1, gap * k // PROBES) for k in range(1, PROBES + 1)})
-            return [(*low[:level], s, *([LOWEST] * (2 - level))) for s in steps]
-    return []
+            return [*steps, *((*low[:level], low[level] + max(1, gap * k // PROBES), *([LOWEST] * (2 - level))) for k in range(1, PROBES + 1))]
+    return [*steps]
 
 
 def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[tuple]:
