@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -70,6 +71,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def beside(docs: DataFrame, needs: list[str], adds: list[str], work) -> DataFrame:
+    """``work`` on the columns it needs, the others kept out of its way under private names and given back after.
+
+    Of the needed columns those come back that ``work`` returns; a column that it adds takes the place of one of ``docs`` with that name.
+    """
+    new = {a.lower() for a in adds}
+    others = [c for c in docs.columns if c not in needs]
+    out = work(docs.select(*needs, *(F.col(f"`{c}`").alias(f"_extra{i}") for i, c in enumerate(others))))
+    back = [F.col(c) for c in needs if c in out.columns and c.lower() not in new]
+    back += [F.col(f"_extra{i}").alias(c) for i, c in enumerate(others) if c.lower() not in new and f"_extra{i}" in out.columns]
+    return out.select(*back, *adds)
+
+
+def with_fields(docs: DataFrame, without: tuple[str, ...], added: str) -> T.StructType:
+    """Schema of the columns of ``docs`` but some, followed by those of the DDL text ``added``."""
+    return T.StructType([f for f in docs.schema.fields if f.name not in without] + T.StructType.fromDDL(added).fields)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and the offsets of its rows (nulls: empty)."""
     a = column.cast(pa.large_string()).fill_null("")

@@ -119,8 +119,7 @@ def _candidates(docs: DataFrame, windows: DataFrame, bits: int) -> DataFrame:
                         pa.array(np.diff(first), pa.int64()), pa.array(segs, schema)]
                 yield pa.RecordBatch.from_arrays(out, names=[*keep, "text_key", "n_words", "segs"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(scan, f"{fields}{', ' if fields else ''}text_key string, n_words long, segs array<struct<at: int, words: string>>")
+    return docs.mapInArrow(scan, C.with_fields(docs, ("text",), "text_key string, n_words long, segs array<struct<at: int, words: string>>"))
 
 
 def find_hits(found: DataFrame, windows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -159,11 +158,16 @@ def find_hits(found: DataFrame, windows: DataFrame, window: int = WINDOW) -> Dat
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bits: int = BITS) -> DataFrame:
-    """Columns of ``docs`` without text, plus n_words, n_hit, n_items, items (sorted strings) and contaminated.
+    """Columns of ``docs`` without text, plus text_key (a hash of the text), n_words, n_hit, n_items, items (sorted strings) and contaminated.
 
     contaminated: n_hit > 0 and 20 * n_hit >= n_words.
     """
     C.ship(docs.sparkSession)
+    return C.beside(docs, ["text"], ["text_key", "n_words", "n_hit", "n_items", "items", "contaminated"],
+                    lambda inner: _judged(inner, benchmark, window, bits))
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, bits: int) -> DataFrame:
     windows, owners = item_windows(benchmark, window)
     windows = C.stage(windows, "decontam-windows")
     found = C.stage(_candidates(docs, windows, bits), "decontam-runs")

@@ -16,6 +16,7 @@ columns pass through; repeated rows get equal results each.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import numpy as np
@@ -42,6 +43,10 @@ SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
+#: a tag that the end of the page cuts off
+_OPEN_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
+
+
 def _marked(tag: str, attrs: list, in_region: bool) -> bool:
     """Whether an element is page furniture or hidden."""
     if tag in FURNITURE and not (tag == "header" and in_region):
@@ -136,7 +141,7 @@ class _Lines(HTMLParser):
 def page_lines(html: str) -> list[tuple[str, int, int, int, bool]]:
     """(text, tags, link characters, region, furniture) of each block with text, in page order."""
     p = _Lines()
-    p.feed(html)
+    p.feed(_OPEN_TAG.sub("", html))
     p.close()
     p._flush()
     return p.lines
@@ -178,7 +183,11 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """Columns of ``pages`` without html, plus text and n_chars."""
     C.ship(pages.sparkSession)
-    keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
+    return C.beside(pages, ["html"], ["text", "n_chars"], _extracted)
+
+
+def _extracted(pages: DataFrame) -> DataFrame:
+    keep = [c for c in pages.columns if c != "html"]
 
     def scan(batches):
         for b in batches:
@@ -188,5 +197,4 @@ def extract(pages: DataFrame) -> DataFrame:
                     [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=[*keep, "text", "n_chars"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.schema if f.name in keep)
-    return pages.mapInArrow(scan, f"{fields}text string, n_chars long")
+    return pages.mapInArrow(scan, C.with_fields(pages, ("html",), "text string, n_chars long"))

@@ -99,8 +99,8 @@ def measure(docs: DataFrame, with_text: bool = False) -> DataFrame:
                     [*(part.column(part.schema.get_field_index(c)) for c in keep), *(pa.array(n[c], pa.int64()) for c in _COUNTS), keys, lines],
                     names=[*keep, *_COUNTS, "text_key", "lines"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in keep)
-    return docs.mapInArrow(scan, fields + "".join(f"{c} long, " for c in _COUNTS) + "text_key long, lines array<struct<k: long, n: int>>")
+    counts = "".join(f"{c} long, " for c in _COUNTS)
+    return docs.mapInArrow(scan, C.with_fields(docs, () if with_text else ("text",), f"{counts}text_key long, lines array<struct<k: long, n: int>>"))
 
 
 def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
@@ -113,7 +113,12 @@ def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float
 
 
 def judge(docs: DataFrame, with_text: bool = False, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_loss: float = MAX_LOSS) -> DataFrame:
-    """:func:`measure`'s rows with base_failed, removed_words, removed (keys of the lines to remove) and kept."""
+    """Columns of ``docs`` plus the base counts, base_failed, removed_words, removed (keys of the lines to remove) and kept."""
+    return C.beside(docs, ["text", "source"], [*_COUNTS, "base_failed", "removed_words", "removed", "kept"],
+                    lambda inner: _judged(inner, with_text, min_docs, max_share, max_loss))
+
+
+def _judged(docs: DataFrame, with_text: bool, min_docs: int, max_share: float, max_loss: float) -> DataFrame:
     measured = C.stage(measure(docs, with_text), "rules-docs")
     limits = C.stage(boilerplate(measured, min_docs, max_share), "rules-lines")
     lost = (measured.select("host", "text_key", "lines").where(F.size("lines") > 0)
@@ -140,10 +145,14 @@ def _without(texts, removed):
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
     """Rows of ``docs`` that are kept, boilerplate lines removed from their text, columns unchanged (n_chars set anew)."""
-    names = docs.columns
+    needs = [c for c in ("text", "source", "n_chars") if c in docs.columns]
+    return C.beside(docs, needs, [], lambda inner: _cleaned(inner, limits)).select(*(f"`{c}`" for c in docs.columns))
+
+
+def _cleaned(docs: DataFrame, limits: dict) -> DataFrame:
     found = judge(docs, with_text=True, **limits).where("kept")
     shorter = F.col("removed").isNotNull()
     found = found.withColumn("text", F.when(shorter, _without("text", "removed")).otherwise(F.col("text")))
-    if "n_chars" in names:
+    if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*names)
+    return found

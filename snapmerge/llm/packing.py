@@ -86,6 +86,10 @@ class WordCache:
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: columns of ``docs`` without text, plus piece, start, length, ids (little-endian uint32)."""
     C.ship(docs.sparkSession)
+    return C.beside(docs, ["text"], ["piece", "start", "length", "ids"], lambda inner: _cut(inner, tokenizer_path, capacity))
+
+
+def _cut(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     keep = [c for c in docs.columns if c != "text"]
 
     def cut(batches):
@@ -109,8 +113,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
                      pa.array([p * capacity for p in piece], pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=[*keep, "piece", "start", "length", "ids"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(cut, f"{fields}piece int, start long, length long, ids binary")
+    return docs.mapInArrow(cut, C.with_fields(docs, ("text",), "piece int, start long, length long, ids binary"))
 
 
 @F.pandas_udf(T.LongType())
@@ -294,7 +297,12 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, islands:
          generations: int = GENERATIONS, population: int = POPULATION, rounds: int = ROUNDS) -> DataFrame:
     """``rows`` (with a ``length`` of 1 to capacity) plus sequence_id and offset."""
     C.ship(rows.sparkSession)
-    uid = C.free_name(rows, "_uid")
+    return C.beside(rows, ["length"], ["length", "sequence_id", "offset"],
+                    lambda inner: _packed(inner, capacity, group, islands, epochs, generations, population, rounds))
+
+
+def _packed(rows: DataFrame, capacity: int, group: int, islands: int, epochs: int, generations: int, population: int, rounds: int) -> DataFrame:
+    uid = "_uid"
     rows = C.stage(rows.withColumn(uid, F.monotonically_increasing_id()), "pack-pieces")
     items = rows.where(F.col("length") < capacity).select(F.col(uid).alias("uid"), "length")
     placed = None

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from snapmerge.llm import decontam, html_text, line_rules, packing, repeats, sharding, simhash, toxicity, warc
+from snapmerge.llm import decontam, html_text, line_rules, packing, quality_pu, repeats, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing query."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a benchmark window, and the verdict."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +45,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.mark_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the positives of two thirds of the labelled rows."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", toxicity.held_out(F.col("doc_id"), 3, 1).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id"), 3, 1))
+    return quality_pu.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word rules of every document, and whether it is kept after lines common to its source are removed."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -47,10 +59,10 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          "base_failed", "kept", "removed_words")
 
 
-def op7_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+def op7_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Every document's token pieces and their places in sequences of at most 2048 tokens."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = packing.pieces(docs, tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+    cut = packing.pieces(docs, path or tokenizer_path())
     cut = cut.select("doc_id", "piece", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"))
     return packing.pack(cut)
 
@@ -74,7 +86,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_toxicity, op4_suffix_dedup, op6_line_rules,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_toxicity, op4_suffix_dedup, op5_quality_pu, op6_line_rules,
                                    op7_packing, op8_warc, op9_sharding, op10_html_text)}
 
 OP1_SQL = r"""

@@ -97,6 +97,10 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> li
 def shard_documents(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, keep_text: bool = True) -> DataFrame:
     """Columns of ``docs`` plus size, shard and slot (the gapless place in the shard)."""
     C.ship(docs.sparkSession)
+    return C.beside(docs, ["doc_id", "text"], ["size", "shard", "slot"], lambda inner: _sharded(inner, shards, tolerance, keep_text))
+
+
+def _sharded(docs: DataFrame, shards: int, tolerance: float, keep_text: bool) -> DataFrame:
     names = [c for c in docs.columns if keep_text or c != "text"]
     body = F.coalesce("text", F.lit(""))
     keyed = (docs.withColumn("size", (F.octet_length(body) + 1).cast("long"))
@@ -109,8 +113,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, tolerance: float = TO
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(probes_below(_columns(b), cuts).astype(np.int32))], names=[*b.schema.names, "shard"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema)
-    sent = keyed.mapInArrow(assign, f"{fields}, shard int").repartitionByRange("shard", *KEY).sortWithinPartitions("shard", *KEY)
+    sent = keyed.mapInArrow(assign, C.with_fields(keyed, (), "shard int")).repartitionByRange("shard", *KEY).sortWithinPartitions("shard", *KEY)
     moved = C.stage(sent.withColumn("_row", F.monotonically_increasing_id()), "shards-rows")
     # rows are numbered partition by partition: a shard's part in a partition starts where its parts before it end
     runs = (moved.groupBy("shard", F.shiftright("_row", 33).alias("_p"))

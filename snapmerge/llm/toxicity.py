@@ -190,8 +190,7 @@ def score(docs: DataFrame, weights: np.ndarray, intercept: float, bits: int = BI
                     [*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(1 / (1 + np.exp(-np.clip(total + intercept, -500, 500))))],
                     names=[*keep, "score"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(scan, f"{fields}score double")
+    return docs.mapInArrow(scan, C.with_fields(docs, ("text",), "score double"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
@@ -206,4 +205,5 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold
     """Columns of ``docs`` without text, plus score and predicted; ``labels`` holds only rows to learn from."""
     C.ship(docs.sparkSession)
     weights, intercept = train(training_rows(docs, labels, label, max_train), **fit)
-    return score(docs, weights, intercept).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return C.beside(docs, ["text"], ["score", "predicted"],
+                    lambda inner: score(inner, weights, intercept).withColumn("predicted", (F.col("score") >= threshold).cast("int")))
