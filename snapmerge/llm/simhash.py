@@ -3,13 +3,13 @@
 Fingerprints that link at ``max_bits`` or fewer differing bits form components; a component is named by its smallest
 doc_id.  Equal fingerprints are one point of the search, so copies cost nothing beyond the first.
 
-* A tree of bounded size is built on a bounded sample of fingerprints (``SAMPLE``): each node has a vantage point and
+* A tree of shards, as deep as the cluster has work for (deeper only where shards would outgrow a task), is built on a bounded sample of fingerprints (``SAMPLE``): each node has a vantage point and
   the median distance to it.  Only the balance of the shards depends on the sample, not the pairs found.
 * Every fingerprint has a home shard (nearer branches left, farther right).  By the triangle bound it can only have
   partners in a branch that its ball of radius ``max_bits`` reaches, so it also visits those shards; it visits only
   shards with a larger number than its home, as a pair needs to meet once.  Crowded shards are split in blocks.
-* Inside a shard block points are ordered by their distance to one more vantage point, and only rings at most
-  ``max_bits`` apart are compared.  A block returns a spanning star of each group it joined, never all pairs.
+* Inside a shard block a tree of its own goes on in memory, pruned by the same bound, down to small sets that are
+  compared directly.  A block returns a spanning star of each group it joined, never all pairs.
 * Components of the stars: smallest-label propagation with pointer jumping over DataFrames.
 
 A text without words has fingerprint 0 and is linked like any other; null counts as empty.  Rows without doc_id keep
@@ -34,9 +34,12 @@ MAX_BITS = 4
 SEED = 42
 #: fingerprints the tree is built on
 SAMPLE = 4096
-#: home points per shard aimed at, and the size beyond which a shard is split in blocks
-SHARD = 4096
-MAX_DEPTH = 10
+#: most home points per shard aimed at; below it the number of shards follows the cluster, not the data
+SHARD = 250_000
+SHARDS_PER_CORE = 4
+MAX_DEPTH = 16
+#: home points below which a branch of a shard's own tree is compared directly
+LEAF = 256
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -67,8 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(fp.view(np.int64))],
                                              names=[*keep, "fp"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(scan, f"{fields}fp long")
+    return docs.mapInArrow(scan, C.with_fields(docs, ("text",), "fp long"))
 
 
 def build_tree(sample: np.ndarray, depth: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -105,32 +107,42 @@ def route(points: np.ndarray, vantage: np.ndarray, radius: np.ndarray, depth: in
     return own, index[later], cell[later]
 
 
-def joined(home: np.ndarray, others: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, smallest fingerprint joined with it) for the linked points of home with home and others."""
+def joined(home: np.ndarray, others: np.ndarray, max_bits: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, smallest fingerprint joined with it) for the linked points of home with home and others.
+
+    A vantage-point tree over the home points: a branch keeps the points that its triangle bound can't rule out.
+    """
     points = np.concatenate([home, others])
     label = np.arange(len(points))
-    if len(points) > 1 and len(home):
-        d = np.bitwise_count(points ^ home[0]).astype(np.int64)
-        order = np.argsort(d, kind="stable")
-        ring = d[order]
-        where = np.flatnonzero(order < len(home))  # home points, nearest ring first
-        for lo in range(0, len(where), 256):
-            part = where[lo:lo + 256]
-            a = np.searchsorted(ring, ring[part[0]] - max_bits, "left")
-            b = np.searchsorted(ring, ring[part[-1]] + max_bits, "right")
-            near = np.bitwise_count(points[order[part]][:, None] ^ points[order[a:b]][None, :]) <= max_bits
-            i, j = np.nonzero(near)
-            i, j = order[part[i]], order[a + j]
-            i, j = i[i != j], j[i != j]
-            while len(i):
-                li, lj = label[i], label[j]
-                different = li != lj
-                if not different.any():
-                    break
-                i, j, li, lj = i[different], j[different], li[different], lj[different]
-                np.minimum.at(label, np.maximum(li, lj), np.minimum(li, lj))
-                while not np.array_equal(label[label], label):
-                    label = label[label]
+
+    def union(i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            li, lj = label[i], label[j]
+            different = li != lj
+            if not different.any():
+                return
+            i, j, li, lj = i[different], j[different], li[different], lj[different]
+            np.minimum.at(label, np.maximum(li, lj), np.minimum(li, lj))
+            while not np.array_equal(label[label], label):
+                label[:] = label[label]
+
+    branches = [(np.arange(len(home)), np.arange(len(points)))] if len(home) and len(points) > 1 else []
+    while branches:
+        h, a = branches.pop()
+        if len(h) > leaf:
+            vantage = points[h[len(h) // 2]]
+            dh, da = (np.bitwise_count(points[x] ^ vantage).astype(np.int64) for x in (h, a))
+            radius = int(np.median(dh))
+            inner = dh <= radius
+            if 0 < inner.sum() < len(h):
+                branches.append((h[inner], a[da <= radius + max_bits]))
+                branches.append((h[~inner], a[da > radius - max_bits]))
+                continue
+        for lo in range(0, len(h), 256):
+            part = h[lo:lo + 256]
+            i, j = np.nonzero(np.bitwise_count(points[part][:, None] ^ points[a][None, :]) <= max_bits)
+            i, j = part[i], a[j]
+            union(i[i != j], j[i != j])
     low = points.copy()
     np.minimum.at(low, label, points)
     low = low[label]
@@ -141,7 +153,9 @@ def joined(home: np.ndarray, others: np.ndarray, max_bits: int) -> tuple[np.ndar
 def links(points: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """Stars (a, b) that join exactly the groups of the distinct fingerprints ``points.fp``."""
     n = points.count()
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / shard))))
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    wanted = max(min(SHARDS_PER_CORE * cores, n / LEAF), n / shard, 1)
+    depth = min(MAX_DEPTH, math.ceil(math.log2(wanted)))
     some = points.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()  # a bounded sample, for vantage points only
     vantage, radius = build_tree(np.array([r["fp"] for r in some], dtype=np.int64).view(np.uint64), depth)
 
@@ -152,7 +166,8 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD, sampl
             yield pa.RecordBatch.from_arrays([pa.array(own)], names=["shard"])
 
     sizes = {r["shard"]: r["count"] for r in points.mapInArrow(homes, "shard long").groupBy("shard").count().collect()}  # 2**depth rows
-    blocks = np.array([max(1, math.ceil(sizes.get(s, 0) / (2 * shard))) for s in range(1 << depth)], dtype=np.int64)
+    crowd = max(LEAF, 2 * n >> depth)  # a shard beyond twice the mean is split
+    blocks = np.array([max(1, math.ceil(sizes.get(s, 0) / crowd)) for s in range(1 << depth)], dtype=np.int64)
 
     def placed(batches):
         for b in batches:
@@ -197,6 +212,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard: int = SHARD) -> DataFrame:
     """Columns of ``docs`` without text, plus fp (long), fingerprint (16 hex digits) and component_id."""
+    return C.beside(docs, ["doc_id", "text"], ["fp", "fingerprint", "component_id"], lambda inner: _grouped(inner, shingle, max_bits, shard))
+
+
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, shard: int) -> DataFrame:
     marked = C.stage(fingerprints(docs, shingle), "simhash-docs")
     points = C.stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-points")
     stars = C.stage(links(points.select("fp"), max_bits, shard), "simhash-links")
