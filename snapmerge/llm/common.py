@@ -20,6 +20,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 LOWER_TABLE = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: texts are handled in slices of about this many bytes, so a task's memory does not follow the batch
 SLICE_BYTES = 2 << 20
+#: rows of an Arrow batch between Spark and Python
+BATCH_ROWS = 1000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,8 +43,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors (``addPyFile``), once per Spark context."""
+    """Send this package to the executors (``addPyFile``), once per Spark context, and bound Arrow batches.
+
+    Batches of Spark's default 10,000 documents can hold a gigabyte of text; where nobody set another size they get BATCH_ROWS.
+    """
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_corpus_code_sent", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
