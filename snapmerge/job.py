@@ -4,10 +4,12 @@
         --as-of 2026-12-03 [--cadence daily | --datasets numero_contratos comissao_a_vista]
 
 (or a spark-submit driver script that calls :func:`main`).  For each requested
-dataset the newest landing file (S-04) is read with its landing columns (S-01)
-and run through the runner (G-10): one failing dataset never blocks the
-others, and every dataset gets an audit row — "no extract for this run" when
-its file is missing.
+dataset every landing entry newer than the last one run (the store keeps that
+epoch with its commits) is read with its landing columns (S-01) and run
+through the runner (G-10), oldest first, so an extract that a later one
+overtook is not lost.  An entry that cannot be read or run stops its own dataset only (later
+entries wait, so the order is kept); every dataset gets an audit row —
+"no extract for this run" when nothing new has landed.
 """
 
 from __future__ import annotations
@@ -15,11 +17,12 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import runner as RN
 from .session import build_session
-from .sources.extract import landing_files, latest_extract_per_dataset, read_extract
+from .sources.extract import landing_files, read_extract
 from .sources.store import TableStore
 from .specs import REGISTRY, by_cadence
 
@@ -38,11 +41,35 @@ def select_datasets(datasets: list[str] | None, cadence: str | None) -> list[str
 def run_job(spark: SparkSession, landing: str, store_root: str, as_of: dt.date,
             datasets: list[str], run_id: str | None = None) -> list[RN.RunReport]:
     run_id = run_id or as_of.strftime("%Y%m%d") + dt.datetime.now(dt.timezone.utc).strftime("T%H%M%S")
-    latest = {r.dataset: r.path
-              for r in latest_extract_per_dataset(landing_files(spark, landing), datasets).collect()}
-    extracts = {d: (read_extract(spark, latest[d]) if latest.get(d) else None) for d in datasets}
     store = TableStore(spark, store_root)
-    return RN.run(spark, store, extracts, as_of, run_id)
+    reports = []
+    for dataset in datasets:
+        entries = new_entries(spark, landing, store, dataset)
+        if not entries:
+            reports.append(RN.run_dataset(spark, store, dataset, None, as_of, run_id))
+        for path, epoch in entries:
+            report = RN.run_dataset(spark, store, dataset, lambda p=path: open_entry(spark, p), as_of,
+                                    f"{run_id}-{epoch}", epoch=epoch)
+            reports.append(report)
+            if report.note.startswith("failed"):
+                break
+    return reports
+
+
+def new_entries(spark: SparkSession, landing: str, store: TableStore, dataset: str) -> list[tuple[str, int]]:
+    """(path, epoch) of the dataset's landing entries that were not run yet, oldest first (one row per waiting run)."""
+    mark = store.mark(dataset)
+    files = landing_files(spark, landing).where(F.col("dataset") == dataset)
+    if mark is not None:
+        files = files.where(F.col("epoch") > mark)
+    return [(r.path, r.epoch) for r in files.orderBy("epoch", "path").select("path", "epoch").collect()]
+
+
+def open_entry(spark: SparkSession, path: str) -> DataFrame:
+    """A landing entry by its format; CSV text is typed by the ingest step."""
+    if path.endswith(".csv"):
+        return read_extract(spark, path, fmt="csv", options={"header": "true", "inferSchema": "false", "multiLine": "true"})
+    return read_extract(spark, path)
 
 
 def main(argv: list[str] | None = None) -> None:

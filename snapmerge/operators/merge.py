@@ -257,9 +257,10 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
                  ord_col: str | None, seq_col: str | None) -> str:
     """Pick the plan for a stored (unique-by-key) previous table.
 
-    Two bounded proofs: the batch's keys fit a broadcast, and the stored table
+    Two proofs: the batch's keys fit a broadcast, and the stored table
     is more than ``TOUCHED_RATIO`` times larger (so most of it can skip the
-    shuffle).  Each ``limit(n + 1).count()`` stops reading after ``n + 1`` rows.
+    shuffle).  The stored table's rows are those its commit recorded, where the
+    caller passes them on; keys are counted by one aggregate.
     The batch collapses to one row per key, so the key count also bounds the
     collapsed batch.  When those rows are measured to fit the byte bound
     (:func:`_collapsed_batch_fits`) and the stored table is proven to hold over

@@ -1,10 +1,10 @@
 """Size checks that guard every broadcast.
 
-A side is broadcast only after Spark has *proven* it is small: ``limit(n + 1)``
-stops scanning as soon as one row more than the bound is seen, so the check
-costs at most ``n + 1`` rows of work even when the side turns out to be huge.
-Otherwise the caller's shuffle-based plan is used.  Byte sizes are measured
-(:func:`measured_bytes`), so long strings cannot slip past a width estimate.
+A side is broadcast only after its size is known: rows by a plain count (each
+task returns one number, Parquet answers it from file footers; nothing is
+moved), or by the row count its stored commit carries (:func:`with_known_rows`), and bytes
+by measurement (:func:`measured_bytes`), so long strings cannot slip past a
+width estimate.  Otherwise the caller's shuffle-based plan is used.
 """
 
 from __future__ import annotations
@@ -45,11 +45,22 @@ def row_width(df: DataFrame) -> int:
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is ``<= max_rows``, else ``None`` (scan stops early)."""
-    n = df.limit(max_rows + 1).count()
+    """Row count if it is ``<= max_rows``, else ``None``."""
+    n = known_rows(df)
+    n = df.count() if n is None else n
     return n if n <= max_rows else None
 
 
+def with_known_rows(df: DataFrame, rows: int | None) -> DataFrame:
+    """Attach the row count that a commit recorded for exactly these rows."""
+    df._snapmerge_rows = rows
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return getattr(df, "_snapmerge_rows", None)
+
+
 def broadcast_row_limit(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
     """Largest row count of ``df`` that stays within both broadcast bounds."""
@@ -76,8 +87,8 @@ def proven_rows(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int | None:
     """Row count of ``df`` when it is proven within both bounds, else ``None``.
 
-    The row count is bounded first (``limit(n + 1)``); only then are the
-    variable-length bytes measured, over a side already known to be small."""
+    Rows are counted first; only then are the variable-length bytes measured,
+    over a side already known to have few rows."""
     n = bounded_count(df, broadcast_row_limit(df, max_rows, max_bytes))
     if n is None:
         return None

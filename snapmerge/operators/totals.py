@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import qcol
+from ..functions.scalars import nan_to_null, qcol
 
 IS_TOTAL = "is_total"
 
@@ -44,10 +44,10 @@ def sum_type(dtype: T.DataType) -> T.DataType:
 
 def totals_row(df: DataFrame, money: Callable[[str], bool] = is_money,
                percent: Callable[[str], bool] = is_percent) -> DataFrame:
-    """A-01..A-03: one row — sums (empty → 0), means (empty → null), nulls elsewhere."""
+    """A-01..A-03: one row — sums (empty → 0), means (empty → null), nulls elsewhere; NaN counts as missing."""
     exprs = []
     for f in df.schema.fields:
-        c = qcol(f.name)
+        c = nan_to_null(qcol(f.name), f.dataType)
         if money(f.name):
             st = sum_type(f.dataType)
             exprs.append(F.coalesce(F.sum(c).cast(st), F.lit(0).cast(st)).alias(f.name))

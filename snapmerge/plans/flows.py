@@ -13,6 +13,7 @@ range-partitioned ``orderBy`` (O-01..O-03) only where a sorted layout is wanted.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -30,11 +31,21 @@ from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS, D
 
 @dataclass
 class FlowResult:
-    """Targets of one run, plus the extract for the audit counts."""
+    """Targets of one run, plus the extract for the audit counts.
+
+    ``rest`` builds the targets that follow from the preview; the runner calls
+    it once, on the preview's written files.
+    """
     extract: DataFrame
-    targets: dict[str, DataFrame]
+    preview: DataFrame
+    rest: Callable[[DataFrame], dict[str, DataFrame]]
     primary: str
 
+    @property
+    def targets(self) -> dict[str, DataFrame]:
+        """All targets in one lazy plan, built on the unwritten preview."""
+        return {"preview": self.preview, **self.rest(self.preview)}
+
 
 # ------------------------------------------------------------------ contracts (G-01..G-03)
 def contracts_batch(extract: DataFrame, as_of: dt.date, spec: DatasetSpec = CONTRACTS) -> DataFrame:
@@ -88,45 +99,41 @@ def _data_only(df: DataFrame) -> DataFrame:
 
 
 def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_annual,
-                   as_of: dt.date, prev_unique: bool = False, spec: DatasetSpec = CONTRACTS,
-                   preview: DataFrame | None = None) -> FlowResult:
-    """G-01..G-03.  ``preview``: an already materialised preview (the runner
-    passes its written version so the preview merge runs only once)."""
-    if preview is None:
-        preview = contracts_preview(extract, stored_preview, as_of, spec, prev_unique=prev_unique)
-    return FlowResult(extract, {
-        "preview": preview,
-        "quarter": contracts_quarter(preview, stored_quarter, as_of, spec, prev_unique=prev_unique),
-        "annual": contracts_annual(preview, stored_annual, as_of, spec, prev_unique=prev_unique),
+                   as_of: dt.date, prev_unique: bool = False, spec: DatasetSpec = CONTRACTS) -> FlowResult:
+    """G-01..G-03."""
+    preview = contracts_preview(extract, stored_preview, as_of, spec, prev_unique=prev_unique)
+    return FlowResult(extract, preview, lambda p: {
+        "quarter": contracts_quarter(p, stored_quarter, as_of, spec, prev_unique=prev_unique),
+        "annual": contracts_annual(p, stored_annual, as_of, spec, prev_unique=prev_unique),
     }, primary="quarter")
 
 
 # ------------------------------------------------------------------ store activity (G-04)
 def store_activity_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
-                        spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False,
-                        preview: DataFrame | None = None) -> FlowResult:
+                        spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False) -> FlowResult:
     """G-04: configured columns → accumulate the preview → accumulate the official table."""
     batch = S.select_configured(extract, _keep(spec))
-    if preview is None:
-        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-                                            with_order=True, prev_unique=prev_unique)
-    official = M.accumulate_and_classify(stored_official, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-                                         with_order=True, prev_unique=prev_unique)
-    return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
+    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
+                                        with_order=True, prev_unique=prev_unique)
+
+    def rest(p: DataFrame) -> dict[str, DataFrame]:
+        return {"official": M.accumulate_and_classify(
+            stored_official, _data_only(p), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
+            with_order=True, prev_unique=prev_unique)}
+
+    return FlowResult(extract, preview, rest, primary="official")
 
 
 # ------------------------------------------------------------------ targets (G-05)
 def targets_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
-                 spec: DatasetSpec = TARGETS, prev_unique: bool = False,
-                 preview: DataFrame | None = None) -> FlowResult:
+                 spec: DatasetSpec = TARGETS, prev_unique: bool = False) -> FlowResult:
     """G-05: accumulate the preview, then merge every year present in it into
     that year's official table (routing by the row's own year)."""
     batch = S.select_configured(extract, _keep(spec))
-    if preview is None:
-        preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-                                            with_order=True, prev_unique=prev_unique)
-    official = targets_official(preview, stored_official, spec, prev_unique)
-    return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
+    preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
+                                        with_order=True, prev_unique=prev_unique)
+    return FlowResult(extract, preview,
+                      lambda p: {"official": targets_official(p, stored_official, spec, prev_unique)}, primary="official")
 
 
 def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec: DatasetSpec = TARGETS,
@@ -156,8 +163,9 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
                     if stored_preview is not None else None)
     preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                         with_order=True, prev_unique=prev_unique)
-    official = portfolio_official(extract, stored_official, spec, prev_unique)
-    return FlowResult(extract, {"preview": preview, "official": official}, primary="official")
+    return FlowResult(extract, preview,
+                      lambda p: {"official": portfolio_official(extract, stored_official, spec, prev_unique)},
+                      primary="official")
 
 
 def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
@@ -179,6 +187,15 @@ def commission_batch(raw_extract: DataFrame, spec: DatasetSpec = COMMISSION) ->
     return FL.drop_footer_rows(S.normalize_headers(raw_extract), spec.footer_key)
 
 
+def commission_flow(raw_extract: DataFrame, stored_preview: DataFrame | None, stored_official: DataFrame | None,
+                    spec: DatasetSpec = COMMISSION, prev_unique: bool = False) -> FlowResult:
+    """G-07 and G-08."""
+    batch = commission_batch(raw_extract, spec)
+    preview = commission_preview(batch, stored_preview, spec, prev_unique)
+    return FlowResult(batch, preview,
+                      lambda p: {"official": commission_official(p, stored_official, spec, prev_unique)}, primary="official")
+
+
 def commission_preview(batch: DataFrame, stored_preview: DataFrame | None,
                        spec: DatasetSpec = COMMISSION, prev_unique: bool = False) -> DataFrame:
     """G-07: align the batch to the stored preview (P-04), keep-last by key with

@@ -42,7 +42,7 @@ CONTRACT_FLOAT = {"principal", "financed", "insurance"}
 
 CONTRACTS = """contracts as (
   select o_orderkey as proposal_id, cast(o_orderdate as date) as report_date,
-         o_custkey as dealer_id, o_orderpriority as manager, o_orderstatus as status,
+         o_custkey as dealer_id, o_orderpriority as manager, case when o_orderstatus = 'F' then 'PROPOSTA PAGA' else o_orderstatus end as status,
          o_orderkey * 10 as contract_code, o_totalprice as principal, o_totalprice * 2 as financed,
          case when o_orderkey % 5 = 0 then null else o_totalprice / 4 end as insurance,
          case when o_orderkey % 13 = 0 then null else n_name end as branch
@@ -336,6 +336,10 @@ COMMISSION_EXTRACT = f"""cx as (
   union all
   select null, null, null, cast(sum(gross_amount) as decimal(18,2)), null, null from commission
   where period between {ym(A_TURN - dt.timedelta(days=2))} and {ym(A_TURN)})"""
+COMMISSION_REPORT = """cx as (
+  select * from commission
+  union all
+  select null, null, null, cast(sum(gross_amount) as decimal(18,2)), null, null from commission)"""
 COMMISSION_STORED = f"""cs_data as (
   select contract_code, cast(period as varchar) as period, cast(master_tax_id as varchar) as master_tax_id,
          case when contract_code % 7 = 0 then cast(gross_amount - 100 as decimal(18,2)) else gross_amount end
@@ -421,11 +425,11 @@ reg("portfolio_preview", with_(
 ) + classified_select(P_KEYS, P_COLS, {"balance"}, prefix="o"))
 
 # ================================================================== commission
-reg("normalize_headers", with_(COMMISSION, COMMISSION_EXTRACT) + "select * from cx")
-reg("drop_footer_rows", with_(COMMISSION, COMMISSION_EXTRACT) + "select * from cx where contract_code is not null")
+reg("normalize_headers", with_(COMMISSION, COMMISSION_REPORT) + "select * from cx")
+reg("drop_footer_rows", with_(COMMISSION, COMMISSION_REPORT) + "select * from cx where contract_code is not null")
 reg("split_totals_row", with_(COMMISSION, COMMISSION_STORED) +
     "select *, case when contract_code is null then 'totals' else 'data' end as part from cs")
-reg("harmonize_types", with_(COMMISSION, COMMISSION_EXTRACT, C_BATCH) + "select * from cb")
+reg("harmonize_types", with_(COMMISSION, COMMISSION_REPORT, C_BATCH) + "select * from cb")
 reg("dedup_keep_last", with_(COMMISSION) + """select * exclude (rn) from (
   select *, row_number() over (partition by contract_code order by ord desc, period desc nulls last,
     master_tax_id desc nulls last, gross_amount desc nulls last, rate_pct desc nulls last) as rn
@@ -439,7 +443,7 @@ reg("nan_to_null", with_(COMMISSION) + """select contract_code, ord,
   case when isnan(r) then null else r end as rate, isnan(r) as rate_is_null from (
   select contract_code, ord, case when contract_code % 9 = 0 then 'nan'::double
          else cast(rate_pct as double) end as r from commission)""")
-reg("totals_row", with_(COMMISSION, COMMISSION_EXTRACT, C_BATCH.replace(
+reg("totals_row", with_(COMMISSION, COMMISSION_REPORT, C_BATCH.replace(
     "cast(period as varchar) as period,\n  cast(master_tax_id as varchar) as master_tax_id", "period, master_tax_id")) +
     """select null::bigint as contract_code, null::integer as period, null::bigint as master_tax_id,
   coalesce(cast(sum(gross_amount) as decimal(28,2)), 0) as gross_amount,
@@ -465,7 +469,7 @@ reg("commission_official", with_(
 union all
 select null, null, null, coalesce(cast(sum(gross_amount) as decimal(28,2)), 0),
   cast(sum(rate_pct) as double) / count(rate_pct), null, null, true from cl""")
-reg("schema_drift_report", with_(COMMISSION, COMMISSION_EXTRACT) + """select * from (values
+reg("schema_drift_report", with_(COMMISSION, COMMISSION_REPORT) + """select * from (values
   ('comissao_a_vista', 'corban_tax_id', 'missing_in_extract', 0::bigint),
   ('comissao_a_vista', 'rate_pct', 'missing_in_extract', 0::bigint),
   ('comissao_a_vista', 'rate_pct', 'missing_vs_table', 0::bigint),
@@ -520,7 +524,34 @@ select 'numero_contratos_{_E_MID}.parquet', 'numero_contratos', {_E_MID}::bigint
 union all
 select 'dias_sem_producao_{_E_MID}.parquet', 'dias_sem_producao', {_E_MID}::bigint,
        (select count(*) from store_activity)""")
-reg("latest_extract_per_dataset", f"""select * from (values
-  ('numero_contratos', 'numero_contratos_{_E_MID}.parquet', {_E_MID}::bigint),
-  ('dias_sem_producao', 'dias_sem_producao_{_E_MID}.parquet', {_E_MID}::bigint),
-  ('comissao_a_vista', null::varchar, null::bigint)) t(dataset, file_name, epoch)""")
+reg("latest_extract_per_dataset", with_(CONTRACTS, extract_cte(A_MID, "x_mid"), STORE_ACTIVITY) + f"""
+select 'numero_contratos' as dataset, 'numero_contratos_{_E_MID}.parquet' as file_name, {_E_MID}::bigint as epoch,
+       (select count(*) from x_mid) as rows, (select max(report_date) from x_mid) as newest
+union all
+select 'dias_sem_producao', 'dias_sem_producao_{_E_MID}.parquet', {_E_MID}::bigint,
+       (select count(*) from store_activity), (select max(last_contract_date) from store_activity)
+union all
+select 'comissao_a_vista', null, null, null, null""")
+
+# ================================================================== runs through ingest, runner and store
+reg("rerun_same_run_id", with_(STORE_ACTIVITY) + "select " + ", ".join(SA_COLS) + ", 'new' as change_type from store_activity")
+_LINES = f"""select *, row_number() over (partition by contract_code, period order by ord desc,
+    master_tax_id desc nulls last, gross_amount desc nulls last, rate_pct desc nulls last) as rn from (
+    select l_orderkey as contract_code, {period_sql('l_shipdate')} as period, l_suppkey as master_tax_id,
+           cast(l_extendedprice as decimal(18,2)) as gross_amount, cast(l_tax * 100 as decimal(9,4)) as rate_pct,
+           l_linenumber as ord from lineitem)"""
+reg("stream_two_checkpoints", f"""select * exclude (rn),
+  case when contract_code % 2 = 0 then 'unchanged' else 'new' end as change_type from ({_LINES}) where rn = 1""")
+_RUN_COLS = ", ".join(CONTRACT_COLS)
+reg("ingest_real_headers", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) + f"select {_RUN_COLS}, 'new' as change_type from batch")
+reg("ingest_text_dates", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) +
+    f"select {_RUN_COLS}, 'new' as change_type from batch where proposal_id % 20 <> 0 union all by name "
+    "select proposal_id, 'quarantine' as change_type from extract where proposal_id % 20 = 0")
+reg("ingest_money_text", f"""select contract_code, period, master_tax_id, cast(gross_amount + 1 as decimal(18,2)) as gross_amount,
+  'edited' as change_type from ({_LINES}) where rn = 1""")
+reg("quarantine_null_period", with_(TARGETS) + """select cast(period // 100 as varchar) as part, count(*) as rows
+from targets where period not in (200001, 200002) group by all
+union all select 'period: missing', count(*) from targets where period = 200001 having count(*) > 0
+union all select 'period: unreadable', count(*) from targets where period = 200002 having count(*) > 0""")
+reg("stored_table_order", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) +
+    "select count(*) as rows, 0::bigint as out_of_order_in_file, 0::bigint as out_of_order_between_files from batch")

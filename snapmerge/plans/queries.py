@@ -11,8 +11,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DoubleType
 
 from ..functions import calendar as CAL
@@ -31,6 +32,7 @@ from ..sources.store import TableStore
 from ..streaming import stream as ST
 from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS
 from . import flows as G
+from . import runner as RN
 from . import standins as SI
 from .standins import A_EMPTY, A_MID, A_TURN, A_TURN_BD
 
@@ -508,16 +510,20 @@ def _commission_batch(spark, sf):
     return G.commission_batch(SI.commission_raw_headers(spark, sf, A_TURN))
 
 
+def _whole_commission_batch(spark, sf):
+    return G.commission_batch(SI.commission_raw_headers(spark, sf))
+
+
 @query
 def normalize_headers(spark, sf):
     """P-03: header whitespace/newlines stripped from the downloaded extract."""
-    return S.normalize_headers(SI.commission_raw_headers(spark, sf, A_TURN))
+    return S.normalize_headers(SI.commission_raw_headers(spark, sf))
 
 
 @query
 def drop_footer_rows(spark, sf):
     """F-06: the report's footer (null contract) removed from the extract."""
-    return FL.drop_footer_rows(SI.commission_extract(spark, sf, A_TURN), COMMISSION.footer_key)
+    return FL.drop_footer_rows(SI.commission_report(spark, sf), COMMISSION.footer_key)
 
 
 @query
@@ -531,7 +537,7 @@ def split_totals_row(spark, sf):
 def harmonize_types(spark, sf):
     """P-06/P-07: batch columns take the stored table's types (ids stored as text)."""
     stored = SI.commission_stored(spark, sf, A_TURN)
-    return S.harmonize_types(_commission_batch(spark, sf), stored.schema)
+    return S.harmonize_types(_whole_commission_batch(spark, sf), stored.schema)
 
 
 @query
@@ -558,7 +564,7 @@ def nan_to_null(spark, sf):
 @query
 def totals_row(spark, sf):
     """A-01..A-03: totals of the extract's data rows — sum of money, mean of percents."""
-    return TT.totals_row(_commission_batch(spark, sf))
+    return TT.totals_row(_whole_commission_batch(spark, sf))
 
 
 @query
@@ -588,7 +594,7 @@ def commission_official(spark, sf):
 @query
 def schema_drift_report(spark, sf):
     """P-02: drifted extract vs the keep-list and vs the stored table, with value counts."""
-    batch = (_commission_batch(spark, sf).drop("rate_pct")
+    batch = (_whole_commission_batch(spark, sf).drop("rate_pct")
              .withColumn("net_amount", (F.col("gross_amount") * 0.9).cast("decimal(18,2)")))
     expected = ("contract_code", "period", "master_tax_id", "corban_tax_id", "gross_amount", "rate_pct")
     stored = SI.commission_stored(spark, sf, A_TURN)
@@ -691,26 +697,127 @@ def _write_landing(spark, sf) -> str:
     return land
 
 
+def _landed_rows(spark, land: str, schema: str = "") -> DataFrame:
+    """All landing entries in one read, with their landing columns; the rows carry the columns of ``schema``."""
+    return EX.read_extract(spark, f"{land}/*.parquet", T.StructType.fromDDL(schema) if schema else T.StructType([]))
+
+
 @query
 def landing_run_id(spark, sf):
     """S-03 / X-16: every landing entry with its dataset, run epoch (from the name)
     and the rows read from it."""
     land = _write_landing(spark, sf)
-    files = EX.landing_files(spark, land).select("path", "file_name", "dataset", "epoch")
-    counts = [EX.read_extract(spark, r.path).groupBy(EX.FILE).agg(F.count(F.lit(1)).alias("rows"))
-              for r in files.select("path").collect()]   # one row per landing entry
-    rows = counts[0]
-    for c in counts[1:]:
-        rows = rows.unionByName(c)
-    return (files.join(rows, files.file_name == rows[EX.FILE])
-            .select("file_name", "dataset", "epoch", "rows"))
+    files = EX.landing_files(spark, land).select("file_name", "dataset", "epoch")
+    rows = _landed_rows(spark, land).groupBy(F.col(EX.FILE).alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.join(rows, "file_name").select("file_name", "dataset", "epoch", "rows")
 
 
 @query
 def latest_extract_per_dataset(spark, sf):
     """S-04: the newest landing entry per requested dataset (none for a dataset
-    without an entry)."""
+    without an entry), with the rows read from it and their newest date."""
     land = _write_landing(spark, sf)
     latest = EX.latest_extract_per_dataset(EX.landing_files(spark, land),
                                            ["numero_contratos", "dias_sem_producao", "comissao_a_vista"])
-    return latest.select("dataset", F.element_at(F.split("path", "/"), -1).alias("file_name"), "epoch")
+    latest = latest.select("dataset", F.element_at(F.split("path", "/"), -1).alias("file_name"), "epoch")
+    read = _landed_rows(spark, land, "report_date date, last_contract_date date")
+    found = read.groupBy(F.col(EX.FILE).alias("file_name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.coalesce("report_date", "last_contract_date")).alias("newest"))
+    return latest.join(found, "file_name", "left").select("dataset", "file_name", "epoch", "rows", "newest")
+
+
+# ================================================================== runs through ingest, runner and store
+def _fresh_store(spark, name: str) -> TableStore:
+    import uuid
+    return TableStore(spark, f"{checkpoint_root(spark)}/{name}/{uuid.uuid4().hex}")
+
+
+def _run(store: TableStore, spec, extract: DataFrame, as_of: dt.date, run_id: str) -> RN.RunReport:
+    report = RN.run_dataset(store.spark, store, spec.dataset_id, extract, as_of, run_id)
+    if report.note.startswith("failed"):
+        raise RuntimeError(report.note)
+    return report
+
+
+@query
+def rerun_same_run_id(spark, sf):
+    """S-05 / S-11: a second run under a published run id, with a changed extract, leaves the table as it was."""
+    store = _fresh_store(spark, "rerun_same_run_id")
+    extract = SI.store_activity(spark, sf)
+    _run(store, STORE_ACTIVITY, extract, A_MID, "r1")
+    _run(store, STORE_ACTIVITY, extract.withColumn("financed_count", F.col("financed_count") + 1), A_MID, "r1")
+    return store.read("store_activity_official").drop(*M.STAMPS)
+
+
+@query
+def stream_two_checkpoints(spark, sf):
+    """R-01: two streams with checkpoints of their own feed one table; both inputs are kept."""
+    base = sf.rstrip("/")
+    store = _fresh_store(spark, "stream_two_checkpoints")
+    schema = spark.read.parquet(f"{base}/lineitem.parquet").schema
+    for k in (0, 1):
+        ST.stream_accumulate(
+            spark, f"{base}/lineitem[.]parquet", schema, store, "commission_stream", list(COMMISSION.key), f"{store.root}/checkpoint-{k}",
+            transform=lambda df, k=k: _lineitem_as_commission(df).where(F.col("contract_code") % 2 == k), ord_col="ord").awaitTermination()
+    return store.read("commission_stream")
+
+
+@query
+def ingest_real_headers(spark, sf):
+    """P-01 / T-07: a contracts extract under the report's own headers, run into an empty store."""
+    extract = SI.contracts_extract(spark, sf, A_MID)
+    store = _fresh_store(spark, "ingest_real_headers")
+    _run(store, CONTRACTS, extract.toDF(*[CONTRACTS.display_names.get(c, c) for c in extract.columns]), A_MID, "r1")
+    return store.read("contracts_quarter").drop("year", *M.STAMPS)
+
+
+@query
+def ingest_text_dates(spark, sf):
+    """F-10 / X-09: report dates as day-first text; the rows whose date is no date go to quarantine."""
+    text = F.when(F.col("proposal_id") % 20 == 0, F.lit("n/a")).otherwise(F.date_format("report_date", "d/M/yyyy"))
+    store = _fresh_store(spark, "ingest_text_dates")
+    _run(store, CONTRACTS, SI.contracts_extract(spark, sf, A_MID).withColumn("report_date", text), A_MID, "r1")
+    stored = store.read("contracts_quarter").drop("year", *M.STAMPS)
+    rejected = store.read_log("contracts_quarantine", RN.QUARANTINE_SCHEMA).select(
+        F.get_json_object("row", "$.proposal_id").cast("long").alias("proposal_id"), F.lit("quarantine").alias("change_type"))
+    return stored.unionByName(rejected, allowMissingColumns=True)
+
+
+@query
+def ingest_money_text(spark, sf):
+    """F-10 / P-06: formatted amounts (``R$ 1.234,56``) over a stored table read as the amounts they are."""
+    extract = SI.commission_raw_headers(spark, sf)
+    store = _fresh_store(spark, "ingest_money_text")
+    _run(store, COMMISSION, extract, A_TURN, "r1")
+    shown = F.concat(F.lit("R$ "), F.translate(F.format_number("gross_amount", 2), ",.", ".,"))
+    text = S.normalize_headers(extract).withColumn("gross_amount", (F.col("gross_amount") + 1).cast("decimal(18,2)")).withColumn("gross_amount", shown)
+    _run(store, COMMISSION, text, A_TURN, "r2")
+    return (store.read("commission_official").where("NOT is_total")
+            .select("contract_code", "period", "master_tax_id", F.col("gross_amount").cast("decimal(18,2)").alias("gross_amount"), "change_type"))
+
+
+@query
+def quarantine_null_period(spark, sf):
+    """Q-07: rows whose period is missing or no period stay out of the year routing and are counted with their reason."""
+    period = (F.when(F.col("period") == 200001, F.lit(None)).when(F.col("period") == 200002, F.lit("bad"))
+              .otherwise(F.col("period").cast("string")))
+    store = _fresh_store(spark, "quarantine_null_period")
+    _run(store, TARGETS, SI.targets(spark, sf).withColumn("period", period), A_MID, "r1")
+    stored = store.read("targets_official").groupBy(F.col("year").cast("string").alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    rejected = (store.read_log("targets_quarantine", RN.QUARANTINE_SCHEMA).select(F.explode("reasons").alias("part"))
+                .groupBy("part").agg(F.count(F.lit(1)).alias("rows")))
+    return stored.unionByName(rejected)
+
+
+@query
+def stored_table_order(spark, sf):
+    """O-01 / O-02: the stored preview's files, in name order, hold its rows in date order."""
+    store = _fresh_store(spark, "stored_table_order")
+    _run(store, CONTRACTS, SI.contracts_extract(spark, sf, A_MID), A_MID, "r1")
+    rows = store.read("contracts_preview").select("report_date", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    in_file = rows.withColumn("before", F.lag("report_date").over(Window.partitionBy("f").orderBy("i")))
+    files = in_file.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") > F.col("report_date")).alias("bad"),
+                                     F.min("report_date").alias("lo"), F.max("report_date").alias("hi"))
+    after = files.withColumn("prev", F.lag("hi").over(Window.orderBy("f")))  # a row per file
+    return after.agg(F.sum("n").alias("rows"), F.sum("bad").alias("out_of_order_in_file"),
+                     F.count_if(F.col("prev") > F.col("lo")).alias("out_of_order_between_files"))

@@ -2,23 +2,25 @@
 
 One run of one dataset:
 
-1. read the stored targets (only the partitions the flow can touch);
-2. build the flow's lazy plan (:mod:`snapmerge.plans.flows`);
-3. write every target as a new, invisible version — one Spark job each, with
-   ``Observation`` metrics (new / edited / total) collected during the write;
-4. publish all commits only after every write succeeded (all-or-nothing
-   across preview and official tables); publish nothing when no target has a
+1. open the extract and ingest it (:mod:`snapmerge.operators.ingest`): typed rows go on, rejects go to the
+   dataset's quarantine log; over ``MAX_REJECT_SHARE`` of the rows rejected fails the run;
+2. read the stored targets (only the partitions the flow can touch);
+3. build and write the preview, then the other targets on the written preview — one Spark job each, with
+   ``Observation`` metrics (new / edited / total) collected during the write.  Rows are range-partitioned and
+   sorted by the target's order columns, so the files in name order hold the table in order (O-01..O-03);
+4. publish all targets in one commit, after every write succeeded; publish nothing when no target has a
    new or edited row (S-11);
-5. append the audit row.
+5. append the audit row, with schema drift, footer rows and rejects in its note.
 
-A failing dataset writes an audit row with null counts and the error, and
-never blocks the other datasets.
+A run id that was published before changes nothing.  A failing dataset writes an audit row with null counts
+and the error, and never blocks the other datasets.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import traceback
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,7 +29,11 @@ from pyspark.sql import functions as F
 from ..functions.periods import row_year
 from ..operators import merge as M
 from ..operators.audit import audit_row
+from ..operators.filters import footer_count
+from ..operators.ingest import REASONS, Ingested, TooManyRejects, ingest
 from ..operators.routing import YEAR
+from ..operators.schema import drift_rows
+from ..operators.sizing import known_rows, with_known_rows
 from ..operators.totals import IS_TOTAL
 from ..sources import extract as EX
 from ..sources.store import TableStore
@@ -36,6 +42,9 @@ from . import flows as G
 
 BOOKKEEPING = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
 HISTORY_TABLE = "run_history"
+QUARANTINE_SCHEMA = "run_id string, reasons array<string>, row string"
+# Share of an extract's rows that may be rejected before the run fails.
+MAX_REJECT_SHARE = 0.2
 
 
 @dataclass
@@ -88,7 +97,7 @@ def strip_bookkeeping(df: DataFrame | None, partition_col: str | None = None) ->
     if df is None:
         return None
     drop = [c for c in BOOKKEEPING + ([partition_col] if partition_col else []) if c in df.columns]
-    return df.drop(*drop)
+    return with_known_rows(df.drop(*drop), known_rows(df))
 
 
 def _stored(store: TableStore, dataset: str, name: str, as_of: dt.date,
@@ -137,12 +146,10 @@ def prepare_extract(extract: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, D
     return extract.drop(EX.ORD), spec
 
 
-def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date,
-               written_preview: DataFrame | None = None) -> G.FlowResult:
+def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date) -> G.FlowResult:
     """G-09: dispatch by dataset; unknown datasets are an error.
 
-    ``written_preview``: this run's preview, already written — later targets are
-    then built on its files instead of re-running the preview merge.
+    Only the preview's plan is built here; the flow's ``rest`` builds the other targets.
     """
     s = lambda name: _stored(store, dataset, name, as_of)
     extract, spec = prepare_extract(extract, get_spec(dataset))
@@ -150,28 +157,20 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     # merge plan is allowed when the batch's keys are proven small.
     flow = spec.flow
     if flow == "month_preview_rolling":
-        return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True,
-                                spec=spec, preview=written_preview)
+        return G.contracts_flow(extract, s("preview"), s("quarter"), s("annual"), as_of, prev_unique=True, spec=spec)
     if flow == "accumulate":
-        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True,
-                                     preview=written_preview)
+        return G.store_activity_flow(extract, s("preview"), s("official"), as_of, spec=spec, prev_unique=True)
     if flow == "accumulate_by_row_year":
         preview = s("preview")
         years = years_in(preview, extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
-        return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True,
-                              preview=written_preview)
+        return G.targets_flow(extract, preview, official, as_of, spec=spec, prev_unique=True)
     if flow == "period_preview_by_year":
         years = years_in(extract, period_col=spec_period(dataset))
         official = _stored(store, dataset, "official", as_of, years)
         return G.portfolio_flow(extract, s("preview"), official, as_of, spec=spec, prev_unique=True)
     if flow == "upsert_with_totals":
-        batch = G.commission_batch(extract, spec)
-        preview = (written_preview if written_preview is not None
-                   else G.commission_preview(batch, s("preview"), spec, prev_unique=True))
-        official = G.commission_official(preview, strip_bookkeeping(store.read(targets_of(dataset)["official"].table)),
-                                         spec, prev_unique=True)
-        return G.FlowResult(batch, {"preview": preview, "official": official}, primary="official")
+        return G.commission_flow(extract, s("preview"), s("official"), spec=spec, prev_unique=True)
     raise ValueError(f"dataset {dataset!r} has no known flow ({flow!r})")
 
 
@@ -203,63 +202,108 @@ class RunReport:
     per_target: dict = field(default_factory=dict)
 
 
-def run_dataset(spark: SparkSession, store: TableStore, dataset: str, extract: DataFrame | None,
-                as_of: dt.date, run_id: str, run_ts: dt.datetime | None = None) -> RunReport:
-    """Run one dataset end to end; always appends exactly one audit row."""
+def ingest_for(store: TableStore, dataset: str, extract: DataFrame) -> tuple[Ingested, list[str]]:
+    """The dataset's typed rows and rejects, and notes on columns that differ from the spec and the stored table."""
+    spec = get_spec(dataset)
+    stored = next((c.schema for c in (store.latest_commit(t.table) for t in targets_of(dataset).values()) if c is not None), None)
+    got = ingest(extract, spec, stored)
+    own = {EX.FILE, EX.EPOCH, EX.ORD, spec.ord_col, spec.seq_col, YEAR, IS_TOTAL, *BOOKKEEPING, *M.STAMPS}
+    have = [c for c in got.rows.columns if c not in own]
+    kept = [f.name for f in stored.fields if f.name not in own] if stored is not None else None
+    drift = drift_rows(spec.name, spec.keep_columns or (), have, kept)
+    if spec.keep_columns is not None:  # columns beyond the configured ones are not kept by design
+        drift = [d for d in drift if d[2] != "extra_vs_table"]
+    return got, [f"{column} {issue}" for _, column, issue in drift]
+
+
+def quarantine(store: TableStore, dataset: str, rejects: DataFrame, run_id: str) -> None:
+    """Append rejected rows, as they came, with their reasons."""
+    names = [c for c in rejects.columns if c != REASONS]
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]), {"ignoreNullFields": "false"})
+    store.append(f"{get_spec(dataset).table_prefix}_quarantine",
+                 rejects.select(F.lit(run_id).alias("run_id"), F.col(REASONS).alias("reasons"), row.alias("row")))
+
+
+def run_dataset(spark: SparkSession, store: TableStore, dataset: str,
+                extract: DataFrame | Callable[[], DataFrame] | None,
+                as_of: dt.date, run_id: str, run_ts: dt.datetime | None = None, epoch: int | None = None) -> RunReport:
+    """Run one dataset end to end; always appends exactly one audit row.
+
+    ``extract`` may be a function that opens it, so that an unreadable one fails this dataset only.
+    ``epoch``: the landing entry's epoch, recorded with the commit (:meth:`TableStore.mark`).
+    """
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time())
     spec = get_spec(dataset)
-    if extract is None:
-        report = RunReport(dataset, None, None, None, None, False, "no extract for this run")
-        store.append(HISTORY_TABLE, audit_row(spark, spec.name, run_ts, None, None, None, None, report.note))
-        return report
     try:
-        flow = build_flow(store, dataset, extract, as_of)
-        rows_read = flow.extract.count()
-        run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
-        commits, metrics = {}, {}
-        if "preview" in flow.targets and len(flow.targets) > 1:
-            # Cut the lineage: write the preview once, then build the other
-            # targets on the written (not yet published) files.
-            commits["preview"], metrics["preview"] = _write_target(
-                store, dataset, "preview", flow.targets["preview"], run_id, run_seq, spec, as_of)
-            written = store.read_commit(commits["preview"])
-            flow = build_flow(store, dataset, extract, as_of, written_preview=written)
-        for name, df in flow.targets.items():
-            if name in commits:
-                continue
-            commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec, as_of)
-        primary = metrics[flow.primary]
-        changed = any(_target_changed(store, targets_of(dataset)[n], commits[n], metrics[n]) for n in commits)
-        if changed:
-            for name, c in commits.items():
-                store.publish(targets_of(dataset)[name].table, c)
-        note = "" if rows_read else "no data in period"
-        if not changed and rows_read:
-            note = "no new or edited rows; nothing published"
-        report = RunReport(dataset, rows_read, primary["new_rows"], primary["edited_rows"],
-                           primary["total_rows"], changed, note, metrics)
+        if extract is None:
+            report = RunReport(dataset, None, None, None, None, False, "no extract for this run")
+        elif any(store.has_version(t.table, run_id) for t in targets_of(dataset).values()):
+            report = RunReport(dataset, None, None, None, None, False, f"run {run_id} was published before; nothing done")
+        else:
+            report = _run(store, dataset, extract() if callable(extract) else extract, as_of, run_id, run_ts, epoch)
     except Exception as e:  # noqa: BLE001 — one dataset must not block the others
-        report = RunReport(dataset, None, None, None, None, False,
-                           f"failed: {type(e).__name__}: {str(e)[:300]}")
+        report = RunReport(dataset, None, None, None, None, False, f"failed: {type(e).__name__}: {e}")
         traceback.print_exc()
     store.append(HISTORY_TABLE, audit_row(spark, spec.name, run_ts, report.rows_read, report.new_rows,
                                           report.edited_rows, report.total_rows, report.note))
     return report
 
 
+def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, run_id: str,
+         run_ts: dt.datetime, epoch: int | None) -> RunReport:
+    spec = get_spec(dataset)
+    got, notes = ingest_for(store, dataset, extract)
+    notes = [f"columns: {', '.join(notes)}"] if notes else []
+    rejected = got.rejects.count()
+    if rejected:
+        read = rejected + got.rows.count()
+        if rejected > MAX_REJECT_SHARE * read:
+            raise TooManyRejects(f"{rejected} of {read} rows can't be read")
+        quarantine(store, dataset, got.rejects, run_id)
+        notes.append(f"{rejected} rows in quarantine")
+    if spec.footer_key in got.rows.columns:
+        footers = footer_count(got.rows, spec.footer_key).first()["footer_rows"]
+        if footers:
+            notes.append(f"{footers} footer rows dropped")
+    flow = build_flow(store, dataset, got.rows, as_of)
+    rows_read = flow.extract.count()
+    run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
+    commits, metrics = {}, {}
+    commits["preview"], metrics["preview"] = _write_target(
+        store, dataset, "preview", flow.preview, run_id, run_seq, spec, as_of)
+    written = with_known_rows(store.read_commit(commits["preview"]), commits["preview"].rows)
+    for name, df in flow.rest(written).items():
+        commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec, as_of)
+    primary = metrics[flow.primary]
+    changed = any(_target_changed(store, targets_of(dataset)[n], commits[n], metrics[n]) for n in commits)
+    marks = {dataset: epoch} if epoch is not None else None
+    if changed:
+        store.publish_all({targets_of(dataset)[n].table: c for n, c in commits.items()}, marks)
+    elif marks:
+        store.publish_all({}, marks)
+    if not rows_read:
+        notes.insert(0, "no data in period")
+    elif not changed:
+        notes.insert(0, "no new or edited rows; nothing published")
+    return RunReport(dataset, rows_read, primary["new_rows"], primary["edited_rows"], primary["total_rows"],
+                     changed, "; ".join(notes), metrics)
+
+
 def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run_id: str, run_seq: int,
                   spec: DatasetSpec, as_of: dt.date):
-    """One Spark job: stamp, observe the change counts, sort inside files, write a version."""
+    """Stamp, put the table in order, observe the change counts, write a version."""
     t = targets_of(dataset)[name]
     df = with_first_seen(df, run_seq)
+    sort = [c for c in t.sort_within if c in df.columns]
+    if sort:
+        order = [c for c in (t.partition_col,) if c] + sort
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     obs = Observation(f"{dataset}_{name}_{run_id}")
     ct = F.col(M.CHANGE)
-    observed = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
-                          F.count_if(ct == M.EDITED).alias("edited_rows"),
-                          F.count_if(ct.isNotNull()).alias("total_rows"),
-                          F.count(F.lit(1)).alias("rows_written"))
-    sort = [c for c in t.sort_within if c in df.columns]
-    out = observed.sortWithinPartitions(*sort) if sort else observed
+    out = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
+                     F.count_if(ct == M.EDITED).alias("edited_rows"),
+                     F.count_if(ct.isNotNull()).alias("total_rows"),
+                     F.count(F.lit(1)).alias("rows_written"))
     out = out.drop(*[c for c in BOOKKEEPING[1:] if c in out.columns])
     # a run-year table is rebuilt whole for its year: an emptied year must not be carried over
     replace = [str(as_of.year)] if t.run_year_only else None

@@ -28,7 +28,7 @@ A_TURN = dt.date(2001, 7, 1)     # day 1; 2001-06-30 is a Saturday → carry-ove
 A_TURN_BD = dt.date(2001, 8, 1)  # day 1; 2001-07-31 is a Tuesday → carry-over, no short window
 A_EMPTY = dt.date(2002, 3, 15)   # after the last order date: the extract is empty
 # Status value that plays "paid proposal".
-PAID = "F"
+PAID = "PROPOSTA PAGA"   # the status a paid proposal has in the report (order status F here)
 # Days before the run that the stored snapshot has not seen yet.
 UNSEEN_DAYS = 2
 # Holiday rows used by the tests (national scope).
@@ -57,7 +57,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("report_date"),
         F.col("o_custkey").alias("dealer_id"),
         F.col("o_orderpriority").alias("manager"),
-        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderstatus") == "F", PAID).otherwise(F.col("o_orderstatus")).alias("status"),
         (key * 10).alias("contract_code"),
         F.col("o_totalprice").alias("principal"),
         (F.col("o_totalprice") * 2).alias("financed"),
@@ -172,8 +172,17 @@ def commission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def commission_extract(spark: SparkSession, sf_dir: str, as_of: dt.date) -> DataFrame:
     """The commission report as downloaded: the source window of ``as_of`` (F-14 by the
-    library) and the report's footer row (null contract, summed amount)."""
-    rows = source_window_period(commission(spark, sf_dir), "period", as_of, set(TEST_HOLIDAYS))
+    library) and the report's footer row."""
+    return _with_footer(source_window_period(commission(spark, sf_dir), "period", as_of, set(TEST_HOLIDAYS)))
+
+
+def commission_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commission report over all periods, with its footer row."""
+    return _with_footer(commission(spark, sf_dir))
+
+
+def _with_footer(rows: DataFrame) -> DataFrame:
+    """A report's rows and its footer (null contract, summed amount)."""
     footer = rows.agg(F.sum("gross_amount").cast("decimal(18,2)").alias("gross_amount"))
     footer = footer.select(F.lit(None).cast("long").alias("contract_code"), F.lit(None).cast("int").alias("period"),
                            F.lit(None).cast("long").alias("master_tax_id"), "gross_amount",
@@ -202,8 +211,8 @@ def commission_stored(spark: SparkSession, sf_dir: str, as_of: dt.date, with_tot
     return data.unionByName(stale_total)
 
 
-def commission_raw_headers(spark: SparkSession, sf_dir: str, as_of: dt.date) -> DataFrame:
-    """The commission extract with the header whitespace the real report carries."""
-    e = commission_extract(spark, sf_dir, as_of)
+def commission_raw_headers(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -> DataFrame:
+    """The commission extract with the header whitespace the real report carries (all periods without ``as_of``)."""
+    e = commission_report(spark, sf_dir) if as_of is None else commission_extract(spark, sf_dir, as_of)
     return e.toDF(*["\n    " + c + "\n    " if c == "gross_amount" else (" " + c if c == "rate_pct" else c)
                     for c in e.columns])

@@ -63,13 +63,17 @@ def build_session(master: str | None = None, app_name: str = "snapmerge",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private temporary folder
-    created and recorded in the session, so later calls agree on it.
+    Only on a local master without the setting (tests) is a private temporary
+    folder created and recorded in the session, so later calls agree on it; on
+    a cluster executors would each write to a disk of their own, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="snapmerge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

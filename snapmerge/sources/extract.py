@@ -67,7 +67,9 @@ def with_landing_columns(df: DataFrame, row_index: bool = True) -> DataFrame:
     row; each is evaluated once (the parts are computed in their own projection).
     """
     name, parent = "_sm_file_name", "_sm_parent"
-    rows = F.col("_metadata.row_index") if row_index else F.lit(0).cast("long")
+    # without row_index: the number of the row in its task, which reads whole files in order
+    rows = (F.col("_metadata.row_index") if row_index
+            else F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     path = F.col("_metadata.file_path")
     step = df.select("*", F.col("_metadata.file_name").alias(name),
                      F.substring_index(F.substring_index(path, "/", -2), "/", 1).alias(parent),
@@ -85,12 +87,15 @@ def read_extract(spark: SparkSession, path: str | list[str], schema: T.StructTyp
                  fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """S-01: read one or more extracts with a declared schema, plus landing columns.
 
-    CSV has no ``row_index``; for CSV the position is the part number only
-    (rows of one file then tie-break on content).
+    CSV has no ``row_index``.  A CSV entry is read one file per task
+    (``multiLine``), so the rows of a file are numbered in file order by
+    ``monotonically_increasing_id`` within its task.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("multiLine", "true")
     return with_landing_columns(reader.load(path), row_index=(fmt == "parquet"))
 
 

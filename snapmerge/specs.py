@@ -25,12 +25,10 @@ class DatasetSpec:
     footer_key: str | None = None                 # null here = report footer / totals row
     ord_col: str | None = None                    # position of a row inside its extract
     seq_col: str | None = None                    # run sequence when a batch holds several extracts
-    preview_policy: str = "forever"               # forever | month_carryover | current_period
-    official_policy: str = "forever"              # forever | rolling_and_forever | upsert_with_totals
-    routing: str | None = None                    # None | run_year | row_year
+    money_cols: tuple[str, ...] = ()              # amounts that may land as text, beside those marked by name
     flow: str = "accumulate"                      # see FLOWS
     table_prefix: str = ""                        # stored tables are f"{table_prefix}_{target}"
-    display_names: dict[str, str] = field(default_factory=dict)
+    display_names: dict[str, str] = field(default_factory=dict)   # column → header in the report
 
 
 # Flow kinds the runner knows (G-09): month preview + rolling and permanent
@@ -41,13 +39,13 @@ FLOWS = ("month_preview_rolling", "accumulate", "accumulate_by_row_year", "perio
 
 
 # The five datasets, their keys and column lists (snake_case
-# names; the report's display names are kept for output).
+# names; extracts come with the report's display names).
 CONTRACTS = DatasetSpec(
     dataset_id="numero_contratos", name="Contracts", key=("proposal_id",), cadence="daily",
     keep_columns=("proposal_id", "report_date", "dealer_id", "manager", "status", "contract_code",
                   "principal", "financed", "insurance", "branch"),
-    status_filter=("status", "F"), date_col="report_date",
-    preview_policy="month_carryover", official_policy="rolling_and_forever", routing="run_year",
+    status_filter=("status", "PROPOSTA PAGA"), date_col="report_date",
+    money_cols=("principal", "financed", "insurance"),
     flow="month_preview_rolling", table_prefix="contracts",
     display_names={"proposal_id": "ID Proposta", "report_date": "Dt Relatório", "dealer_id": "Lojista",
                    "manager": "GP", "status": "Status Proposta", "contract_code": "Cd Contrato",
@@ -58,7 +56,7 @@ CONTRACTS = DatasetSpec(
 STORE_ACTIVITY = DatasetSpec(
     dataset_id="dias_sem_producao", name="Store activity", key=("store_id", "vintage"), cadence="weekly",
     keep_columns=("store_id", "store_name", "vintage", "last_contract_date", "financed_value", "financed_count"),
-    period_col="vintage", flow="accumulate", table_prefix="store_activity",
+    period_col="vintage", money_cols=("financed_value",), flow="accumulate", table_prefix="store_activity",
     display_names={"store_id": "Cd Loja", "store_name": "Nm Loja", "vintage": "Safra Mes",
                    "last_contract_date": "Data Ultimo Contrato Date", "financed_value": "Valor Financiamento",
                    "financed_count": "Qtde. Financiamento"},
@@ -66,22 +64,22 @@ STORE_ACTIVITY = DatasetSpec(
 
 TARGETS = DatasetSpec(
     dataset_id="meta_financiamento_seguro", name="Targets", key=("period", "branch"), cadence="monthly",
-    keep_columns=("period", "branch", "production", "target"), period_col="period", routing="row_year",
-    flow="accumulate_by_row_year", table_prefix="targets",
+    keep_columns=("period", "branch", "production", "target"), period_col="period",
+    money_cols=("production", "target"), flow="accumulate_by_row_year", table_prefix="targets",
     display_names={"period": "Anomes Apuracao", "branch": "Filial", "production": "R$ Produção",
                    "target": "R$ Meta"},
 )
 
 PORTFOLIO = DatasetSpec(
     dataset_id="carteira_parceiros", name="Portfolio", key=("store_tax_id", "branch", "period"),
-    cadence="daily", period_col="period", preview_policy="current_period", routing="row_year",
+    cadence="daily", period_col="period",
     flow="period_preview_by_year", table_prefix="portfolio",
     display_names={"store_tax_id": "Cnpj Da Loja", "branch": "Filial", "period": "Anomes"},
 )
 
 COMMISSION = DatasetSpec(
     dataset_id="comissao_a_vista", name="Commission", key=("contract_code", "period"), cadence="monthly",
-    period_col="period", footer_key="contract_code", ord_col="ord", official_policy="upsert_with_totals",
+    period_col="period", footer_key="contract_code", ord_col="ord",
     flow="upsert_with_totals", table_prefix="commission",
     display_names={"contract_code": "Cd Contrato", "period": "Anomes Apuracao",
                    "master_tax_id": "Cnpj Master"},

@@ -7,9 +7,11 @@ same merge used in batch mode, writing through the versioned store:
 * ``trigger(availableNow=True)`` processes everything new and stops — the
   scheduled-job shape of the original process, with exactly-once bookkeeping
   by the stream checkpoint;
-* each micro-batch writes the version ``b{batch_id}``; when a batch is
-  replayed after a failure between publish and checkpoint commit, the store
-  already shows that version and the batch is skipped (idempotent);
+* each micro-batch writes the version ``{stream_id}-b{batch_id}``, where the
+  stream id belongs to the checkpoint folder; when a batch is replayed after a
+  failure between publish and checkpoint commit, that version was published
+  before and the batch is skipped (idempotent).  A new checkpoint is a new
+  stream: its batches count from 0 again and are all stored;
 * keep-last order inside a micro-batch is the run epoch from the entry name
   (``seq_col``), then the position inside the extract (``extract_ord``), so
   several files in one micro-batch give the same result as one per micro-batch.
@@ -22,6 +24,7 @@ not the last.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +46,15 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
     return X.with_landing_columns(reader.parquet(landing_dir))
 
 
-def accumulate_batch(store: TableStore, table: str, key: list[str],
+def stream_id(store: TableStore, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint folder, made on first use and kept in that folder."""
+    path = f"{checkpoint.rstrip('/')}/snapmerge_stream_id"
+    if not store._exists(path):
+        store._write_text(path, uuid.uuid4().hex)
+    return store._read_text(path).strip()
+
+
+def accumulate_batch(store: TableStore, table: str, key: list[str], stream: str,
                      transform: Callable[[DataFrame], DataFrame] | None = None,
                      ord_col: str = X.ORD) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: keep-last accumulate a micro-batch into ``table``.
@@ -53,7 +64,7 @@ def accumulate_batch(store: TableStore, table: str, key: list[str],
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        version = f"b{batch_id}"
+        version = f"{stream}-b{batch_id}"
         if store.has_version(table, version):
             return  # replay of an already published micro-batch
         rows = transform(batch) if transform else batch
@@ -77,7 +88,8 @@ def stream_accumulate(spark: SparkSession, landing_dir: str, schema: T.StructTyp
     ``landing_dir`` is a folder or a glob of files (e.g. ``.../commission_*.parquet``).
     """
     src = landing_stream(spark, landing_dir, schema, max_files_per_trigger)
-    return (src.writeStream.foreachBatch(accumulate_batch(store, table, key, transform, ord_col))
+    stream = stream_id(store, checkpoint)
+    return (src.writeStream.foreachBatch(accumulate_batch(store, table, key, stream, transform, ord_col))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -106,3 +106,9 @@ def test_broadcast_bound_measures_string_bytes(spark):
     assert S.bounded_count(long_keys, S.broadcast_row_limit(long_keys)) == 20   # the estimate alone would pass
     assert S.proven_rows(long_keys) is None                                      # the measurement does not
     assert S.proven_rows(spark.range(3).select(F.array("id").alias("a"))) is None
+
+
+def test_totals_skip_nan(spark):
+    df = spark.createDataFrame([(1, 2.0, 1.0), (2, float("nan"), float("nan")), (3, 3.0, 2.0)], "k int, gross_amount double, rate_pct double")
+    t = TT.totals_row(df).first()
+    assert t["gross_amount"] == 5.0 and t["rate_pct"] == 1.5
