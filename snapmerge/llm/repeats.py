@@ -229,8 +229,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
         for b in batches:
             data, offsets = C.text_bytes(b.column(b.schema.get_field_index("text")))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_keys(data, offsets))], names=[*b.schema.names, "text_key"])
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
-    return docs.mapInArrow(scan, f"{fields}text_key long")
+    return docs.mapInArrow(scan, C.with_fields(docs, (), "text_key long"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -246,6 +245,10 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 def mark_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` plus removed: the maximal byte spans to remove (empty: none)."""
+    return C.beside(docs, ["text"], ["removed"], lambda inner: _marked(inner, options))
+
+
+def _marked(docs: DataFrame, options: dict) -> DataFrame:
     names = docs.columns
     joined = _with_key(docs).join(find_spans(docs, **options), "text_key", "left")
 
@@ -255,8 +258,7 @@ def mark_repeats(docs: DataFrame, **options) -> DataFrame:
             spans = [[{"start": s, "end": e} for s, e in merged(x)] for x in b.column(b.schema.get_field_index("spans")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in names), pa.array(spans, kind)], names=[*names, "removed"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
-    return joined.select(*names, "spans").mapInArrow(tidy, f"{fields}removed {SPAN}")
+    return joined.select(*names, "spans").mapInArrow(tidy, C.with_fields(docs, (), f"removed {SPAN}"))
 
 
 def digest(marked: DataFrame) -> DataFrame:
@@ -300,6 +302,11 @@ def cut(text: str | None, spans: list[dict]) -> str | None:
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the repeated bytes cut from the text, columns unchanged (n_chars set anew where text was cut)."""
+    needs = [c for c in ("text", "n_chars") if c in docs.columns]
+    return C.beside(docs, needs, [], lambda inner: _cut_out(inner, options)).select(*(f"`{c}`" for c in docs.columns))
+
+
+def _cut_out(docs: DataFrame, options: dict) -> DataFrame:
     names = docs.columns
     marked = mark_repeats(docs, **options)
 
@@ -314,5 +321,4 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
             cols["text"] = pa.array(texts, cols["text"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return marked.mapInArrow(scan, fields)
+    return marked.select(*names, "removed").mapInArrow(scan, docs.schema)

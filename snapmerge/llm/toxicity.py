@@ -172,8 +172,9 @@ def train(labelled: DataFrame, bits: int = BITS, features: int = FEATURES, penal
     return out, b
 
 
-def score(docs: DataFrame, weights: np.ndarray, intercept: float, bits: int = BITS) -> DataFrame:
-    """Columns of ``docs`` without text, plus score."""
+def score(docs: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
+    """Columns of ``docs`` without text, plus score; ``weights`` has a number for each of its 2**bits features."""
+    bits = len(weights).bit_length() - 1
     kept = np.flatnonzero(weights)
     wanted = np.full(len(weights), -1, np.int32)
     wanted[kept] = np.arange(len(kept))

@@ -59,7 +59,7 @@ def test_labels_held_out_are_not_read(corpus):
 def test_log_count_ratio_and_presence():
     import pyarrow as pa
     rows, f = toxicity._presence(pa.array(["abab", "ABAB!", None, ""]), 16)
-    assert set(f[rows == 0]) == set(f[rows == 1]) and not (rows > 1).any()
+    assert 0 < len(f[rows == 0]) and set(f[rows == 0]) <= set(f[rows == 1]) and not (rows > 1).any()  # the mark is one more blank
     found = [r.tolist() for r, _ in toxicity.ngrams(pa.array(["ab", "cd"]), (4,), 16)]
     assert found == [[0, 1]]  # " ab " and " cd ", never across rows
 
