@@ -21,13 +21,11 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapmerge.llm import common as C
 
@@ -40,8 +38,8 @@ EPOCHS = 2
 GENERATIONS = 8
 ROUNDS = 2
 GOOD_FILL = 0.97
-#: entries of a task's cache of token ids, then it starts anew
-CACHE = 400_000
+#: entries of a worker's cache of token ids beyond which it starts anew
+CACHE = 600_000
 
 # In Latin-1 text the tokenizer's word rule can be written with plain character sets; its normaliser only lower-cases
 # and treats white space as a separator, which the rule drops.
@@ -62,25 +60,75 @@ class WordCache:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a pre-token
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        try:
-            text.encode("latin-1")
-            parts = _TOKEN.findall(text.lower()) if "<|" not in text else None
-        except UnicodeEncodeError:
-            parts = re.split("[\t-\r ]+", text) if "<|" not in text else None
-        if parts is None:  # may hold the name of a special token
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        try:
-            return b"".join(map(self.known.__getitem__, parts))
-        except KeyError:
-            if len(self.known) > CACHE:
-                self.known.clear()
-            new = [p for p in dict.fromkeys(parts) if p not in self.known]
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-            return b"".join(map(self.known.__getitem__, parts))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """:meth:`encode` of several texts; their unknown parts are tokenised together."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        parts: list[list[str] | None] = []
+        tokens: dict[str, None] = {}
+        chunks: dict[str, None] = {}
+        for t in texts:
+            if "<|" in t:  # may hold the name of a special token
+                parts.append(None)
+            elif _is_latin(t):
+                parts.append(_TOKEN.findall(t.lower()))
+                tokens.update(dict.fromkeys(set(parts[-1]).difference(self.known)))
+            else:
+                parts.append([p for p in re.split("[\t-\r ]+", t) if p])
+                chunks.update(dict.fromkeys(set(parts[-1]).difference(self.known)))
+        self._learn_tokens(list(tokens))
+        self._learn(list(chunks))
+        return [_packed_ids(self.tokenizer.encode(t, add_special_tokens=False).ids) if p is None else b"".join(map(self.known.__getitem__, p))
+                for t, p in zip(texts, parts)]
+
+    def _learn(self, parts: list[str]) -> None:
+        for p, e in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False)):
+            self.known[p] = _packed_ids(e.ids)
+
+    def _learn_tokens(self, parts: list[str]) -> None:
+        """Pre-tokens, many in one text with blanks between: a token that ends a word ends a pre-token."""
+        groups = [parts[i:i + 200] for i in range(0, len(parts), 200)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(group):
+                self._learn(group)
+                continue
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(group, ends.tolist()):
+                self.known[p] = raw[at:end]
+                at = end
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+_CACHES: dict[str, WordCache] = {}
+
+
+def word_cache(path: str) -> WordCache:
+    """The worker process's cache for a vocabulary file; it outlives the task."""
+    if path not in _CACHES:
+        _CACHES.clear()
+        _CACHES[path] = WordCache(path)
+    return _CACHES[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -95,14 +143,15 @@ def _cut(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     def cut(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordCache(tokenizer_path)
+        words = word_cache(tokenizer_path)
         end = np.array([END], dtype="<u4").tobytes()
         step = 4 * capacity
         for b in batches:
             for part in C.slices(b, "text"):
                 row, piece, ids = [], [], []
-                for i, t in enumerate(part.column(part.schema.get_field_index("text")).to_pylist()):
-                    whole = words.encode(t or "") + end
+                texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                for i, whole in enumerate(words.encode_all(texts)):
+                    whole += end
                     for j in range(0, len(whole), step):
                         row.append(i)
                         piece.append(j // step)
@@ -116,12 +165,6 @@ def _cut(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     return docs.mapInArrow(cut, C.with_fields(docs, ("text",), "piece int, start long, length long, ids binary"))
 
 
-@F.pandas_udf(T.LongType())
-def ids_crc32(ids):
-    """CRC-32 of the ids' bytes."""
-    return ids.map(zlib.crc32)
-
-
 # --- packings of one group: a packing is a list of bins, a bin a tuple of piece numbers -------------------------------
 
 def best_fit(lengths: list[int], items: list[int], bins: list[list[int]], free: list[int], capacity: int) -> None:

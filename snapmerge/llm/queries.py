@@ -63,7 +63,7 @@ def op7_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> Da
     """Every document's token pieces and their places in sequences of at most 2048 tokens."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = packing.pieces(docs, path or tokenizer_path())
-    cut = cut.select("doc_id", "piece", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"))
+    cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(cut)
 
 
