@@ -117,4 +117,32 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
 FROM words w LEFT JOIN covered c USING (doc_id) LEFT JOIN owners o USING (doc_id)
 """
 
-ORACLE = {"op1_decontamination": OP1_SQL}
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '') AS host,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM docs, unnest(generate_series(1, len(w) - 4)) AS x(i) WHERE len(w) >= 5),
+twice AS (SELECT doc_id, g FROM grams GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (doc_id, g), unnest(generate_series(0, 4)) AS x(k) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, host, t, line, regexp_replace(trim(regexp_replace(lower(line), '\s+', ' ', 'g')), '[1-9]', '0', 'g') AS k,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+doubled AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
+hosts AS (SELECT host, count(DISTINCT t) AS host_docs FROM docs GROUP BY host),
+boiler AS (
+  SELECT host, k FROM (SELECT host, k, count(DISTINCT t) AS n FROM lines GROUP BY host, k) JOIN hosts USING (host)
+  WHERE n > 10 AND n > 0.05 * host_docs),
+lost AS (SELECT doc_id, sum(n) AS n FROM lines JOIN boiler USING (host, k) GROUP BY doc_id),
+counts AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(u.n, 0)::BIGINT AS n_dup_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0)::BIGINT AS removed_words
+  FROM docs d LEFT JOIN doubled u USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN lost l USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND removed_words <= 0.5 * n_words AS kept
+FROM counts
+"""
+
+ORACLE = {"op1_decontamination": OP1_SQL, "op6_line_rules": OP6_SQL}
