@@ -34,9 +34,14 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
     h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 SILENT = frozenset("button canvas datalist head iframe noscript object option script select style svg template textarea title".split())
 FURNITURE = frozenset("aside footer form header menu nav dialog".split())
-MARKS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer
-    gdpr header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted related reply replies respond
-    share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget""".split())
+MARKS = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment commentlist comments consent cookie
+    cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted
+    related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget""".split())
+#: marks that name a part of the article when they stand inside one, and those that tell a comment or teaser from the article
+HEADS = frozenset("banner header masthead".split())
+ASIDE_ARTICLES = frozenset("ad ads advert comment comments promo promoted related reply replies sponsored widget".split())
+#: words that make a class name tell about other elements ("has-sidebar")
+RELATIVE = frozenset("has is no not with without".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 CLOSES_P = BLOCK - {"body", "html"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -54,10 +59,22 @@ def _marked(tag: str, attrs: list, in_region: bool) -> bool:
     a = {k: (v or "").lower() for k, v in attrs}
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
         return True
-    if tag in ("html", "body", "main", "article", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
+    if tag == "article":
+        return a.get("role") in ROLES or not ASIDE_ARTICLES.isdisjoint(_words(a))
+    if tag in ("html", "body", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
         return a.get("role") in ROLES
-    words = f"{a.get('class', '')} {a.get('id', '')}".replace("-", " ").replace("_", " ").split()
-    return a.get("role") in ROLES or not MARKS.isdisjoint(words)
+    words = _words(a)
+    return a.get("role") in ROLES or not (MARKS - HEADS if in_region else MARKS).isdisjoint(words)
+
+
+def _words(attrs: dict) -> set[str]:
+    """Words of the class and id names, without those of names that speak of other elements."""
+    out: set[str] = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        parts = set(re.split("[-_]+", name))
+        if parts.isdisjoint(RELATIVE):
+            out |= parts
+    return out
 
 
 class _Lines(HTMLParser):
@@ -95,6 +112,9 @@ class _Lines(HTMLParser):
         if tag in CLOSES_P or tag in SAME:
             self._imply_ends(tag)
             furniture, region, silent = self._state()
+        if tag in ("article", "main") and furniture:
+            self._leave_menu(tag)
+            furniture, region, silent = self._state()
         if tag in BLOCK:
             self._flush()
         self.tags += 1
@@ -109,6 +129,12 @@ class _Lines(HTMLParser):
         self.links += tag == "a"
         self.open.append((tag, furniture, region, silent or tag in SILENT))
 
+    def _leave_menu(self, tag):
+        """No menu or page header holds the article: one still open there was not closed; <main> ends any furniture."""
+        first = next(i for i, e in enumerate(self.open) if e[1])
+        if self.open[first][0] in ("nav", "header") or tag == "main":
+            self._pop_to(first)
+
     def _imply_ends(self, tag):
         """A block ends an open paragraph; a list item, cell or row ends its open sibling."""
         for i in range(len(self.open) - 1, -1, -1):

@@ -15,6 +15,8 @@ CASES = [
      "bold & nested text é next line"),
     (f"<main><p>{LONG}</p><aside><p>{LONG}</p></aside><p hidden>{LONG}</p></main><div class='cookie-notice'>{LONG}</div>", LONG),
     ("<article><p>cut off in a tag</p><p>and <b", "cut off in a tag\n\nand"),
+    (f"<body class='has-sidebar'><nav><ul><li><a>Menu</a><div class='content-with-sidebar'><article><div class='article-header'><h1>Head</h1></div><p>{LONG}</p></article></div>"
+     f"<section id='comments'><article class='comment'><p>{LONG}</p></article></section>", f"Head\n\n{LONG}"),
     ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\n\ntwo\n\na\n\nb"),
 ]
 
