@@ -43,6 +43,9 @@ from . import flows as G
 BOOKKEEPING = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
 HISTORY_TABLE = "run_history"
 QUARANTINE_SCHEMA = "run_id string, reasons array<string>, row string"
+# Set to false, tables in append order (the permanent ones) are sorted inside files only: the
+# rewritten partitions then need no shuffle, and readers that want the order sort by the stamps.
+ORDER_HISTORY_CONF = "snapmerge.orderHistory"
 # Share of an extract's rows that may be rejected before the run fails.
 MAX_REJECT_SHARE = 0.2
 
@@ -297,7 +300,8 @@ def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run
     sort = [c for c in t.sort_within if c in df.columns]
     if sort:
         order = [c for c in (t.partition_col,) if c] + sort
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        whole = sort != list(M.STAMPS) or store.spark.conf.get(ORDER_HISTORY_CONF, "true").lower() != "false"
+        df = (df.repartitionByRange(*order) if whole else df).sortWithinPartitions(*order)
     obs = Observation(f"{dataset}_{name}_{run_id}")
     ct = F.col(M.CHANGE)
     out = df.observe(obs, F.count_if(ct == M.NEW).alias("new_rows"),
