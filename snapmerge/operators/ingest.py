@@ -36,6 +36,7 @@ class TooManyRejects(ValueError):
 class Ingested:
     rows: DataFrame       # typed rows, spec names
     rejects: DataFrame    # rows that could not be read, original text, with REASONS (array of text)
+    marked: DataFrame     # all rows as they came, with REASONS (empty: none)
 
 
 def money_from_text(c: Column) -> Column:
@@ -104,4 +105,4 @@ def ingest(extract: DataFrame, spec: DatasetSpec, stored: T.StructType | None =
     marked = df.withColumn(REASONS, reasons)
     good = marked.where(F.size(REASONS) == 0).select(*out)
     bad = marked.where(F.size(REASONS) > 0)
-    return Ingested(good, bad)
+    return Ingested(good, bad, marked)

@@ -49,7 +49,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import qcol, quote, rows_equal, values_equal
 from .sizing import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, bounded_count,
-                     measured_bytes, proven_rows)
+                     known_rows, measured_bytes, proven_rows, with_known_rows)
 
 SRC = "_sm_src"
 ORD = "_sm_ord"
@@ -211,7 +211,7 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     """
     keys = _keys(keys)
     if prev is None:
-        prev = batch.limit(0)
+        prev = with_known_rows(batch.limit(0), 0)
     present = set(prev.columns) | set(batch.columns)
     keep = list(keep_from_prev) + [s for s in STAMPS if s in present and s not in keep_from_prev]
     exclude = list(compare_exclude) + ([ord_col] if ord_col else []) + ([seq_col] if seq_col else []) + keep
@@ -268,7 +268,8 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     ``"lookup"`` broadcasts them whole; otherwise ``"touched"`` broadcasts
     only the keys.
     """
-    n_keys = proven_rows(batch_keys)
+    # a batch whose rows are known (a written preview, one row per key) needs no count of its keys
+    n_keys = proven_rows(with_known_rows(batch_keys, known_rows(batch)))
     if n_keys is None:
         return "shuffle"
     ratio_rows = TOUCHED_RATIO * max(n_keys, 1)

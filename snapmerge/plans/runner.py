@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from ..functions.periods import row_year
 from ..operators import merge as M
 from ..operators.audit import audit_row
-from ..operators.filters import footer_count
 from ..operators.ingest import REASONS, Ingested, TooManyRejects, ingest
 from ..operators.routing import YEAR
 from ..operators.schema import drift_rows
@@ -257,19 +256,20 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
     spec = get_spec(dataset)
     got, notes = ingest_for(store, dataset, extract)
     notes = [f"columns: {', '.join(notes)}"] if notes else []
-    rejected = got.rejects.count()
-    if rejected:
-        read = rejected + got.rows.count()
-        if rejected > MAX_REJECT_SHARE * read:
-            raise TooManyRejects(f"{rejected} of {read} rows can't be read")
+    # one pass over the extract: rows, rejects, and footers among the rows that can be read
+    ok = F.size(REASONS) == 0
+    footer = F.col(f"`{spec.footer_key}`").isNull() if spec.footer_key in got.marked.columns else F.lit(False)
+    seen = got.marked.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("rejected"),
+                          F.count_if(ok & footer).alias("footers")).first()
+    if seen["rejected"]:
+        if seen["rejected"] > MAX_REJECT_SHARE * seen["rows"]:
+            raise TooManyRejects(f"{seen['rejected']} of {seen['rows']} rows can't be read")
         quarantine(store, dataset, got.rejects, run_id)
-        notes.append(f"{rejected} rows in quarantine")
-    if spec.footer_key in got.rows.columns:
-        footers = footer_count(got.rows, spec.footer_key).first()["footer_rows"]
-        if footers:
-            notes.append(f"{footers} footer rows dropped")
+        notes.append(f"{seen['rejected']} rows in quarantine")
+    if seen["footers"]:
+        notes.append(f"{seen['footers']} footer rows dropped")
     flow = build_flow(store, dataset, got.rows, as_of)
-    rows_read = flow.extract.count()
+    rows_read = seen["rows"] - seen["rejected"] - seen["footers"]
     run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
     commits, metrics = {}, {}
     commits["preview"], metrics["preview"] = _write_target(
@@ -318,7 +318,11 @@ def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run
         prev = store.latest_commit(t.table)
         counts = dict(prev.part_rows or {}) if prev is not None and prev.partition_col == t.partition_col else {}
         counts = {k: v for k, v in counts.items() if k in commit.parts}
-        counts.update(store.count_parts(commit, store.rewritten_parts(commit)))
+        rewritten = store.rewritten_parts(commit)
+        if len(rewritten) == 1:
+            counts[rewritten[0]] = metrics["rows_written"]
+        else:
+            counts.update(store.count_parts(commit, rewritten))
         commit.part_rows = counts
         commit.rows = sum(counts.values()) if set(counts) == set(commit.parts) else None
     else:
