@@ -183,7 +183,9 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int, bits: int) -> Da
     items = (hits.select("text_key", "wid").distinct().join(owners, "wid")
              .select("text_key", F.col("item_id").cast("string").alias("item_id")).distinct()
              .groupBy("text_key").agg(F.sort_array(F.collect_list("item_id")).alias("items")))
-    out = (found.drop("segs").join(spans.join(items, "text_key"), "text_key", "left")
+    # one row per contaminated text, staged: a plain join of two tables can be split where a text has many copies
+    summary = C.stage(spans.join(items, "text_key"), "decontam-summary")
+    out = (found.drop("segs").join(summary, "text_key", "left")
            .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
            .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
            .withColumn("n_items", F.size("items").cast("long"))
