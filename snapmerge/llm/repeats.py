@@ -189,8 +189,8 @@ def find_spans(docs: DataFrame, length: int = LENGTH, modulus: int = MODULUS, cr
                      pa.array([r["t"] - r["s"] for r in rows], pa.int64()), pa.array([raw[r["s"]:r["e"] + length] for r in rows], pa.binary())],
                     names=["core", "entry", "c", "lead", "bytes"])
 
-    keyed = _with_key(docs.select("text"))
-    texts = keyed.join(asked, "text_key").groupBy("text_key").agg(F.first("text").alias("text"), F.first("asked").alias("asked"))
+    # copies of a text are dropped before the exchange
+    texts = _with_key(docs.select("text")).groupBy("text_key").agg(F.first("text").alias("text")).join(asked, "text_key")
     known = C.stage(texts.select("text", "asked").mapInArrow(fetch, "core long, entry long, c long, lead long, bytes binary"), "repeats-entries")
     sizes = C.stage(known.groupBy("core").agg(F.count("*").alias("m")), "repeats-sizes")
     known = known.join(sizes, "core")
