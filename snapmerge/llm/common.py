@@ -19,7 +19,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: lower-cases the ASCII letters of UTF-8 bytes and leaves every other byte alone
 LOWER_TABLE = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: texts are handled in slices of about this many bytes, so a task's memory does not follow the batch
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 #: rows of an Arrow batch between Spark and Python
 BATCH_ROWS = 1000
 
@@ -155,7 +155,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd constant modulo 2^64 and of its inverse."""
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 65536)
+        size = max(n, SLICE_BYTES + (256 << 10))
         for name, base in (("up", _ODD), ("down", _INVERSE)):
             t = np.full(size, base, dtype=np.uint64)
             t[0] = 1

@@ -38,8 +38,9 @@ EPOCHS = 2
 GENERATIONS = 8
 ROUNDS = 2
 GOOD_FILL = 0.97
-#: entries of a worker's cache of token ids beyond which it starts anew
-CACHE = 600_000
+#: entries of a worker's cache of token ids (about 200 bytes each); beyond it only short words, the frequent ones, stay
+CACHE = 250_000
+SHORT = 7
 
 # In Latin-1 text the tokenizer's word rule can be written with plain character sets; its normaliser only lower-cases
 # and treats white space as a separator, which the rule drops.
@@ -71,7 +72,9 @@ class WordCache:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """:meth:`encode` of several texts; their unknown parts are tokenised together."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.known = {k: v for k, v in self.known.items() if len(k) <= SHORT}
+            if len(self.known) > CACHE // 2:
+                self.known = {}
         parts: list[list[str] | None] = []
         tokens: dict[str, None] = {}
         chunks: dict[str, None] = {}
