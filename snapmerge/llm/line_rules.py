@@ -2,7 +2,8 @@
 
 Lines are normalised (lower case, digits to 0, white space to one space) and hashed.  Within a host (``source``) the
 distinct documents of each line are counted; equal texts of a host count as one document, so a mere copy makes no line
-common.  A line is boilerplate if more than ``MIN_DOCS`` documents and more than ``MAX_SHARE`` of the host's documents
+common.  A whole corpus is cleaned with one vote per class of edited copies (``copy_classes``), so a group of near copies
+does not outvote its own lines and is left for the near-duplicate stage.  A line is boilerplate if more than ``MIN_DOCS`` documents and more than ``MAX_SHARE`` of the host's documents
 hold it.  Boilerplate lines go; a document that loses more than ``MAX_LOSS`` of its words is depleted and rejected.
 
 Null text has no words (it fails the base rule); null source is a host of its own; repeated rows get equal results;
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmerge.llm import common as C
+from snapmerge.llm import simhash
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -26,6 +28,10 @@ REPEAT_WINDOW = 5
 MIN_DOCS = 10
 MAX_SHARE = 0.05
 MAX_LOSS = 0.5
+#: a text with this share of its words in lines that more than ``MIN_DOCS`` texts hold may be an edited copy of another
+COPY_SHARE = 0.8
+#: copies agree in all ROWS weighted minimum hashes of one of BANDS bands
+BANDS, ROWS = 32, 7
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 WHITE = " \t\n\x0b\x0c\r"
@@ -103,24 +109,71 @@ def measure(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return docs.mapInArrow(scan, C.with_fields(docs, () if with_text else ("text",), f"{counts}text_key long, lines array<struct<k: long, n: int>>"))
 
 
-def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(host, k) of the lines above the limits."""
+def copy_buckets(keys: np.ndarray, words: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """One hash per band of a text's lines, each line weighted by its words."""
+    out = np.zeros(bands, np.uint64)
+    step = max(1, (1 << 20) // (rows * len(keys)))
+    for lo in range(0, bands, step):
+        n = min(step, bands - lo)
+        seeds = C.mix(np.arange(lo * rows + 1, (lo + n) * rows + 1, dtype=np.uint64))
+        draws = (C.mix(keys[:, None] ^ seeds[None, :]) >> np.uint64(11)).astype(np.float64) + 0.5
+        low = keys[np.argmin(-np.log(draws / (1 << 53)) / words[:, None], axis=0)].reshape(n, rows)
+        h = np.arange(lo + 1, lo + n + 1, dtype=np.uint64)
+        for j in range(rows):
+            h = C.mix(h * np.uint64(C._ODD) + low[:, j])
+        out[lo:lo + n] = h
+    return out
+
+
+def copy_classes(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """(host, text_key, vote): texts of a host whose common lines are nearly the same words share a vote."""
+    words = texts.select("host", "text_key", F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("words"))
+    shared = held.groupBy("host", "text_key").agg(F.sum("n").alias("shared"), F.collect_list(F.struct("k", "n")).alias("lines"))
+    copies = (shared.join(words, ["host", "text_key"]).where(F.col("shared") >= COPY_SHARE * F.col("words"))
+              .select(F.xxhash64("host").alias("h"), F.xxhash64("host", "text_key").alias("a"), "lines"))
+
+    def buckets(batches):
+        for b in batches:
+            hosts, own, lines = b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()
+            found = [copy_buckets(np.array([x["k"] for x in ls], np.int64).view(np.uint64), np.array([x["n"] for x in ls], np.float64))
+                     + np.array([h], np.int64).view(np.uint64) for h, ls in zip(hosts, lines)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.asarray(own), BANDS)), pa.array(C.mix(np.concatenate([*found, np.zeros(0, np.uint64)])).view(np.int64))],
+                names=["a", "b"])
+
+    roots = simhash.components(copies.mapInArrow(buckets, "a long, b long")).toDF("v", "root")
+    return (texts.select("host", "text_key", F.xxhash64("host", "text_key").alias("v")).join(roots, "v", "left")
+            .select("host", "text_key", F.coalesce("root", "v").alias("vote")))
+
+
+def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, copies_once: bool = False) -> DataFrame:
+    """(host, k) of the lines above the limits; with ``copies_once`` a class of edited copies counts as one document."""
     texts = measured.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    hosts = measured.groupBy("host").agg(F.count_distinct("text_key").alias("host_docs"))
-    common = (texts.select("host", F.explode("lines.k").alias("k")).groupBy("host", "k").agg(F.count("*").alias("n"))
-              .where(F.col("n") > min_docs))
+    if copies_once:
+        texts = C.stage(texts, "rules-texts")
+        held = texts.select("host", "text_key", F.explode("lines").alias("l")).select("host", "text_key", F.col("l.k").alias("k"), F.col("l.n").alias("n"))
+        often = C.stage(held.groupBy("host", "k").count().where(F.col("count") > min_docs).select("host", "k"), "rules-often")
+        held = C.stage(held.join(often, ["host", "k"]), "rules-held")
+        votes = C.stage(copy_classes(texts, held), "rules-votes")
+        hosts = votes.groupBy("host").agg(F.count_distinct("vote").alias("host_docs"))
+        common = held.join(votes, ["host", "text_key"]).groupBy("host", "k").agg(F.count_distinct("vote").alias("n"))
+    else:
+        hosts = measured.groupBy("host").agg(F.count_distinct("text_key").alias("host_docs"))
+        common = texts.select("host", F.explode("lines.k").alias("k")).groupBy("host", "k").agg(F.count("*").alias("n"))
+    common = common.where(F.col("n") > min_docs)
     return common.join(hosts, "host").where(F.col("n") > max_share * F.col("host_docs")).select("host", "k")
 
 
-def judge(docs: DataFrame, with_text: bool = False, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_loss: float = MAX_LOSS) -> DataFrame:
+def judge(docs: DataFrame, with_text: bool = False, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_loss: float = MAX_LOSS,
+          copies_once: bool = False) -> DataFrame:
     """Columns of ``docs`` plus the base counts, base_failed, removed_words, removed (keys of the lines to remove) and kept."""
     return C.beside(docs, ["text", "source"], [*_COUNTS, "base_failed", "removed_words", "removed", "kept"],
-                    lambda inner: _judged(inner, with_text, min_docs, max_share, max_loss))
+                    lambda inner: _judged(inner, with_text, min_docs, max_share, max_loss, copies_once))
 
 
-def _judged(docs: DataFrame, with_text: bool, min_docs: int, max_share: float, max_loss: float) -> DataFrame:
+def _judged(docs: DataFrame, with_text: bool, min_docs: int, max_share: float, max_loss: float, copies_once: bool) -> DataFrame:
     measured = C.stage(measure(docs, with_text), "rules-docs")
-    limits = C.stage(boilerplate(measured, min_docs, max_share), "rules-lines")
+    limits = C.stage(boilerplate(measured, min_docs, max_share, copies_once), "rules-lines")
     lost = (measured.select("host", "text_key", "lines").where(F.size("lines") > 0)
             .select("host", "text_key", F.explode("lines").alias("l")).select("host", "text_key", F.col("l.k").alias("k"), F.col("l.n").alias("n"))
             .join(limits, ["host", "k"]).distinct()
@@ -144,13 +197,16 @@ def _without(texts, removed):
 
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
-    """Rows of ``docs`` that are kept, boilerplate lines removed from their text, columns unchanged (n_chars set anew)."""
+    """Rows of ``docs`` that are kept, boilerplate lines removed from their text, columns unchanged (n_chars set anew).
+
+    Edited copies vote once, so the near-duplicate stage still finds all of them.
+    """
     needs = [c for c in ("text", "source", "n_chars") if c in docs.columns]
     return C.beside(docs, needs, [], lambda inner: _cleaned(inner, limits)).select(*(f"`{c}`" for c in docs.columns))
 
 
 def _cleaned(docs: DataFrame, limits: dict) -> DataFrame:
-    found = judge(docs, with_text=True, **limits).where("kept")
+    found = judge(docs, with_text=True, **{"copies_once": True, **limits}).where("kept")
     shorter = F.col("removed").isNotNull()
     found = found.withColumn("text", F.when(shorter, _without("text", "removed")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

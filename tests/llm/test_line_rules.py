@@ -5,7 +5,7 @@ from collections import Counter
 
 from corpus_rows import docs, no_docs, odd_docs, rows  # noqa: F401
 
-from snapmerge.llm import line_rules
+from snapmerge.llm import line_rules, simhash
 
 
 def plain(text):
@@ -53,3 +53,25 @@ def test_odd_inputs(odd_docs, no_docs):
     want = {(r.doc_id, r.text) for r in odd_docs.collect() if not plain(r.text)[-1]}
     assert {(r.doc_id, r.text) for r in kept.collect()} == want
     assert line_rules.judge(no_docs).count() == 0 and line_rules.clean(no_docs).count() == 0
+
+
+def test_edited_copies_that_fill_a_source_stay_for_the_next_stage(spark):
+    def line(tag):
+        return " ".join(f"{tag}y{chr(97 + k)}" for k in range(12))
+
+    def letters(i):
+        return "".join(chr(97 + int(c)) for c in str(i))
+    page = [line(f"page{letters(j)}") for j in range(20)]
+    notice = line("notice")
+    rows = [(i, "\n".join([*page[:i % 20], line(f"edit{letters(i)}"), *page[i % 20 + 1:]]), "full") for i in range(300)]
+    rows += [(1000 + i, r[1], "mixed") for i, r in enumerate(rows[:100])]
+    rows += [(2000 + i, f"{line('own' + letters(i))}\n{line('more' + letters(i))}\n{notice}", "mixed") for i in range(60)]
+    rows += [(3000 + i, f"{line('few' + letters(i))}\n{notice}\n{notice} {notice}\n{notice} {notice}", "mixed") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_rules.clean(docs).collect()}
+    assert all(got[i] == text for i, text, _ in rows[:400])
+    assert all(notice not in got[i] for i in range(2000, 2060))
+    left = {r.doc_id for r in simhash.keep_one(docs.where("source = 'full'").transform(line_rules.clean)).collect()}
+    assert 0 in left and len(left) < 300
+    exact = line_rules.judge(docs).where("source = 'full' AND kept").count()  # by the SQL of op6_line_rules each text votes
+    assert exact == 0
