@@ -14,6 +14,7 @@ doc_id.  Equal fingerprints are one point of the search, so copies cost nothing
 
 A text without words has fingerprint 0 and is linked like any other; null counts as empty.  Rows without doc_id keep
 their row, and take part in their component without naming it (null component_id if nobody else is in it).
+``keep_one`` chooses by row, so repeated or missing ids neither keep a second row nor take another text along.
 """
 
 from __future__ import annotations
@@ -215,20 +216,40 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return C.beside(docs, ["doc_id", "text"], ["fp", "fingerprint", "component_id"], lambda inner: _grouped(inner, shingle, max_bits, shard))
 
 
-def _grouped(docs: DataFrame, shingle: int, max_bits: int, shard: int) -> DataFrame:
-    marked = C.stage(fingerprints(docs, shingle), "simhash-docs")
-    points = C.stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-points")
+def _rooted(points: DataFrame, max_bits: int, shard: int) -> DataFrame:
+    """Columns of ``points`` (one row per fp), plus the root of each fp's component."""
+    points = C.stage(points, "simhash-points")
     stars = C.stage(links(points.select("fp"), max_bits, shard), "simhash-links")
     roots = components(stars).toDF("fp", "root")
-    named = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, shard: int) -> DataFrame:
+    marked = C.stage(fingerprints(docs, shingle), "simhash-docs")
+    named = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), max_bits, shard)
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = named.join(names, "root").select("fp", "component_id")
     return (marked.join(ids, "fp")
             .withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component (rows without doc_id that nobody names stay)."""
-    found = near_duplicates(docs.select("doc_id", "text"), **options)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard: int = SHARD) -> DataFrame:
+    """One row of ``docs`` per component: the smallest doc_id, null last; of texts that share it the smallest hash, once."""
+    key = F.xxhash64("text")
+    marked = C.stage(fingerprints(docs.select("doc_id", key.alias("key"), "text"), shingle), "simhash-docs")
+    pairs = C.stage(marked.groupBy("fp", "doc_id", "key").agg(F.count("*").alias("times")), "simhash-pairs")
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    named = C.stage(_rooted(pairs.groupBy("fp").agg(F.min(name).alias("low")), max_bits, shard), "simhash-named")
+    first = named.groupBy("root").agg(F.min("low").alias("first"))
+    judged = pairs.join(named.join(first, "root").select("fp", "first"), "fp").withColumn("stays", (name == F.col("first")))
+    judged = C.stage(judged.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "stays", "times"), "simhash-judged")
+
+    def those(rows: DataFrame, which: DataFrame, how: str) -> DataFrame:
+        which = which.select("_id", "_key")
+        return rows.join(which, rows["doc_id"].eqNullSafe(which["_id"]) & (F.xxhash64(rows["text"]) == which["_key"]), how)
+
+    again = judged.where("stays AND times > 1")
+    left = those(docs, judged.where("NOT stays OR times > 1"), "left_anti")
+    own = C.free_name(docs, "_own")
+    once = those(docs, again, "left_semi").withColumn(own, key).dropDuplicates(["doc_id", own]).drop(own)
+    return left.unionByName(once)

@@ -81,3 +81,22 @@ def test_keep_one(odd_docs, no_docs):
     found = {r.doc_id: r.component_id for r in simhash.near_duplicates(odd_docs).collect()}
     assert sorted({r.doc_id for r in kept.collect()}, key=str) == sorted({d for d, c in found.items() if d is None or d == c}, key=str)
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
+
+
+def test_keep_one_by_row(spark):
+    def text(i):
+        return " ".join(f"t{i}w{k}" for k in range(40))
+    rows = [(7, text(1)), (None, text(1)), (None, text(1)), (9, text(1)),  # a copy without id beside a row that names the group
+            (3, text(2)), (3, text(2)), (3, text(2)),  # repeated rows
+            (None, text(3)), (None, text(3)),  # nobody has an id
+            (8, text(1)), (8, text(4)),  # one id, two texts, one of them a copy
+            (5, text(5)), (5, text(6))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(got, key=str) == sorted([(7, text(1)), (3, text(2)), (None, text(3)), (8, text(4)), (5, text(5)), (5, text(6))], key=str)
+
+
+def test_keep_one_leaves_as_many_rows_as_groups(odd_docs):
+    raw = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    groups = plain_components(list(range(len(raw))), [plain_fingerprint(t) for _, t in raw], 4)
+    assert simhash.keep_one(odd_docs).count() == len(set(groups))
