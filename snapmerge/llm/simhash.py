@@ -7,7 +7,8 @@ doc_id.  Equal fingerprints are one point of the search, so copies cost nothing
   the median distance to it.  Only the balance of the shards depends on the sample, not the pairs found.
 * Every fingerprint has a home shard (nearer branches left, farther right).  By the triangle bound it can only have
   partners in a branch that its ball of radius ``max_bits`` reaches, so it also visits those shards; it visits only
-  shards with a larger number than its home, as a pair needs to meet once.  Crowded shards are split in blocks.
+  shards with a larger number than its home, as a pair needs to meet once.  Crowded shards are split in blocks,
+  and the visitors of a block in chunks, so a task holds about ``SHARD`` visitors and a block's home points.
 * Inside a shard block a tree of its own goes on in memory, pruned by the same bound, down to small sets that are
   compared directly.  A block returns a spanning star of each group it joined, never all pairs.
 * Components of the stars: smallest-label propagation with pointer jumping over DataFrames.
@@ -163,12 +164,16 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD, sampl
     def homes(batches):
         for b in batches:
             fp = np.asarray(b.column(0)).view(np.uint64)
-            own, _, _ = route(fp, vantage, radius, depth, max_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(own)], names=["shard"])
+            own, _, cell = route(fp, vantage, radius, depth, max_bits)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own, cell])), pa.array(np.concatenate([np.ones(len(own), bool), np.zeros(len(cell), bool)]))],
+                                             names=["shard", "home"])
 
-    sizes = {r["shard"]: r["count"] for r in points.mapInArrow(homes, "shard long").groupBy("shard").count().collect()}  # 2**depth rows
+    counted = points.mapInArrow(homes, "shard long, home boolean").groupBy("shard", "home").count().collect()  # 2 * 2**depth rows
+    sizes, visits = ({r["shard"]: r["count"] for r in counted if r["home"] == h} for h in (True, False))
     crowd = max(LEAF, 2 * n >> depth)  # a shard beyond twice the mean is split
     blocks = np.array([max(1, math.ceil(sizes.get(s, 0) / crowd)) for s in range(1 << depth)], dtype=np.int64)
+    # those who visit a block, its shard's other blocks among them, come in chunks, each with the block's home points
+    chunks = np.array([max(1, math.ceil((visits.get(s, 0) + (sizes.get(s, 0) if blocks[s] > 1 else 0)) / shard)) for s in range(1 << depth)], dtype=np.int64)
 
     def placed(batches):
         for b in batches:
@@ -181,19 +186,23 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD, sampl
             times = np.maximum(blocks[where] - first, 0)
             rep = np.repeat(np.arange(len(who)), times)
             nth = np.arange(len(rep)) - np.repeat(np.cumsum(times) - times, times) + first[rep]
+            guest = fp[who[rep]]
+            seat = (C.mix(guest ^ np.uint64(SEED)) % chunks[where[rep]].astype(np.uint64)).astype(np.int64)
+            host = np.repeat(np.arange(len(fp)), chunks[own])
+            every = np.arange(len(host)) - np.repeat(np.cumsum(chunks[own]) - chunks[own], chunks[own])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([own, where[rep]])), pa.array(np.concatenate([block, nth])),
-                 pa.array(np.concatenate([fp, fp[who[rep]]]).view(np.int64)),
-                 pa.array(np.concatenate([np.ones(len(fp), bool), np.zeros(len(rep), bool)]))],
-                names=["shard", "block", "fp", "home"])
+                [pa.array(np.concatenate([own[host], where[rep]])), pa.array(np.concatenate([block[host], nth])), pa.array(np.concatenate([every, seat])),
+                 pa.array(np.concatenate([fp[host], guest]).view(np.int64)),
+                 pa.array(np.concatenate([np.ones(len(host), bool), np.zeros(len(rep), bool)]))],
+                names=["shard", "block", "chunk", "fp", "home"])
 
     def search(table: pa.Table) -> pa.Table:
         fp, home = np.asarray(table.column("fp")).view(np.uint64), np.asarray(table.column("home"))
         a, b = joined(fp[home], fp[~home], max_bits)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return (points.mapInArrow(placed, "shard long, block long, fp long, home boolean")
-            .groupBy("shard", "block").applyInArrow(search, "a long, b long").distinct())
+    return (points.mapInArrow(placed, "shard long, block long, chunk long, fp long, home boolean")
+            .groupBy("shard", "block", "chunk").applyInArrow(search, "a long, b long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

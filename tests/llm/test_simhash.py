@@ -1,5 +1,9 @@
 """SimHash components against all pairs, and odd inputs."""
 
+import os
+import tempfile
+import uuid
+
 import numpy as np
 import pytest
 import xxhash
@@ -100,3 +104,25 @@ def test_keep_one_leaves_as_many_rows_as_groups(odd_docs):
     raw = [(r.doc_id, r.text) for r in odd_docs.collect()]
     groups = plain_components(list(range(len(raw))), [plain_fingerprint(t) for _, t in raw], 4)
     assert simhash.keep_one(odd_docs).count() == len(set(groups))
+
+
+def test_no_task_holds_more_than_a_chunk(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    fps = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    fps = np.unique(np.concatenate([fps, fps[:1000] ^ np.uint64(5)]))
+    points = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").cache()
+    whole = {tuple(r) for r in simhash.components(simhash.links(points)).collect()}
+    folder = tempfile.mkdtemp(prefix="simhash-chunks-")
+    plain = simhash.joined
+
+    def noting(home, others, max_bits, folder=folder, plain=plain):
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(f"{len(home)} {len(others)}")
+        return plain(home, others, max_bits)
+    monkeypatch.setattr(simhash, "joined", noting)
+    monkeypatch.setattr(simhash, "MAX_DEPTH", 4)
+    shard = 300
+    cut = {tuple(r) for r in simhash.components(simhash.links(points, shard=shard)).collect()}
+    assert cut == whole and len(whole) >= 2000
+    held = [tuple(map(int, open(f"{folder}/{n}").read().split())) for n in os.listdir(folder)]
+    assert max(others for _, others in held) < 1.5 * shard and max(home for home, _ in held) <= 1.5 * (2 * len(fps) >> 4)
