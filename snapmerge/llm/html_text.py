@@ -2,7 +2,8 @@
 
 The standard library's streaming HTML parser turns a page into lines, one per block element.  Each line has the
 ratio of its text's length to the tags inside it; text of links counts as tags do, and lines in page furniture
-(menus, headers, footers, asides, notices, adverts, forms, comments) have ratio 0.  The ratios are smoothed with a
+(menus, headers, footers, asides, notices, adverts, forms, comments) have ratio 0.  A form around an article or around
+most of the page's text is no furniture; only its controls and labels go.  The ratios are smoothed with a
 Gaussian kernel, and lines above the threshold (a share of the smoothed ratios' mean plus deviation) form clusters.
 
 A cluster selects the region it lies in: the outermost <article> or <main> around it, or, on a page without either,
@@ -33,7 +34,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 SILENT = frozenset("button canvas datalist head iframe noscript object option script select style svg template textarea title".split())
-FURNITURE = frozenset("aside footer form header menu nav dialog".split())
+#: elements that name the controls of a form
+LABELS = frozenset("label legend".split())
+FURNITURE = frozenset("aside footer header menu nav dialog".split())
 MARKS = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment commentlist comments consent cookie
     cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice pagination popup promo promoted
     related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget""".split())
@@ -57,6 +60,8 @@ def _marked(tag: str, attrs: list, in_region: bool) -> bool:
     if tag in FURNITURE and not (tag == "header" and in_region):
         return True
     a = {k: (v or "").lower() for k, v in attrs}
+    if tag == "form" and a.get("role") == "form":
+        del a["role"]
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
         return True
     if tag == "article":
@@ -78,12 +83,16 @@ def _words(attrs: dict) -> set[str]:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text parts, tags, link characters, region, furniture]."""
+    """Lines of a page: [text parts, tags, link characters, region, furniture], and the open forms of each."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []
         self.open: list[tuple[str, bool, int, bool]] = []  # tag, furniture inside, region inside, silent inside
+        self.line_forms: list[tuple[int, ...]] = []
+        self.forms: list[int] = []
+        self.n_forms = 0
+        self.wrappers: set[int] = set()  # forms around an article or main element
         self.regions = 0
         self.links = 0
         self._new()
@@ -99,12 +108,14 @@ class _Lines(HTMLParser):
         if text:
             furniture, region, _ = self._state()
             self.lines.append((text, self.tags, self.linked, region, furniture))
+            self.line_forms.append(tuple(self.forms))
         self._new()
 
     def _pop_to(self, i: int):
         if any(e[0] in BLOCK for e in self.open[i:]):
             self._flush()
         self.links -= sum(e[0] == "a" for e in self.open[i:])
+        del self.forms[len(self.forms) - sum(e[0] == "form" for e in self.open[i:]):]
         del self.open[i:]
 
     def handle_starttag(self, tag, attrs):
@@ -126,8 +137,12 @@ class _Lines(HTMLParser):
         if tag in ("article", "main") and not region and not furniture:
             self.regions += 1
             region = self.regions
+            self.wrappers.update(self.forms)
         self.links += tag == "a"
-        self.open.append((tag, furniture, region, silent or tag in SILENT))
+        if tag == "form":
+            self.n_forms += 1
+            self.forms.append(self.n_forms)
+        self.open.append((tag, furniture, region, silent or tag in SILENT or tag in LABELS and bool(self.forms)))
 
     def _leave_menu(self, tag):
         """No menu or page header holds the article: one still open there was not closed; <main> ends any furniture."""
@@ -170,7 +185,14 @@ def page_lines(html: str) -> list[tuple[str, int, int, int, bool]]:
     p.feed(_OPEN_TAG.sub("", html))
     p.close()
     p._flush()
-    return p.lines
+    size = [0 if x[4] else max(0, len(x[0]) - x[2]) for x in p.lines]
+    total = sum(size)
+    held: dict[int, int] = {}
+    for n, forms in zip(size, p.line_forms):
+        for form in forms:
+            held[form] = held.get(form, 0) + n
+    p.wrappers.update(form for form, n in held.items() if 2 * n > total)
+    return [x if p.wrappers.issuperset(forms) else (*x[:4], True) for x, forms in zip(p.lines, p.line_forms)]
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

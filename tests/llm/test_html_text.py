@@ -40,3 +40,17 @@ def test_frames(spark):
 def test_long_page():
     page = "<article>" + "".join(f"<p>{LONG} {i}</p>" for i in range(5000)) + "</article>"
     assert html_text.main_text(page).count("\n\n") == 4999
+
+
+HEADED = f"Head\n\n{LONG}\n\nTo.\n\n{LONG}"
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<body><form id=aspnetForm role=form><nav>Menu</nav><article><h1>Head</h1><p>{LONG}<p>To.<p>{LONG}</article><footer>me</footer></form>", HEADED),
+    (f"<body><form><div><p>{LONG}</p><p>{LONG}</p></div><label>Name</label><button>Go</button></form>", f"{LONG}\n\n{LONG}"),
+    (f"<body><form><article><p>{LONG}</p><fieldset><legend>Pick</legend><label>Name</label><input></fieldset></article></form>", LONG),
+    (f"<article><p>{LONG}</p><p>{LONG}</p><form><p>Write to us</p><label>Name</label></form></article>", f"{LONG}\n\n{LONG}"),
+    (f"<body><form class=search-form><p>{LONG}</p></form><div><p>{LONG}</p></div>", LONG),
+])
+def test_forms(html, text):
+    assert html_text.main_text(html) == text
