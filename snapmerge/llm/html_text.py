@@ -7,7 +7,8 @@ most of the page's text is no furniture; only its controls and labels go.  The r
 Gaussian kernel, and lines above the threshold (a share of the smoothed ratios' mean plus deviation) form clusters.
 
 A cluster selects the region it lies in: the outermost <article> or <main> around it, or, on a page without either,
-everything from the first cluster to the last.  All lines of a selected region are content, short ones too, except
+everything from the first cluster to the last and the lines around them in the same block: the heading before, short
+paragraphs after (directly in the page itself only paragraphs, headings and lists, up to the next line of links).  All lines of a selected region are content, short ones too, except
 furniture.  If nothing reaches the threshold the region with the most text stands.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ THRESHOLD = 0.5
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
+#: blocks of running text, as opposed to boxes around it
+RUNNING = frozenset("address blockquote caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 li ol p pre summary ul".split())
 SILENT = frozenset("button canvas datalist head iframe noscript object option script select style svg template textarea title".split())
 #: elements that name the controls of a form
 LABELS = frozenset("label legend".split())
@@ -46,6 +50,7 @@ ASIDE_ARTICLES = frozenset("ad ads advert comment comments promo promoted relate
 #: words that make a class name tell about other elements ("has-sidebar")
 RELATIVE = frozenset("has is no not with without".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+INSIDE = BLOCK - {"body", "form", "html"}
 CLOSES_P = BLOCK - {"body", "html"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -83,12 +88,14 @@ def _words(attrs: dict) -> set[str]:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text parts, tags, link characters, region, furniture], and the open forms of each."""
+    """Lines of a page: [text parts, tags, link characters, region, furniture, blocks around], and the open forms of each."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int, bool, tuple]] = []
         self.open: list[tuple[str, bool, int, bool]] = []  # tag, furniture inside, region inside, silent inside
+        self.blocks: list[tuple[int, str]] = []  # number and tag of the open blocks within the page
+        self.n_blocks = 0
         self.line_forms: list[tuple[int, ...]] = []
         self.forms: list[int] = []
         self.n_forms = 0
@@ -107,7 +114,7 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             furniture, region, _ = self._state()
-            self.lines.append((text, self.tags, self.linked, region, furniture))
+            self.lines.append((text, self.tags, self.linked, region, furniture, tuple(self.blocks)))
             self.line_forms.append(tuple(self.forms))
         self._new()
 
@@ -115,6 +122,7 @@ class _Lines(HTMLParser):
         if any(e[0] in BLOCK for e in self.open[i:]):
             self._flush()
         self.links -= sum(e[0] == "a" for e in self.open[i:])
+        del self.blocks[len(self.blocks) - sum(e[0] in INSIDE for e in self.open[i:]):]
         del self.forms[len(self.forms) - sum(e[0] == "form" for e in self.open[i:]):]
         del self.open[i:]
 
@@ -139,6 +147,9 @@ class _Lines(HTMLParser):
             region = self.regions
             self.wrappers.update(self.forms)
         self.links += tag == "a"
+        if tag in INSIDE:
+            self.n_blocks += 1
+            self.blocks.append((self.n_blocks, tag))
         if tag == "form":
             self.n_forms += 1
             self.forms.append(self.n_forms)
@@ -179,8 +190,8 @@ class _Lines(HTMLParser):
                 self.linked += len(data)
 
 
-def page_lines(html: str) -> list[tuple[str, int, int, int, bool]]:
-    """(text, tags, link characters, region, furniture) of each block with text, in page order."""
+def page_lines(html: str) -> list[tuple[str, int, int, int, bool, tuple]]:
+    """(text, tags, link characters, region, furniture, blocks around) of each block with text, in page order."""
     p = _Lines()
     p.feed(_OPEN_TAG.sub("", html))
     p.close()
@@ -192,7 +203,7 @@ def page_lines(html: str) -> list[tuple[str, int, int, int, bool]]:
         for form in forms:
             held[form] = held.get(form, 0) + n
     p.wrappers.update(form for form, n in held.items() if 2 * n > total)
-    return [x if p.wrappers.issuperset(forms) else (*x[:4], True) for x, forms in zip(p.lines, p.line_forms)]
+    return [x if p.wrappers.issuperset(forms) else (*x[:4], True, x[5]) for x, forms in zip(p.lines, p.line_forms)]
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -203,6 +214,35 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full(values) / full(np.ones(len(values)))
 
 
+def _grown(lines: list, chosen: list[int]) -> tuple[int, int]:
+    """First and last line of the text around the chosen lines: what shares their block, and the page's heading before it."""
+    around = commonprefix([lines[i][5] for i in chosen]) if len(chosen) > 1 else lines[chosen[0]][5][:-1]
+    while around and around[-1][1] in RUNNING:
+        around = around[:-1]
+    page = len(around) <= len(commonprefix([x[5] for x in lines]))
+
+    def reach(edge, order):
+        for i in order:
+            text, _, linked, _, furniture, path = lines[i]
+            if furniture:
+                continue
+            links = 2 * linked >= len(text)
+            if path[:len(around)] != around or page and links:
+                break
+            if not links and not (page and any(tag not in RUNNING for _, tag in path[len(around):])):
+                edge = i
+        return edge
+
+    first, last = reach(chosen[0], range(chosen[0] - 1, -1, -1)), reach(chosen[-1], range(chosen[-1] + 1, len(lines)))
+    for i in range(first, -1, -1):
+        text, _, linked, _, furniture, path = lines[i]
+        if not furniture and 2 * linked >= len(text) and i < first:
+            break
+        if not furniture and path and path[-1][1] == "h1":
+            return i, last
+    return first, last
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page."""
     lines = page_lines(html or "")
@@ -224,7 +264,8 @@ def main_text(html: str | None) -> str:
         kept = [i for i in usable if lines[i][3] in regions]
     else:
         chosen = chosen or usable
-        kept = [i for i in usable if chosen[0] <= i <= chosen[-1]]
+        first, last = _grown(lines, chosen)
+        kept = [i for i in usable if first <= i <= last]
     return "\n\n".join(lines[i][0] for i in kept)
 
 

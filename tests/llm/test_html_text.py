@@ -54,3 +54,21 @@ HEADED = f"Head\n\n{LONG}\n\nTo.\n\n{LONG}"
 ])
 def test_forms(html, text):
     assert html_text.main_text(html) == text
+
+
+PARAGRAPHS = [f"{k} " + "x" * 298 for k in "abcde"]
+FIVE = "".join(f"<p>{t}</p>" for t in PARAGRAPHS)
+MENU = "<div><ul><li><a href=x>One more place</a><li><a href=y>Another place</a></ul></div>"
+
+
+@pytest.mark.parametrize("before, inside, after, extra", [
+    ("", f"<h1>A headline of thirty letters</h1>{FIVE}", "", ["A headline of thirty letters"]),
+    ("<nav>Menu</nav>", f"{FIVE}<p>A short closing paragraph.</p>", "<footer>me</footer>", ["A short closing paragraph."]),
+    (MENU, f"<h1>Head</h1><p>By me</p>{FIVE}<p>The end.</p>", MENU, ["Head", "By me", "The end."]),
+    (f"{MENU}<div><h1>Head</h1></div>", f"<p>By me</p>{FIVE}<p>The end.</p>", "<div>Copyright</div>", ["Head", "By me", "The end."]),
+])
+@pytest.mark.parametrize("box", ["<div class=content>{}</div>", "<div id=page><div>{}</div></div>", "{}"])
+def test_short_first_and_last_block_without_region(before, inside, after, extra, box):
+    got = html_text.main_text(f"<body>{before}{box.format(inside)}{after}</body>").split("\n\n")
+    end = [t for t in extra if "end." in t or "closing" in t]
+    assert got == [t for t in extra if t not in end] + PARAGRAPHS + end
