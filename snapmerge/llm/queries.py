@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from snapmerge.llm import decontam, html_text, line_rules, packing, quality_pu, repeats, sharding, simhash, toxicity, warc
+from snapmerge.llm import (cover_tree, decontam, hard_negatives, html_text, line_rules, packing, quality_pu, repeats, sharding, simhash,
+                           toxicity, vector_codes, vectors, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,8 +87,31 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of every embedding within its label: number of links and component."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return cover_tree.near_duplicates(rows).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; labels of every seventh id are moved on, components are whole 256ths."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = (_table(spark, sf_dir, "embeddings").where(vectors.usable(F.col("embedding")))
+            .select("vec_id", label.alias("label"), vectors.scaled_down(F.col("embedding"), 256).alias("vector")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every embedding, the errors of its label, and the digest of the codebooks."""
+    coded, books = vector_codes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    digits = F.transform("code", lambda c: F.lower(F.lpad(F.hex(c.cast("long")), 2, "0")))
+    return (vector_codes.error_by(coded.withColumn("code", F.array_join(digits, "")), "label")
+            .select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_toxicity, op4_suffix_dedup, op5_quality_pu, op6_line_rules,
-                                   op7_packing, op8_warc, op9_sharding, op10_html_text)}
+                                   op7_packing, op8_warc, op9_sharding, op10_html_text, op11_cover_tree, op12_hard_negatives,
+                                   op13_vector_codes)}
 
 OP1_SQL = r"""
 WITH words AS (
@@ -145,4 +169,68 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM counts
 """
 
-ORACLE = {"op1_decontamination": OP1_SQL, "op6_line_rules": OP6_SQL}
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP11_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS v, vec_id AS r FROM embeddings UNION SELECT reach.v, pairs.b FROM reach JOIN pairs ON reach.r = pairs.a),
+low AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v),
+n AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON v = vec_id LEFT JOIN n ON a = vec_id
+"""
+
+OP12_SQL = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scored AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS s
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor, other, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other)::INTEGER AS rank,
+       n.other AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.s <= 100 * n.s AND n.s <= p.s
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other) <= 5
+"""
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """One pair of CTEs per round: nearest entries, and the codebook that follows from them."""
+    near = """
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, e, err FROM (
+    SELECT x.vec_id, x.p, b.e, sum((x.x - b.x) * (x.x - b.x)) AS err FROM parts x JOIN book{k} b ON x.p = b.p AND x.d = b.d GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY err, e) = 1)"""
+    step = """
+book{n} AS MATERIALIZED (
+  SELECT b.p, b.e, b.d, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT n.p, n.e, x.d, floor(sum(x.x)::DOUBLE / count(*))::BIGINT AS x FROM near{k} n JOIN parts x USING (vec_id, p) GROUP BY ALL) m
+  ON b.p = m.p AND b.e = m.e AND b.d = m.d)"""
+    chain = [t for k in range(rounds) for t in (near.format(k=k), step.format(k=k, n=k + 1))] + [near.format(k=rounds)]
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e FROM embeddings WHERE {_USABLE}),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, d, e[p * (len(e) // 8) + d + 1] AS x
+  FROM v, unnest(generate_series(0, 7)) AS a(p), unnest(generate_series(0, len(e) // 8 - 1)) AS c(d)),
+book0 AS MATERIALIZED (
+  SELECT p, e, d, x FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 16) USING (vec_id)),
+{','.join(chain)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(err)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN v USING (vec_id), digest
+"""
+
+
+ORACLE = {"op1_decontamination": OP1_SQL, "op6_line_rules": OP6_SQL, "op11_cover_tree": OP11_SQL, "op12_hard_negatives": OP12_SQL,
+          "op13_vector_codes": _codes_sql()}

@@ -60,7 +60,7 @@ def test_stages(spark, folder):
 
 def test_registered():
     names = set(queries.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} and len(names) == 10
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} and len(names) == 13
     assert names | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= names
 
@@ -68,7 +68,7 @@ def test_registered():
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
     want = con.sql(queries.ORACLE[key]).to_arrow_table().to_pylist()
     got = [r.asDict() for r in queries.QUERIES[key](spark, SMALL).collect()]
