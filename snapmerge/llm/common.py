@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -39,7 +40,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = f"{scratch_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    for kept in _SCRATCH:
+        kept.append(staged)
+    return staged
+
+
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables staged inside are deleted at the end, but for those that the caller takes off the list.
+
+    For work whose result has been written; if it fails, its tables stay for inspection.
+    """
+    made: list[DataFrame] = []
+    _SCRATCH.append(made)
+    try:
+        yield made
+        drop(*made)
+    finally:
+        _SCRATCH.remove(made)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made from them has been staged itself."""
+    for t in tables:
+        spark = t.sparkSession
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._staged_at)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ship(spark: SparkSession) -> None:

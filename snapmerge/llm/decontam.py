@@ -204,7 +204,10 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Dat
 
 def with_key(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` and the 128-bit key of its text (null: the key of the empty text)."""
-    @F.pandas_udf("string")
-    def key(texts):
-        return texts.map(lambda t: xxhash.xxh3_128_hexdigest((t or "").encode()))
-    return docs.withColumn(name, key(F.col("text")))
+    def scan(batches):
+        for b in batches:
+            for part in C.slices(b, "text"):
+                texts = part.column(part.schema.get_field_index("text"))
+                keys = [xxhash.xxh3_128_hexdigest((t.as_py() or "").encode()) for t in texts]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.string())], names=[*part.schema.names, name])
+    return docs.mapInArrow(scan, C.with_fields(docs, (), f"`{name}` string"))

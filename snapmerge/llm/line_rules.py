@@ -17,7 +17,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapmerge.llm import common as C
 from snapmerge.llm import simhash
@@ -134,12 +133,13 @@ def copy_classes(texts: DataFrame, held: DataFrame) -> DataFrame:
 
     def buckets(batches):
         for b in batches:
-            hosts, own, lines = b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()
-            found = [copy_buckets(np.array([x["k"] for x in ls], np.int64).view(np.uint64), np.array([x["n"] for x in ls], np.float64))
-                     + np.array([h], np.int64).view(np.uint64) for h, ls in zip(hosts, lines)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.asarray(own), BANDS)), pa.array(C.mix(np.concatenate([*found, np.zeros(0, np.uint64)])).view(np.int64))],
-                names=["a", "b"])
+            hosts, own, lines = np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1)), b.column(2)
+            edges = np.asarray(lines.offsets)
+            keys, words = (np.asarray(lines.values.field(c)) for c in ("k", "n"))
+            found = np.zeros((b.num_rows, BANDS), np.uint64)
+            for i, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                found[i] = copy_buckets(keys[lo:hi].view(np.uint64), words[lo:hi].astype(np.float64)) + hosts[i]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, BANDS)), pa.array(C.mix(found.ravel()).view(np.int64))], names=["a", "b"])
 
     roots = simhash.components(copies.mapInArrow(buckets, "a long, b long")).toDF("v", "root")
     return (texts.select("host", "text_key", F.xxhash64("host", "text_key").alias("v")).join(roots, "v", "left")
@@ -157,6 +157,7 @@ def boilerplate(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float
         votes = C.stage(copy_classes(texts, held), "rules-votes")
         hosts = votes.groupBy("host").agg(F.count_distinct("vote").alias("host_docs"))
         common = held.join(votes, ["host", "text_key"]).groupBy("host", "k").agg(F.count_distinct("vote").alias("n"))
+        C.drop(texts, often)
     else:
         hosts = measured.groupBy("host").agg(F.count_distinct("text_key").alias("host_docs"))
         common = texts.select("host", F.explode("lines.k").alias("k")).groupBy("host", "k").agg(F.count("*").alias("n"))
@@ -186,14 +187,12 @@ def _judged(docs: DataFrame, with_text: bool, min_docs: int, max_share: float, m
             .withColumn("kept", ~F.col("base_failed") & (F.col("removed_words") <= max_loss * F.col("n_words"))))
 
 
-@F.pandas_udf(T.StringType())
-def _without(texts, removed):
-    def one(text, keys):
-        if text is None or keys is None or not len(keys):
-            return text
-        keys = set(keys)
-        return "\n".join(x for x in text.split("\n") if not (x.strip(WHITE) and line_key(x) in keys))
-    return texts.combine(removed, one)
+def without(text: str | None, keys: list[int] | None) -> str | None:
+    """The text without the lines of these keys."""
+    if text is None or not keys:
+        return text
+    gone = set(keys)
+    return "\n".join(x for x in text.split("\n") if not (x.strip(WHITE) and line_key(x) in gone))
 
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
@@ -206,9 +205,19 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
 
 
 def _cleaned(docs: DataFrame, limits: dict) -> DataFrame:
-    found = judge(docs, with_text=True, **{"copies_once": True, **limits}).where("kept")
-    shorter = F.col("removed").isNotNull()
-    found = found.withColumn("text", F.when(shorter, _without("text", "removed")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found
+    names = docs.columns
+    found = judge(docs, with_text=True, **{"copies_once": True, **limits}).where("kept").select(*names, "removed")
+
+    def scan(batches):
+        for b in batches:
+            for part in C.slices(b, "text"):
+                cols = {c: part.column(part.schema.get_field_index(c)) for c in names}
+                removed = part.column(part.schema.get_field_index("removed")).to_pylist()
+                texts = [without(t, r) for t, r in zip(cols["text"].to_pylist(), removed)]
+                if "n_chars" in cols:
+                    old = cols["n_chars"].to_pylist()
+                    cols["n_chars"] = pa.array([len(t) if r and t is not None else o for t, r, o in zip(texts, removed, old)], cols["n_chars"].type)
+                cols["text"] = pa.array(texts, cols["text"].type)
+                yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
+
+    return found.mapInArrow(scan, docs.schema)

@@ -43,7 +43,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat elsewhere in strings of 400, and the digest of what is left."""
-    return repeats.digest(repeats.mark_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return repeats.digest(repeats.mark_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), tidy=False))
 
 
 def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:

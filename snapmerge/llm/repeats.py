@@ -11,11 +11,11 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts anywhere els
 * Corpus order.  Only cores with several different entries need byte-level work.  Their distinct entries meet by core,
   the suffixes of these dictionary entries are sorted, and neighbours in that order that agree in ``LENGTH`` bytes are
   repeats; entries seen more than once repeat in any case.  Equal strings have equal triggers and so equal cores:
-  the orders of separate cores never need to be merged.  A core with more than ``CROWD`` entries is not sorted in one
+  the orders of separate cores never need to be merged.  A core with more than ``CROWD`` strings is not sorted in one
   task: its strings are counted by hash with partial aggregation.
 
-Work at byte level therefore follows the places where repeats begin and end, not the repeated bytes.  Entries are
-compared by 64-bit hashes of core and entry together.  Null text is empty; texts shorter than ``LENGTH`` lose nothing;
+Work at byte level therefore follows the places where repeats begin and end, not the repeated bytes.  Texts are known by
+128-bit keys, entries by 64-bit hashes of core and entry together; Python sees texts in slices bounded by bytes.  Null text is empty; texts shorter than ``LENGTH`` lose nothing;
 results follow from the text alone, so null or repeated doc_ids do no harm; other columns pass through.
 """
 
@@ -34,8 +34,10 @@ from snapmerge.llm import common as C
 LENGTH = 400
 WINDOW = 16
 MODULUS = 128
-#: most distinct entries of one core that one task sorts
-CROWD = 2000
+#: most strings (of ``LENGTH`` bytes, in all entries of one core) that one task sorts
+CROWD = 40_000
+#: the two halves of a text's key
+KEY = ["k1", "k2"]
 SPAN = "array<struct<start: long, end: long>>"
 
 
@@ -121,25 +123,24 @@ def entries(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, modulus
     return row, s - base, e - base, t - base, cores.view(np.int64), whole.view(np.int64)
 
 
-def text_key(raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
-
-
-def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """128-bit keys of the rows' bytes, as two columns."""
     raw = memoryview(data.tobytes())
-    return np.array([text_key(raw[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())], np.int64)
+    found = b"".join(xxhash.xxh3_128_digest(raw[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+    return np.frombuffer(found, "<i8").reshape(-1, 2)
 
 
 def _parsed(docs: DataFrame, length: int, modulus: int) -> DataFrame:
-    """(text_key, s, e, t, core, entry) of every phrase of every text."""
+    """(k1, k2, s, e, t, core, entry) of every phrase of every text."""
     def scan(batches):
         for b in batches:
             for part in C.slices(b, "text"):
                 data, offsets = C.text_bytes(part.column(part.schema.get_field_index("text")))
                 row, s, e, t, core, entry = entries(data, offsets, length, modulus)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (_keys(data, offsets)[row], s, e, t, core, entry)],
-                                                 names=["text_key", "s", "e", "t", "core", "entry"])
-    return docs.select("text").mapInArrow(scan, "text_key long, s long, e long, t long, core long, entry long")
+                keys = text_keys(data, offsets)[row]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[:, 0], keys[:, 1], s, e, t, core, entry)],
+                                                 names=[*KEY, "s", "e", "t", "core", "entry"])
+    return docs.select("text").mapInArrow(scan, "k1 long, k2 long, s long, e long, t long, core long, entry long")
 
 
 def equal_suffixes(found: list[tuple[bytes, int, int, int]], length: int) -> list[np.ndarray]:
@@ -162,21 +163,22 @@ def _runs(flags: np.ndarray, start: int, length: int) -> list[dict]:
 
 
 def find_spans(docs: DataFrame, length: int = LENGTH, modulus: int = MODULUS, crowd: int = CROWD) -> DataFrame:
-    """(text_key, spans): the byte spans to remove, possibly overlapping, of the texts that have any."""
+    """(k1, k2, spans): the byte spans to remove, possibly overlapping, of the texts that have any."""
     C.ship(docs.sparkSession)
-    parsed = _parsed(docs, length, modulus)
+    parsed = C.stage(_parsed(docs, length, modulus), "repeats-parsed")
     cores = (parsed.groupBy("core").agg(F.count("*").alias("n"), F.min("entry").alias("low"), F.max("entry").alias("high"))
              .where(F.col("n") > 1).select("core", (F.col("low") != F.col("high")).alias("mixed")))
     cores = C.stage(cores, "repeats-cores")
     live = C.stage(parsed.join(cores, "core"), "repeats-phrases")
+    C.drop(parsed, cores)
     dictionary = (live.where("mixed").groupBy("core", "entry")
-                  .agg(F.count("*").alias("c"), F.min(F.struct("text_key", "s", "e", "t")).alias("at")))
+                  .agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "s", "e", "t")).alias("at")))
     dictionary = C.stage(dictionary.select("core", "entry", "c", "at.*"), "repeats-dictionary")
     whole = live.join(dictionary.where("c > 1").select("core", "entry", F.lit(True).alias("again")), ["core", "entry"], "left")
     spans = (whole.where("NOT mixed OR again")
-             .select("text_key", F.col("s").alias("start"), (F.col("e") + length).alias("end")))
+             .select(*KEY, F.col("s").alias("start"), (F.col("e") + length).alias("end")))
     # the bytes of the mixed cores' entries: one text each is enough
-    asked = dictionary.groupBy("text_key").agg(F.collect_list(F.struct("core", "entry", "c", "s", "e", "t")).alias("asked"))
+    asked = dictionary.groupBy(*KEY).agg(F.collect_list(F.struct("core", "entry", "c", "s", "e", "t")).alias("asked"))
 
     def fetch(batches):
         for b in batches:
@@ -190,10 +192,10 @@ def find_spans(docs: DataFrame, length: int = LENGTH, modulus: int = MODULUS, cr
                     names=["core", "entry", "c", "lead", "bytes"])
 
     # copies of a text are dropped before the exchange
-    texts = _with_key(docs.select("text")).groupBy("text_key").agg(F.first("text").alias("text")).join(asked, "text_key")
-    known = C.stage(texts.select("text", "asked").mapInArrow(fetch, "core long, entry long, c long, lead long, bytes binary"), "repeats-entries")
-    sizes = C.stage(known.groupBy("core").agg(F.count("*").alias("m")), "repeats-sizes")
-    known = known.join(sizes, "core")
+    texts = _with_key(docs.select("text"), []).groupBy(*KEY).agg(F.first("text").alias("text")).join(asked, KEY)
+    known_bytes = C.stage(texts.select("text", "asked").mapInArrow(fetch, "core long, entry long, c long, lead long, bytes binary"), "repeats-entries")
+    sizes = C.stage(dictionary.groupBy("core").agg(F.sum(F.col("e") - F.col("s") + 1).alias("m")), "repeats-sizes")
+    known = known_bytes.join(sizes, "core")
 
     def ordered(table: pa.Table) -> pa.Table:
         raw, lead, c = (table.column(k).to_pylist() for k in ("bytes", "lead", "c"))
@@ -218,18 +220,23 @@ def find_spans(docs: DataFrame, length: int = LENGTH, modulus: int = MODULUS, cr
     counted = (crowded.join(again, ["core", "h"])
                .select("core", "entry", F.array(F.struct(F.col("j").alias("start"), (F.col("j") + length).alias("end"))).alias("runs")))
     partial = (sorted_runs.unionByName(counted).select("core", "entry", F.explode("runs").alias("r"))
-               .join(dictionary.where("c = 1").select("core", "entry", "text_key", "s"), ["core", "entry"])
-               .select("text_key", (F.col("s") + F.col("r.start")).alias("start"), (F.col("s") + F.col("r.end")).alias("end")))
-    return C.stage(spans.unionByName(partial).groupBy("text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "repeats-spans")
+               .join(dictionary.where("c = 1").select("core", "entry", *KEY, "s"), ["core", "entry"])
+               .select(*KEY, (F.col("s") + F.col("r.start")).alias("start"), (F.col("s") + F.col("r.end")).alias("end")))
+    found = C.stage(spans.unionByName(partial).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans")), "repeats-spans")
+    C.drop(live, dictionary, known_bytes, sizes, crowded)
+    return found
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with the 64-bit key of the text's bytes."""
+def _with_key(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Some columns of ``docs`` and its text, with the key of the text's bytes."""
     def scan(batches):
         for b in batches:
-            data, offsets = C.text_bytes(b.column(b.schema.get_field_index("text")))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_keys(data, offsets))], names=[*b.schema.names, "text_key"])
-    return docs.mapInArrow(scan, C.with_fields(docs, (), "text_key long"))
+            for part in C.slices(b, "text"):
+                data, offsets = C.text_bytes(part.column(part.schema.get_field_index("text")))
+                keys = text_keys(data, offsets)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*part.schema.names, *KEY])
+    docs = docs.select(*keep, "text")
+    return docs.mapInArrow(scan, C.with_fields(docs, (), "k1 long, k2 long"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -243,42 +250,50 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def mark_repeats(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` plus removed: the maximal byte spans to remove (empty: none)."""
-    return C.beside(docs, ["text"], ["removed"], lambda inner: _marked(inner, options))
+def mark_repeats(docs: DataFrame, tidy: bool = True, **options) -> DataFrame:
+    """``docs`` plus removed: the maximal byte spans to remove (empty: none).
+
+    Without ``tidy`` they come as found: in no order, some overlapping, null for none; ``digest`` takes either.
+    """
+    return C.beside(docs, ["text"], ["removed"], lambda inner: _marked(inner, tidy, options))
 
 
-def _marked(docs: DataFrame, options: dict) -> DataFrame:
+def _marked(docs: DataFrame, tidy: bool, options: dict) -> DataFrame:
     names = docs.columns
-    joined = _with_key(docs).join(find_spans(docs, **options), "text_key", "left")
+    found = find_spans(docs, **options).withColumnRenamed("spans", "removed")
+    joined = _with_key(docs, [c for c in names if c != "text"]).join(found, KEY, "left").select(*names, "removed")
+    if not tidy:
+        return joined
 
-    def tidy(batches):
+    def in_order(batches):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            spans = [[{"start": s, "end": e} for s, e in merged(x)] for x in b.column(b.schema.get_field_index("spans")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in names), pa.array(spans, kind)], names=[*names, "removed"])
+            for part in C.slices(b, "text"):
+                spans = [[{"start": s, "end": e} for s, e in merged(x)] for x in part.column(part.schema.get_field_index("removed")).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(spans, kind)], names=[*names, "removed"])
 
-    return joined.select(*names, "spans").mapInArrow(tidy, C.with_fields(docs, (), f"removed {SPAN}"))
+    return joined.mapInArrow(in_order, joined.schema)
 
 
 def digest(marked: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) from marked documents."""
     def scan(batches):
         for b in batches:
-            n_bytes, n_removed, n_spans, sha = [], [], [], []
-            for text, spans in zip(b.column(1), b.column(2).to_pylist()):
-                raw = (text.as_py() or "").encode()
-                h, at = hashlib.sha256(), 0
-                for s in spans:
-                    h.update(raw[at:s["start"]])
-                    at = s["end"]
-                h.update(raw[at:])
-                n_bytes.append(len(raw))
-                n_removed.append(sum(s["end"] - s["start"] for s in spans))
-                n_spans.append(len(spans))
-                sha.append(h.hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(sha)],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            for part in C.slices(b, "text"):
+                n_bytes, n_removed, n_spans, sha = [], [], [], []
+                for text, found in zip(part.column(1), part.column(2).to_pylist()):
+                    raw, spans = (text.as_py() or "").encode(), merged(found)
+                    h, at = hashlib.sha256(), 0
+                    for s, e in spans:
+                        h.update(raw[at:s])
+                        at = e
+                    h.update(raw[at:])
+                    n_bytes.append(len(raw))
+                    n_removed.append(sum(e - s for s, e in spans))
+                    n_spans.append(len(spans))
+                    sha.append(h.hexdigest())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(sha, pa.string())],
+                                                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return marked.select("doc_id", "text", "removed").mapInArrow(
         scan, f"doc_id {dict(marked.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -300,25 +315,35 @@ def cut(text: str | None, spans: list[dict]) -> str | None:
     return b"".join(out).decode()
 
 
-def remove_repeats(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the repeated bytes cut from the text, columns unchanged (n_chars set anew where text was cut)."""
+def worth(raw: bytes, spans: list[tuple[int, int]], min_words: int, enough: int = LENGTH) -> list[tuple[int, int]]:
+    """The spans with at least ``min_words`` words (parts of words count), or ``enough`` bytes where a script has no blanks."""
+    return [(a, b) for a, b in spans if b - a >= enough or len(raw[a:b].split()) >= min_words]
+
+
+def remove_repeats(docs: DataFrame, min_words: int = 0, **options) -> DataFrame:
+    """``docs`` with the repeated bytes cut from the text, columns unchanged (n_chars set anew where text was cut).
+
+    With ``min_words``, repeats of fewer words (and fewer than ``LENGTH`` bytes) stay.
+    """
     needs = [c for c in ("text", "n_chars") if c in docs.columns]
-    return C.beside(docs, needs, [], lambda inner: _cut_out(inner, options)).select(*(f"`{c}`" for c in docs.columns))
+    return C.beside(docs, needs, [], lambda inner: _cut_out(inner, min_words, options)).select(*(f"`{c}`" for c in docs.columns))
 
 
-def _cut_out(docs: DataFrame, options: dict) -> DataFrame:
+def _cut_out(docs: DataFrame, min_words: int, options: dict) -> DataFrame:
     names = docs.columns
-    marked = mark_repeats(docs, **options)
 
     def scan(batches):
         for b in batches:
-            cols = {c: b.column(b.schema.get_field_index(c)) for c in names}
-            spans = b.column(b.schema.get_field_index("removed")).to_pylist()
-            texts = [cut(t, s) for t, s in zip(cols["text"].to_pylist(), spans)]
-            if "n_chars" in cols:
-                old = cols["n_chars"].to_pylist()
-                cols["n_chars"] = pa.array([len(t) if s else o for t, s, o in zip(texts, spans, old)], cols["n_chars"].type)
-            cols["text"] = pa.array(texts, cols["text"].type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
-
-    return marked.select(*names, "removed").mapInArrow(scan, docs.schema)
+            for part in C.slices(b, "text"):
+                cols = {c: part.column(part.schema.get_field_index(c)) for c in names}
+                texts, spans = cols["text"].to_pylist(), [merged(x) for x in part.column(part.schema.get_field_index("removed")).to_pylist()]
+                if min_words:
+                    spans = [worth(t.encode(), s, min_words) if s else s for t, s in zip(texts, spans)]
+                texts = [cut(t, [{"start": a, "end": e} for a, e in s]) for t, s in zip(texts, spans)]
+                if "n_chars" in cols:
+                    old = cols["n_chars"].to_pylist()
+                    cols["n_chars"] = pa.array([len(t) if s else o for t, s, o in zip(texts, spans, old)], cols["n_chars"].type)
+                cols["text"] = pa.array(texts, cols["text"].type)
+                yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
+
+    return mark_repeats(docs, tidy=False, **options).select(*names, "removed").mapInArrow(scan, docs.schema)

@@ -84,8 +84,8 @@ def hit_table(docs, items, window=13):
     return out
 
 
-def kept_bytes(texts, length=400):
-    """(bytes, removed, spans, what is left) of each text."""
+def kept_bytes(texts, length=400, min_words=0):
+    """(bytes, removed, spans, what is left) of each text; with ``min_words``, spans of fewer words and under 400 bytes stay."""
     seen = {}
     raw = [(t or "").encode() for t in texts]
     for b in raw:
@@ -97,6 +97,9 @@ def kept_bytes(texts, length=400):
         for a in range(len(b) - length + 1):
             if seen[b[a:a + length]] > 1:
                 gone[a:a + length] = b"\1" * length
+        for m in re.finditer(b"\1+", bytes(gone)):
+            if len(m[0]) < 400 and len(b[m.start():m.end()].split()) < min_words:
+                gone[m.start():m.end()] = bytes(len(m[0]))
         spans = len(re.findall(b"\1+", bytes(gone)))
         out.append((len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)))
     return out

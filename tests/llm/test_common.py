@@ -54,3 +54,12 @@ def test_scratch_folder_is_the_configured_one(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         C.scratch_root(Cluster)
+
+
+def test_scratch_tables_go(spark):
+    import os
+    with C.scratch() as made:
+        a = C.stage(spark.range(3).toDF("a"), "scratch-a")
+        b = C.stage(a.where("a > 0"), "scratch-b")
+        assert made == [a, b] and made.pop() is b
+    assert not os.path.exists(a._staged_at) and b.count() == 2

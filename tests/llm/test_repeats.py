@@ -60,3 +60,18 @@ def test_cut_keeps_code_points_whole():
     assert repeats.cut("aéb", [{"start": 1, "end": 3}]) == "ab"
     assert repeats.cut("aéb", [{"start": 0, "end": 2}]) == "éb"
     assert repeats.cut(None, []) is None
+
+
+def test_passages_by_words(spark):
+    """Repeats of fewer words stay; without blanks 400 bytes are enough."""
+    rng = random.Random(4)
+
+    def some(n):
+        return " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    long, short, solid = some(60), some(40), "日本語テキスト" * 30
+    texts = [some(30) + " " + x + " " + some(30) for x in (long, short, solid)] + [some(20) + " " + x + " " + some(50) for x in (long, short, solid)]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    out = {r.doc_id: r for r in repeats.remove_repeats(frame, length=240, min_words=50).collect()}
+    want = [k.decode() for *_, k in kept_bytes(texts, 240, 50)]
+    assert [out[i].text for i in range(6)] == want and [out[i].n_chars for i in range(6)] == [len(t) for t in want]
+    assert [out[i].text == texts[i] for i in range(6)] == [False, True, False] * 2
