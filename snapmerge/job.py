@@ -4,12 +4,16 @@
         --as-of 2026-12-03 [--cadence daily | --datasets numero_contratos comissao_a_vista]
 
 (or a spark-submit driver script that calls :func:`main`).  For each requested
-dataset every landing entry newer than the last one run (the store keeps that
-epoch with its commits) is read with its landing columns (S-01) and run
-through the runner (G-10), oldest first, so an extract that a later one
-overtook is not lost.  An entry that cannot be read or run stops its own dataset only (later
-entries wait, so the order is kept); every dataset gets an audit row —
-"no extract for this run" when nothing new has landed.
+dataset every landing entry that the store's ledger does not name (by name,
+length and epoch) is read with its landing columns (S-01) and run through the
+runner (G-10), oldest first.  So an extract that a later one overtook is not
+lost, and one that lands late, with an older epoch than others already run, is
+run when it is there (its rows are the last ones seen, and the audit note says so).  An entry
+without a byte is a failed run with an audit row; it is named in the ledger, so
+later entries go on, and is run when it lands again with content.  An entry that
+cannot be read or run stops its own dataset only (later entries wait, so the
+order is kept); every dataset gets an audit row — "no extract for this run" when
+nothing new has landed.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import runner as RN
@@ -47,22 +51,21 @@ def run_job(spark: SparkSession, landing: str, store_root: str, as_of: dt.date,
         entries = new_entries(spark, landing, store, dataset)
         if not entries:
             reports.append(RN.run_dataset(spark, store, dataset, None, as_of, run_id))
-        for path, epoch in entries:
-            report = RN.run_dataset(spark, store, dataset, lambda p=path: open_entry(spark, p), as_of,
-                                    f"{run_id}-{epoch}", epoch=epoch)
+        for e in entries:
+            entry = (e.file_name, e.length, e.epoch)
+            report = RN.run_dataset(spark, store, dataset, lambda p=e.path: open_entry(spark, p), as_of,
+                                    f"{run_id}-{e.epoch}", entry=entry)
             reports.append(report)
-            if report.note.startswith("failed"):
+            if report.note.startswith("failed") and e.length:
                 break
     return reports
 
 
-def new_entries(spark: SparkSession, landing: str, store: TableStore, dataset: str) -> list[tuple[str, int]]:
-    """(path, epoch) of the dataset's landing entries that were not run yet, oldest first (one row per waiting run)."""
-    mark = store.mark(dataset)
-    files = landing_files(spark, landing).where(F.col("dataset") == dataset)
-    if mark is not None:
-        files = files.where(F.col("epoch") > mark)
-    return [(r.path, r.epoch) for r in files.orderBy("epoch", "path").select("path", "epoch").collect()]
+def new_entries(spark: SparkSession, landing: str, store: TableStore, dataset: str) -> list[Row]:
+    """Landing entries of the dataset that are not in the ledger, oldest first (path, file_name, length, epoch; one row per waiting run)."""
+    done = store.ledger(dataset)
+    files = landing_files(spark, landing).where(F.col("dataset") == dataset).orderBy("epoch", "path")
+    return [r for r in files.select("path", "file_name", "length", "epoch").collect() if (r.file_name, r.length, r.epoch) not in done]
 
 
 def open_entry(spark: SparkSession, path: str) -> DataFrame:

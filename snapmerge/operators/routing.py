@@ -41,10 +41,13 @@ def years_present(df: DataFrame, year_col: str = YEAR) -> DataFrame:
 
 
 def yearly_counts(classified: DataFrame, year_col: str = YEAR) -> DataFrame:
-    """A-08: new / edited / total rows per year, plus the all-years line (``year`` null)."""
+    """A-08: new / edited / total rows per year, plus the all-years line (``year`` null, ``is_all_years`` true).
+
+    Rows without a year are a line of their own (``year`` null, ``is_all_years`` false).
+    """
     ct = F.col(CHANGE)
     return (classified.rollup(F.col(year_col).alias(YEAR))
             .agg(F.count_if(ct == NEW).alias("new_rows"),
                  F.count_if(ct == EDITED).alias("edited_rows"),
-                 F.count(F.lit(1)).alias("total_rows"))
-            .withColumn("is_all_years", F.col(YEAR).isNull()))
+                 F.count(F.lit(1)).alias("total_rows"),
+                 (F.grouping(YEAR) == 1).alias("is_all_years")))

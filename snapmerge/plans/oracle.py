@@ -396,7 +396,7 @@ _TARGETS_BY_YEAR = with_(
 reg("targets_by_year", _TARGETS_BY_YEAR)
 reg("yearly_counts_rollup", f"""select year, count(*) filter (where change_type = 'new') as new_rows,
   count(*) filter (where change_type = 'edited') as edited_rows, count(*) as total_rows,
-  year is null as is_all_years
+  grouping(year) = 1 as is_all_years
 from ({_TARGETS_BY_YEAR}) group by rollup (year)""")
 
 # ================================================================== portfolio

@@ -228,21 +228,26 @@ def quarantine(store: TableStore, dataset: str, rejects: DataFrame, run_id: str)
 
 def run_dataset(spark: SparkSession, store: TableStore, dataset: str,
                 extract: DataFrame | Callable[[], DataFrame] | None,
-                as_of: dt.date, run_id: str, run_ts: dt.datetime | None = None, epoch: int | None = None) -> RunReport:
+                as_of: dt.date, run_id: str, run_ts: dt.datetime | None = None,
+                entry: tuple[str, int, int] | None = None) -> RunReport:
     """Run one dataset end to end; always appends exactly one audit row.
 
     ``extract`` may be a function that opens it, so that an unreadable one fails this dataset only.
-    ``epoch``: the landing entry's epoch, recorded with the commit (:meth:`TableStore.mark`).
+    ``entry``: the landing entry (name, length, epoch), recorded with the commit (:meth:`TableStore.ledger`); one
+    without a byte is a failed run, and recorded so that later entries are not held up.
     """
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time())
     spec = get_spec(dataset)
     try:
         if extract is None:
             report = RunReport(dataset, None, None, None, None, False, "no extract for this run")
+        elif entry is not None and not entry[1]:
+            report = RunReport(dataset, None, None, None, None, False, f"failed: landing entry {entry[0]} is empty")
+            store.publish_all({}, {dataset: entry})
         elif any(store.has_version(t.table, run_id) for t in targets_of(dataset).values()):
             report = RunReport(dataset, None, None, None, None, False, f"run {run_id} was published before; nothing done")
         else:
-            report = _run(store, dataset, extract() if callable(extract) else extract, as_of, run_id, run_ts, epoch)
+            report = _run(store, dataset, extract() if callable(extract) else extract, as_of, run_id, run_ts, entry)
     except Exception as e:  # noqa: BLE001 — one dataset must not block the others
         report = RunReport(dataset, None, None, None, None, False, f"failed: {type(e).__name__}: {e}")
         traceback.print_exc()
@@ -252,10 +257,13 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str,
 
 
 def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, run_id: str,
-         run_ts: dt.datetime, epoch: int | None) -> RunReport:
+         run_ts: dt.datetime, entry: tuple[str, int, int] | None) -> RunReport:
     spec = get_spec(dataset)
     got, notes = ingest_for(store, dataset, extract)
     notes = [f"columns: {', '.join(notes)}"] if notes else []
+    newest = store.mark(dataset)
+    if entry is not None and newest is not None and entry[2] < newest:
+        notes.append(f"landed late: epoch {entry[2]} after {newest}")
     # one pass over the extract: rows, rejects, and footers among the rows that can be read
     ok = F.size(REASONS) == 0
     footer = F.col(f"`{spec.footer_key}`").isNull() if spec.footer_key in got.marked.columns else F.lit(False)
@@ -279,11 +287,11 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
         commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec, as_of)
     primary = metrics[flow.primary]
     changed = any(_target_changed(store, targets_of(dataset)[n], commits[n], metrics[n]) for n in commits)
-    marks = {dataset: epoch} if epoch is not None else None
+    entries = {dataset: entry} if entry is not None else None
     if changed:
-        store.publish_all({targets_of(dataset)[n].table: c for n, c in commits.items()}, marks)
-    elif marks:
-        store.publish_all({}, marks)
+        store.publish_all({targets_of(dataset)[n].table: c for n, c in commits.items()}, entries)
+    elif entries:
+        store.publish_all({}, entries)
     if not rows_read:
         notes.insert(0, "no data in period")
     elif not changed:

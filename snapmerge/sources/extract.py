@@ -18,6 +18,8 @@ run sequence and the position inside it (``seq_col`` / ``ord_col`` of
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,31 +114,37 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fm
     return spark.createDataFrame([], schema)
 
 
+def _landing_entries(spark: SparkSession, landing_dir: str) -> list[tuple[str, str, int, int]]:
+    """(path, name, bytes, data files) of the landing entries, also of those without bytes or files."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(landing_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, todo = [], [root] if fs.exists(root) else []
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            path, name = s.getPath(), s.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if re.search(LANDING_PATTERN, name):
+                files = [s] if s.isFile() else [f for f in fs.listStatus(path) if f.isFile() and f.getPath().getName().endswith((".parquet", ".csv"))]
+                found.append((path.toString(), name, sum(f.getLen() for f in files), len(files)))
+            elif s.isDirectory():
+                todo.append(path)
+    return found
+
+
 def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     """S-03: one row per landing entry — path, dataset, run epoch, run timestamp,
-    bytes and number of part files.
+    bytes and number of data files.
 
-    Uses the ``binaryFile`` source with only metadata columns selected, so no
-    file content is read; the listing itself is distributed by Spark.  Part
-    files of a Spark-written entry are grouped back into their entry.
+    Only folders are listed, no file is opened.  Part files of a Spark-written
+    entry count for their entry; an entry without a byte is listed too
+    (``length`` 0), so that a broken export does not pass for no export.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.{parquet,csv}")
-             .load(landing_dir).select("path", "length"))
-    fname = F.substring_index(F.col("path"), "/", -1)
-    parent = F.substring_index(F.substring_index(F.col("path"), "/", -2), "/", 1)
-    own = _landing_epoch(fname).isNotNull()
-    up = _landing_epoch(parent).isNotNull()
-    folder = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)) - 1)")
-    entries = (files.select(F.when(own, F.col("path")).when(up, folder).alias("path"),
-                            F.when(own, fname).when(up, parent).alias("file_name"), "length")
-               .where(F.col("path").isNotNull()))
-    per_entry = entries.groupBy("path", "file_name").agg(F.sum("length").alias("length"),
-                                                         F.count(F.lit(1)).alias("parts"))
-    return (per_entry.select("path", "file_name", dataset_of(F.col("file_name")).alias("dataset"),
-                             epoch_of(F.col("file_name")).alias("epoch"), "length", "parts")
-            .where(F.col("epoch").isNotNull())
-            .withColumn("run_ts", F.timestamp_seconds("epoch")))
+    entries = spark.createDataFrame(_landing_entries(spark, landing_dir), "path string, file_name string, length long, parts long")
+    return (entries.withColumn("dataset", dataset_of(F.col("file_name"))).withColumn("epoch", epoch_of(F.col("file_name")))
+            .where(F.col("epoch").isNotNull()).withColumn("run_ts", F.timestamp_seconds("epoch"))
+            .select("path", "file_name", "dataset", "epoch", "length", "parts", "run_ts"))
 
 
 def latest_extract_per_dataset(files: DataFrame, datasets: list[str] | None = None) -> DataFrame:

@@ -357,20 +357,20 @@ def test_plain_counts_move_nothing(spark, workdir):
     assert bounded_count(spark.range(7), 10) == 7
 
 
+def _put(spark, path, content):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(content))
+    out.close()
+
+
 def test_job_isolates_and_catches_up(spark, workdir):
     from snapmerge.job import run_job
     land = f"{workdir}/landing"
     schema = "store_tax_id long, branch string, period int, balance double"
     spark.createDataFrame([(7, "A", 200101, 1.0)], schema).write.parquet(f"{land}/carteira_parceiros_1000000001.parquet")
     spark.createDataFrame([(7, "B", 200101, 2.0)], schema).write.parquet(f"{land}/carteira_parceiros_1000000002.parquet")
-    spark.createDataFrame([("x",)], "v string").write.text(f"{land}/comissao_a_vista_1000000001.parquet")
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    entry = fs_path(f"{land}/comissao_a_vista_1000000001.parquet")
-    fs = entry.getFileSystem(conf)
-    for s in fs.listStatus(entry):   # part files that are no Parquet files
-        if s.getPath().getName().startswith("part-"):
-            fs.rename(s.getPath(), fs_path(f"{entry.toString()}/part-00000.parquet"))
+    _put(spark, f"{land}/comissao_a_vista_1000000001.parquet/part-00000.parquet", b"no Parquet file")
     reports = run_job(spark, land, f"{workdir}/store", dt.date(2001, 1, 20), ["comissao_a_vista", "carteira_parceiros"], "j1")
     assert [r.note.startswith("failed") for r in reports] == [True, False, False]
     store = TableStore(spark, f"{workdir}/store")
@@ -392,3 +392,60 @@ def test_job_reads_csv_in_file_order(spark, workdir):
     assert r.published, r.note
     got = {r.branch: float(r.balance_amount) for r in TableStore(spark, f"{workdir}/store").read("portfolio_official").collect()}
     assert got == {"A": 2.5, "B": 5.0}
+
+
+def _portfolio(spark, path, rows):
+    spark.createDataFrame(rows, "store_tax_id long, branch string, period int, balance double").write.parquet(path)
+
+
+def test_empty_landing_entry_fails_its_run_only(spark, workdir):
+    from snapmerge.job import run_job
+    land = f"{workdir}/landing"
+    _put(spark, f"{land}/carteira_parceiros_1000000001.parquet", b"")
+    _portfolio(spark, f"{land}/carteira_parceiros_1000000002.parquet", [(7, "B", 200101, 2.0)])
+    as_of, name = dt.date(2001, 1, 20), ["carteira_parceiros"]
+    first, second = run_job(spark, land, f"{workdir}/store", as_of, name, "j1")
+    assert first.note == "failed: landing entry carteira_parceiros_1000000001.parquet is empty" and first.rows_read is None
+    assert second.published and second.rows_read == 1
+    store = TableStore(spark, f"{workdir}/store")
+    notes = sorted(r.note or "" for r in store.read_log(RN.HISTORY_TABLE).collect())
+    assert len(notes) == 2 and notes[1].startswith("failed: landing entry")
+    assert [r.note for r in run_job(spark, land, f"{workdir}/store", as_of, name, "j2")] == ["no extract for this run"]
+    # the export lands again under its name, now with content
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{land}/carteira_parceiros_1000000001.parquet")
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
+    _portfolio(spark, f"{land}/carteira_parceiros_1000000001.parquet", [(7, "A", 200101, 1.0)])
+    again = run_job(spark, land, f"{workdir}/store", as_of, name, "j3")
+    assert len(again) == 1 and again[0].published and "landed late: epoch 1000000001 after 1000000002" in again[0].note
+    assert {r.branch: r.balance for r in store.read("portfolio_official").collect()} == {"A": 1.0, "B": 2.0}
+
+
+def test_late_entry_with_an_older_epoch_is_run(spark, workdir):
+    from snapmerge.job import run_job
+    land, as_of = f"{workdir}/landing", dt.date(2001, 1, 20)
+    _portfolio(spark, f"{land}/carteira_parceiros_1000000005.parquet", [(7, "A", 200101, 5.0)])
+    run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j1")
+    _portfolio(spark, f"{land}/2001/carteira_parceiros_1000000003.parquet", [(7, "C", 200101, 3.0)])
+    _portfolio(spark, f"{land}/carteira_parceiros_1000000006.parquet", [(7, "D", 200101, 6.0)])
+    notes = [r.note for r in run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j2")]
+    assert len(notes) == 2 and "landed late" in notes[0] and "landed late" not in notes[1]
+    store = TableStore(spark, f"{workdir}/store")
+    assert {r.branch for r in store.read("portfolio_official").collect()} == {"A", "C", "D"}
+    assert {e[2] for e in store.ledger("carteira_parceiros")} == {1000000005, 1000000003, 1000000006}
+    assert [r.note for r in run_job(spark, land, f"{workdir}/store", as_of, ["carteira_parceiros"], "j3")] == ["no extract for this run"]
+
+
+def test_history_survives_a_writer_that_died(spark, workdir):
+    """What the newest commit added is known from it, before any marker file is written; commits do not grow with runs."""
+    store = TableStore(spark, workdir)
+    sizes = []
+    for i in range(6):
+        store.publish_all({"t": store.write("t", spark.range(i + 1), f"run {i}/x")}, {"d": (f"d_{i}.parquet", 10, i)})
+        assert store.has_version("t", f"run {i}/x") and (f"d_{i}.parquet", 10, i) in store.ledger("d")
+        sizes.append(len(store._read_text(f"{workdir}/_log/{i:012d}.json")))
+    assert all(store.has_version("t", f"run {i}/x") for i in range(6)) and len(store.ledger("d")) == 6
+    assert max(sizes[1:]) - min(sizes[1:]) < 10
+    with pytest.raises(ValueError, match="published before"):
+        store.write("t", spark.range(1), "run 2/x")
+    store.publish_all({"t": store.write("t", spark.range(1), "late")}, {"d": ("d_0b.parquet", 3, 0)})
+    assert store.mark("d") == 5
