@@ -46,7 +46,7 @@ def yearly_counts(classified: DataFrame, year_col: str = YEAR) -> DataFrame:
     Rows without a year are a line of their own (``year`` null, ``is_all_years`` false).
     """
     ct = F.col(CHANGE)
-    return (classified.rollup(F.col(year_col).alias(YEAR))
+    return (classified.withColumnRenamed(year_col, YEAR).rollup(YEAR)
             .agg(F.count_if(ct == NEW).alias("new_rows"),
                  F.count_if(ct == EDITED).alias("edited_rows"),
                  F.count(F.lit(1)).alias("total_rows"),

@@ -555,3 +555,25 @@ union all select 'period: missing', count(*) from targets where period = 200001
 union all select 'period: unreadable', count(*) from targets where period = 200002 having count(*) > 0""")
 reg("stored_table_order", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) +
     "select count(*) as rows, 0::bigint as out_of_order_in_file, 0::bigint as out_of_order_between_files from batch")
+
+
+# ================================================================== landing ledger and tables in key slices
+reg("landing_empty_entry", with_(STORE_ACTIVITY) + """select null::bigint as rows_read, null::bigint as new_rows, null::bigint as total_rows,
+  'failed: landing entry dias_sem_producao_1000000001.parquet is empty' as note
+union all select count(*), count(*), count(*), '' from store_activity""")
+reg("landing_late_entry", with_(STORE_ACTIVITY) + "select " + ", ".join(c if c != "financed_count" else "financed_count + 1 as financed_count" for c in SA_COLS) +
+    ", 'edited' as change_type from store_activity")
+_KEYED = with_(*_MERGE_BASE, *_accumulate_sql(), "c as (" + classified_select(
+    _K, CONTRACT_COLS, CONTRACT_FLOAT, extra="".join(f", p.{c} as p_{c}" for c in CONTRACT_COLS)) + ")")
+reg("keyed_merge", _KEYED + "select " + ", ".join(
+    f"case when change_type = 'unchanged' then p_{c} else {c} end as {c}" for c in CONTRACT_COLS) + ", change_type from c")
+reg("noop_writes_nothing", _KEYED + """select 0::bigint as new_rows, 0::bigint as edited_rows, count(*) as total_rows,
+  0::bigint as folders_written, 0::bigint as bytes_written, false as published from c""")
+reg("keyed_bytes_written", with_(CONTRACTS, stored_cte(A_MID), """ids as (
+  select count(*) as n, min(proposal_id) + (max(proposal_id) - min(proposal_id)) / 100 as top from stored)""") + """
+select 'edit' as run, 0::bigint as new_rows, (select count(*) from stored where proposal_id <= (select top from ids)) as edited_rows,
+  n as total_rows, true as under_a_tenth, false as wrote_nothing from ids
+union all select 'again', 0, 0, n, true, true from ids""")
+reg("totals_from_changes", with_(*_C_PREVIEW) + """select null::bigint as contract_code, null::varchar as period, null::varchar as master_tax_id,
+  coalesce(cast(sum(gross_amount) as decimal(28,2)), 0) as gross_amount,
+  cast(sum(rate_pct) as double) / count(rate_pct) as rate_pct, null::integer as ord, true as is_total from pv_last""")

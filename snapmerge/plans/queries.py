@@ -32,6 +32,7 @@ from ..sources.store import TableStore
 from ..streaming import stream as ST
 from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS
 from . import flows as G
+from . import keyed as KT
 from . import runner as RN
 from . import standins as SI
 from .standins import A_EMPTY, A_MID, A_TURN, A_TURN_BD
@@ -821,3 +822,87 @@ def stored_table_order(spark, sf):
     after = files.withColumn("prev", F.lag("hi").over(Window.orderBy("f")))  # a row per file
     return after.agg(F.sum("n").alias("rows"), F.sum("bad").alias("out_of_order_in_file"),
                      F.count_if(F.col("prev") > F.col("lo")).alias("out_of_order_between_files"))
+
+
+# ================================================================== landing ledger and tables in key slices
+def _touch(spark, path: str) -> None:
+    """An export that broke off: a landing entry without a byte."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where).close()
+
+
+def _job(spark, name: str, landed: list[list[tuple[int, DataFrame | None]]]) -> TableStore:
+    """Store-activity runs of the scheduled job, after each group of entries (epoch, rows; None: an empty file) has landed."""
+    import uuid
+
+    from ..job import run_job
+    land, store = f"{checkpoint_root(spark)}/{name}/{uuid.uuid4().hex}", _fresh_store(spark, name)
+    for i, group in enumerate(landed):
+        for epoch, rows in group:
+            entry = f"{land}/{STORE_ACTIVITY.dataset_id}_{epoch}.parquet"
+            _touch(spark, entry) if rows is None else rows.write.parquet(entry)
+        run_job(spark, land, store.root, A_MID, [STORE_ACTIVITY.dataset_id], f"j{i}")
+    return store
+
+
+@query
+def landing_empty_entry(spark, sf):
+    """S-03 / G-10: an entry without a byte is a failed run with an audit row; the next entry is run."""
+    store = _job(spark, "landing_empty_entry", [[(1_000_000_001, None), (1_000_000_002, SI.store_activity(spark, sf))]])
+    return store.read_log(RN.HISTORY_TABLE).select("rows_read", "new_rows", "total_rows", "note")
+
+
+@query
+def landing_late_entry(spark, sf):
+    """S-04: an entry that lands late, with an older epoch than one already run, is run."""
+    rows = SI.store_activity(spark, sf)
+    late = rows.withColumn("financed_count", F.col("financed_count") + 1)
+    store = _job(spark, "landing_late_entry", [[(1_000_000_005, rows)], [(1_000_000_003, late)]])
+    return store.read("store_activity_official").drop(EX.EPOCH, EX.ORD, *M.STAMPS)
+
+
+def _keyed_contracts(spark, sf, name: str) -> KT.KeyedTable:
+    return KT.seed(_fresh_store(spark, name), "contracts", SI.contracts_stored(spark, sf, A_MID), CONTRACTS.key, buckets=2)
+
+
+@query
+def keyed_merge(spark, sf):
+    """J-03 / U-04: stored contracts in key slices, merged with the month's batch; equal rows stay as stored."""
+    t = _keyed_contracts(spark, sf, "keyed_merge")
+    t.merge(_contracts_batch(spark, sf), "r1")
+    return t.read().drop(*M.STAMPS)
+
+
+@query
+def keyed_bytes_written(spark, sf):
+    """J-03: what runs over the whole stored table write: the first one, an edit of the oldest hundredth of the ids, the same again."""
+    t = _keyed_contracts(spark, sf, "keyed_bytes_written")
+    rows = t.read().drop(M.CHANGE, *M.STAMPS)
+    top = rows.agg((F.min("proposal_id") + (F.max("proposal_id") - F.min("proposal_id")) / 100).alias("top")).first().top
+    batch = rows.where(F.col("proposal_id") <= top).withColumn("principal", F.col("principal") + 1)
+    whole = t.store.bytes_of(t.store.table_path("contracts"))
+    batch = t.store.overwrite("batch", batch, "b") and t.store.read("batch")  # the batch must not read what it replaces
+    runs = [("edit", t.merge(batch, "r1")), ("again", t.merge(batch, "r2"))]
+    return spark.createDataFrame([(n, r.new_rows, r.edited_rows, r.total_rows, r.bytes_written * 10 < whole, r.bytes_written == 0) for n, r in runs],
+                                 "run string, new_rows long, edited_rows long, total_rows long, under_a_tenth boolean, wrote_nothing boolean")
+
+
+@query
+def noop_writes_nothing(spark, sf):
+    """S-11: a batch that was merged before writes no data file and publishes nothing."""
+    t = _keyed_contracts(spark, sf, "noop_writes_nothing")
+    t.merge(_contracts_batch(spark, sf), "r1")
+    before = len(t.store.versions("contracts"))
+    r = t.merge(_contracts_batch(spark, sf), "r2")
+    return spark.createDataFrame([(r.new_rows, r.edited_rows, r.total_rows, len(t.store.versions("contracts")) - before, r.bytes_written, r.published)],
+                                 "new_rows long, edited_rows long, total_rows long, folders_written long, bytes_written long, published boolean")
+
+
+@query
+def totals_from_changes(spark, sf):
+    """A-01..A-04: the totals row after a merge, from the commit's state and the changed rows only."""
+    stored = SI.commission_stored(spark, sf, A_TURN, with_totals=False)
+    t = KT.seed(_fresh_store(spark, "totals_from_changes"), "commission", stored, COMMISSION.key, ord_col="ord", buckets=2)
+    batch = S.align_to_schema(S.harmonize_types(_commission_batch(spark, sf), stored.schema), stored.schema)
+    t.merge(batch, "r1")
+    return t.totals()

@@ -112,3 +112,10 @@ def test_totals_skip_nan(spark):
     df = spark.createDataFrame([(1, 2.0, 1.0), (2, float("nan"), float("nan")), (3, 3.0, 2.0)], "k int, gross_amount double, rate_pct double")
     t = TT.totals_row(df).first()
     assert t["gross_amount"] == 5.0 and t["rate_pct"] == 1.5
+
+
+def test_yearly_counts_keep_rows_without_a_year_apart(spark):
+    from snapmerge.operators import routing as R
+    df = spark.createDataFrame([(2001, "new"), (2001, "edited"), (None, "new"), (2002, "unchanged")], "y int, change_type string")
+    got = {(r.year, r.is_all_years): (r.new_rows, r.edited_rows, r.total_rows) for r in R.yearly_counts(df, "y").collect()}
+    assert got == {(2001, False): (1, 1, 2), (2002, False): (0, 0, 1), (None, False): (1, 0, 1), (None, True): (2, 1, 4)}
