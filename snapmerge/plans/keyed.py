@@ -1,6 +1,6 @@
 """Stored tables in key slices: a merge reads and rewrites only the slices its batch touches (J-03, U-02, U-04, S-11, A-01..A-04).
 
-Layout.  A table has a fixed number of ``slices``, a partition column that the key decides: runs of consecutive
+Layout.  A table has a fixed number of slices, a partition column that the key decides: runs of consecutive
 integers of the first key column share a slice (ids are issued in order, so a day's batch meets few
 slices), other keys are hashed.  Inside a slice the files are bucketed by Spark (``bucketBy``) on the key's text, so bucket i of
 any slices can be joined with the batch in one task: the batch is shuffled to the buckets, the stored rows are not.
@@ -25,6 +25,7 @@ are cast to the stored types; a column that one side lacks is null there.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -42,9 +43,11 @@ from ..sources.store import Commit, TableStore
 
 SLICE = "_slice"
 KEY_TEXT = "_key"
-SLICES = 64
-#: files of a slice, and tasks of a merge: raise it with the table, it stays what the table was made with
-BUCKETS = 8
+#: rows of a file aimed at when a table is made; its first batch decides the layout, which it keeps
+ROWS_PER_FILE = 200_000
+#: least and most slices of a table, and buckets: files of a slice, and tasks of a merge
+SLICES = (16, 4096)
+BUCKETS = (4, 512)
 #: runs of ids per slice when a table is made: a run is that part of the first batch's span of ids
 RUNS_PER_SLICE = 4
 #: decimals of fractional totals
@@ -100,19 +103,23 @@ def _exact(c: Column, dtype: T.DataType) -> Column:
 class KeyedTable:
     """A table of a :class:`TableStore` with one row per key, in key slices."""
 
-    def __init__(self, store: TableStore, table: str, keys: Sequence[str], slices: int = SLICES, buckets: int = BUCKETS, run: int | None = None,
+    def __init__(self, store: TableStore, table: str, keys: Sequence[str], slices: int | None = None, buckets: int | None = None, run: int | None = None,
                  ord_col: str | None = None, seq_col: str | None = None):
         self.store, self.table, self.keys = store, table, list(keys)
         layout = ((self._commit() or Commit(0, "", {}, None, "{}", [])).extra or {}).get("layout", [slices, buckets, run])
         self.slices, self.buckets, self.run = layout  # a table keeps the layout it was made with
         self.ord_col, self.seq_col = ord_col, seq_col
 
-    def _run_of(self, batch: DataFrame) -> int:
-        """Length of the runs of ids for a new table (1: the key is no integer)."""
-        if not isinstance(batch.schema[self.keys[0]].dataType, _INTEGERS):
-            return 1
-        span = batch.agg((F.max(qcol(self.keys[0])) - F.min(qcol(self.keys[0]))).cast("long")).first()[0] or 0
-        return max(1, span // (RUNS_PER_SLICE * self.slices))
+    def _lay_out(self, batch: DataFrame) -> None:
+        """Slices, buckets and the length of the runs of ids (1: the key is no integer) for a new table."""
+        if not (self.slices and self.buckets):
+            files = batch.count() // ROWS_PER_FILE
+            self.buckets = self.buckets or min(BUCKETS[1], max(BUCKETS[0], math.isqrt(files)))
+            self.slices = self.slices or min(SLICES[1], max(SLICES[0], files // self.buckets))
+        if not self.run and isinstance(batch.schema[self.keys[0]].dataType, _INTEGERS):
+            span = batch.agg((F.max(qcol(self.keys[0])) - F.min(qcol(self.keys[0]))).cast("long")).first()[0] or 0
+            self.run = span // (RUNS_PER_SLICE * self.slices)
+        self.run = self.run or 1
 
     def _commit(self) -> Commit | None:
         return self.store.latest_commit(self.table)
@@ -182,8 +189,17 @@ class KeyedTable:
 
         New rows are stamped with ``run_seq`` and their position.  ``entries``: see :meth:`TableStore.publish_all`.
         """
+        commit, report = self.prepare(batch, version, run_seq)
+        if commit is not None or entries:
+            self.store.publish_all({self.table: commit} if commit is not None else {}, entries)
+        report.published = commit is not None
+        return report
+
+    def prepare(self, batch: DataFrame, version: str, run_seq: int = 0) -> tuple[Commit | None, MergeReport]:
+        """The merge without its publication, so that several tables can be published together; no commit if nothing changes."""
         report, c = MergeReport(version), self._commit()
-        self.run = self.run or self._run_of(batch)
+        if c is None:
+            self._lay_out(batch)
         tagged = M.tag(batch, 1, self.ord_col, self.seq_col)
         routed = tagged.withColumn(KEY_TEXT, key_text(self.keys)).withColumn(SLICE, slice_of(batch.schema, self.keys, self.slices, self.run))
         touched = {str(r[0]) for r in routed.select(SLICE).distinct().collect()}  # at most one row per slice
@@ -194,15 +210,13 @@ class KeyedTable:
         conf, partitions = self.store.spark.conf, self.store.spark.conf.get("spark.sql.shuffle.partitions")
         conf.set("spark.sql.shuffle.partitions", str(self.buckets))
         try:
-            self._merge(routed, prev, c, report, version, run_seq, entries)
+            return self._merge(routed, prev, c, report, version, run_seq), report
         finally:
             conf.set("spark.sql.shuffle.partitions", partitions)
             if name:
                 self.store.spark.sql(f"DROP TABLE {name}")
-        return report
 
-    def _merge(self, routed: DataFrame, prev: DataFrame | None, c: Commit | None, report: MergeReport, version: str, run_seq: int,
-               entries: dict | None) -> None:
+    def _merge(self, routed: DataFrame, prev: DataFrame | None, c: Commit | None, report: MergeReport, version: str, run_seq: int) -> Commit | None:
         merged, names, kinds = self.merged(routed, prev, c, run_seq)
         known = (c.extra if c else None) or {"digests": {}, "totals": {}}
         a, b = row_digest([n for n in names if n != SLICE])
@@ -220,9 +234,7 @@ class KeyedTable:
         rows = {**((c.part_rows or {}) if c else {}), **{str(r[SLICE]): r["rows"] for r in found}}
         report.total_rows = sum(rows.values())
         if not changed:
-            if entries:
-                self.store.publish_all({}, entries)
-            return
+            return None
         own = [r[SLICE] for r in changed]
         out = merged.where(F.col(SLICE).isin(own)).select(*[qcol(n) for n in names], F.col(M.CHANGE))
         new = self.store.write(self.table, out, version, partition_col=SLICE, key=self.keys, save=self._save(prev is None))
@@ -232,11 +244,11 @@ class KeyedTable:
             moved = sum(((r[f"in{i}"] or Decimal(0)) - (r[f"out{i}"] or Decimal(0)) for r in found), Decimal(before))
             totals[n] = [format(moved, "f"), count + sum((r[f"n{i}"] or 0) for r in found)]
         new.part_rows, new.rows = {k: rows[k] for k in new.parts}, report.total_rows
-        new.extra = {"layout": [self.slices, self.buckets, self.run], "totals": totals,
+        new.extra = {"hidden": [SLICE, KEY_TEXT], "layout": [self.slices, self.buckets, self.run], "totals": totals,
                      "digests": {**known["digests"], **{str(r[SLICE]): [str(r.a), str(r.b)] for r in changed}}}
-        self.store.publish_all({self.table: new}, entries)
-        report.published, report.slices_written, report.written = True, len(own), sorted(map(str, own))
+        report.slices_written, report.written = len(own), sorted(map(str, own))
         report.bytes_written = self.store.bytes_of(new.folder)
+        return new
 
     def merged(self, routed: DataFrame, prev: DataFrame | None, c: Commit | None, run_seq: int) -> tuple[DataFrame, list[str], dict]:
         """Rows of the touched slices after the merge, with change_type and the previous row; their stored columns and types."""

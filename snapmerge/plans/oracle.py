@@ -577,3 +577,5 @@ union all select 'again', 0, 0, n, true, true from ids""")
 reg("totals_from_changes", with_(*_C_PREVIEW) + """select null::bigint as contract_code, null::varchar as period, null::varchar as master_tax_id,
   coalesce(cast(sum(gross_amount) as decimal(28,2)), 0) as gross_amount,
   cast(sum(rate_pct) as double) / count(rate_pct) as rate_pct, null::integer as ord, true as is_total from pv_last""")
+reg("run_keyed_store", with_(STORE_ACTIVITY) + "select " + ", ".join(
+    c if c != "financed_count" else "financed_count + (store_id % 2 = 0)::int as financed_count" for c in SA_COLS) + " from store_activity")

@@ -862,7 +862,7 @@ def landing_late_entry(spark, sf):
 
 
 def _keyed_contracts(spark, sf, name: str) -> KT.KeyedTable:
-    return KT.seed(_fresh_store(spark, name), "contracts", SI.contracts_stored(spark, sf, A_MID), CONTRACTS.key, buckets=2)
+    return KT.seed(_fresh_store(spark, name), "contracts", SI.contracts_stored(spark, sf, A_MID), CONTRACTS.key, slices=64, buckets=2)
 
 
 @query
@@ -898,11 +898,27 @@ def noop_writes_nothing(spark, sf):
                                  "new_rows long, edited_rows long, total_rows long, folders_written long, bytes_written long, published boolean")
 
 
+@query
+def run_keyed_store(spark, sf):
+    """G-04 in key slices: a first run and one with changed counts, through ingest, ledger and one commit."""
+    rows = SI.store_activity(spark, sf)
+    changed = rows.withColumn("financed_count", F.col("financed_count") + F.when(F.col("store_id") % 2 == 0, 1).otherwise(0))
+    before = spark.conf.get(RN.KEYED_CONF, None)
+    spark.conf.set(RN.KEYED_CONF, "true")
+    try:
+        store = _fresh_store(spark, "run_keyed_store")
+        for i, extract in enumerate((rows, changed, changed)):
+            _run(store, STORE_ACTIVITY, extract, A_MID, f"r{i}")
+    finally:
+        spark.conf.set(RN.KEYED_CONF, before) if before is not None else spark.conf.unset(RN.KEYED_CONF)
+    return KT.KeyedTable(store, "store_activity_official", STORE_ACTIVITY.key).read().drop(*M.STAMPS, M.CHANGE)
+
+
 @query
 def totals_from_changes(spark, sf):
     """A-01..A-04: the totals row after a merge, from the commit's state and the changed rows only."""
     stored = SI.commission_stored(spark, sf, A_TURN, with_totals=False)
-    t = KT.seed(_fresh_store(spark, "totals_from_changes"), "commission", stored, COMMISSION.key, ord_col="ord", buckets=2)
+    t = KT.seed(_fresh_store(spark, "totals_from_changes"), "commission", stored, COMMISSION.key, ord_col="ord")
     batch = S.align_to_schema(S.harmonize_types(_commission_batch(spark, sf), stored.schema), stored.schema)
     t.merge(batch, "r1")
     return t.totals()

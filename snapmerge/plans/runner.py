@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import row_year
 from ..operators import merge as M
+from ..operators import schema as S
 from ..operators.audit import audit_row
 from ..operators.ingest import REASONS, Ingested, TooManyRejects, ingest
 from ..operators.routing import YEAR
@@ -38,6 +39,7 @@ from ..sources import extract as EX
 from ..sources.store import TableStore
 from ..specs import DatasetSpec, get_spec
 from . import flows as G
+from . import keyed as KT
 
 BOOKKEEPING = [M.CHANGE, M.LAST_SRC, M.LAST_ORD, M.SEEN_SRC, M.SEEN_ORD]
 HISTORY_TABLE = "run_history"
@@ -45,6 +47,10 @@ QUARANTINE_SCHEMA = "run_id string, reasons array<string>, row string"
 # Set to false, tables in append order (the permanent ones) are sorted inside files only: the
 # rewritten partitions then need no shuffle, and readers that want the order sort by the stamps.
 ORDER_HISTORY_CONF = "snapmerge.orderHistory"
+# Set to true, the accumulating and the upserted datasets are stored in key slices (:mod:`.keyed`): a run then reads and
+# writes the slices its rows touch, and totals are kept with the commit (:func:`totals_of`).  A table keeps the layout it was made with.
+KEYED_CONF = "snapmerge.keyedTables"
+KEYED_FLOWS = ("accumulate", "upsert_with_totals")
 # Share of an extract's rows that may be rejected before the run fails.
 MAX_REJECT_SHARE = 0.2
 
@@ -276,9 +282,68 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
         notes.append(f"{seen['rejected']} rows in quarantine")
     if seen["footers"]:
         notes.append(f"{seen['footers']} footer rows dropped")
-    flow = build_flow(store, dataset, got.rows, as_of)
     rows_read = seen["rows"] - seen["rejected"] - seen["footers"]
     run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
+    entries = {dataset: entry} if entry is not None else None
+    if keyed(store, dataset):
+        changed, primary, metrics = _run_keyed(store, dataset, got.rows, run_id, run_seq, entries)
+    else:
+        changed, primary, metrics = _run_targets(store, dataset, got.rows, as_of, run_id, run_seq, entries)
+    if not rows_read:
+        notes.insert(0, "no data in period")
+    elif not changed:
+        notes.insert(0, "no new or edited rows; nothing published")
+    return RunReport(dataset, rows_read, primary["new_rows"], primary["edited_rows"], primary["total_rows"],
+                     changed, "; ".join(notes), metrics)
+
+
+def keyed(store: TableStore, dataset: str) -> bool:
+    """Whether the dataset's tables are (or, not made yet, will be) in key slices."""
+    if get_spec(dataset).flow not in KEYED_FLOWS:
+        return False
+    made = [c for c in (store.latest_commit(t.table) for t in targets_of(dataset).values()) if c is not None]
+    if made:
+        return "layout" in (made[0].extra or {})
+    return store.spark.conf.get(KEYED_CONF, "false").lower() == "true"
+
+
+def _run_keyed(store: TableStore, dataset: str, rows: DataFrame, run_id: str, run_seq: int, entries: dict | None) -> tuple[bool, dict, dict]:
+    """G-04, G-07, G-08 on key slices: the batch, written once, is merged into both tables; one commit publishes them.
+
+    Rows of the preview that the batch does not hold were merged into the official table by the run that brought them.
+    """
+    extract, spec = prepare_extract(rows, get_spec(dataset))
+    batch = G.commission_batch(extract, spec) if spec.flow == "upsert_with_totals" else S.select_configured(extract, G._keep(spec))
+    staged = store.write(f"{spec.table_prefix}_batch", batch, run_id)
+    commits, metrics = {}, {}
+    try:
+        for name, t in targets_of(dataset).items():
+            table = KT.KeyedTable(store, t.table, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col)
+            commit, r = table.prepare(store.read_commit(staged), run_id, run_seq)
+            metrics[name] = {"new_rows": r.new_rows, "edited_rows": r.edited_rows, "total_rows": r.total_rows, "bytes_written": r.bytes_written}
+            if commit is not None:
+                commits[t.table] = commit
+        if commits or entries:
+            store.publish_all(commits, entries)
+    finally:
+        store.discard(staged)
+    return bool(commits), metrics["official"], metrics
+
+
+def totals_of(store: TableStore, dataset: str, target: str = "official") -> DataFrame | None:
+    """A-01..A-03: the totals row of a stored table: from its commit (key slices), else the stored totals row."""
+    t, spec = targets_of(dataset)[target], get_spec(dataset)
+    if keyed(store, dataset):
+        return KT.KeyedTable(store, t.table, spec.key).totals()
+    rows = store.read(t.table)
+    return rows.where(IS_TOTAL) if rows is not None and IS_TOTAL in rows.columns else None
+
+
+def _run_targets(store: TableStore, dataset: str, rows: DataFrame, as_of: dt.date, run_id: str, run_seq: int,
+                 entries: dict | None) -> tuple[bool, dict, dict]:
+    """Preview and other targets by the flow's plans; (published?, counts of the primary target, all counts)."""
+    spec = get_spec(dataset)
+    flow = build_flow(store, dataset, rows, as_of)
     commits, metrics = {}, {}
     commits["preview"], metrics["preview"] = _write_target(
         store, dataset, "preview", flow.preview, run_id, run_seq, spec, as_of)
@@ -287,17 +352,11 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
         commits[name], metrics[name] = _write_target(store, dataset, name, df, run_id, run_seq, spec, as_of)
     primary = metrics[flow.primary]
     changed = any(_target_changed(store, targets_of(dataset)[n], commits[n], metrics[n]) for n in commits)
-    entries = {dataset: entry} if entry is not None else None
     if changed:
         store.publish_all({targets_of(dataset)[n].table: c for n, c in commits.items()}, entries)
     elif entries:
         store.publish_all({}, entries)
-    if not rows_read:
-        notes.insert(0, "no data in period")
-    elif not changed:
-        notes.insert(0, "no new or edited rows; nothing published")
-    return RunReport(dataset, rows_read, primary["new_rows"], primary["edited_rows"], primary["total_rows"],
-                     changed, "; ".join(notes), metrics)
+    return changed, primary, metrics
 
 
 def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run_id: str, run_seq: int,

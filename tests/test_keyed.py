@@ -68,7 +68,7 @@ def test_labels_are_those_of_the_last_version(spark, store):
 
 def test_only_touched_slices_are_read_and_written(spark, store, workdir):
     base = spark.range(100_000).select("id", (F.col("id") * 2.0).alias("v_amount"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
-    t = KT.seed(store, "t", base, ["id"], buckets=2)
+    t = KT.seed(store, "t", base, ["id"], slices=64, buckets=2)
     whole, before = store.bytes_of(f"{workdir}/t"), files(workdir)
     batch = base.where("id between 41000 and 41999").withColumn("v_amount", F.col("v_amount") + 1)  # one hundredth
     r = t.merge(batch, "r1")
@@ -140,4 +140,5 @@ def test_columns_that_come_and_go(spark, store):
 def test_empty_table(spark, store):
     t = KT.KeyedTable(store, "t", ["id"])
     r = t.merge(spark.createDataFrame([], "id long, v_amount double"), "r0")
+    assert (t.slices, t.buckets, t.run) == (16, 4, 1)
     assert not r.published and t.read() is None and t.totals() is None and t.verify() == []

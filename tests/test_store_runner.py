@@ -449,3 +449,44 @@ def test_history_survives_a_writer_that_died(spark, workdir):
         store.write("t", spark.range(1), "run 2/x")
     store.publish_all({"t": store.write("t", spark.range(1), "late")}, {"d": ("d_0b.parquet", 3, 0)})
     assert store.mark("d") == 5
+
+
+@pytest.fixture()
+def keyed_tables(spark):
+    spark.conf.set(RN.KEYED_CONF, "true")
+    yield
+    spark.conf.unset(RN.KEYED_CONF)
+
+
+def _plain(df):
+    drop = {*M.STAMPS, M.CHANGE, "is_total"}
+    return sorted(map(str, df.select(*sorted(c for c in df.columns if c not in drop)).collect()))
+
+
+@pytest.mark.parametrize("dataset", ["dias_sem_producao", "comissao_a_vista"])
+def test_key_slices_hold_what_whole_tables_hold(spark, workdir, keyed_tables, dataset):
+    """The same runs into both layouts; a run without changes writes no data file."""
+    if dataset == "comissao_a_vista":
+        first, as_of = SI.commission_extract(spark, SF_SMALL, SI.A_TURN), SI.A_TURN
+        second = first.withColumn("gross_amount", (F.col("gross_amount") + 1).cast("decimal(18,2)"))
+    else:
+        first, as_of = SI.store_activity(spark, SF_SMALL), AS_OF
+        second = first.withColumn("financed_count", F.col("financed_count") + F.when(F.col("store_id") < 50, 1).otherwise(0))
+    sliced, whole = TableStore(spark, f"{workdir}/sliced"), TableStore(spark, f"{workdir}/whole")
+    reports = [RN.run_dataset(spark, sliced, dataset, e, as_of, f"r{i}") for i, e in enumerate((first, second, second))]
+    spark.conf.set(RN.KEYED_CONF, "false")
+    want = [RN.run_dataset(spark, whole, dataset, e, as_of, f"r{i}") for i, e in enumerate((first, second, second))]
+    official = RN.targets_of(dataset)["official"].table
+    assert RN.keyed(sliced, dataset) and not RN.keyed(whole, dataset)  # a table keeps its layout
+    assert [(r.rows_read, r.new_rows, r.edited_rows, r.published) for r in reports] == [(r.rows_read, r.new_rows, r.edited_rows, r.published) for r in want], [r.note for r in reports]
+    stored = whole.read(official)
+    data = stored.where("not is_total") if "is_total" in stored.columns else stored
+    kept = sliced.read(official)
+    if "rate_pct" in data.columns:  # a mean stands in the same column of the whole table
+        kept = kept.withColumn("rate_pct", F.col("rate_pct").cast("double"))
+    assert _plain(kept) == _plain(data)
+    assert [p["bytes_written"] for p in reports[2].per_target.values()] == [0, 0]
+    assert sliced.latest_commit(official).version == "r1" and not sliced._list(f"{workdir}/sliced/{official.replace('official', 'batch')}/data")
+    if dataset == "comissao_a_vista":
+        assert RN.totals_of(sliced, dataset).first().gross_amount == RN.totals_of(whole, dataset).first().gross_amount
+        assert RN.totals_of(sliced, dataset).first().rate_pct == pytest.approx(RN.totals_of(whole, dataset).first().rate_pct)
