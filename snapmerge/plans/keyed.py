@@ -25,9 +25,10 @@ are cast to the stored types; a column that one side lacks is null there.
 
 from __future__ import annotations
 
+import contextlib
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -184,6 +185,11 @@ class KeyedTable:
         return name, spark.table(name)
 
     # ------------------------------------------------------------ merge
+    def changes(self) -> DataFrame | None:
+        """J-04: the new and edited rows of the last version; only the slices that it wrote are read."""
+        rows = self.read()
+        return None if rows is None else rows.where(F.col(M.CHANGE) != M.UNCHANGED)
+
     def merge(self, batch: DataFrame, version: str, run_seq: int = 0, entries: dict | None = None) -> MergeReport:
         """U-04 / J-03: merge a batch by key; publishes a version if any row is new or edited.
 
@@ -291,3 +297,13 @@ def seed(store: TableStore, table: str, rows: DataFrame, keys: Sequence[str], ve
     t = KeyedTable(store, table, keys, **layout)
     t.merge(with_known_rows(rows, None), version)
     return t
+
+
+@contextlib.contextmanager
+def staged(store: TableStore, table: str, batch: DataFrame, version: str) -> Iterator[DataFrame]:
+    """The batch, written once for the several jobs of a merge; its files go at the end."""
+    commit = store.write(f"{table}_batch", batch, version)
+    try:
+        yield with_known_rows(store.read_commit(commit), None)
+    finally:
+        store.discard(commit)

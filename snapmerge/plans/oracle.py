@@ -579,3 +579,4 @@ reg("totals_from_changes", with_(*_C_PREVIEW) + """select null::bigint as contra
   cast(sum(rate_pct) as double) / count(rate_pct) as rate_pct, null::integer as ord, true as is_total from pv_last""")
 reg("run_keyed_store", with_(STORE_ACTIVITY) + "select " + ", ".join(
     c if c != "financed_count" else "financed_count + (store_id % 2 = 0)::int as financed_count" for c in SA_COLS) + " from store_activity")
+reg("stream_keyed", ORACLE["stream_accumulate"])

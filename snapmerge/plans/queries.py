@@ -914,6 +914,15 @@ def run_keyed_store(spark, sf):
     return KT.KeyedTable(store, "store_activity_official", STORE_ACTIVITY.key).read().drop(*M.STAMPS, M.CHANGE)
 
 
+@query
+def stream_keyed(spark, sf):
+    """R-01 in key slices: the file stream's micro-batch is merged into the slices its keys touch."""
+    base, store = sf.rstrip("/"), _fresh_store(spark, "stream_keyed")
+    ST.stream_accumulate(spark, f"{base}/lineitem[.]parquet", spark.read.parquet(f"{base}/lineitem.parquet").schema, store, "commission_stream",
+                         list(COMMISSION.key), f"{store.root}/checkpoint", transform=_lineitem_as_commission, ord_col="ord", sliced=True).awaitTermination()
+    return KT.KeyedTable(store, "commission_stream", COMMISSION.key).read().drop(*M.STAMPS)
+
+
 @query
 def totals_from_changes(spark, sf):
     """A-01..A-04: the totals row after a merge, from the commit's state and the changed rows only."""

@@ -314,19 +314,16 @@ def _run_keyed(store: TableStore, dataset: str, rows: DataFrame, run_id: str, ru
     """
     extract, spec = prepare_extract(rows, get_spec(dataset))
     batch = G.commission_batch(extract, spec) if spec.flow == "upsert_with_totals" else S.select_configured(extract, G._keep(spec))
-    staged = store.write(f"{spec.table_prefix}_batch", batch, run_id)
     commits, metrics = {}, {}
-    try:
+    with KT.staged(store, spec.table_prefix, batch, run_id) as batch:
         for name, t in targets_of(dataset).items():
             table = KT.KeyedTable(store, t.table, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col)
-            commit, r = table.prepare(store.read_commit(staged), run_id, run_seq)
+            commit, r = table.prepare(batch, run_id, run_seq)
             metrics[name] = {"new_rows": r.new_rows, "edited_rows": r.edited_rows, "total_rows": r.total_rows, "bytes_written": r.bytes_written}
             if commit is not None:
                 commits[t.table] = commit
         if commits or entries:
             store.publish_all(commits, entries)
-    finally:
-        store.discard(staged)
     return bool(commits), metrics["official"], metrics
 
 
