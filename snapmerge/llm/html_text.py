@@ -3,24 +3,28 @@
 The standard library's streaming HTML parser turns a page into lines, one per block element.  Each line has the
 ratio of its text's length to the tags inside it; text of links counts as tags do, and lines in page furniture
 (menus, headers, footers, asides, notices, adverts, forms, comments) have ratio 0.  A form around an article or around
-most of the page's text is no furniture; only its controls and labels go.  The ratios are smoothed with a
+most of the page's text is no furniture; only its controls and labels go.  Nor is an element whose class name marks it,
+if it holds most of the page's text and no article or main stands beside it (a wrapper like "layout-sidebar"; one named for comments, adverts or teasers must also hold the heading or <main>).  The ratios are smoothed with a
 Gaussian kernel, and lines above the threshold (a share of the smoothed ratios' mean plus deviation) form clusters.
 
-A cluster selects the region it lies in: the outermost <article> or <main> around it, or, on a page without either,
+A cluster selects the region it lies in: the outermost <article> or <main> around it; regions stand unless the clusters
+outside them hold more text (teaser articles below the content).  On a page without regions, or where they do not stand, it is
 everything from the first cluster to the last and the lines around them in the same block: the heading before, short
 paragraphs after (directly in the page itself only paragraphs, headings and lists, up to the next line of links).  All lines of a selected region are content, short ones too, except
 furniture.  If nothing reaches the threshold the region with the most text stands.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
-Null or empty pages have the empty text; unclosed, misnested or cut-off markup is read as far as it goes; extra
+Null or empty pages have the empty text; unclosed, misnested or cut-off markup is read as far as it goes (a button or
+list of choices left open ends at the next paragraph or heading); blocks know their parent only, so memory follows the page however deeply it is nested; extra
 columns pass through; repeated rows get equal results each.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html.parser import HTMLParser
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,11 @@ MARKS = frozenset("""ad ads advert advertisement advertising adverts banner brea
 #: marks that name a part of the article when they stand inside one, and those that tell a comment or teaser from the article
 HEADS = frozenset("banner header masthead".split())
 ASIDE_ARTICLES = frozenset("ad ads advert comment comments promo promoted related reply replies sponsored widget".split())
+#: marks that do not become a wrapper by the text they hold alone
+SET_APART = frozenset("""ad ads advert advertisement advertising adverts comment commentlist comments consent cookie cookies disqus gdpr modal
+    newsletter popup promo promoted related reply replies respond sponsor sponsored subscribe subscription""".split())
+#: silent elements that a paragraph or heading ends if they were left open
+CHOICES = frozenset("button datalist option select".split())
 #: words that make a class name tell about other elements ("has-sidebar")
 RELATIVE = frozenset("has is no not with without".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -60,21 +69,21 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 _OPEN_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 
 
-def _marked(tag: str, attrs: list, in_region: bool) -> bool:
-    """Whether an element is page furniture or hidden."""
+def _marked(tag: str, attrs: list, in_region: bool) -> str:
+    """Whether an element is page furniture or hidden: "" (no), "named" (by its class names only), "apart" (by names that set it apart) or "sure"."""
     if tag in FURNITURE and not (tag == "header" and in_region):
-        return True
+        return "sure"
     a = {k: (v or "").lower() for k, v in attrs}
     if tag == "form" and a.get("role") == "form":
         del a["role"]
-    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
-        return True
+    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "") or a.get("role") in ROLES:
+        return "sure"
     if tag == "article":
-        return a.get("role") in ROLES or not ASIDE_ARTICLES.isdisjoint(_words(a))
+        return "" if ASIDE_ARTICLES.isdisjoint(_words(a)) else "sure"
     if tag in ("html", "body", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
-        return a.get("role") in ROLES
-    words = _words(a)
-    return a.get("role") in ROLES or not (MARKS - HEADS if in_region else MARKS).isdisjoint(words)
+        return ""
+    words = _words(a) & (MARKS - HEADS if in_region else MARKS)
+    return "" if not words else "named" if SET_APART.isdisjoint(words) else "apart"
 
 
 def _words(attrs: dict) -> set[str]:
@@ -87,19 +96,52 @@ def _words(attrs: dict) -> set[str]:
     return out
 
 
+class Block:
+    """An open block of the page: its number in page order, the last number inside it, and boxes (no running text) down to it."""
+    __slots__ = ("boxes", "last", "number", "parent", "tag")
+
+    def __init__(self, number: int, tag: str, parent: "Block | None"):
+        self.number, self.tag, self.parent = number, tag, parent
+        self.last = 1 << 62
+        self.boxes = (parent.boxes if parent else 0) + (tag not in RUNNING)
+
+    def holds(self, other: "Block") -> bool:
+        return self.number <= other.number <= self.last
+
+
+def around_all(blocks: list[Block]) -> Block:
+    """The innermost block around all of some blocks; numbers follow the page, so the outer two decide."""
+    low, high = min(blocks, key=lambda b: b.number), max(blocks, key=lambda b: b.number)
+    while not low.holds(high):
+        low = low.parent
+    return low
+
+
+@dataclass
+class Holder:
+    """A form or a marked element, and the lines it holds."""
+    kind: str  # "form", "named" or "apart"
+    start: int
+    stop: int = -1
+    region: bool = False  # holds an article or main element
+    heading: bool = False  # holds a first heading or a main element
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: [text parts, tags, link characters, region, furniture, blocks around], and the open forms of each."""
+    """Lines of a page: [text parts, tags, link characters, region, furniture, innermost block], and the forms and marked elements."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool, tuple]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, furniture inside, region inside, silent inside
-        self.blocks: list[tuple[int, str]] = []  # number and tag of the open blocks within the page
+        self.page = Block(0, "", None)
+        self.lines: list[tuple[str, int, int, int, bool, Block]] = []
+        # tag, furniture for sure, region inside, silent inside, block or None, holder or None
+        self.open: list[tuple[str, bool, int, bool, Block | None, Holder | None]] = []
+        self.names: Counter = Counter()
+        self.blocks = [self.page]
         self.n_blocks = 0
-        self.line_forms: list[tuple[int, ...]] = []
-        self.forms: list[int] = []
-        self.n_forms = 0
-        self.wrappers: set[int] = set()  # forms around an article or main element
+        self.holders: list[Holder] = []
+        self.within: list[Holder] = []  # the open ones
+        self.forms = 0
         self.regions = 0
         self.links = 0
         self._new()
@@ -108,32 +150,43 @@ class _Lines(HTMLParser):
         self.parts, self.tags, self.linked = [], 1, 0
 
     def _state(self):
-        return self.open[-1][1:] if self.open else (False, 0, False)
+        return self.open[-1][1:4] if self.open else (False, 0, False)
 
     def _flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
             furniture, region, _ = self._state()
-            self.lines.append((text, self.tags, self.linked, region, furniture, tuple(self.blocks)))
-            self.line_forms.append(tuple(self.forms))
+            self.lines.append((text, self.tags, self.linked, region, furniture, self.blocks[-1]))
         self._new()
 
     def _pop_to(self, i: int):
-        if any(e[0] in BLOCK for e in self.open[i:]):
+        gone = self.open[i:]
+        if any(e[0] in BLOCK for e in gone):
             self._flush()
-        self.links -= sum(e[0] == "a" for e in self.open[i:])
-        del self.blocks[len(self.blocks) - sum(e[0] in INSIDE for e in self.open[i:]):]
-        del self.forms[len(self.forms) - sum(e[0] == "form" for e in self.open[i:]):]
+        for tag, _, _, _, block, holder in reversed(gone):
+            self.names[tag] -= 1
+            self.links -= tag == "a"
+            self.forms -= tag == "form"
+            if block is not None:
+                block.last = self.n_blocks
+                self.blocks.pop()
+            if holder is not None:
+                holder.stop = len(self.lines)
+                self.within.pop()
+                if self.within:
+                    self.within[-1].region |= holder.region
+                    self.within[-1].heading |= holder.heading
         del self.open[i:]
 
     def handle_starttag(self, tag, attrs):
         furniture, region, silent = self._state()
+        if silent and tag in RUNNING:
+            self._end_choices()
         if tag in CLOSES_P or tag in SAME:
             self._imply_ends(tag)
-            furniture, region, silent = self._state()
-        if tag in ("article", "main") and furniture:
+        if tag == "article" and self._state()[0] or tag == "main" and (self._state()[0] or any(h.kind != "form" for h in self.within)):
             self._leave_menu(tag)
-            furniture, region, silent = self._state()
+        furniture, region, silent = self._state()
         if tag in BLOCK:
             self._flush()
         self.tags += 1
@@ -141,23 +194,40 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        furniture = furniture or _marked(tag, attrs, region > 0)
-        if tag in ("article", "main") and not region and not furniture:
-            self.regions += 1
-            region = self.regions
-            self.wrappers.update(self.forms)
+        mark = "" if furniture else _marked(tag, attrs, region > 0)
+        furniture = furniture or mark == "sure"
+        block = holder = None
+        if not furniture and (mark or tag == "form"):
+            # a form with a marked name is one element with two reasons; the form's rule is the milder one
+            holder = Holder("form" if tag == "form" and not mark else mark, len(self.lines))
+            self.holders.append(holder)
+            self.within.append(holder)
+        if tag in ("article", "main") and not furniture:
+            if not region:
+                self.regions += 1
+                region = self.regions
+            if self.within:
+                self.within[-1].region = True
+        if tag in ("h1", "main") and self.within:
+            self.within[-1].heading = True
         self.links += tag == "a"
+        self.forms += tag == "form"
         if tag in INSIDE:
             self.n_blocks += 1
-            self.blocks.append((self.n_blocks, tag))
-        if tag == "form":
-            self.n_forms += 1
-            self.forms.append(self.n_forms)
-        self.open.append((tag, furniture, region, silent or tag in SILENT or tag in LABELS and bool(self.forms)))
+            block = Block(self.n_blocks, tag, self.blocks[-1])
+            self.blocks.append(block)
+        self.names[tag] += 1
+        self.open.append((tag, furniture, region, silent or tag in SILENT or tag in LABELS and self.forms > 0, block, holder))
+
+    def _end_choices(self):
+        """A paragraph or heading ends the outermost silent element if that is a button or list of choices left open."""
+        first = next(i for i, e in enumerate(self.open) if e[3])
+        if self.open[first][0] in CHOICES:
+            self._pop_to(first)
 
     def _leave_menu(self, tag):
         """No menu or page header holds the article: one still open there was not closed; <main> ends any furniture."""
-        first = next(i for i, e in enumerate(self.open) if e[1])
+        first = next(i for i, e in enumerate(self.open) if e[1] or e[5] is not None and e[5].kind != "form")
         if self.open[first][0] in ("nav", "header") or tag == "main":
             self._pop_to(first)
 
@@ -178,6 +248,8 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if not self.names[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self._pop_to(i)
@@ -190,20 +262,36 @@ class _Lines(HTMLParser):
                 self.linked += len(data)
 
 
-def page_lines(html: str) -> list[tuple[str, int, int, int, bool, tuple]]:
-    """(text, tags, link characters, region, furniture, blocks around) of each block with text, in page order."""
+def page_lines(html: str) -> list[tuple[str, int, int, int, bool, Block]]:
+    """(text, tags, link characters, region, furniture, innermost block) of each block with text, in page order."""
     p = _Lines()
     p.feed(_OPEN_TAG.sub("", html))
     p.close()
     p._flush()
-    size = [0 if x[4] else max(0, len(x[0]) - x[2]) for x in p.lines]
-    total = sum(size)
-    held: dict[int, int] = {}
-    for n, forms in zip(size, p.line_forms):
-        for form in forms:
-            held[form] = held.get(form, 0) + n
-    p.wrappers.update(form for form, n in held.items() if 2 * n > total)
-    return [x if p.wrappers.issuperset(forms) else (*x[:4], True, x[5]) for x, forms in zip(p.lines, p.line_forms)]
+    p._pop_to(0)
+    n = len(p.lines)
+    size = np.array([0 if x[4] else max(0, len(x[0]) - x[2]) for x in p.lines] or [0])
+    in_region = np.array([bool(x[3]) and not x[4] for x in p.lines] or [False])
+    held, regions = (np.concatenate([[0], np.cumsum(v)]) for v in (size, in_region))
+    named = np.zeros(n + 1, np.int64)  # lines in marked elements; articles in those do not stand beside a wrapper
+    for h in p.holders:
+        if h.kind != "form":
+            named[h.start] += 1
+            named[h.stop] -= 1
+    free = np.concatenate([[0], np.cumsum(in_region[:n] & (np.cumsum(named)[:n] == 0))])
+    cover = np.zeros(n + 1, np.int64)
+    for h in p.holders:
+        most = 2 * (held[h.stop] - held[h.start]) > held[-1]
+        beside = free[-1] - (free[h.stop] - free[h.start]) > 0
+        if h.kind == "form":
+            wrapper = h.region or most
+        else:
+            wrapper = most and not beside and (h.kind == "named" or h.heading)
+        if not wrapper:
+            cover[h.start] += 1
+            cover[h.stop] -= 1
+    covered = np.cumsum(cover)
+    return [(*x[:4], True, x[5]) if c and not x[4] else x for x, c in zip(p.lines, covered.tolist())]
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -216,29 +304,31 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def _grown(lines: list, chosen: list[int]) -> tuple[int, int]:
     """First and last line of the text around the chosen lines: what shares their block, and the page's heading before it."""
-    around = commonprefix([lines[i][5] for i in chosen]) if len(chosen) > 1 else lines[chosen[0]][5][:-1]
-    while around and around[-1][1] in RUNNING:
-        around = around[:-1]
-    page = len(around) <= len(commonprefix([x[5] for x in lines]))
+    around = around_all([lines[i][5] for i in chosen])
+    if len(chosen) == 1 and around.parent is not None:
+        around = around.parent
+    while around.tag in RUNNING:
+        around = around.parent
+    page = around.holds(around_all([x[5] for x in lines]))
 
     def reach(edge, order):
         for i in order:
-            text, _, linked, _, furniture, path = lines[i]
+            text, _, linked, _, furniture, block = lines[i]
             if furniture:
                 continue
             links = 2 * linked >= len(text)
-            if path[:len(around)] != around or page and links:
+            if not around.holds(block) or page and links:
                 break
-            if not links and not (page and any(tag not in RUNNING for _, tag in path[len(around):])):
+            if not links and not (page and block.boxes > around.boxes):
                 edge = i
         return edge
 
     first, last = reach(chosen[0], range(chosen[0] - 1, -1, -1)), reach(chosen[-1], range(chosen[-1] + 1, len(lines)))
     for i in range(first, -1, -1):
-        text, _, linked, _, furniture, path = lines[i]
+        text, _, linked, _, furniture, block = lines[i]
         if not furniture and 2 * linked >= len(text) and i < first:
             break
-        if not furniture and path and path[-1][1] == "h1":
+        if not furniture and block.tag == "h1":
             return i, last
     return first, last
 
@@ -253,6 +343,7 @@ def main_text(html: str | None) -> str:
     level = smooth(ratio)
     top = level >= THRESHOLD * (level.mean() + level.std())
     chosen = [i for i in usable if top[i]]
+    kept: list[int] = []
     if any(lines[i][3] for i in usable):
         regions = {lines[i][3] for i in chosen if lines[i][3]}
         if not regions:
@@ -262,7 +353,11 @@ def main_text(html: str | None) -> str:
                     size[lines[i][3]] = size.get(lines[i][3], 0) + len(lines[i][0])
             regions = {max(size, key=size.get)}
         kept = [i for i in usable if lines[i][3] in regions]
-    else:
+        outside = [i for i in chosen if not lines[i][3]]
+        if sum(len(lines[i][0]) for i in outside) > sum(len(lines[i][0]) for i in kept):  # articles beside the content
+            lines = [(*x[:4], True, x[5]) if x[3] else x for x in lines]
+            usable, chosen, kept = [i for i in usable if not lines[i][3]], outside, []
+    if not kept:
         chosen = chosen or usable
         first, last = _grown(lines, chosen)
         kept = [i for i in usable if first <= i <= last]

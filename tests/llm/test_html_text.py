@@ -72,3 +72,37 @@ def test_short_first_and_last_block_without_region(before, inside, after, extra,
     got = html_text.main_text(f"<body>{before}{box.format(inside)}{after}</body>").split("\n\n")
     end = [t for t in extra if "end." in t or "closing" in t]
     assert got == [t for t in extra if t not in end] + PARAGRAPHS + end
+
+
+STORY = f"<h1>Head</h1>{FIVE}<p>The end.</p>"
+STORY_TEXT = ["Head", *PARAGRAPHS, "The end."]
+
+
+@pytest.mark.parametrize("html", [
+    f"<body><div class=content>{STORY}</div><article class=card><h3>Another story</h3></article></body>",
+    f"<body><div class=content>{STORY}</div><article class=card><p>Read this too</p></article><article class=card><p>And this one</p></article></body>",
+    f"<body><div id=page class='site social-enabled'><article>{STORY}</article></div></body>",
+    f"<body><div class='layout-sidebar'><nav>Menu</nav><article>{STORY}</article><div class=sidebar><p>{LONG}</p></div></div></body>",
+    f"<body><div class='post-widget'><article>{STORY}</article></div></body>",
+    f"<body><div class='page widget-area-left'><article>{STORY}</article></div></body>",
+    f"<body><div class='comments-open page'><article>{STORY}</article></div></body>",
+    f"<body><div class='layout-sidebar'><div>{STORY}</div><div class=related><p>{LONG}</p></div></div></body>",
+    f"<body><article>{STORY}</article><div id=comments>{FIVE * 3}</div></body>",
+    f"<body><div class=related><article><p>{LONG}</p></article></div><article>{STORY}</article></body>",
+    f"<body><article><button>Go{STORY}</article></body>",
+])
+def test_wrappers_and_teasers(html):
+    assert html_text.main_text(html).split("\n\n") == STORY_TEXT
+
+
+def test_deep_nesting_takes_little():
+    import time
+    import tracemalloc
+    page = "<div>x y " * 100_000
+    tracemalloc.start()
+    began = time.time()
+    text = html_text.main_text(page)
+    took, (_, most) = time.time() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert text.count("x y") == 100_000 and most < 200e6 and took < 60
+    assert html_text.main_text("<form class=menu>" * 3000 + "<p>text" + "</i>" * 3000) == "text"
