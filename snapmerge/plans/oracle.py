@@ -543,17 +543,17 @@ _LINES = f"""select *, row_number() over (partition by contract_code, period ord
 reg("stream_two_checkpoints", f"""select * exclude (rn),
   case when contract_code % 2 = 0 then 'unchanged' else 'new' end as change_type from ({_LINES}) where rn = 1""")
 _RUN_COLS = ", ".join(CONTRACT_COLS)
-reg("ingest_real_headers", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) + f"select {_RUN_COLS}, 'new' as change_type from batch")
-reg("ingest_text_dates", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) +
+reg("ingest_real_headers", with_(CONTRACTS, batch_cte(A_MID, "contracts")) + f"select {_RUN_COLS}, 'new' as change_type from batch")
+reg("ingest_text_dates", with_(CONTRACTS, batch_cte(A_MID, "contracts")) +
     f"select {_RUN_COLS}, 'new' as change_type from batch where proposal_id % 20 <> 0 union all by name "
-    "select proposal_id, 'quarantine' as change_type from extract where proposal_id % 20 = 0")
+    "select proposal_id, 'quarantine' as change_type from contracts where proposal_id % 20 = 0")
 reg("ingest_money_text", f"""select contract_code, period, master_tax_id, cast(gross_amount + 1 as decimal(18,2)) as gross_amount,
   'edited' as change_type from ({_LINES}) where rn = 1""")
 reg("quarantine_null_period", with_(TARGETS) + """select cast(period // 100 as varchar) as part, count(*) as rows
 from targets where period not in (200001, 200002) group by all
 union all select 'period: missing', count(*) from targets where period = 200001 having count(*) > 0
 union all select 'period: unreadable', count(*) from targets where period = 200002 having count(*) > 0""")
-reg("stored_table_order", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID)) +
+reg("stored_table_order", with_(CONTRACTS, batch_cte(A_MID, "contracts")) +
     "select count(*) as rows, 0::bigint as out_of_order_in_file, 0::bigint as out_of_order_between_files from batch")
 
 

@@ -765,8 +765,8 @@ def stream_two_checkpoints(spark, sf):
 
 @query
 def ingest_real_headers(spark, sf):
-    """P-01 / T-07: a contracts extract under the report's own headers, run into an empty store."""
-    extract = SI.contracts_extract(spark, sf, A_MID)
+    """P-01 / T-07: the whole contracts report under its own headers, run into an empty store."""
+    extract = SI.contracts(spark, sf)
     store = _fresh_store(spark, "ingest_real_headers")
     _run(store, CONTRACTS, extract.toDF(*[CONTRACTS.display_names.get(c, c) for c in extract.columns]), A_MID, "r1")
     return store.read("contracts_quarter").drop("year", *M.STAMPS)
@@ -777,7 +777,7 @@ def ingest_text_dates(spark, sf):
     """F-10 / X-09: report dates as day-first text; the rows whose date is no date go to quarantine."""
     text = F.when(F.col("proposal_id") % 20 == 0, F.lit("n/a")).otherwise(F.date_format("report_date", "d/M/yyyy"))
     store = _fresh_store(spark, "ingest_text_dates")
-    _run(store, CONTRACTS, SI.contracts_extract(spark, sf, A_MID).withColumn("report_date", text), A_MID, "r1")
+    _run(store, CONTRACTS, SI.contracts(spark, sf).withColumn("report_date", text), A_MID, "r1")
     stored = store.read("contracts_quarter").drop("year", *M.STAMPS)
     rejected = store.read_log("contracts_quarantine", RN.QUARANTINE_SCHEMA).select(
         F.get_json_object("row", "$.proposal_id").cast("long").alias("proposal_id"), F.lit("quarantine").alias("change_type"))
@@ -814,7 +814,7 @@ def quarantine_null_period(spark, sf):
 def stored_table_order(spark, sf):
     """O-01 / O-02: the stored preview's files, in name order, hold its rows in date order."""
     store = _fresh_store(spark, "stored_table_order")
-    _run(store, CONTRACTS, SI.contracts_extract(spark, sf, A_MID), A_MID, "r1")
+    _run(store, CONTRACTS, SI.contracts(spark, sf), A_MID, "r1")
     rows = store.read("contracts_preview").select("report_date", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
     in_file = rows.withColumn("before", F.lag("report_date").over(Window.partitionBy("f").orderBy("i")))
     files = in_file.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") > F.col("report_date")).alias("bad"),
