@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from snapmerge.llm import common as C
 from snapmerge.llm.line_rules import word_counts
-from snapmerge.llm.toxicity import bounded_sample
+from snapmerge.llm.toxicity import bounded_rows, bounded_sample
 
 MAX_TRAIN = 8000
 THRESHOLD = 0.5
@@ -132,7 +132,7 @@ def _scaled(x: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
     return np.concatenate([z, np.ones((len(z), 1))], axis=1)
 
 
-def _sample(docs: DataFrame, name: str) -> np.ndarray:
+def _sample(docs: DataFrame) -> np.ndarray:
     """Features of a bounded sample of documents, on the driver (MAX_TRAIN rows of WIDTH numbers)."""
     def scan(batches):
         for b in batches:
@@ -149,8 +149,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", thresho
     C.ship(docs.sparkSession)
     trusted = labels.where((F.col(label) == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     trusted = C.stage(bounded_sample(trusted, "doc_id", most), "trusted")
-    x_pos = _sample(docs.select("doc_id", "text").join(trusted, "doc_id"), "positive")
-    x_unl = _sample(bounded_sample(docs.select("doc_id", "text"), "doc_id", most), "unlabelled")
+    x_pos = _sample(bounded_rows(docs.select("doc_id", "text").join(trusted, "doc_id"), most))
+    x_unl = _sample(bounded_rows(bounded_sample(docs.select("doc_id", "text"), "doc_id", most), most))
     model = fit(x_pos, x_unl, prior)[:3] if len(x_pos) > 1 and len(x_unl) > 1 else None
 
     return C.beside(docs, ["text"], ["score", "predicted"],

@@ -7,7 +7,7 @@ different keys are left between candidates.  Boundaries between different texts
 a shard unless the tolerance needs a cut inside their group; a group of any size can be cut by doc_id, or, for repeated
 rows, by row number.  Rows move once, by range, when all splitters are known.
 
-Null text counts as empty; null doc_id sorts first; an empty table gives an empty result; other columns pass through.
+Null text counts as empty; null doc_id sorts first; doc_ids that are no integers are put in order by their hash; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmerge.llm import common as C
 
@@ -103,8 +104,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, tolerance: float = TO
 def _sharded(docs: DataFrame, shards: int, tolerance: float, keep_text: bool) -> DataFrame:
     names = [c for c in docs.columns if keep_text or c != "text"]
     body = F.coalesce("text", F.lit(""))
+    number = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    rank = F.col("doc_id").cast("long") if number else F.xxhash64("doc_id")  # ids that are no integers are put in order by hash
     keyed = (docs.withColumn("size", (F.octet_length(body) + 1).cast("long"))
-             .withColumn("_h", F.xxhash64(body)).withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)))
+             .withColumn("_h", F.xxhash64(body)).withColumn("_d", F.when(F.col("doc_id").isNull(), F.lit(LOWEST)).otherwise(rank))
              .withColumn("_u", F.monotonically_increasing_id()).select(*names, "size", *KEY))
     keyed = C.stage(keyed, "shards-keys")
     cuts = splitters(keyed, shards, tolerance)

@@ -44,11 +44,25 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """``rows``, or about ``most`` of them picked by a hash of ``key``."""
+    """``rows``, or about ``most`` of them picked by a hash of ``key`` (where it is null: of the text)."""
     n = rows.count()
     if n <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    h = F.xxhash64(F.col(key), F.lit("sample"))
+    if "text" in rows.columns:
+        h = F.when(F.col(key).isNull(), F.xxhash64("text", F.lit("sample"))).otherwise(h)
+    return rows.where(F.pmod(h, F.lit(1_000_000)) < int(1_000_000 * most / n))
+
+
+def bounded_rows(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of (doc_id, text, ...), or, where they are over a tenth more than ``most`` since ids repeat, about ``most`` of the different ones."""
+    if rows.count() <= 1.1 * most:
+        return rows
+    h = F.xxhash64("doc_id", "text", F.lit("row"))
+    keyed = rows.withColumn("_row", h)
+    n = keyed.agg(F.count_distinct("_row")).first()[0]
+    picked = keyed.where(F.pmod("_row", F.lit(1_000_000)) < max(1, int(1_000_000 * most / n)))
+    return picked.groupBy("_row").agg(*(F.first(c).alias(c) for c in rows.columns)).drop("_row")
 
 
 def ngrams(column: pa.Array, sizes: tuple[int, ...], bits: int):
@@ -195,11 +209,12 @@ def score(docs: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """Staged (text, label) of a bounded sample of the labelled documents."""
+    """(text, label) of a bounded sample of the labelled documents, also where an id has many rows."""
     picked = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
               .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
     picked = bounded_sample(picked, "doc_id", most)
-    return C.stage(docs.select("doc_id", "text").join(picked, "doc_id").select("text", "label"), "labelled")
+    labelled = C.stage(docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "label"), "labelled")
+    return bounded_rows(labelled, most).select("text", "label")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, max_train: int = MAX_TRAIN, **fit) -> DataFrame:

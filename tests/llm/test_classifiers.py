@@ -104,3 +104,16 @@ def test_odd_inputs(spark, odd_docs, no_docs, corpus, module, label):
     for some in (strange, strange.limit(0)):
         rows = module.classify(odd_docs, some).collect()
         assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_samples_are_bounded_where_ids_repeat_or_are_null(spark):
+    rows = [(i % 20, f"text {i}") for i in range(20_000)] + [(None, f"null {i}") for i in range(20_000)] + [(None, "copy")] * 5000 + [(3, "copy")] * 5000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    for sample in (toxicity.bounded_rows(toxicity.bounded_sample(docs, "doc_id", 2000), 2000), toxicity.bounded_rows(docs, 2000)):
+        assert 200 < sample.count() <= 2400
+    assert toxicity.bounded_rows(docs, 2000).where("text = 'copy'").count() <= 2
+    labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert toxicity.training_rows(docs, labels, "toxic", 2000).count() <= 2400
+    only_null = docs.where("doc_id IS NULL")
+    assert toxicity.bounded_rows(toxicity.bounded_sample(only_null, "doc_id", 500), 500).count() > 100
+    assert quality_pu.classify(docs, labels, most=1000).agg(F.count_distinct("score")).first()[0] > 1

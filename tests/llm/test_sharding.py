@@ -50,3 +50,11 @@ def test_odd_inputs(odd_docs, no_docs):
     out = sharding.shard_documents(odd_docs, 4)
     assert "text_key" in out.columns and out.columns.count("size") == 1 and out.count() == odd_docs.count()
     assert sharding.shard_documents(no_docs, 4).count() == 0
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [(None if i % 7 == 0 else f"id-{i % 50}", "same text" if i % 3 else f"text {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    out = sharding.shard_documents(docs, 4).collect()
+    _check(out, 4)
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(a), b) for a, b in rows)
