@@ -79,8 +79,9 @@ def ship(spark: SparkSession) -> None:
     Batches of Spark's default 10,000 documents can hold a gigabyte of text; where nobody set another size they get BATCH_ROWS.
     """
     sc = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark._jsparkSession.sessionState().conf().contains(rows):
+        spark.conf.set(rows, str(BATCH_ROWS))
     if getattr(sc, "_corpus_code_sent", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
