@@ -580,3 +580,5 @@ reg("totals_from_changes", with_(*_C_PREVIEW) + """select null::bigint as contra
 reg("run_keyed_store", with_(STORE_ACTIVITY) + "select " + ", ".join(
     c if c != "financed_count" else "financed_count + (store_id % 2 = 0)::int as financed_count" for c in SA_COLS) + " from store_activity")
 reg("stream_keyed", ORACLE["stream_accumulate"])
+reg("stream_changes", f"""select * exclude (rn), case when period < 199601 then 'edited' else 'new' end as change_type,
+  cast(case when period < 199601 then 2 else 1 end as bigint) as change_no from ({_LINES}) where rn = 1 and period > 199500""")

@@ -29,6 +29,7 @@ from ..operators import totals as TT
 from ..session import checkpoint_root
 from ..sources import extract as EX
 from ..sources.store import TableStore
+from ..streaming import changes as SC
 from ..streaming import stream as ST
 from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS
 from . import flows as G
@@ -931,3 +932,16 @@ def totals_from_changes(spark, sf):
     batch = S.align_to_schema(S.harmonize_types(_commission_batch(spark, sf), stored.schema), stored.schema)
     t.merge(batch, "r1")
     return t.totals()
+
+
+@query
+def stream_changes(spark, sf):
+    """R-01 with a state per key: the rows of the line item file that differ from a stored history that ends with 1995 (its last year's
+    amounts were other ones): new and edited rows only, from the change log."""
+    base, work = sf.rstrip("/"), _fresh_store(spark, "stream_changes").root
+    file = spark.read.parquet(f"{base}/lineitem.parquet")
+    history = M.keep_last(_lineitem_as_commission(file), list(COMMISSION.key), ord_col="ord").where(F.col("period") < 199601)
+    history = history.withColumn("gross_amount", F.when(F.col("period") > 199500, F.col("gross_amount") + 1).otherwise(F.col("gross_amount")).cast("decimal(18,2)"))
+    SC.change_stream(spark, f"{base}/lineitem[.]parquet", file.schema, list(COMMISSION.key), f"{work}/log", f"{work}/checkpoint",
+                     transform=_lineitem_as_commission, ord_col="ord", initial=history).awaitTermination()
+    return spark.read.parquet(f"{work}/log")
