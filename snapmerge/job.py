@@ -13,7 +13,8 @@ without a byte is a failed run with an audit row; it is named in the ledger, so
 later entries go on, and is run when it lands again with content.  An entry that
 cannot be read or run stops its own dataset only (later entries wait, so the
 order is kept); every dataset gets an audit row — "no extract for this run" when
-nothing new has landed.
+nothing new has landed.  ``--at-once n`` runs n datasets side by side
+(:mod:`snapmerge.plans.side_by_side`).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import runner as RN
+from .plans.side_by_side import SideBySide
 from .session import build_session
 from .sources.extract import landing_files, read_extract
 from .sources.store import TableStore
@@ -43,21 +45,36 @@ def select_datasets(datasets: list[str] | None, cadence: str | None) -> list[str
 
 
 def run_job(spark: SparkSession, landing: str, store_root: str, as_of: dt.date,
-            datasets: list[str], run_id: str | None = None) -> list[RN.RunReport]:
+            datasets: list[str], run_id: str | None = None, at_once: int = 1,
+            control: SideBySide | None = None) -> list[RN.RunReport]:
+    """``at_once``: datasets that run side by side; ``control`` (for :meth:`SideBySide.cancel`) brings its own number."""
     run_id = run_id or as_of.strftime("%Y%m%d") + dt.datetime.now(dt.timezone.utc).strftime("T%H%M%S")
+    if control is None and at_once > 1:
+        control = SideBySide(spark, store_root, at_once)
+    if control is not None:
+        return control.run(datasets, lambda store, dataset: run_entries(store, landing, dataset, as_of, run_id))
     store = TableStore(spark, store_root)
-    reports = []
-    for dataset in datasets:
+    return [r for dataset in datasets for r in run_entries(store, landing, dataset, as_of, run_id)]
+
+
+def run_entries(store: TableStore, landing: str, dataset: str, as_of: dt.date, run_id: str) -> list[RN.RunReport]:
+    """The dataset's waiting landing entries, oldest first, up to one that fails."""
+    spark, reports = store.spark, []
+    try:
         entries = new_entries(spark, landing, store, dataset)
-        if not entries:
-            reports.append(RN.run_dataset(spark, store, dataset, None, as_of, run_id))
-        for e in entries:
-            entry = (e.file_name, e.length, e.epoch)
-            report = RN.run_dataset(spark, store, dataset, lambda p=e.path: open_entry(spark, p), as_of,
-                                    f"{run_id}-{e.epoch}", entry=entry)
-            reports.append(report)
-            if report.note.startswith("failed") and e.length:
-                break
+    except Exception:
+        if not store.cancelled():
+            raise
+        entries = []
+    if not entries:
+        return [RN.run_dataset(spark, store, dataset, None, as_of, run_id)]
+    for e in entries:
+        entry = (e.file_name, e.length, e.epoch)
+        report = RN.run_dataset(spark, store, dataset, lambda p=e.path: open_entry(spark, p), as_of,
+                                f"{run_id}-{e.epoch}", entry=entry)
+        reports.append(report)
+        if report.note.startswith("failed") and (e.length or store.cancelled()):
+            break
     return reports
 
 
@@ -83,10 +100,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cadence", choices=sorted({s.cadence for s in REGISTRY.values()}))
     ap.add_argument("--datasets", nargs="*")
     ap.add_argument("--run-id")
+    ap.add_argument("--at-once", type=int, default=1, help="datasets that run side by side")
     a = ap.parse_args(argv)
     spark = build_session(app_name="snapmerge-job")
     reports = run_job(spark, a.landing, a.store, dt.date.fromisoformat(a.as_of),
-                      select_datasets(a.datasets, a.cadence), a.run_id)
+                      select_datasets(a.datasets, a.cadence), a.run_id, a.at_once)
     for r in reports:
         print(f"{r.dataset}: read={r.rows_read} new={r.new_rows} edited={r.edited_rows} "
               f"total={r.total_rows} published={r.published} {r.note}")

@@ -582,3 +582,11 @@ reg("run_keyed_store", with_(STORE_ACTIVITY) + "select " + ", ".join(
 reg("stream_keyed", ORACLE["stream_accumulate"])
 reg("stream_changes", f"""select * exclude (rn), case when period < 199601 then 'edited' else 'new' end as change_type,
   cast(case when period < 199601 then 2 else 1 end as bigint) as change_no from ({_LINES}) where rn = 1 and period > 199500""")
+_SOLE = "count(*) as rows_read, count(*) as new_rows, count(*) as total_rows, '' as note"
+reg("job_side_by_side", with_(CONTRACTS, extract_cte(A_MID), batch_cte(A_MID), STORE_ACTIVITY, TARGETS, PORTFOLIO, PORTFOLIO_EXTRACT, COMMISSION, COMMISSION_EXTRACT,
+                              "cm as (select count(*) as n, count(distinct (contract_code, period)) as k from cx where contract_code is not null)",
+                              "bt as (select count(*) as n from batch)") + f"""select 'Store activity' as dataset, {_SOLE} from store_activity
+union all select 'Targets', {_SOLE} from targets
+union all select 'Portfolio', {_SOLE} from p_extract
+union all select 'Contracts', count(*), (select n from bt), (select n from bt), '' from extract
+union all select 'Commission', n, k, k, '1 footer rows dropped' from cm""")

@@ -945,3 +945,18 @@ def stream_changes(spark, sf):
     SC.change_stream(spark, f"{base}/lineitem[.]parquet", file.schema, list(COMMISSION.key), f"{work}/log", f"{work}/checkpoint",
                      transform=_lineitem_as_commission, ord_col="ord", initial=history).awaitTermination()
     return spark.read.parquet(f"{work}/log")
+
+
+@query
+def job_side_by_side(spark, sf):
+    """G-10: the five datasets run at once from one landing folder; what each run counted, from the audit log."""
+    import uuid
+
+    from ..job import run_job
+    land, store = f"{checkpoint_root(spark)}/job_side_by_side/{uuid.uuid4().hex}", _fresh_store(spark, "job_side_by_side")
+    extracts = [(CONTRACTS, SI.contracts_extract(spark, sf, A_MID)), (STORE_ACTIVITY, SI.store_activity(spark, sf)), (TARGETS, SI.targets(spark, sf)),
+                (PORTFOLIO, SI.portfolio_extract(spark, sf, A_MID)), (COMMISSION, SI.commission_extract(spark, sf, A_TURN))]
+    for spec, rows in extracts:
+        rows.write.parquet(f"{land}/{spec.dataset_id}_1000000001.parquet")
+    run_job(spark, land, store.root, A_MID, [spec.dataset_id for spec, _ in extracts], "j1", at_once=len(extracts))
+    return store.read_log(RN.HISTORY_TABLE).select("dataset", "rows_read", "new_rows", "total_rows", "note")

@@ -36,7 +36,7 @@ from ..operators.schema import drift_rows
 from ..operators.sizing import known_rows, with_known_rows
 from ..operators.totals import IS_TOTAL
 from ..sources import extract as EX
-from ..sources.store import TableStore
+from ..sources.store import Cancelled, TableStore
 from ..specs import DatasetSpec, get_spec
 from . import flows as G
 from . import keyed as KT
@@ -245,6 +245,8 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str,
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time())
     spec = get_spec(dataset)
     try:
+        if store.cancelled():
+            raise Cancelled("cancelled")
         if extract is None:
             report = RunReport(dataset, None, None, None, None, False, "no extract for this run")
         elif entry is not None and not entry[1]:
@@ -255,10 +257,18 @@ def run_dataset(spark: SparkSession, store: TableStore, dataset: str,
         else:
             report = _run(store, dataset, extract() if callable(extract) else extract, as_of, run_id, run_ts, entry)
     except Exception as e:  # noqa: BLE001 — one dataset must not block the others
-        report = RunReport(dataset, None, None, None, None, False, f"failed: {type(e).__name__}: {e}")
-        traceback.print_exc()
-    store.append(HISTORY_TABLE, audit_row(spark, spec.name, run_ts, report.rows_read, report.new_rows,
-                                          report.edited_rows, report.total_rows, report.note))
+        note = "failed: cancelled" if store.cancelled() else f"failed: {type(e).__name__}: {e}"
+        report = RunReport(dataset, None, None, None, None, False, note)
+        if not store.cancelled():
+            traceback.print_exc()
+    row = audit_row(spark, spec.name, run_ts, report.rows_read, report.new_rows, report.edited_rows, report.total_rows, report.note)
+    tags = spark.sparkContext.getJobTags()
+    spark.sparkContext.clearJobTags()  # the audit row is written also while the dataset's jobs are being cancelled
+    try:
+        store.append(HISTORY_TABLE, row)
+    finally:
+        for t in tags:
+            spark.sparkContext.addJobTag(t)
     return report
 
 

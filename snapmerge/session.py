@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # (spark-submit, spark-defaults.conf) or the caller has not set a value.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.scheduler.mode": "FAIR",  # datasets that run side by side share the executors
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -40,7 +41,7 @@ def build_session(master: str | None = None, app_name: str = "snapmerge",
     active = SparkSession.getActiveSession()
     if active is not None:
         for k, v in DEFAULT_CONF.items():
-            if not k.startswith("spark.ui.") and active.conf.get(k, None) is None:
+            if k.startswith(("spark.sql.", "snapmerge.")) and active.conf.get(k, None) is None:
                 active.conf.set(k, v)
         for k, v in explicit.items():
             active.conf.set(k, v)
