@@ -46,9 +46,11 @@ SLICE = "_slice"
 KEY_TEXT = "_key"
 #: rows of a file aimed at when a table is made; its first batch decides the layout, which it keeps
 ROWS_PER_FILE = 200_000
+#: most rows of a bucket when a table is made: a task of a merge holds one bucket of the touched slices
+ROWS_PER_TASK = 500_000
 #: least and most slices of a table, and buckets: files of a slice, and tasks of a merge
 SLICES = (16, 4096)
-BUCKETS = (4, 512)
+BUCKETS = (4, 4096)
 #: runs of ids per slice when a table is made: a run is that part of the first batch's span of ids
 RUNS_PER_SLICE = 4
 #: decimals of fractional totals
@@ -112,15 +114,16 @@ class KeyedTable:
         self.ord_col, self.seq_col = ord_col, seq_col
 
     def _lay_out(self, batch: DataFrame) -> None:
-        """Slices, buckets and the length of the runs of ids (1: the key is no integer) for a new table."""
-        if not (self.slices and self.buckets):
-            files = batch.count() // ROWS_PER_FILE
-            self.buckets = self.buckets or min(BUCKETS[1], max(BUCKETS[0], math.isqrt(files)))
-            self.slices = self.slices or min(SLICES[1], max(SLICES[0], files // self.buckets))
-        if not self.run and isinstance(batch.schema[self.keys[0]].dataType, _INTEGERS):
-            span = batch.agg((F.max(qcol(self.keys[0])) - F.min(qcol(self.keys[0]))).cast("long")).first()[0] or 0
-            self.run = span // (RUNS_PER_SLICE * self.slices)
-        self.run = self.run or 1
+        """Slices, buckets and the length of the runs of ids (1: the key is no integer) for a new table.
+
+        A named number of buckets is the least: the tasks of a merge grow with the table, not the rows of a task.
+        """
+        first = qcol(self.keys[0])
+        span = (F.max(first) - F.min(first)).cast("long") if isinstance(batch.schema[self.keys[0]].dataType, _INTEGERS) else F.lit(0)
+        made = batch.agg(F.count(F.lit(1)).alias("rows"), span.alias("span")).first()
+        self.buckets = max(self.buckets or BUCKETS[0], min(BUCKETS[1], math.ceil(made["rows"] / ROWS_PER_TASK)))
+        self.slices = self.slices or min(SLICES[1], max(SLICES[0], made["rows"] // ROWS_PER_FILE // self.buckets))
+        self.run = self.run or (made["span"] or 0) // (RUNS_PER_SLICE * self.slices) or 1
 
     def _commit(self) -> Commit | None:
         return self.store.latest_commit(self.table)
