@@ -142,3 +142,14 @@ def test_empty_table(spark, store):
     r = t.merge(spark.createDataFrame([], "id long, v_amount double"), "r0")
     assert (t.slices, t.buckets, t.run) == (16, 4, 1)
     assert not r.published and t.read() is None and t.totals() is None and t.verify() == []
+
+
+def test_buckets_grow_with_the_first_batch(spark, store, monkeypatch):
+    """A task of a merge holds a bucket: its rows stay bounded, also where the caller names the least number of buckets."""
+    monkeypatch.setattr(KT, "ROWS_PER_TASK", 100)
+    rows = spark.range(1950).withColumn("v", F.lit(1))
+    for name, layout in (("named", {"slices": 4, "buckets": 2}), ("own", {})):
+        t = KT.seed(store, name, rows, ["id"], **layout)
+        assert t.buckets == 20 and t.slices == layout.get("slices", 16)
+        assert t.merge(rows.withColumn("v", F.lit(2)), "r1").edited_rows == 1950 and not t.verify()
+        assert KT.KeyedTable(store, name, ["id"]).buckets == 20
