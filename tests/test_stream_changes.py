@@ -90,3 +90,46 @@ def test_history_before_the_first_start(spark, workdir):
 def test_empty_extract(spark, workdir):
     _land(f"{workdir}/landing", 1000000001, [])
     assert _run(spark, workdir).count() == 0
+
+
+def test_keys_share_states(spark, workdir, monkeypatch):
+    """The calls to the state store follow the groups, not the keys; a restart keeps the number of groups."""
+    land = f"{workdir}/landing"
+    _land(land, 1000000001, [_row(i) for i in range(300)])
+    stored = spark.createDataFrame([tuple(_row(i, amount=float(i % 2)).values()) for i in range(200)], SCHEMA)
+    log = _run(spark, workdir, initial=stored, groups=3)
+    assert log.where("change_no = 2").count() == 100 and log.where("change_no = 1").count() == 100
+    q = SC.change_stream(spark, land, stored.schema, KEY, f"{workdir}/log", f"{workdir}/ckpt")
+    q.awaitTermination()
+    _land(land, 1000000002, [_row(i, amount=7.0) for i in range(400)])
+    log = _run(spark, workdir)
+    assert [r["count"] for r in log.groupBy("change_no").count().orderBy("change_no").collect()] == [200, 300, 100]
+    from pyspark.sql import functions as F
+    state = spark.read.format("statestore").option("path", f"{workdir}/ckpt").option("operatorId", 0).option("stateVarName", "keys").load()
+    assert state.count() == 3 and state.agg(F.sum(F.length("value.known"))).first()[0] == 400 * 72
+
+
+def test_last_row_of_a_key_over_arrow_batches(spark, workdir):
+    """Rows of one key that meet from several Arrow batches: the greatest place counts, for every kind of value."""
+    import random
+    land, nan, inf = f"{workdir}/landing", float("nan"), float("inf")
+    rows = [_row(1, amount=a, price=p, note=n, micros=m) for a in (None, -inf, -2.5, 1e-7, 3e20, inf, nan) for p in (None, "-10.00", "9.00", "10.50")
+            for n in (None, "", "a", "é") for m in (0, 9, 10)]
+    kinds = [rows, rows[:200], [r for r in rows if r["amount"] is None], [r for r in rows if r["amount"] == -inf]]
+    landed = []
+    for k, some in enumerate(kinds):
+        some = [{**r, "k": k} for r in some]
+        random.Random(k).shuffle(some)
+        landed += some
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        _land(land, 1000000001, landed)
+        schema = spark.createDataFrame([], SCHEMA).schema
+        SC.change_stream(spark, land, schema, KEY, f"{workdir}/log", f"{workdir}/ckpt", ord_col="nothing",
+                         transform=lambda df: df.drop(X.ORD)).awaitTermination()
+        log = spark.read.parquet(f"{workdir}/log")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = M.keep_last(X.read_extract(spark, land, schema).drop(X.FILE, X.ORD), KEY, seq_col=X.EPOCH)
+    rows_of = lambda df: sorted(map(str, df.select("k", "amount", "price", "at", "note").collect()))
+    assert len(rows_of(want)) == 4 and rows_of(log) == rows_of(want)
