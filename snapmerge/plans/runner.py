@@ -374,6 +374,8 @@ def _write_target(store: TableStore, dataset: str, name: str, df: DataFrame, run
     sort = [c for c in t.sort_within if c in df.columns]
     if sort:
         order = [c for c in (t.partition_col,) if c] + sort
+        # rows of one run may have equal order columns (an extract without positions): the key splits them into ranges too
+        order += [k for k in spec.key if k in df.columns and k not in order]
         whole = sort != list(M.STAMPS) or store.spark.conf.get(ORDER_HISTORY_CONF, "true").lower() != "false"
         df = (df.repartitionByRange(*order) if whole else df).sortWithinPartitions(*order)
     obs = Observation(f"{dataset}_{name}_{run_id}")

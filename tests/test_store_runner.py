@@ -490,3 +490,20 @@ def test_key_slices_hold_what_whole_tables_hold(spark, workdir, keyed_tables, da
     if dataset == "comissao_a_vista":
         assert RN.totals_of(sliced, dataset).first().gross_amount == RN.totals_of(whole, dataset).first().gross_amount
         assert RN.totals_of(sliced, dataset).first().rate_pct == pytest.approx(RN.totals_of(whole, dataset).first().rate_pct)
+
+
+def test_rows_with_equal_order_are_written_by_many_tasks(spark, workdir):
+    """An extract without positions: all rows are first seen at the same place, and still no task writes them all."""
+    store = TableStore(spark, f"{workdir}/equal_order")
+    rows = spark.range(4000).select(
+        F.col("id").alias("store_id"), F.lit("s").alias("store_name"), F.lit(200107).alias("vintage"), F.lit(dt.date(2001, 7, 1)).alias("last_contract_date"),
+        F.lit(1).cast("decimal(28,2)").alias("financed_value"), F.lit(1).cast("long").alias("financed_count"))
+    conf, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(conf, "false")
+    try:
+        report = RN.run_dataset(spark, store, "dias_sem_producao", rows, dt.date(2001, 7, 15), "r1")
+    finally:
+        spark.conf.set(conf, before)
+    assert report.total_rows == 4000
+    files = store.read("store_activity_official").groupBy(F.col("_metadata.file_name")).count().collect()
+    assert len(files) >= 4 and max(r["count"] for r in files) < 2000
