@@ -38,29 +38,49 @@ EPOCHS = 2
 GENERATIONS = 8
 ROUNDS = 2
 GOOD_FILL = 0.97
-#: entries of a worker's cache of token ids (about 200 bytes each); beyond it only short words, the frequent ones, stay
+#: entries of a worker's cache of token ids (about 200 bytes each) beyond which those not used since it was last full go
 CACHE = 250_000
-SHORT = 7
 
-# In Latin-1 text the tokenizer's word rule can be written with plain character sets; its normaliser only lower-cases
-# and treats white space as a separator, which the rule drops.
-_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
-_NUMBERS = "0-9²³¹¼½¾"
-_SPACES = "\t-\r \x85\xa0"
-_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+# In Latin-1 text the tokenizer's word rule,
+# 's|'t|'re|'ve|'m|'ll|'d|letters+|number|[^white space, letters, numbers]+,
+# can be told from the kinds of its bytes; its normaliser only lower-cases and treats white space as a separator, which the rule drops.
+_LOWERED = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
+_SPACE, _LETTER, _NUMBER, _SIGN = range(4)
+_KINDS = np.full(256, _SIGN, np.uint8)
+_KINDS[list("\t\n\x0b\x0c\r \x85\xa0".encode("latin-1"))] = _SPACE
+_KINDS[[i for i in range(256) if chr(i).isalpha()]] = _LETTER
+_KINDS[list("0123456789²³¹¼½¾".encode("latin-1"))] = _NUMBER
+
+
+def latin_tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pre-tokens of lower-cased Latin-1 bytes begin, and which bytes belong to one; from a beginning to the next it is one."""
+    n = len(data)
+    data = np.concatenate([data, np.full(3, 0x20, np.uint8)])
+    kind = _KINDS[data]
+    begin = kind != _SPACE
+    begin[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+    quote = np.flatnonzero(begin & (data == ord("'")))
+    one, two = data[quote + 1], data[quote + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    begin[quote[short | long] + 1] = False
+    rest = np.concatenate([quote[short] + 2, quote[long] + 3])
+    begin[rest[kind[rest] == _LETTER]] = True
+    return np.flatnonzero(begin[:n]), kind[:n] != _SPACE
 
 
 class WordCache:
     """Token ids of a text, joined from the cached ids of its parts.
 
     Parts are the tokenizer's own pre-tokens for Latin-1 texts and white-space separated chunks for others: no token
-    crosses a part, so each part is tokenised once and alone.
+    crosses a part, so each part is tokenised once and alone.  Pre-tokens are known by their Latin-1 bytes, chunks by their text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes | str, bytes] = {}
+        self.older: dict[bytes | str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a pre-token
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -72,38 +92,68 @@ class WordCache:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """:meth:`encode` of several texts; their unknown parts are tokenised together."""
         if len(self.known) > CACHE:
-            self.known = {k: v for k, v in self.known.items() if len(k) <= SHORT}
-            if len(self.known) > CACHE // 2:
-                self.known = {}
-        parts: list[list[str] | None] = []
-        tokens: dict[str, None] = {}
-        chunks: dict[str, None] = {}
-        for t in texts:
+            self.known, self.older = {}, self.known
+        found: list[bytes] = [b""] * len(texts)
+        latin: dict[int, bytes] = {}
+        chunks: dict[int, list[str]] = {}
+        for i, t in enumerate(texts):
             if "<|" in t:  # may hold the name of a special token
-                parts.append(None)
-            elif _is_latin(t):
-                parts.append(_TOKEN.findall(t.lower()))
-                tokens.update(dict.fromkeys(set(parts[-1]).difference(self.known)))
+                found[i] = _packed_ids(self.tokenizer.encode(t, add_special_tokens=False).ids)
+            elif (raw := _latin(t)) is not None:
+                latin[i] = raw
             else:
-                parts.append([p for p in re.split("[\t-\r ]+", t) if p])
-                chunks.update(dict.fromkeys(set(parts[-1]).difference(self.known)))
-        self._learn_tokens(list(tokens))
-        self._learn(list(chunks))
-        return [_packed_ids(self.tokenizer.encode(t, add_special_tokens=False).ids) if p is None else b"".join(map(self.known.__getitem__, p))
-                for t, p in zip(texts, parts)]
+                chunks[i] = [p for p in re.split("[\t-\r ]+", t) if p]
+        for i, ids in zip(latin, self._encode_latin(list(latin.values()))):
+            found[i] = ids
+        every = list(dict.fromkeys(p for parts in chunks.values() for p in parts))
+        ids = dict(zip(every, self._ids(every, self._learn)))
+        for i, parts in chunks.items():
+            found[i] = b"".join(map(ids.__getitem__, parts))
+        return found
+
+    def _encode_latin(self, texts: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b" ".join(texts).translate(_LOWERED), np.uint8)
+        first, inside = latin_tokens(data)
+        stop = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+        if not len(first):
+            return [b""] * len(texts)
+        bounds = np.append((np.cumsum(inside, dtype=np.int64) - 1)[first], np.count_nonzero(inside))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]).dictionary_encode()
+        ids = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist(), self._learn_tokens)
+        which = words.indices.to_numpy()
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, count = (np.cumsum(size) - size)[which], size[which]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        at = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], count)
+        raw = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        cut = 4 * ends[np.concatenate([[0], np.searchsorted(first, stop)])]
+        return [raw[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    def _ids(self, parts: list, learn) -> list[bytes]:
+        """The ids of each of some different parts."""
+        found = list(map(self.known.get, parts))
+        new = [i for i, x in enumerate(found) if x is None]
+        for i in new:
+            if (x := self.older.get(parts[i])) is not None:
+                self.known[parts[i]] = x
+        learn([parts[i] for i in new if parts[i] not in self.known])
+        for i in new:
+            found[i] = self.known[parts[i]]
+        return found
 
     def _learn(self, parts: list[str]) -> None:
         for p, e in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False)):
             self.known[p] = _packed_ids(e.ids)
 
-    def _learn_tokens(self, parts: list[str]) -> None:
+    def _learn_tokens(self, parts: list[bytes]) -> None:
         """Pre-tokens, many in one text with blanks between: a token that ends a word ends a pre-token."""
         groups = [parts[i:i + 200] for i in range(0, len(parts), 200)]
-        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+        for group, e in zip(groups, self.tokenizer.encode_batch([b" ".join(g).decode("latin-1") for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
             ends = (np.flatnonzero(self.last[ids]) + 1) * 4
             if len(ends) != len(group):
-                self._learn(group)
+                alone = self.tokenizer.encode_batch([p.decode("latin-1") for p in group], add_special_tokens=False)
+                self.known.update((p, _packed_ids(x.ids)) for p, x in zip(group, alone))
                 continue
             raw, at = ids.tobytes(), 0
             for p, end in zip(group, ends.tolist()):
@@ -115,12 +165,11 @@ def _packed_ids(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def _is_latin(text: str) -> bool:
+def _latin(text: str) -> bytes | None:
     try:
-        text.encode("latin-1")
+        return text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
-    return True
+        return None
 
 
 _CACHES: dict[str, WordCache] = {}

@@ -33,6 +33,19 @@ def test_cached_ids_equal_the_tokenizer(tokenizer):
         assert np.frombuffer(cache.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_words_in_use_are_tokenised_once(monkeypatch):
+    """A full cache lets go of the words that no longer come, however long the others are."""
+    monkeypatch.setattr(packing, "CACHE", 100)
+    cache, learnt = packing.WordCache(PATH), []
+    learn = cache._learn_tokens
+    monkeypatch.setattr(cache, "_learn_tokens", lambda parts: (learnt.extend(parts), learn(parts)))
+    for i in range(10):
+        rare = " ".join(f"{a}{b}rareword" for a in "abcdefghij"[i] for b in "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîï")
+        assert cache.encode(f"frequently {rare} x{chr(97 + i) * 9}") == packing.WordCache(PATH).encode(f"frequently {rare} x{chr(97 + i) * 9}")
+    names = [p.decode("latin-1") if isinstance(p, bytes) else p for p in learnt]
+    assert names.count("frequently") == 1 and len(cache.known) + len(getattr(cache, "older", ())) < 300
+
+
 def _packed(docs, capacity, **options):
     rows = packing.pack(packing.pieces(docs, PATH, capacity), capacity, **options).collect()
     bins = {}
