@@ -55,6 +55,41 @@ def test_text_without_repeats_stays_and_columns_too(odd_docs, no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
+def test_parts_of_equal_strings_share_a_key():
+    rng = random.Random(3)
+    middle = bytes(rng.randrange(97, 100) for _ in range(100))
+    a, b = b"left" + middle + b"1234", b"xeft" + middle + b"12z4"  # triggers at 44 and 44, strings of 60 bytes
+    for width in (64, 8, 1):
+        found = [{a0: (block, key, (first, last)) for block, key, _, first, last in repeats.parts_of(x, 44, 0, len(x) - 60, 60, width)
+                  for a0 in range(first, last + 1)} for x in (a, b)]
+        assert all(sorted(f) == list(range(len(a) - 59)) for f in found)
+        for j in range(len(a) - 59):
+            same = a[j:j + 60] == b[j:j + 60]
+            assert not same or found[0][j][:2] == found[1][j][:2]
+            assert width > 1 or same == (found[0][j][1] == found[1][j][1])
+
+
+def test_crowded_cores_are_not_cut_into_all_their_strings(spark, monkeypatch):
+    """Copies that each differ in a place of their own: the pieces counted are far fewer than the strings."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1000))
+    texts = [base[:p] + "#" + base[p + 1:] for p in rng.sample(range(200, 800), 60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    staged, stage = {}, repeats.C.stage
+
+    def kept(df, name):
+        out = stage(df, name)
+        staged.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats.C, "stage", kept)
+    want = _check(frame, crowd=0)
+    assert any(w[2] for w in want)
+    parsed = stage(repeats._parsed(frame, repeats.LENGTH, repeats.MODULUS), "parsed")
+    strings = parsed.dropDuplicates(["core", "entry"]).selectExpr("sum(e - s + 1)").first()[0]
+    assert sum(staged["repeats-parts"]) < strings / 3
+
+
 def test_cut_keeps_code_points_whole():
     assert repeats.cut("aéb", [{"start": 2, "end": 4}]) == "aé"
     assert repeats.cut("aéb", [{"start": 1, "end": 3}]) == "ab"
