@@ -10,6 +10,7 @@ reasons, never turned into null and never dropped in silence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ from ..specs import DatasetSpec
 from .totals import is_money, is_percent
 
 REASONS = "_reject_reasons"
+READ = "_read_amounts"
 # Flows that route rows by their period's year, and those whose period is an integer yyyymm
 ROUTED_FLOWS = ("accumulate_by_row_year", "period_preview_by_year")
 PERIOD_FLOWS = (*ROUTED_FLOWS, "upsert_with_totals")
@@ -44,19 +46,31 @@ def money_from_text(c: Column) -> Column:
 
     With both marks the last one is the decimal mark; a single comma is a decimal mark; a single
     point is one unless it is followed by exactly three digits after up to three (``1.234``).
+
+    Each step names the text before it once: a filter works out an expression again wherever it is named,
+    so the steps would multiply.
     """
-    s = F.regexp_replace(strip_ws(c), r"[R$%\s\u00a0]", "")
-    negative = s.rlike(r"^\(.*\)$") | s.startswith("-")
-    s = F.regexp_replace(s, r"^[-(]|\)$", "")
-    comma_decimal = s.rlike(r"^\d{1,3}(\.\d{3})*,\d+$") | s.rlike(r"^\d+,\d+$")
-    point_groups = s.rlike(r"^\d{1,3}(\.\d{3})+$")
-    comma_groups = s.rlike(r"^\d{1,3}(,\d{3})+\.\d+$")
-    plain = s.rlike(r"^\d+(\.\d+)?$")
-    number = (F.when(comma_groups, F.replace(s, F.lit(","), F.lit("")))
-              .when(comma_decimal, F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-              .when(point_groups, F.replace(s, F.lit("."), F.lit("")))
-              .when(plain, s)).try_cast(MONEY_TYPE)
-    return F.when(negative, -number).otherwise(number).cast(MONEY_TYPE)
+    def number(s: Column) -> Column:
+        comma_groups = s.rlike(r"^\d{1,3}(,\d{3})+\.\d+$")
+        comma_decimal = s.rlike(r"^(\d{1,3}(\.\d{3})*|\d+),\d+$")
+        point_groups = s.rlike(r"^\d{1,3}(\.\d{3})+$")
+        plain = s.rlike(r"^\d+(\.\d+)?$")
+        return (F.when(comma_groups, F.replace(s, F.lit(","), F.lit("")))
+                .when(comma_decimal, F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+                .when(point_groups, F.replace(s, F.lit("."), F.lit("")))
+                .when(plain, s)).try_cast(MONEY_TYPE)
+
+    def signed(s: Column) -> Column:
+        bare = _once(F.when(s.rlike(r"^[-(]|\)$"), F.regexp_replace(s, r"^[-(]|\)$", "")).otherwise(s), number)
+        negative = s.rlike(r"^\(.*\)$|^-")
+        return _once(bare, lambda n: F.when(negative, -n).otherwise(n)).cast(MONEY_TYPE)
+
+    return _once(F.regexp_replace(c, r"[R$%\s\u00a0]", ""), signed)
+
+
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` worked out once, however often ``use`` names it."""
+    return F.transform(F.array(c), use)[0]
 
 
 def rename_headers(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -75,24 +89,31 @@ def ingest(extract: DataFrame, spec: DatasetSpec, stored: T.StructType | None =
     """
     df = rename_headers(extract, spec)
     types = {f.name: f.dataType for f in stored.fields} if stored is not None else {}
+    periods = (spec.period_col,) if spec.flow in PERIOD_FLOWS else ()
+    money = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (spec.date_col, *periods)
+             and (is_money(f.name) or is_percent(f.name) or f.name in spec.money_cols)]
     out, problems = [], []
     for f in df.schema.fields:
         raw = qcol(f.name)
         text = isinstance(f.dataType, T.StringType)
-        c = strip_ws(raw) if text else nan_to_null(raw, f.dataType)
         target = types.get(f.name)
+        if f.name in money:
+            c = F.col(READ).getField(f.name)
+            out.append(c.alias(f.name))
+            # blank text is no amount and no problem
+            problems.append(F.when(c.isNull() & raw.rlike(r"\S"), F.lit(f"{f.name}: unreadable")))
+            continue
+        c = strip_ws(raw) if text else nan_to_null(raw, f.dataType)
         if text:
             c = F.when(c != "", c)
         given = c.isNotNull()
         if f.name == spec.date_col and text:
             c = parse_date_dayfirst(c)
-        elif f.name == spec.period_col and spec.flow in PERIOD_FLOWS and (text or is_fractional_type(f.dataType)):
+        elif f.name in periods and (text or is_fractional_type(f.dataType)):
             keep_text = isinstance(target, T.StringType)
             number = (F.regexp_replace(c, r"\.0+$", "") if text else c).try_cast("int")
             valid = number.between(190001, 999912) & ((number % 100).between(1, 12))
             c = F.when(valid, number.cast("string") if keep_text else number)
-        elif text and (is_money(f.name) or is_percent(f.name) or f.name in spec.money_cols):
-            c = money_from_text(c)
         elif text and target is not None and not isinstance(target, T.StringType):
             c = parse_date_dayfirst(c) if isinstance(target, T.DateType) else c.try_cast(target)
         elif target is not None and target != f.dataType and not isinstance(target, T.StringType):
@@ -102,7 +123,9 @@ def ingest(extract: DataFrame, spec: DatasetSpec, stored: T.StructType | None =
         if f.name == spec.period_col and spec.flow in ROUTED_FLOWS:
             problems.append(F.when(~given, F.lit(f"{f.name}: missing")))
     reasons = F.filter(F.array(*problems), lambda x: x.isNotNull())
-    marked = df.withColumn(REASONS, reasons)
+    # a filter on the reasons may not be pushed below the generator, which would read each amount once more
+    read = df.select("*", F.explode(F.array(F.struct(*[money_from_text(qcol(c)).alias(c) for c in money]))).alias(READ)) if money else df
+    marked = read.withColumn(REASONS, reasons)
     good = marked.where(F.size(REASONS) == 0).select(*out)
-    bad = marked.where(F.size(REASONS) > 0)
-    return Ingested(good, bad, marked)
+    marked = marked.drop(READ)
+    return Ingested(good, marked.where(F.size(REASONS) > 0), marked)

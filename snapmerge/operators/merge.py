@@ -49,7 +49,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import qcol, quote, rows_equal, values_equal
 from .sizing import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, bounded_count,
-                     known_rows, measured_bytes, proven_rows, with_known_rows)
+                     known_rows, measured_bytes, most_rows, proven_rows, with_known_rows)
 
 SRC = "_sm_src"
 ORD = "_sm_ord"
@@ -193,7 +193,8 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
                             ord_col: str | None = None, compare_exclude: Sequence[str] = (),
                             with_order: bool = False, classify: bool = True,
                             prev_unique: bool = False, strategy: str = "auto",
-                            keep_from_prev: Sequence[str] = (), seq_col: str | None = None) -> DataFrame:
+                            keep_from_prev: Sequence[str] = (), seq_col: str | None = None,
+                            batch_unique: bool = False) -> DataFrame:
     """U-04 (+ J-01, J-06, U-09): accumulated table with a fresh ``change_type``.
 
     ``strategy``: ``"shuffle"`` always uses the single-aggregate plan;
@@ -208,8 +209,12 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     compared.  The first-seen stamps (:data:`STAMPS`) always behave this way.
     ``seq_col``: run sequence of batch rows when one batch holds several runs
     (keep-last orders by run, then ``ord_col``); like ``ord_col`` it is not compared.
+    ``batch_unique``: the batch is known to hold one row per key (another merge's output), so a first run
+    only labels its rows.
     """
     keys = _keys(keys)
+    if prev is None and batch_unique:
+        return _first_rows(batch, keys, ord_col, with_order, classify, seq_col)
     if prev is None:
         prev = with_known_rows(batch.limit(0), 0)
     present = set(prev.columns) | set(batch.columns)
@@ -234,6 +239,22 @@ def accumulate_and_classify(prev: DataFrame | None, batch: DataFrame, keys: str
     return g.select(*out)
 
 
+def _first_rows(batch: DataFrame, keys: list[str], ord_col: str | None, with_order: bool, classify: bool,
+                seq_col: str | None) -> DataFrame:
+    """A first run whose batch holds one row per key: every row is new, nothing is grouped."""
+    tagged = tag(batch, 1, ord_col, seq_col)
+    cols = _data_columns(tagged)
+    missing = [k for k in keys if k not in cols]
+    if missing:
+        raise ValueError(f"key columns not found: {missing}")
+    out = [qcol(c) for c in cols]
+    if classify:
+        out.append(F.lit(NEW).alias(CHANGE))
+    if with_order:
+        out.extend([F.col(SRC).alias(LAST_SRC), F.col(ORD).alias(LAST_ORD), F.col(SRC).alias(SEEN_SRC), F.col(ORD).alias(SEEN_ORD)])
+    return tagged.select(*out)
+
+
 # The touched-only plan is used when the stored table holds at least this many
 # times more rows than the batch has distinct keys.
 TOUCHED_RATIO = 4
@@ -267,7 +288,14 @@ def _stored_plan(prev: DataFrame, batch: DataFrame, batch_keys: DataFrame, keys:
     ``LOOKUP_MIN_ROWS`` rows (or the session's ``snapmerge.lookupMinRows``),
     ``"lookup"`` broadcasts them whole; otherwise ``"touched"`` broadcasts
     only the keys.
+
+    Keys are not counted where the answer can't change the plan: the stored table is no larger than
+    ``TOUCHED_RATIO`` rows, or than that many times the rows the batch has at most (the merge then
+    reads about as many batch rows as stored ones).
     """
+    stored, most = known_rows(prev), most_rows(batch)
+    if stored is not None and stored <= TOUCHED_RATIO * max(most or 1, 1):
+        return "shuffle"
     # a batch whose rows are known (a written preview, one row per key) needs no count of its keys
     n_keys = proven_rows(with_known_rows(batch_keys, known_rows(batch)))
     if n_keys is None:

@@ -61,6 +61,17 @@ def known_rows(df: DataFrame) -> int | None:
     return getattr(df, "_snapmerge_rows", None)
 
 
+def with_most_rows(df: DataFrame, rows: int | None) -> DataFrame:
+    """Attach a count that the rows of ``df`` do not exceed (``df`` was filtered from so many)."""
+    df._snapmerge_most_rows = rows
+    return df
+
+
+def most_rows(df: DataFrame) -> int | None:
+    known = known_rows(df)
+    return known if known is not None else getattr(df, "_snapmerge_most_rows", None)
+
+
 def broadcast_row_limit(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
     """Largest row count of ``df`` that stays within both broadcast bounds."""

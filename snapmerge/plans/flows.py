@@ -26,7 +26,7 @@ from ..operators import merge as M
 from ..operators import schema as S
 from ..operators import totals as TT
 from ..operators.routing import with_row_year, with_run_year
-from ..operators.sizing import known_rows, with_known_rows
+from ..operators.sizing import known_rows, most_rows, with_known_rows, with_most_rows
 from ..specs import COMMISSION, CONTRACTS, PORTFOLIO, STORE_ACTIVITY, TARGETS, DatasetSpec
 
 
@@ -54,7 +54,7 @@ def contracts_batch(extract: DataFrame, as_of: dt.date, spec: DatasetSpec = CONT
     col, value = spec.status_filter
     paid = FL.filter_equals(extract, col, value)
     kept = S.select_configured(paid, _keep(spec))
-    return kept.where(P.in_month_with_carryover(spec.date_col, as_of))
+    return with_most_rows(kept.where(P.in_month_with_carryover(spec.date_col, as_of)), most_rows(extract))
 
 
 def contracts_preview(extract: DataFrame, stored_preview: DataFrame | None, as_of: dt.date,
@@ -72,7 +72,7 @@ def contracts_quarter(preview: DataFrame, stored_quarter: DataFrame | None, as_o
     """G-02: merge the preview into the rolling table (U-02), keep 90 days (F-04),
     classify against the stored table (J-01), route by run year (S-08)."""
     merged = M.accumulate_and_classify(stored_quarter, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-                                       with_order=True, prev_unique=prev_unique)
+                                       with_order=True, prev_unique=prev_unique, batch_unique=True)
     return with_run_year(merged.where(P.within_rolling_days(spec.date_col, as_of)), as_of)
 
 
@@ -80,7 +80,7 @@ def contracts_annual(preview: DataFrame, stored_annual: DataFrame | None, as_of:
                      spec: DatasetSpec = CONTRACTS, prev_unique: bool = False) -> DataFrame:
     """G-03: merge the preview into the permanent table — nothing ever leaves it."""
     merged = M.accumulate_and_classify(stored_annual, _data_only(preview), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-                                       with_order=True, prev_unique=prev_unique)
+                                       with_order=True, prev_unique=prev_unique, batch_unique=True)
     return with_run_year(merged, as_of)
 
 
@@ -113,14 +113,14 @@ def contracts_flow(extract: DataFrame, stored_preview, stored_quarter, stored_an
 def store_activity_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.date,
                         spec: DatasetSpec = STORE_ACTIVITY, prev_unique: bool = False) -> FlowResult:
     """G-04: configured columns → accumulate the preview → accumulate the official table."""
-    batch = S.select_configured(extract, _keep(spec))
+    batch = with_most_rows(S.select_configured(extract, _keep(spec)), most_rows(extract))
     preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                         with_order=True, prev_unique=prev_unique)
 
     def rest(p: DataFrame) -> dict[str, DataFrame]:
         return {"official": M.accumulate_and_classify(
             stored_official, _data_only(p), spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
-            with_order=True, prev_unique=prev_unique)}
+            with_order=True, prev_unique=prev_unique, batch_unique=True)}
 
     return FlowResult(extract, preview, rest, primary="official")
 
@@ -130,7 +130,7 @@ def targets_flow(extract: DataFrame, stored_preview, stored_official, as_of: dt.
                  spec: DatasetSpec = TARGETS, prev_unique: bool = False) -> FlowResult:
     """G-05: accumulate the preview, then merge every year present in it into
     that year's official table (routing by the row's own year)."""
-    batch = S.select_configured(extract, _keep(spec))
+    batch = with_most_rows(S.select_configured(extract, _keep(spec)), most_rows(extract))
     preview = M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
                                         with_order=True, prev_unique=prev_unique)
     return FlowResult(extract, preview,
@@ -150,7 +150,7 @@ def targets_official(preview: DataFrame, stored_official: DataFrame | None, spec
         years = rows.select("year").distinct()
         prev = prev.join(F.broadcast(years), "year", "left_semi")
     return M.accumulate_and_classify(prev, rows, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
-                                     prev_unique=prev_unique)
+                                     prev_unique=prev_unique, batch_unique=True)
 
 
 # ------------------------------------------------------------------ portfolio (G-06)
@@ -159,7 +159,7 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
     """G-06: the preview holds the current month only (F-05 on both sides);
     every year present in the *whole* extract is merged into its official
     table, with the extract's column order first and legacy columns last."""
-    current = extract.where(P.period_is_current(spec.period_col, as_of))
+    current = with_most_rows(extract.where(P.period_is_current(spec.period_col, as_of)), most_rows(extract))
     prev_preview = (FL.purge_stale_period(stored_preview, spec.period_col, as_of)
                     if stored_preview is not None else None)
     preview = M.accumulate_and_classify(prev_preview, current, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col,
@@ -171,7 +171,7 @@ def portfolio_flow(extract: DataFrame, stored_preview, stored_official, as_of: d
 
 def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
                        spec: DatasetSpec = PORTFOLIO, prev_unique: bool = False) -> DataFrame:
-    rows = with_row_year(extract, spec.period_col)
+    rows = with_most_rows(with_row_year(extract, spec.period_col), most_rows(extract))
     prev = with_row_year(stored_official, spec.period_col) if stored_official is not None else None
     if prev is not None:
         # distinct routing years: at most 10^4 four-digit values, whatever the data size
@@ -185,7 +185,7 @@ def portfolio_official(extract: DataFrame, stored_official: DataFrame | None,
 # ------------------------------------------------------------------ commission (G-07, G-08)
 def commission_batch(raw_extract: DataFrame, spec: DatasetSpec = COMMISSION) -> DataFrame:
     """P-03 → F-06: clean headers, drop the report footer."""
-    return FL.drop_footer_rows(S.normalize_headers(raw_extract), spec.footer_key)
+    return with_most_rows(FL.drop_footer_rows(S.normalize_headers(raw_extract), spec.footer_key), most_rows(raw_extract))
 
 
 def commission_flow(raw_extract: DataFrame, stored_preview: DataFrame | None, stored_official: DataFrame | None,
@@ -202,7 +202,8 @@ def commission_preview(batch: DataFrame, stored_preview: DataFrame | None,
     """G-07: align the batch to the stored preview (P-04), keep-last by key with
     the report position as order (W-02), classify (J-01)."""
     if stored_preview is not None:
-        batch = S.align_to_schema(S.harmonize_types(batch, stored_preview.schema), stored_preview.schema)
+        aligned = S.align_to_schema(S.harmonize_types(batch, stored_preview.schema), stored_preview.schema)
+        batch = with_most_rows(aligned, most_rows(batch))
     return M.accumulate_and_classify(stored_preview, batch, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
                                      prev_unique=prev_unique)
 
@@ -230,11 +231,11 @@ def commission_official(preview: DataFrame, stored_official: DataFrame | None,
             absent = [c for c in stored_data.columns
                       if c not in data.columns and c not in spec.key and c not in M.STAMPS]
         target = T.StructType([f for f in stored_data.schema.fields if f.name not in M.STAMPS])
-        data = S.align_to_schema(S.harmonize_types(data, target), target)
+        data = with_known_rows(S.align_to_schema(S.harmonize_types(data, target), target), known_rows(data))
     else:
         stored_data = None
     merged = M.accumulate_and_classify(stored_data, data, spec.key, ord_col=spec.ord_col, seq_col=spec.seq_col, with_order=True,
-                                       prev_unique=prev_unique, keep_from_prev=absent)
+                                       prev_unique=prev_unique, keep_from_prev=absent, batch_unique=True)
     return with_totals_and_order(merged)
 
 

@@ -33,7 +33,7 @@ from ..operators.audit import audit_row
 from ..operators.ingest import REASONS, Ingested, TooManyRejects, ingest
 from ..operators.routing import YEAR
 from ..operators.schema import drift_rows
-from ..operators.sizing import known_rows, with_known_rows
+from ..operators.sizing import known_rows, most_rows, with_known_rows, with_most_rows
 from ..operators.totals import IS_TOTAL
 from ..sources import extract as EX
 from ..sources.store import Cancelled, TableStore
@@ -160,7 +160,9 @@ def build_flow(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.da
     Only the preview's plan is built here; the flow's ``rest`` builds the other targets.
     """
     s = lambda name: _stored(store, dataset, name, as_of)
+    most = most_rows(extract)
     extract, spec = prepare_extract(extract, get_spec(dataset))
+    extract = with_most_rows(extract, most)
     # Tables written by this store hold one row per key, so the touched-only
     # merge plan is allowed when the batch's keys are proven small.
     flow = spec.flow
@@ -283,8 +285,9 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
     # one pass over the extract: rows, rejects, and footers among the rows that can be read
     ok = F.size(REASONS) == 0
     footer = F.col(f"`{spec.footer_key}`").isNull() if spec.footer_key in got.marked.columns else F.lit(False)
-    seen = got.marked.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("rejected"),
-                          F.count_if(ok & footer).alias("footers")).first()
+    seen = got.marked.select(ok.alias("ok"), footer.alias("footer")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("ok")).alias("rejected"),
+        F.count_if(F.col("ok") & F.col("footer")).alias("footers")).first()
     if seen["rejected"]:
         if seen["rejected"] > MAX_REJECT_SHARE * seen["rows"]:
             raise TooManyRejects(f"{seen['rejected']} of {seen['rows']} rows can't be read")
@@ -293,6 +296,7 @@ def _run(store: TableStore, dataset: str, extract: DataFrame, as_of: dt.date, ru
     if seen["footers"]:
         notes.append(f"{seen['footers']} footer rows dropped")
     rows_read = seen["rows"] - seen["rejected"] - seen["footers"]
+    with_most_rows(got.rows, seen["rows"] - seen["rejected"])
     run_seq = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp())
     entries = {dataset: entry} if entry is not None else None
     if keyed(store, dataset):

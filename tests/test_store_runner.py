@@ -507,3 +507,64 @@ def test_rows_with_equal_order_are_written_by_many_tasks(spark, workdir):
     assert report.total_rows == 4000
     files = store.read("store_activity_official").groupBy(F.col("_metadata.file_name")).count().collect()
     assert len(files) >= 4 and max(r["count"] for r in files) < 2000
+
+
+# ------------------------------------------------------------------ amounts as text, first runs
+def _amounts(spark, n=400, plus=0):
+    return spark.range(n).select((F.col("id") % 300).alias("contract_code"), F.lit("200107").alias("period"), F.lit(7).alias("master_tax_id"),
+                                 F.concat(F.lit("R$ 1."), F.lpad((F.col("id") + plus).cast("string"), 3, "0"), F.lit(",50")).alias("gross_amount"),
+                                 F.col("id").cast("int").alias("ord"))
+
+
+def test_amount_text_is_read_once_a_pass(spark):
+    from snapmerge.operators.ingest import ingest
+    from snapmerge.specs import COMMISSION
+    rows = ingest(_amounts(spark), COMMISSION).rows
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 6, plan  # of the period, and two of the amount
+    assert rows.count() == 400 and float(rows.agg(F.max("gross_amount")).first()[0]) == 1399.5
+
+
+def test_large_batches_are_not_counted_by_key(spark, workdir, monkeypatch):
+    """Keys are counted only where the count can change the merge's plan: not on a first run, not for a batch the size of the table."""
+    from snapmerge.operators import sizing
+
+    def counted(df, *a, **kw):
+        assert sizing.known_rows(df) is not None, "keys were counted"
+        return sizing.proven_rows(df, *a, **kw)
+
+    monkeypatch.setattr(M, "proven_rows", counted)
+    store = TableStore(spark, workdir)
+    for run, plus in (("r1", 0), ("r2", 1)):
+        report = RN.run_dataset(spark, store, "comissao_a_vista", _amounts(spark, plus=plus), AS_OF, run)
+        assert report.note == "" and report.total_rows == 300 and (report.new_rows, report.edited_rows) == ((300, 0) if run == "r1" else (0, 300))
+    stored = store.read("commission_official").where("not is_total")
+    # the last of a contract's rows counts
+    assert {r.contract_code: float(r.gross_amount) for r in stored.collect()} == {k: 1001.5 + (k + 300 if k < 100 else k) for k in range(300)}
+
+
+def test_first_run_of_a_unique_batch_groups_nothing(spark):
+    batch = spark.createDataFrame([(1, "a", 5, 10), (None, "b", 2, 11), (2, None, 3, 0)], "k long, v string, o int, seq long")
+    kw = {"ord_col": "o", "seq_col": "seq", "with_order": True}
+    direct, grouped = (M.accumulate_and_classify(None, batch, "k", batch_unique=u, **kw) for u in (True, False))
+    assert direct.dtypes == grouped.dtypes and sorted(map(str, direct.collect())) == sorted(map(str, grouped.collect()))
+    assert "Aggregate" not in direct._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_files_go_with_their_write(spark, workdir):
+    import time
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def left():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = left()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    c = TableStore(spark, workdir).write("t", rows, "a")
+    for _ in range(100):
+        if not left() - before:
+            break
+        time.sleep(0.1)
+    assert not left() - before and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert rows.count() == 7 and TableStore(spark, workdir).read_commit(c).count() == 7
