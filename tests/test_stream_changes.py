@@ -133,3 +133,30 @@ def test_last_row_of_a_key_over_arrow_batches(spark, workdir):
     want = M.keep_last(X.read_extract(spark, land, schema).drop(X.FILE, X.ORD), KEY, seq_col=X.EPOCH)
     rows_of = lambda df: sorted(map(str, df.select("k", "amount", "price", "at", "note").collect()))
     assert len(rows_of(want)) == 4 and rows_of(log) == rows_of(want)
+
+
+def test_bytes_of_a_row_on_its_way(spark, workdir):
+    """A row reaches the state operator with each value once and without digests: under 120 bytes of shuffle files a row."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def written():
+        files = disk.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    n = 20000
+    _land(f"{workdir}/landing", 1000000001, [_row(i * 7919 % 1000003, amount=i / 4, price=f"{i * 31 % 90000}.25", note=str(i)) for i in range(n)])
+    before = written()
+    log = _run(spark, workdir, groups=64)
+    moved = sum(length for name, length in written().items() if name not in before)
+    assert log.count() == n and moved < 120 * n
+
+
+def test_values_of_every_text_come_back(spark, workdir):
+    """Rounded values (doubles, decimals beyond six digits) are read back as they came, also in the key and where a column is absent."""
+    from decimal import Decimal
+    schema = "k double, fine decimal(20,9), ok boolean, name string, parts array<int>"
+    rows = [(0.1, Decimal("1.123456789"), True, "a", [1, None]), (float("nan"), None, None, "", None), (None, Decimal("-2.000000001"), False, None, [])]
+    spark.createDataFrame(rows, schema).write.parquet(f"{workdir}/landing")
+    SC.change_stream(spark, f"{workdir}/landing", spark.createDataFrame([], schema).schema, ["k"], f"{workdir}/log", f"{workdir}/ckpt").awaitTermination()
+    log = spark.read.parquet(f"{workdir}/log")
+    assert sorted(map(str, log.select("k", "fine", "ok", "name", "parts").collect())) == sorted(map(str, spark.createDataFrame(rows, schema).collect()))
